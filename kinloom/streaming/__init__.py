@@ -1,0 +1,8 @@
+"""Streaming.
+
+The cohort build is a periodic batch rebuild over yearly extracts: there are
+no unbounded sources, watermarks, event-time windows or stateful operators to
+reproduce, so this package intentionally ships nothing.  Incremental rebuilds
+are handled in batch by ``kinloom.plans.pipeline`` (stages whose output table
+already exists are skipped).
+"""
