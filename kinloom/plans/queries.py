@@ -10,8 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import codes as C
 from ..sources import fixtures as FX
+from . import birth_cohort as BC
 from . import first_diagnosis as FD
+from .birth_details import birth_information, ethnicity_geo
 from .diagnoses import diagnoses_long
+from .mothers import mothers_delivery_episode
+from .registrations import birth_notifications, id_lookup, registrations_summary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +45,79 @@ def q_dq_missing_all_dates(spark: SparkSession, sf: str) -> DataFrame:
     return FD.missing_all_dates(dx, C.cancer_codes(spark), C.congenital_codes(spark))
 
 
+def _infants(spark: SparkSession, sf: str) -> DataFrame:
+    return BC.infant_records(FX.fx_episodes(spark, sf))
+
+
+def _flagged(spark: SparkSession, sf: str) -> DataFrame:
+    return BC.birth_record_flags(BC.clean_infant_records(_infants(spark, sf)))
+
+
+def _registrations(spark: SparkSession, sf: str) -> DataFrame:
+    return registrations_summary(
+        FX.person_view(spark, sf, "fx_civil_births"), FX.person_view(spark, sf, "fx_civil_deaths")
+    )
+
+
+def q_registrations_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return _registrations(spark, sf)
+
+
+def q_id_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    return id_lookup(FX.person_view(spark, sf, "fx_bridging"))
+
+
+def q_infant_records(spark: SparkSession, sf: str) -> DataFrame:
+    return _infants(spark, sf)
+
+
+def q_birth_record_flags(spark: SparkSession, sf: str) -> DataFrame:
+    return _flagged(spark, sf).select(
+        "token_person_id", "epikey", "resgor_england", "episode_min_date", "birth_record", "termination_record",
+        "stillbirth_record", "singleton_diag_birth_record", "multiple_birth_record",
+    )
+
+
+def q_timeline_anchor(spark: SparkSession, sf: str) -> DataFrame:
+    return BC.timeline_anchor(_flagged(spark, sf)).select(
+        "token_person_id", "epikey", "record_order", "days_since_min_recorded_date", "months_after_dob",
+        "min_recorded_date", "any_missing_episode_min_date",
+    )
+
+
+def _summary(spark: SparkSession, sf: str) -> DataFrame:
+    return BC.person_summary(BC.timeline_anchor(_flagged(spark, sf)))
+
+
+def q_person_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return _summary(spark, sf)
+
+
+def _birth_cohort(spark: SparkSession, sf: str) -> DataFrame:
+    return BC.birth_cohort(
+        _summary(spark, sf),
+        _registrations(spark, sf),
+        birth_notifications(FX.person_view(spark, sf, "fx_birth_notifications")),
+        id_lookup(FX.person_view(spark, sf, "fx_bridging")),
+    )
+
+
+def q_birth_cohort(spark: SparkSession, sf: str) -> DataFrame:
+    return _birth_cohort(spark, sf)
+
+
+def q_mothers_delivery_episode(spark: SparkSession, sf: str) -> DataFrame:
+    return mothers_delivery_episode(FX.person_view(spark, sf, "fx_mb_links"), FX.fx_episodes(spark, sf))
+
+
+def q_birth_information(spark: SparkSession, sf: str) -> DataFrame:
+    return birth_information(_infants(spark, sf), FX.person_view(spark, sf, "fx_mb_links"))
+
+
+def q_ethnicity_geo(spark: SparkSession, sf: str) -> DataFrame:
+    return ethnicity_geo(_infants(spark, sf))
+
+
 QUERIES: dict[str, Query] = {
     "diagnoses_long": q_diagnoses_long,
     "cancer_diagnoses": q_cancer_diagnoses,
@@ -48,4 +125,14 @@ QUERIES: dict[str, Query] = {
     "congenital_diagnoses": q_congenital_diagnoses,
     "first_congenital": q_first_congenital,
     "dq_missing_all_dates": q_dq_missing_all_dates,
+    "registrations_summary": q_registrations_summary,
+    "id_lookup": q_id_lookup,
+    "infant_records": q_infant_records,
+    "birth_record_flags": q_birth_record_flags,
+    "timeline_anchor": q_timeline_anchor,
+    "person_summary": q_person_summary,
+    "birth_cohort": q_birth_cohort,
+    "mothers_delivery_episode": q_mothers_delivery_episode,
+    "birth_information": q_birth_information,
+    "ethnicity_geo": q_ethnicity_geo,
 }

@@ -113,6 +113,10 @@ def _dob_expr(d: Dialect) -> str:
     return d.add_months(first, shift)
 
 
+def _first_month_expr(d: Dialect) -> str:
+    return d.month_start("min(least(od, sd))")
+
+
 def person_id(key: str) -> str:
     return f"'P' || lpad(cast({key} as string), 8, '0')"
 
@@ -255,9 +259,11 @@ def _episode_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def person_dob(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(ck, dob): one row per customer that has any order line."""
+    """(ck, dob, first_month): one row per customer that has any order line."""
     base = _episode_base(spark, sf_dir)
-    return base.groupBy("ck").agg(F.expr(_dob_expr(SPARK)).alias("dob"))
+    return base.groupBy("ck").agg(
+        F.expr(_dob_expr(SPARK)).alias("dob"), F.expr(_first_month_expr(SPARK)).alias("first_month")
+    )
 
 
 def fx_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,6 +286,141 @@ def duckdb_ctes() -> dict[str, str]:
     ep_sel = ", ".join(f"{e} AS {c}" for c, e in _episode_columns(d))
     return {
         "fx_base": f"SELECT {base_sel} FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
-        "fx_dob": f"SELECT ck, {_dob_expr(d)} AS dob FROM fx_base GROUP BY ck",
+        "fx_dob": f"SELECT ck, {_dob_expr(d)} AS dob, {_first_month_expr(d)} AS first_month FROM fx_base GROUP BY ck",
         "fx_episodes": f"SELECT {ep_sel} FROM fx_base JOIN fx_dob USING (ck)",
     }
+
+
+# ---------------------------------------------------------------------------
+# person-level and link views (one or two rows per customer)
+# ---------------------------------------------------------------------------
+# Each view is a UNION ALL of branches over ``fx_person`` (customer x dob,
+# plus the first episode month of customer c+1, who acts as the mother).
+
+
+def _person_views(d: Dialect) -> dict[str, list[tuple[str, list[tuple[str, str]]]]]:
+    c = "c_custkey"
+    pid = person_id(c)
+
+    def ymd_int(x: str) -> str:
+        return f"cast(year({x}) * 10000 + month({x}) * 100 + day({x}) as int)"
+
+    def births(extra_days: str, still: str) -> list[tuple[str, str]]:
+        return [
+            ("TOKEN_PERSON_ID", f"CASE WHEN {c} % 200 = 1 THEN NULL ELSE {pid} END"),
+            (
+                "DOREG",
+                f"CASE WHEN {c} % 23 = 0 THEN '' ELSE cast("
+                + d.add_days("dob", f"CASE WHEN {c} % 37 = 0 THEN -10 ELSE {c} % 40 END + {extra_days}")
+                + " as string) END",
+            ),
+            ("SEX_CHILD", f"CASE WHEN {c} % 2 = 0 THEN '1' ELSE '2' END"),
+            ("STILLBIRTH_IND", still),
+        ]
+
+    def death(extra_days: str) -> list[tuple[str, str]]:
+        x = d.add_days("dob", f"CASE WHEN {c} % 13 = 0 THEN -40 ELSE 30 + ({c} * 7) % 3000 END + {extra_days}")
+        return [
+            ("TOKEN_PERSON_ID", pid),
+            (
+                "REG_DATE_OF_DEATH",
+                f"CASE WHEN {c} % 11 = 0 THEN cast(year({x}) * 10000 as int) ELSE {ymd_int(x)} END",
+            ),
+        ]
+
+    def bridge(dfe: str, person: str) -> list[tuple[str, str]]:
+        return [("ECHILD_PUPIL_REF_MATCHING_ANONYMOUS", dfe), ("pseudo", person)]
+
+    def link(mother_offset: int) -> list[tuple[str, str]]:
+        fm = "m_first_month"
+        return [
+            ("tokenid", pid),
+            ("mtokenid", person_id(f"{c} + {mother_offset}")),
+            ("link", f"cast({c} % 3 + 1 as string)"),
+            ("matage_clean", f"CASE WHEN {c} % 19 = 0 THEN '' ELSE cast(15 + {c} % 30 as string) END"),
+            ("gestat_clean", f"cast(24 + {c} % 18 as string)"),
+            ("birweit_clean", f"cast(1000 + ({c} * 37) % 3500 as string)"),
+            ("sexbaby_clean", f"CASE WHEN {c} % 2 = 0 THEN '1' ELSE '2' END"),
+            ("delmeth_clean", f"cast({c} % 4 as string)"),
+            ("birstat_clean", f"cast({c} % 3 + 1 as string)"),
+            ("sibling_n", f"cast({c} % 3 as string)"),
+            ("imd04_decile_cat_clean", f"cast({c} % 10 + 1 as string)"),
+            (
+                "mdel_my",
+                f"CASE WHEN {c} % 2 = 0 THEN cast(year({fm}) as string) || '-' || cast(month({fm}) as string)"
+                f" ELSE cast(year({fm}) as string) || '-' || lpad(cast(month({fm}) as string), 2, '0') END",
+            ),
+        ]
+
+    dfe = f"'D' || lpad(cast({c} as string), 8, '0')"
+    notif_dob = f"CASE WHEN {c} % 12 = 0 THEN {d.add_months('dob', '1')} ELSE dob END"
+    return {
+        "fx_civil_births": [
+            (f"{c} % 3 <> 0", births("0", f"CASE WHEN {c} % 29 = 0 THEN '1' ELSE '0' END")),
+            (f"{c} % 3 <> 0 AND {c} % 50 = 0", births("5", f"CASE WHEN {c} % 100 = 0 THEN '1' ELSE '0' END")),
+        ],
+        "fx_civil_deaths": [
+            (f"{c} % 7 = 0", death("0")),
+            (f"{c} % 49 = 0", death("100")),
+        ],
+        "fx_birth_notifications": [
+            (
+                f"{c} % 4 = 0",
+                [
+                    ("TOKEN_PERSON_ID", pid),
+                    ("BABY_BIRTH_DATE", _mmyyyy(notif_dob)),
+                    ("BABY_ETHNICITY", _cycle(d, ["A", "B", "J", "M", "S", "Z"], 1, 0, c)),
+                    ("BABY_SEX", f"CASE WHEN {c} % 8 = 0 THEN '1' ELSE '2' END"),
+                    ("LIVE_STILL", _cycle(d, ["1", "1", "1", "2", "5", ""], 5, 1, c)),
+                    ("NUM_BIRTHS", _cycle(d, ["1", "1", "1", "2"], 3, 2, c)),
+                ],
+            )
+        ],
+        "fx_bridging": [
+            ("TRUE", bridge(f"CASE WHEN {c} % 91 = 0 THEN NULL ELSE {dfe} END", pid)),
+            (f"{c} % 20 = 0", bridge(f"'E' || lpad(cast({c} as string), 8, '0')", pid)),
+            (f"{c} % 33 = 0", bridge(f"CASE WHEN {c} % 91 = 0 THEN NULL ELSE {dfe} END", pid)),
+            (f"{c} % 77 = 0", bridge(dfe, person_id(f"{c} + 1"))),
+        ],
+        "fx_mb_links": [
+            (f"{c} % 3 <> 2 AND m_first_month IS NOT NULL", link(1)),
+            (f"{c} % 17 = 0 AND m_first_month IS NOT NULL", link(1)),
+        ],
+    }
+
+
+PERSON_VIEWS = list(_person_views(SPARK))
+
+
+def _fx_person(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cust = _read(spark, sf_dir, "customer").select("c_custkey")
+    dob = person_dob(spark, sf_dir)
+    mother = dob.select(F.col("ck").alias("mck"), F.col("first_month").alias("m_first_month"))
+    return (
+        cust.join(dob, cust.c_custkey == dob.ck)
+        .join(mother, F.col("mck") == F.col("c_custkey") + 1, "left")
+        .select("c_custkey", "dob", "first_month", "m_first_month")
+    )
+
+
+def person_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    base = _fx_person(spark, sf_dir)
+    parts = [base.filter(F.expr(where)).selectExpr(*[f"{e} AS {col}" for col, e in cols])
+             for where, cols in _person_views(SPARK)[name]]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def person_view_ctes() -> dict[str, str]:
+    out = {
+        "fx_person": "SELECT c_custkey, d.dob, d.first_month, m.first_month AS m_first_month FROM customer"
+        " JOIN fx_dob d ON d.ck = c_custkey LEFT JOIN fx_dob m ON m.ck = c_custkey + 1"
+    }
+    for name, branches in _person_views(DUCKDB).items():
+        out[name] = " UNION ALL ".join(
+            "SELECT " + ", ".join(f"{e} AS {col}" for col, e in cols) + f" FROM fx_person WHERE {where}"
+            for where, cols in branches
+        )
+    return out
