@@ -16,6 +16,11 @@ from .birth_details import birth_information, ethnicity_geo
 from .diagnoses import diagnoses_long
 from .mothers import mothers_delivery_episode
 from .registrations import birth_notifications, id_lookup, registrations_summary
+from . import cohort as CO
+from . import education as ED
+from ..operators import quality as Q
+from ..functions.values import suppress_small
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,6 +123,178 @@ def q_ethnicity_geo(spark: SparkSession, sf: str) -> DataFrame:
     return ethnicity_geo(_infants(spark, sf))
 
 
+# --------------------------------------------------------------------------- pupil side
+
+CENSUS_TABLES = {2002: "fx_census_02", 2006: "fx_census_06", 2011: "fx_census_11", 2013: "fx_census_13",
+                 2015: "fx_census_15"}
+ABSENCE_TABLES = {2006: "fx_absence_06", 2007: "fx_absence_07", 2013: "fx_absence_13"}
+
+
+def _census(spark: SparkSession, sf: str) -> DataFrame:
+    return ED.census_harmonised({y: FX.pupil_view(spark, sf, t) for y, t in CENSUS_TABLES.items()})
+
+
+def _absence(spark: SparkSession, sf: str) -> DataFrame:
+    collated = ED.absence_collated({y: FX.pupil_view(spark, sf, t) for y, t in ABSENCE_TABLES.items()})
+    return ED.absence_summary(collated)
+
+
+def q_census_harmonised(spark: SparkSession, sf: str) -> DataFrame:
+    return _census(spark, sf)
+
+
+def q_absence_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return _absence(spark, sf)
+
+
+def q_ks1_census_presence(spark: SparkSession, sf: str) -> DataFrame:
+    return ED.ks1_census_presence(_census(spark, sf))
+
+
+def _ks1(spark, sf):
+    return ED.ks1_best(FX.pupil_view(spark, sf, "fx_ks1"))
+
+
+def _ks2(spark, sf):
+    return ED.ks2_best(FX.pupil_view(spark, sf, "fx_ks2"))
+
+
+def _ks4(spark, sf):
+    return ED.ks4_best(FX.pupil_view(spark, sf, "fx_ks4_a"), FX.pupil_view(spark, sf, "fx_ks4_b"))
+
+
+def _ks5(spark, sf):
+    return ED.ks5_best(FX.pupil_view(spark, sf, "fx_ks5_a"), FX.pupil_view(spark, sf, "fx_ks5_b"))
+
+
+def q_ks1_best(spark: SparkSession, sf: str) -> DataFrame:
+    return _ks1(spark, sf)
+
+
+def q_ks2_best(spark: SparkSession, sf: str) -> DataFrame:
+    return _ks2(spark, sf)
+
+
+def q_ks4_best(spark: SparkSession, sf: str) -> DataFrame:
+    return _ks4(spark, sf)
+
+
+def q_ks5_best(spark: SparkSession, sf: str) -> DataFrame:
+    return _ks5(spark, sf)
+
+
+def _pupils(spark, sf):
+    return ED.cohort_pupils(_birth_cohort(spark, sf))
+
+
+def _education(spark, sf):
+    return ED.education_combined(
+        _pupils(spark, sf), ED.ks1_census_presence(_census(spark, sf)), _ks1(spark, sf), _ks2(spark, sf),
+        _ks4(spark, sf), _ks5(spark, sf),
+    )
+
+
+def q_education_combined(spark: SparkSession, sf: str) -> DataFrame:
+    return _education(spark, sf)
+
+
+def q_sen_best_record(spark: SparkSession, sf: str) -> DataFrame:
+    return ED.sen_best_record(_census(spark, sf))
+
+
+def _sen_long(spark, sf):
+    return ED.sen_absence_long(_pupils(spark, sf), ED.sen_best_record(_census(spark, sf)), _absence(spark, sf))
+
+
+def q_sen_absence_long(spark: SparkSession, sf: str) -> DataFrame:
+    return _sen_long(spark, sf)
+
+
+def q_sen_absence_wide(spark: SparkSession, sf: str) -> DataFrame:
+    return ED.sen_absence_wide(_sen_long(spark, sf))
+
+
+SENABS_FIELDS = [f"{v}_{ED.nominal_label(n)}" for n in ED.NOMINAL_YEARS for v in ED.SENABS_VARIABLES]
+
+
+def _cohort(spark: SparkSession, sf: str) -> DataFrame:
+    dx = diagnoses_long(FX.fx_episodes(spark, sf))
+    links = FX.person_view(spark, sf, "fx_mb_links")
+    assembled = CO.assemble(
+        _birth_cohort(spark, sf),
+        birth_information(_infants(spark, sf), links),
+        mothers_delivery_episode(links, FX.fx_episodes(spark, sf)),
+        ethnicity_geo(_infants(spark, sf)),
+        FD.first_cancer_slots(dx, C.cancer_codes(spark)),
+        FD.first_congenital(dx, C.congenital_codes(spark)),
+        ED.sen_absence_wide(_sen_long(spark, sf)),
+        _education(spark, sf),
+        SENABS_FIELDS,
+    )
+    return CO.with_eligibility(CO.derive(assembled))
+
+
+def q_cohort_assembled(spark: SparkSession, sf: str) -> DataFrame:
+    return _cohort(spark, sf)
+
+
+BAND_COLUMNS = [
+    "nhs_id", "min_dob", "school_start_year", "cancer_earliest_diagnosis_1", "cancer_earliest_diagnosis_1_age",
+    "cancer_earliest_diagnosis_1_age_cat", "cancer_earliest_diagnosis_1_school_year",
+    "cancer_earliest_diagnosis_1_school_year_cat", "death_date", "death_age", "death_age_cat",
+    "death_school_year", "death_school_year_cat",
+]
+
+
+def q_age_and_school_year_bands(spark: SparkSession, sf: str) -> DataFrame:
+    return _cohort(spark, sf).select(*BAND_COLUMNS)
+
+
+def q_eligibility_flag(spark: SparkSession, sf: str) -> DataFrame:
+    return _cohort(spark, sf).select("nhs_id", "mb_nhs_id_mother", "mi_resgor_england", "echoccs_cohort")
+
+
+def q_suppressed_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Eligible persons by first cancer group and age band at diagnosis, with
+    counts under 10 suppressed."""
+    counts = _cohort(spark, sf).filter(F.col("echoccs_cohort")).groupBy(
+        "cancer_group_1", "cancer_earliest_diagnosis_1_age_cat"
+    ).agg(F.count(F.lit(1)).alias("cnt"))
+    return counts.select("cancer_group_1", "cancer_earliest_diagnosis_1_age_cat",
+                         suppress_small("cnt").alias("cnt"))
+
+
+def q_export_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.profile(_cohort(spark, sf))
+
+
+def q_dq_duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Number of keys with more than one row, per dataset and key."""
+    checks = [
+        ("person_summary", _summary(spark, sf), ["token_person_id"]),
+        ("birth_notifications", FX.person_view(spark, sf, "fx_birth_notifications"), ["TOKEN_PERSON_ID"]),
+        ("birth_information", birth_information(_infants(spark, sf), FX.person_view(spark, sf, "fx_mb_links")),
+         ["token_person_id"]),
+        ("id_links", FX.person_view(spark, sf, "fx_bridging"), ["pseudo"]),
+        ("sen_absence", _sen_long(spark, sf), ["dfe_id", "senabs_academic_year_start"]),
+    ]
+    parts = [
+        Q.duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("duplicated_keys"))
+        .select(F.lit(name).alias("dataset"), "duplicated_keys")
+        for name, df, keys in checks
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_dataset_row_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Row count of every source view whose name matches a theme keyword."""
+    from ..sources.io import row_counts
+    return row_counts(FX.all_views(spark, sf), theme=r"census|absence|ks|civil|births|episodes")
+
+
 QUERIES: dict[str, Query] = {
     "diagnoses_long": q_diagnoses_long,
     "cancer_diagnoses": q_cancer_diagnoses,
@@ -135,4 +312,22 @@ QUERIES: dict[str, Query] = {
     "mothers_delivery_episode": q_mothers_delivery_episode,
     "birth_information": q_birth_information,
     "ethnicity_geo": q_ethnicity_geo,
+    "census_harmonised": q_census_harmonised,
+    "absence_summary": q_absence_summary,
+    "ks1_census_presence": q_ks1_census_presence,
+    "ks1_best": q_ks1_best,
+    "ks2_best": q_ks2_best,
+    "ks4_best": q_ks4_best,
+    "ks5_best": q_ks5_best,
+    "education_combined": q_education_combined,
+    "sen_best_record": q_sen_best_record,
+    "sen_absence_long": q_sen_absence_long,
+    "sen_absence_wide": q_sen_absence_wide,
+    "cohort_assembled": q_cohort_assembled,
+    "age_and_school_year_bands": q_age_and_school_year_bands,
+    "eligibility_flag": q_eligibility_flag,
+    "suppressed_counts": q_suppressed_counts,
+    "export_profile": q_export_profile,
+    "dq_duplicate_keys": q_dq_duplicate_keys,
+    "dataset_row_counts": q_dataset_row_counts,
 }

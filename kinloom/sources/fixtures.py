@@ -424,3 +424,236 @@ def person_view_ctes() -> dict[str, str]:
             for where, cols in branches
         )
     return out
+
+
+# ---------------------------------------------------------------------------
+# pupil-level views (one row per order: pupil = the customer's pupil id)
+# ---------------------------------------------------------------------------
+# fx_pupil: k (order key), c (customer), ssy (school start year from dob).
+# Each table spreads its rows over academic years around ssy with its own
+# multiplier, so a pupil has several rows per table and some same-year
+# duplicates.
+
+CENSUS_ERAS = {"fx_census_02": (2002, 2002, 2005), "fx_census_06": (2006, 2006, 2010),
+               "fx_census_11": (2011, 2011, 2012), "fx_census_13": (2013, 2013, 2014),
+               "fx_census_15": (2015, 2015, 2022)}
+# table year (names the source columns) and the academic years it holds
+ABSENCE_ERAS = {"fx_absence_06": (2006, 2005, 2005), "fx_absence_07": (2007, 2006, 2011),
+                "fx_absence_13": (2013, 2012, 2021)}
+
+
+def _acad(y: str) -> str:
+    return f"cast({y} as string) || '/' || cast({y} + 1 as string)"
+
+
+def _pupil_views(d: Dialect) -> dict[str, list[tuple[str, list[tuple[str, str]]]]]:
+    from .mappings import absence_mapping, census_mapping
+
+    dfe = "'D' || lpad(cast(c as string), 8, '0')"
+    views: dict[str, list[tuple[str, list[tuple[str, str]]]]] = {}
+
+    # census: year yc
+    yc = "(ssy - 3 + (k * 7 + 1) % 18)"
+    census_values = {
+        "dfe_id": dfe,
+        "census_record_status": _cycle(d, ["1", "2", "3", None], 3, 1, "k"),
+        "census_academic_year": _acad(yc),
+        "census_gender": "CASE WHEN c % 2 = 0 THEN 'M' ELSE 'F' END",
+        "census_ethnic_group": _cycle(d, ["WBRI", "ASIA", "BLAC", "MIXD", None], 5, 2, "k"),
+        "census_ethnic_group_minor": _cycle(d, ["WIRI", "AIND", None], 7, 1, "k"),
+        "census_ethnicity_source": _cycle(d, ["P", "C", "S", None], 11, 3, "k"),
+        "census_FSM_eligible": "CASE WHEN k % 7 = 0 THEN NULL ELSE cast(k % 2 as int) END",
+        "census_first_language": _cycle(d, ["ENG", "OTH", "ENB", None], 13, 1, "k"),
+        "census_enrol_status": _cycle(d, ["C", "M", "S", "F", "O", "G", "X", None], 5, 2, "k"),
+        "census_part_time": "cast((k * 3) % 2 as int)",
+        "census_NC_year_actual": f"CASE WHEN k % 9 = 0 THEN NULL ELSE cast({yc} - ssy as string) END",
+        "census_SEN_status": _cycle(d, ["N", "N", "N", "A", "P", "Q", "S", "K", "E", "Z", None], 17, 3, "k"),
+        "census_SEN_primary_type": _cycle(d, ["ASD", "SLCN", "MLD", None], 19, 1, "k"),
+        "census_SEN_secondary_type": _cycle(d, ["SEMH", "VI", None], 23, 2, "k"),
+        "census_special_provision_indicator": "CASE WHEN k % 5 = 0 THEN NULL ELSE cast(k % 3 as int) END",
+        "census_imd_overall_rank": "cast((c * 13) % 32000 as int)",
+        "census_imd_income_rank": "cast((c * 17) % 32000 as int)",
+        "census_imd_idaci_rank": "cast((c * 19) % 32000 as int)",
+        "census_msoa01": "'M01' || lpad(cast(c % 97 as string), 3, '0')",
+        "census_msoa11": "'M11' || lpad(cast(c % 89 as string), 3, '0')",
+    }
+    for name, (table_year, lo, hi) in CENSUS_ERAS.items():
+        cols = []
+        for target, source in census_mapping(table_year).items():
+            if source is None or target == "census_imd_epoch":
+                continue
+            cols.append((source, census_values[target]))
+        views[name] = [(f"{yc} BETWEEN {lo} AND {hi}", cols)]
+
+    # absence: year ya
+    ya = "(ssy - 3 + (k * 5 + 3) % 18)"
+
+    def count(mult: int, mod: int, null_mod: int) -> str:
+        return f"CASE WHEN (k + {mult}) % {null_mod} = 0 THEN NULL ELSE cast((k * {mult}) % {mod} as int) END"
+
+    absence_values = {
+        "abs_academic_year": _acad(ya),
+        "dfe_id": dfe,
+        "abs_enrol_status": _cycle(d, ["C", "M", "S", None], 3, 1, "k"),
+    }
+    for i, term in enumerate(["autumn", "spring", "summer", "summer6th", "annual"]):
+        absence_values[f"abs_{term}_possible"] = count(7 + i, 160, 23)
+        absence_values[f"abs_{term}_absent_total"] = count(11 + i, 30, 19)
+        absence_values[f"abs_{term}_absent_illness"] = count(13 + i, 12, 17)
+        absence_values[f"abs_{term}_absent_medical"] = count(17 + i, 6, 13)
+    for name, (table_year, lo, hi) in ABSENCE_ERAS.items():
+        cols = [(source, absence_values[target]) for target, source in absence_mapping(table_year).items()
+                if source is not None]
+        views[name] = [(f"{ya} BETWEEN {lo} AND {hi}", cols)]
+
+    # key stages: year = ssy + offset - 2 + spread; a duplicate record on k % 10 = 0
+    def ks_common(p: str, y: str) -> list[tuple[str, str]]:
+        return [
+            (f"{p}_PupilMatchingRefAnonymous", dfe),
+            (f"{p}_ACADYR", _acad(y)),
+            (f"{p}_NFTYPE", _cycle(d, ["20", "21", "52", None], 3, 1, "k")),
+            (f"{p}_GENDER", "CASE WHEN c % 2 = 0 THEN 'M' ELSE 'F' END"),
+            (f"{p}_YEAROFBIRTH", "cast(year(dob) as string)"),
+            (f"{p}_MONTHOFBIRTH", "cast(month(dob) as string)"),
+        ]
+
+    def school(p: str, lower: str) -> list[tuple[str, str]]:
+        return [(f"{lower}_laestab_anon", "'S' || cast(k % 500 as string)"),
+                (f"{p}_ToE_CODE", _cycle(d, ["CY", "AC", "FD", None], 5, 2, "k"))]
+
+    def y_of(offset: int, mult: int, dup: bool) -> str:
+        return f"(ssy + {offset} - 2 + (k * {mult} + {1 if dup else 0}) % 5)"
+
+    ks1_grades = ["D", "W", "1", "2", "2C", "2B", "2A", "3", "4", "4+", "U", None]
+    ks2_grades = ["B", "N", "T", "2", "3", "4", "5", "6", "U", None]
+
+    def ks1(dup: bool) -> list[tuple[str, str]]:
+        y = y_of(2, 3, dup)
+        s = 1 if dup else 0
+        return ks_common("KS1", y) + school("KS1", "ks1") + [
+            ("KS1_TRIALFLAG", "CASE WHEN k % 4 = 0 THEN '1' ELSE '0' END"),
+            ("KS1_READING", _cycle(d, ks1_grades, 5, 1 + s, "k")),
+            ("KS1_READ_OUTCOME", _cycle(d, ["EXS", "WTS", "GDS", None], 3, s, "k")),
+            ("KS1_WRITING", _cycle(d, ks1_grades, 7, 2 + s, "k")),
+            ("KS1_WRIT_OUTCOME", _cycle(d, ["EXS", "WTS", None], 5, s, "k")),
+            ("KS1_MATHS", _cycle(d, ks1_grades, 11, 3 + s, "k")),
+            ("KS1_MATH_OUTCOME", _cycle(d, ["EXS", "GDS", None], 7, s, "k")),
+        ]
+
+    def ks2(dup: bool) -> list[tuple[str, str]]:
+        y = y_of(6, 7, dup)
+        s = 1 if dup else 0
+        return ks_common("KS2", y) + school("KS2", "ks2") + [
+            ("KS2_NATRES", _cycle(d, ["1", "1", "0", None], 3, s, "k")),
+            ("KS2_READMRK", _cycle(d, ["12", "25", "33", "x", None], 5, s, "k")),
+            ("KS2_READLEV", _cycle(d, ks2_grades, 7, 1 + s, "k")),
+            ("KS2_READOUTCOME", _cycle(d, ["EXS", "HNM", None], 3, s, "k")),
+            ("KS2_READHIGH", f"CASE WHEN (k + {s}) % 6 = 0 THEN NULL ELSE cast((k + {s}) % 2 as int) END"),
+            ("KS2_READEXP", f"CASE WHEN (k + {s}) % 5 = 0 THEN NULL ELSE cast((k * 3 + {s}) % 2 as int) END"),
+            ("KS2_MATTOTMRK", _cycle(d, ["40", "61", "77", None], 11, s, "k")),
+            ("KS2_MATMRK", _cycle(d, ["18", "30", "x", None], 13, s, "k")),
+            ("KS2_MATLEV", _cycle(d, ks2_grades, 17, 2 + s, "k")),
+            ("KS2_MATOUTCOME", _cycle(d, ["EXS", "AS", None], 5, s, "k")),
+            ("KS2_MATHIGH", f"CASE WHEN (k + {s}) % 7 = 0 THEN NULL ELSE cast((k * 5 + {s}) % 2 as int) END"),
+            ("KS2_MATEXP", f"CASE WHEN (k + {s}) % 4 = 0 THEN NULL ELSE cast((k * 7 + {s}) % 2 as int) END"),
+        ]
+
+    def ks4_common(dup: bool) -> list[tuple[str, str]]:
+        return ks_common("KS4", y_of(11, 11, dup)) + school("KS4", "ks4") + [
+            ("KS4_NATRES", _cycle(d, ["1", "1", "0", None], 5, 1 if dup else 0, "k"))]
+
+    def n_or_null(expr: str, null_mod: int, s: int) -> str:
+        return f"CASE WHEN (k + {s}) % {null_mod} = 0 THEN NULL ELSE {expr} END"
+
+    def ks4a(dup: bool) -> list[tuple[str, str]]:
+        s = 1 if dup else 0
+        return ks4_common(dup) + [
+            ("KS4_LEVEL2_EM", n_or_null(f"cast((k + {s}) % 2 as int)", 3, s)),
+            ("KS4_LEVEL2_EM_PTQ", n_or_null(f"cast((k * 3 + {s}) % 2 as int)", 4, s)),
+            ("KS4_APENG", _cycle(d, ["A", "B", "C", "D", None], 3, s, "k")),
+            ("KS4_APENG_PTQ", _cycle(d, ["A*", "B", "C", None, None], 5, s, "k")),
+            ("KS4_HPGENG", n_or_null(f"cast(16 + (k + {s}) % 40 as double)", 6, s)),
+            ("KS4_HPGENG_PTQ", n_or_null(f"cast(28 + (k + {s}) % 30 as double)", 2, s)),
+            ("KS4_HGMATH", _cycle(d, ["A", "B", "C", "E", None], 7, s, "k")),
+            ("KS4_HGMATH_PTQ", _cycle(d, ["B", "C", None, None], 3, s, "k")),
+            ("KS4_HPGMATH", n_or_null(f"cast(10 + (k * 3 + {s}) % 48 as double)", 5, s)),
+            ("KS4_HPGMATH_PTQ", n_or_null(f"cast(20 + (k * 3 + {s}) % 40 as double)", 3, s)),
+            ("KS4_PTSCNEWE", n_or_null(f"cast(100 + (k * 7 + {s}) % 400 as double)", 7, s)),
+            ("KS4_PTSCNEWE_PTQ", n_or_null(f"cast(150 + (k * 7 + {s}) % 300 as double)", 2, s)),
+        ]
+
+    def ks4b(dup: bool) -> list[tuple[str, str]]:
+        s = 1 if dup else 0
+        return ks4_common(dup) + [
+            ("KS4_LEVEL2_EM_PTQ_EE", n_or_null(f"cast((k + {s}) % 2 as int)", 3, s)),
+            ("KS4_LEVEL2_EM_94", n_or_null(f"cast((k * 5 + {s}) % 2 as int)", 4, s)),
+            ("KS4_APENG_PTQ_EE", _cycle(d, ["9", "7", "5", None, None], 3, s, "k")),
+            ("KS4_APENG_91", _cycle(d, ["8", "6", "4", None], 5, s, "k")),
+            ("KS4_HPGENG_PTQ_EE", n_or_null(f"cast(1 + (k + {s}) % 9 as double)", 6, s)),
+            ("KS4_HGMATH_PTQ_EE", _cycle(d, ["9", "5", None, None], 7, s, "k")),
+            ("KS4_HGMATH_91", _cycle(d, ["7", "4", "1", None], 3, s, "k")),
+            ("KS4_HPGMATH_PTQ_EE", n_or_null(f"cast(1 + (k * 3 + {s}) % 9 as double)", 5, s)),
+            ("KS4_PTSCNEWE_PTQ_EE", n_or_null(f"cast(200 + (k * 7 + {s}) % 300 as double)", 4, s)),
+            ("KS4_ATT8", n_or_null(f"cast(10 + (k * 11 + {s}) % 80 as double)", 6, s)),
+        ]
+
+    def ks5(dup: bool, with_school: bool) -> list[tuple[str, str]]:
+        s = 1 if dup else 0
+        grades = ["*", "A", "B", "C", "D", "E", "U", None, None]
+        cols = ks_common("KS5", y_of(13, 13, dup)) + [
+            ("KS5_TOTPTSE_ALEV", n_or_null(f"cast(100 + (k * 7 + {s}) % 300 as double)", 6, s)),
+            ("KS5_GAS_MATH", _cycle(d, grades, 5, 1 + s, "k")),
+            ("KS5_GA_MATH", _cycle(d, grades, 7, 2 + s, "k")),
+        ]
+        return cols + (school("KS5", "ks5") if with_school else [])
+
+    def both(make, year_expr_of, where):
+        return [(where(year_expr_of(False)), make(False)),
+                (f"k % 10 = 0 AND " + where(year_expr_of(True)), make(True))]
+
+    views["fx_ks1"] = both(ks1, lambda dup: y_of(2, 3, dup), lambda y: f"{y} <= 2022")
+    views["fx_ks2"] = both(ks2, lambda dup: y_of(6, 7, dup), lambda y: f"{y} <= 2022")
+    views["fx_ks4_a"] = both(ks4a, lambda dup: y_of(11, 11, dup), lambda y: f"{y} <= 2014")
+    views["fx_ks4_b"] = both(ks4b, lambda dup: y_of(11, 11, dup), lambda y: f"{y} BETWEEN 2015 AND 2021")
+    views["fx_ks5_a"] = both(lambda dup: ks5(dup, True), lambda dup: y_of(13, 13, dup), lambda y: f"{y} <= 2021")
+    views["fx_ks5_b"] = both(lambda dup: ks5(dup, False), lambda dup: y_of(13, 13, dup), lambda y: f"{y} = 2022")
+    return views
+
+
+def _fx_pupil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    od = _read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"))
+    dob = person_dob(spark, sf_dir).select(F.col("ck").alias("c"), "dob")
+    ssy = F.year("dob") + F.when(F.month("dob") < 9, 4).otherwise(5)
+    return od.join(dob, "c").select("k", "c", "dob", ssy.alias("ssy"))
+
+
+def pupil_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    base = _fx_pupil(spark, sf_dir)
+    parts = [base.filter(F.expr(where)).selectExpr(*[f"{e} AS {col}" for col, e in cols])
+             for where, cols in _pupil_views(SPARK)[name]]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def pupil_view_ctes() -> dict[str, str]:
+    out = {
+        "fx_pupil": "SELECT o_orderkey AS k, o_custkey AS c, d.dob,"
+        " CAST(year(d.dob) + CASE WHEN month(d.dob) < 9 THEN 4 ELSE 5 END AS INTEGER) AS ssy"
+        " FROM orders JOIN fx_dob d ON d.ck = o_custkey"
+    }
+    for name, branches in _pupil_views(DUCKDB).items():
+        out[name] = " UNION ALL ".join(
+            "SELECT " + ", ".join(f"{e} AS {col}" for col, e in cols) + f" FROM fx_pupil WHERE {where}"
+            for where, cols in branches
+        )
+    return out
+
+
+def all_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Every fixture view by name (lazy DataFrames)."""
+    views = {"fx_episodes": fx_episodes(spark, sf_dir)}
+    views.update({n: person_view(spark, sf_dir, n) for n in PERSON_VIEWS})
+    views.update({n: pupil_view(spark, sf_dir, n) for n in _pupil_views(SPARK)})
+    return views
