@@ -34,10 +34,11 @@ def pivot_slots(
     """Long -> wide with explicit slot values (fixed schema, no extra job).
 
     ``values`` maps output stem -> source column; each (slot, stem) cell takes
-    the single value of that slot.  Missing cells are NULL.  Output column
+    the value of that slot (``max`` keeps it deterministic should a cell ever
+    hold more than one row).  Missing cells are NULL.  Output column
     names come from ``name(stem, slot)``.
     """
-    aggs = [F.first(F.col(src), ignorenulls=True).alias(stem) for stem, src in values.items()]
+    aggs = [F.max(F.col(src)).alias(stem) for stem, src in values.items()]
     wide = df.groupBy(*keys).pivot(slot_col, list(slots)).agg(*aggs)
     renames = {}
     for s in slots:

@@ -340,9 +340,8 @@ def sen_best_record(census: DataFrame) -> DataFrame:
          F.col("_enrol").asc_nulls_last(),
          *_tie_break(["census_NC_year_actual", "census_SEN_primary_type", "census_SEN_secondary_type"])],
     )
-    b, p = best.alias("b"), spi.alias("p")
-    return b.join(p, [F.col(f"b.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys]).select(
-        F.col("b.dfe_id"), F.col("b.academic_year_start"),
+    return best.join(spi, keys, "left").select(
+        "dfe_id", "academic_year_start",
         F.col("census_NC_year_actual").alias("sen_NC_year_actual"),
         F.col("census_SEN_status").alias("sen_status"),
         F.col("census_SEN_primary_type").alias("sen_primary_type"),

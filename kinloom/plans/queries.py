@@ -265,7 +265,8 @@ def q_suppressed_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_export_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return Q.profile(_cohort(spark, sf))
+    df = _cohort(spark, sf)
+    return Q.profile(df.select(*sorted(df.columns)))
 
 
 def q_dq_duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
