@@ -28,18 +28,21 @@ def code_join(
 ) -> DataFrame:
     """Inner join on ``df.code3 = list.3char OR df.code4 = list.4char``.
 
-    A disjunctive join condition would plan as a nested loop; it is split into
-    two equi-joins against the (tiny, fixed-size, broadcast) code list and
-    unioned.  Each code-list row carries exactly one of the two codes, so a
-    record matches at most one row per branch and the union adds no
-    duplicates beyond those of the original OR join.
+    A disjunctive condition would plan as a nested-loop join.  Instead every
+    record carries its two candidate keys ('3:<code3>', '4:<code4>') through a
+    ``explode`` and meets the code list, keyed the same way, in one broadcast
+    equi-join: one pass over the records, and a record matching several
+    code-list rows yields one row per match, exactly like the OR join.  Each
+    code-list row must set exactly one of the two codes; the list is tiny and
+    fixed, so broadcasting it is bounded whatever the data volume.
     """
     extra = [c for c in codes.columns if c not in (list3_col, list4_col)]
-    by3 = F.broadcast(codes.filter(F.col(list3_col).isNotNull()).select(F.col(list3_col).alias("_k"), *extra))
-    by4 = F.broadcast(codes.filter(F.col(list4_col).isNotNull()).select(F.col(list4_col).alias("_k"), *extra))
-    m3 = df.join(by3, df[code3_col] == by3["_k"]).drop("_k")
-    m4 = df.join(by4, df[code4_col] == by4["_k"]).drop("_k")
-    return m3.unionByName(m4)
+    key = F.when(F.col(list3_col).isNotNull(), F.concat(F.lit("3:"), F.col(list3_col))).otherwise(
+        F.concat(F.lit("4:"), F.col(list4_col))
+    )
+    keyed = codes.select(key.alias("_code_key"), *extra)
+    cand = F.array(F.concat(F.lit("3:"), F.col(code3_col)), F.concat(F.lit("4:"), F.col(code4_col)))
+    return df.withColumn("_code_key", F.explode(cand)).join(F.broadcast(keyed), "_code_key").drop("_code_key")
 
 
 def left_lookup(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str) -> DataFrame:

@@ -11,7 +11,7 @@ DIAG_FIELDS = [f"diag_{k:02d}" for k in range(1, 21)] + ["cause"]
 EPISODE_ID_FIELDS = ["token_person_id", "epikey", "admidate", "epistart", "epiend", "disdate", "epiorder", "startage"]
 
 
-def diagnoses_long(episodes: DataFrame) -> DataFrame:
+def diagnoses_long(episodes: DataFrame, positions: list[int] | None = None) -> DataFrame:
     """Completed episodes x 21 diagnosis positions with a non-empty code.
 
     One ``Expand`` over a single scan replaces a union of one query per
@@ -19,13 +19,20 @@ def diagnoses_long(episodes: DataFrame) -> DataFrame:
     Output: id fields, ``reporting_year_start``, ``diagnostic_position``
     (1..20 = diag_01..diag_20, 21 = cause), ``diagnosis`` (first 4
     characters), ``diagnosis_3char``.
+
+    ``positions`` restricts the output to those positions; only their columns
+    are unpivoted (a position filter cannot be pushed below the unpivot, so
+    it is applied by construction).
     """
+    fields = DIAG_FIELDS if positions is None else [DIAG_FIELDS[p - 1] for p in positions]
     completed = episodes.filter(F.col("epistat") == "3").select(
-        *EPISODE_ID_FIELDS, "reporting_year_start", *DIAG_FIELDS
+        *EPISODE_ID_FIELDS, "reporting_year_start", *fields
     )
     long = unpivot_positions(
-        completed, [*EPISODE_ID_FIELDS, "reporting_year_start"], DIAG_FIELDS, "diagnostic_position", "_code"
+        completed, [*EPISODE_ID_FIELDS, "reporting_year_start"], fields, "_pos", "_code"
     )
+    ordinal = F.array(*[F.lit(DIAG_FIELDS.index(f) + 1) for f in fields])
+    long = long.withColumn("diagnostic_position", F.element_at(ordinal, F.col("_pos")))
     return long.filter(F.col("_code").isNotNull() & (F.col("_code") != "")).select(
         *EPISODE_ID_FIELDS,
         "reporting_year_start",

@@ -1,241 +1,146 @@
 """Query catalogue: one callable ``(spark, sf_dir) -> DataFrame`` per shipped
-operator, each running its stage over the fixture views derived from the
-driver tables at ``sf_dir``."""
+operator.
+
+All queries share one stage graph (``cohort_stages``) over the fixture views
+derived from the driver tables at ``sf_dir``.  Single-stage queries evaluate it
+lazily (one optimised plan); the assembly queries, which combine a dozen
+stages, run it as a pipeline that writes each stage once under the shared
+checkpoint folder, as a production run would.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import codes as C
+from ..functions.values import suppress_small
+from ..operators import quality as Q
 from ..sources import fixtures as FX
+from ..sources.io import row_counts
 from . import birth_cohort as BC
+from . import cohort as CO
+from . import education as ED
 from . import first_diagnosis as FD
 from .birth_details import birth_information, ethnicity_geo
 from .diagnoses import diagnoses_long
 from .mothers import mothers_delivery_episode
+from .pipeline import Pipeline, Stage, run_folder
 from .registrations import birth_notifications, id_lookup, registrations_summary
-from . import cohort as CO
-from . import education as ED
-from ..operators import quality as Q
-from ..functions.values import suppress_small
-from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-
-def q_diagnoses_long(spark: SparkSession, sf: str) -> DataFrame:
-    return diagnoses_long(FX.fx_episodes(spark, sf))
-
-
-def q_cancer_diagnoses(spark: SparkSession, sf: str) -> DataFrame:
-    return FD.cancer_diagnoses(diagnoses_long(FX.fx_episodes(spark, sf)), C.cancer_codes(spark))
-
-
-def q_first_cancer_slots(spark: SparkSession, sf: str) -> DataFrame:
-    return FD.first_cancer_slots(diagnoses_long(FX.fx_episodes(spark, sf)), C.cancer_codes(spark))
-
-
-def q_congenital_diagnoses(spark: SparkSession, sf: str) -> DataFrame:
-    return FD.congenital_diagnoses(diagnoses_long(FX.fx_episodes(spark, sf)), C.congenital_codes(spark))
-
-
-def q_first_congenital(spark: SparkSession, sf: str) -> DataFrame:
-    return FD.first_congenital(diagnoses_long(FX.fx_episodes(spark, sf)), C.congenital_codes(spark))
-
-
-def q_dq_missing_all_dates(spark: SparkSession, sf: str) -> DataFrame:
-    dx = diagnoses_long(FX.fx_episodes(spark, sf))
-    return FD.missing_all_dates(dx, C.cancer_codes(spark), C.congenital_codes(spark))
-
-
-def _infants(spark: SparkSession, sf: str) -> DataFrame:
-    return BC.infant_records(FX.fx_episodes(spark, sf))
-
-
-def _flagged(spark: SparkSession, sf: str) -> DataFrame:
-    return BC.birth_record_flags(BC.clean_infant_records(_infants(spark, sf)))
-
-
-def _registrations(spark: SparkSession, sf: str) -> DataFrame:
-    return registrations_summary(
-        FX.person_view(spark, sf, "fx_civil_births"), FX.person_view(spark, sf, "fx_civil_deaths")
-    )
-
-
-def q_registrations_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return _registrations(spark, sf)
-
-
-def q_id_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    return id_lookup(FX.person_view(spark, sf, "fx_bridging"))
-
-
-def q_infant_records(spark: SparkSession, sf: str) -> DataFrame:
-    return _infants(spark, sf)
+CENSUS_TABLES = {2002: "fx_census_02", 2006: "fx_census_06", 2011: "fx_census_11", 2013: "fx_census_13",
+                 2015: "fx_census_15"}
+ABSENCE_TABLES = {2006: "fx_absence_06", 2007: "fx_absence_07", 2013: "fx_absence_13"}
+SENABS_FIELDS = [f"{v}_{ED.nominal_label(n)}" for n in ED.NOMINAL_YEARS for v in ED.SENABS_VARIABLES]
 
 
-def q_birth_record_flags(spark: SparkSession, sf: str) -> DataFrame:
-    return _flagged(spark, sf).select(
+def cohort_stages(spark: SparkSession, sf: str) -> dict[str, Stage]:
+    """The cohort build as named stages (inputs first)."""
+    person = lambda n: Stage(lambda: FX.person_view(spark, sf, n), (), write=False)
+    pupil = lambda n: Stage(lambda: FX.pupil_view(spark, sf, n), (), write=False)
+    s: dict[str, Stage] = {
+        # extracts
+        "episodes": Stage(lambda: FX.fx_episodes(spark, sf), ()),
+        "births": person("fx_civil_births"),
+        "deaths": person("fx_civil_deaths"),
+        "notifications_raw": person("fx_birth_notifications"),
+        "bridging": person("fx_bridging"),
+        "links": person("fx_mb_links"),
+        # hospital side
+        "diagnoses": Stage(diagnoses_long, ("episodes",)),
+        "infants": Stage(BC.infant_records, ("episodes",)),
+        "flagged": Stage(lambda i: BC.birth_record_flags(BC.clean_infant_records(i)), ("infants",), write=False),
+        "anchored": Stage(BC.timeline_anchor, ("flagged",), write=False),
+        "summary": Stage(BC.person_summary, ("anchored",), write=False),
+        "registrations": Stage(registrations_summary, ("births", "deaths"), write=False),
+        "ids": Stage(id_lookup, ("bridging",), write=False),
+        "notifications": Stage(birth_notifications, ("notifications_raw",), write=False),
+        "birth_cohort": Stage(BC.birth_cohort, ("summary", "registrations", "notifications", "ids")),
+        # primary position only: unpivot just that column instead of filtering 21
+        "primary_diagnoses": Stage(lambda e: diagnoses_long(e, positions=[1]), ("episodes",), write=False),
+        "cancer": Stage(lambda d: FD.first_cancer_slots(d, C.cancer_codes(spark)), ("primary_diagnoses",)),
+        "congenital": Stage(lambda d: FD.first_congenital(d, C.congenital_codes(spark)), ("diagnoses",)),
+        "mothers": Stage(mothers_delivery_episode, ("links", "episodes")),
+        "birth_info": Stage(birth_information, ("infants", "links")),
+        "eth_geo": Stage(ethnicity_geo, ("infants",)),
+        # pupil side
+        "census": Stage(lambda: ED.census_harmonised(
+            {y: FX.pupil_view(spark, sf, t) for y, t in CENSUS_TABLES.items()}), ()),
+        "absence": Stage(lambda: ED.absence_summary(ED.absence_collated(
+            {y: FX.pupil_view(spark, sf, t) for y, t in ABSENCE_TABLES.items()})), ()),
+        "ks1_raw": pupil("fx_ks1"),
+        "ks2_raw": pupil("fx_ks2"),
+        "ks4_a": pupil("fx_ks4_a"),
+        "ks4_b": pupil("fx_ks4_b"),
+        "ks5_a": pupil("fx_ks5_a"),
+        "ks5_b": pupil("fx_ks5_b"),
+        "ks1_census": Stage(ED.ks1_census_presence, ("census",)),
+        "ks1": Stage(ED.ks1_best, ("ks1_raw",)),
+        "ks2": Stage(ED.ks2_best, ("ks2_raw",)),
+        "ks4": Stage(ED.ks4_best, ("ks4_a", "ks4_b")),
+        "ks5": Stage(ED.ks5_best, ("ks5_a", "ks5_b")),
+        "pupils": Stage(ED.cohort_pupils, ("birth_cohort",), write=False),
+        "education": Stage(ED.education_combined, ("pupils", "ks1_census", "ks1", "ks2", "ks4", "ks5")),
+        "sen": Stage(ED.sen_best_record, ("census",)),
+        "sen_long": Stage(ED.sen_absence_long, ("pupils", "sen", "absence")),
+        "sen_wide": Stage(ED.sen_absence_wide, ("sen_long",)),
+        "cohort": Stage(
+            lambda *dfs: CO.with_eligibility(CO.derive(CO.assemble(*dfs, SENABS_FIELDS))),
+            ("birth_cohort", "birth_info", "mothers", "eth_geo", "cancer", "congenital", "sen_wide", "education"),
+        ),
+    }
+    return s
+
+
+def lazy(spark: SparkSession, sf: str) -> Pipeline:
+    return Pipeline(spark, cohort_stages(spark, sf))
+
+
+def staged(spark: SparkSession, sf: str) -> Pipeline:
+    return Pipeline(spark, cohort_stages(spark, sf), workdir=run_folder(spark))
+
+
+def _stage(name: str, materialise: bool = False, post: Callable[[DataFrame], DataFrame] | None = None) -> Query:
+    def q(spark: SparkSession, sf: str) -> DataFrame:
+        p = staged(spark, sf) if materialise else lazy(spark, sf)
+        df = p.get(name)
+        return post(df) if post else df
+
+    q.__name__ = f"q_{name}"
+    return q
+
+
+# --------------------------------------------------------------------------- query-specific projections
+
+
+def _flags(df: DataFrame) -> DataFrame:
+    return df.select(
         "token_person_id", "epikey", "resgor_england", "episode_min_date", "birth_record", "termination_record",
         "stillbirth_record", "singleton_diag_birth_record", "multiple_birth_record",
     )
 
 
-def q_timeline_anchor(spark: SparkSession, sf: str) -> DataFrame:
-    return BC.timeline_anchor(_flagged(spark, sf)).select(
+def _timeline(df: DataFrame) -> DataFrame:
+    return df.select(
         "token_person_id", "epikey", "record_order", "days_since_min_recorded_date", "months_after_dob",
         "min_recorded_date", "any_missing_episode_min_date",
     )
 
 
-def _summary(spark: SparkSession, sf: str) -> DataFrame:
-    return BC.person_summary(BC.timeline_anchor(_flagged(spark, sf)))
-
-
-def q_person_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return _summary(spark, sf)
-
-
-def _birth_cohort(spark: SparkSession, sf: str) -> DataFrame:
-    return BC.birth_cohort(
-        _summary(spark, sf),
-        _registrations(spark, sf),
-        birth_notifications(FX.person_view(spark, sf, "fx_birth_notifications")),
-        id_lookup(FX.person_view(spark, sf, "fx_bridging")),
-    )
-
-
-def q_birth_cohort(spark: SparkSession, sf: str) -> DataFrame:
-    return _birth_cohort(spark, sf)
-
-
-def q_mothers_delivery_episode(spark: SparkSession, sf: str) -> DataFrame:
-    return mothers_delivery_episode(FX.person_view(spark, sf, "fx_mb_links"), FX.fx_episodes(spark, sf))
-
-
-def q_birth_information(spark: SparkSession, sf: str) -> DataFrame:
-    return birth_information(_infants(spark, sf), FX.person_view(spark, sf, "fx_mb_links"))
-
-
-def q_ethnicity_geo(spark: SparkSession, sf: str) -> DataFrame:
-    return ethnicity_geo(_infants(spark, sf))
-
-
-# --------------------------------------------------------------------------- pupil side
-
-CENSUS_TABLES = {2002: "fx_census_02", 2006: "fx_census_06", 2011: "fx_census_11", 2013: "fx_census_13",
-                 2015: "fx_census_15"}
-ABSENCE_TABLES = {2006: "fx_absence_06", 2007: "fx_absence_07", 2013: "fx_absence_13"}
-
-
-def _census(spark: SparkSession, sf: str) -> DataFrame:
-    return ED.census_harmonised({y: FX.pupil_view(spark, sf, t) for y, t in CENSUS_TABLES.items()})
-
-
-def _absence(spark: SparkSession, sf: str) -> DataFrame:
-    collated = ED.absence_collated({y: FX.pupil_view(spark, sf, t) for y, t in ABSENCE_TABLES.items()})
-    return ED.absence_summary(collated)
-
-
-def q_census_harmonised(spark: SparkSession, sf: str) -> DataFrame:
-    return _census(spark, sf)
-
-
-def q_absence_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return _absence(spark, sf)
-
-
-def q_ks1_census_presence(spark: SparkSession, sf: str) -> DataFrame:
-    return ED.ks1_census_presence(_census(spark, sf))
-
-
-def _ks1(spark, sf):
-    return ED.ks1_best(FX.pupil_view(spark, sf, "fx_ks1"))
-
-
-def _ks2(spark, sf):
-    return ED.ks2_best(FX.pupil_view(spark, sf, "fx_ks2"))
-
-
-def _ks4(spark, sf):
-    return ED.ks4_best(FX.pupil_view(spark, sf, "fx_ks4_a"), FX.pupil_view(spark, sf, "fx_ks4_b"))
-
-
-def _ks5(spark, sf):
-    return ED.ks5_best(FX.pupil_view(spark, sf, "fx_ks5_a"), FX.pupil_view(spark, sf, "fx_ks5_b"))
-
-
-def q_ks1_best(spark: SparkSession, sf: str) -> DataFrame:
-    return _ks1(spark, sf)
-
-
-def q_ks2_best(spark: SparkSession, sf: str) -> DataFrame:
-    return _ks2(spark, sf)
-
-
-def q_ks4_best(spark: SparkSession, sf: str) -> DataFrame:
-    return _ks4(spark, sf)
-
-
-def q_ks5_best(spark: SparkSession, sf: str) -> DataFrame:
-    return _ks5(spark, sf)
-
-
-def _pupils(spark, sf):
-    return ED.cohort_pupils(_birth_cohort(spark, sf))
-
-
-def _education(spark, sf):
-    return ED.education_combined(
-        _pupils(spark, sf), ED.ks1_census_presence(_census(spark, sf)), _ks1(spark, sf), _ks2(spark, sf),
-        _ks4(spark, sf), _ks5(spark, sf),
-    )
-
-
-def q_education_combined(spark: SparkSession, sf: str) -> DataFrame:
-    return _education(spark, sf)
-
-
-def q_sen_best_record(spark: SparkSession, sf: str) -> DataFrame:
-    return ED.sen_best_record(_census(spark, sf))
-
-
-def _sen_long(spark, sf):
-    return ED.sen_absence_long(_pupils(spark, sf), ED.sen_best_record(_census(spark, sf)), _absence(spark, sf))
-
-
-def q_sen_absence_long(spark: SparkSession, sf: str) -> DataFrame:
-    return _sen_long(spark, sf)
-
-
-def q_sen_absence_wide(spark: SparkSession, sf: str) -> DataFrame:
-    return ED.sen_absence_wide(_sen_long(spark, sf))
-
-
-SENABS_FIELDS = [f"{v}_{ED.nominal_label(n)}" for n in ED.NOMINAL_YEARS for v in ED.SENABS_VARIABLES]
+def q_cancer_diagnoses(spark: SparkSession, sf: str) -> DataFrame:
+    return FD.cancer_diagnoses(lazy(spark, sf).get("primary_diagnoses"), C.cancer_codes(spark))
 
 
-def _cohort(spark: SparkSession, sf: str) -> DataFrame:
-    dx = diagnoses_long(FX.fx_episodes(spark, sf))
-    links = FX.person_view(spark, sf, "fx_mb_links")
-    assembled = CO.assemble(
-        _birth_cohort(spark, sf),
-        birth_information(_infants(spark, sf), links),
-        mothers_delivery_episode(links, FX.fx_episodes(spark, sf)),
-        ethnicity_geo(_infants(spark, sf)),
-        FD.first_cancer_slots(dx, C.cancer_codes(spark)),
-        FD.first_congenital(dx, C.congenital_codes(spark)),
-        ED.sen_absence_wide(_sen_long(spark, sf)),
-        _education(spark, sf),
-        SENABS_FIELDS,
-    )
-    return CO.with_eligibility(CO.derive(assembled))
+def q_congenital_diagnoses(spark: SparkSession, sf: str) -> DataFrame:
+    return FD.congenital_diagnoses(lazy(spark, sf).get("diagnoses"), C.congenital_codes(spark))
 
 
-def q_cohort_assembled(spark: SparkSession, sf: str) -> DataFrame:
-    return _cohort(spark, sf)
+def q_dq_missing_all_dates(spark: SparkSession, sf: str) -> DataFrame:
+    return FD.missing_all_dates(lazy(spark, sf).get("diagnoses"), C.cancer_codes(spark), C.congenital_codes(spark))
 
 
 BAND_COLUMNS = [
@@ -246,38 +151,28 @@ BAND_COLUMNS = [
 ]
 
 
-def q_age_and_school_year_bands(spark: SparkSession, sf: str) -> DataFrame:
-    return _cohort(spark, sf).select(*BAND_COLUMNS)
-
-
-def q_eligibility_flag(spark: SparkSession, sf: str) -> DataFrame:
-    return _cohort(spark, sf).select("nhs_id", "mb_nhs_id_mother", "mi_resgor_england", "echoccs_cohort")
-
-
-def q_suppressed_counts(spark: SparkSession, sf: str) -> DataFrame:
+def _suppressed(cohort: DataFrame) -> DataFrame:
     """Eligible persons by first cancer group and age band at diagnosis, with
     counts under 10 suppressed."""
-    counts = _cohort(spark, sf).filter(F.col("echoccs_cohort")).groupBy(
+    counts = cohort.filter(F.col("echoccs_cohort")).groupBy(
         "cancer_group_1", "cancer_earliest_diagnosis_1_age_cat"
     ).agg(F.count(F.lit(1)).alias("cnt"))
-    return counts.select("cancer_group_1", "cancer_earliest_diagnosis_1_age_cat",
-                         suppress_small("cnt").alias("cnt"))
+    return counts.select("cancer_group_1", "cancer_earliest_diagnosis_1_age_cat", suppress_small("cnt").alias("cnt"))
 
 
-def q_export_profile(spark: SparkSession, sf: str) -> DataFrame:
-    df = _cohort(spark, sf)
-    return Q.profile(df.select(*sorted(df.columns)))
+def _profile(cohort: DataFrame) -> DataFrame:
+    return Q.profile(cohort.select(*sorted(cohort.columns)))
 
 
 def q_dq_duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Number of keys with more than one row, per dataset and key."""
+    p = staged(spark, sf)
     checks = [
-        ("person_summary", _summary(spark, sf), ["token_person_id"]),
-        ("birth_notifications", FX.person_view(spark, sf, "fx_birth_notifications"), ["TOKEN_PERSON_ID"]),
-        ("birth_information", birth_information(_infants(spark, sf), FX.person_view(spark, sf, "fx_mb_links")),
-         ["token_person_id"]),
-        ("id_links", FX.person_view(spark, sf, "fx_bridging"), ["pseudo"]),
-        ("sen_absence", _sen_long(spark, sf), ["dfe_id", "senabs_academic_year_start"]),
+        ("person_summary", p.get("summary"), ["token_person_id"]),
+        ("birth_notifications", p.get("notifications_raw"), ["TOKEN_PERSON_ID"]),
+        ("birth_information", p.get("birth_info"), ["token_person_id"]),
+        ("id_links", p.get("bridging"), ["pseudo"]),
+        ("sen_absence", p.get("sen_long"), ["dfe_id", "senabs_academic_year_start"]),
     ]
     parts = [
         Q.duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("duplicated_keys"))
@@ -285,50 +180,55 @@ def q_dq_duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
         for name, df, keys in checks
     ]
     out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    for part in parts[1:]:
+        out = out.unionByName(part)
     return out
 
 
 def q_dataset_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Row count of every source view whose name matches a theme keyword."""
-    from ..sources.io import row_counts
     return row_counts(FX.all_views(spark, sf), theme=r"census|absence|ks|civil|births|episodes")
 
 
 QUERIES: dict[str, Query] = {
-    "diagnoses_long": q_diagnoses_long,
+    # hospital episodes -> diagnoses -> first diagnoses
+    "diagnoses_long": _stage("diagnoses"),
     "cancer_diagnoses": q_cancer_diagnoses,
-    "first_cancer_slots": q_first_cancer_slots,
+    "first_cancer_slots": _stage("cancer"),
     "congenital_diagnoses": q_congenital_diagnoses,
-    "first_congenital": q_first_congenital,
+    "first_congenital": _stage("congenital"),
     "dq_missing_all_dates": q_dq_missing_all_dates,
-    "registrations_summary": q_registrations_summary,
-    "id_lookup": q_id_lookup,
-    "infant_records": q_infant_records,
-    "birth_record_flags": q_birth_record_flags,
-    "timeline_anchor": q_timeline_anchor,
-    "person_summary": q_person_summary,
-    "birth_cohort": q_birth_cohort,
-    "mothers_delivery_episode": q_mothers_delivery_episode,
-    "birth_information": q_birth_information,
-    "ethnicity_geo": q_ethnicity_geo,
-    "census_harmonised": q_census_harmonised,
-    "absence_summary": q_absence_summary,
-    "ks1_census_presence": q_ks1_census_presence,
-    "ks1_best": q_ks1_best,
-    "ks2_best": q_ks2_best,
-    "ks4_best": q_ks4_best,
-    "ks5_best": q_ks5_best,
-    "education_combined": q_education_combined,
-    "sen_best_record": q_sen_best_record,
-    "sen_absence_long": q_sen_absence_long,
-    "sen_absence_wide": q_sen_absence_wide,
-    "cohort_assembled": q_cohort_assembled,
-    "age_and_school_year_bands": q_age_and_school_year_bands,
-    "eligibility_flag": q_eligibility_flag,
-    "suppressed_counts": q_suppressed_counts,
-    "export_profile": q_export_profile,
+    # persons
+    "registrations_summary": _stage("registrations"),
+    "id_lookup": _stage("ids"),
+    "infant_records": _stage("infants"),
+    "birth_record_flags": _stage("flagged", post=_flags),
+    "timeline_anchor": _stage("anchored", post=_timeline),
+    "person_summary": _stage("summary"),
+    "birth_cohort": _stage("birth_cohort"),
+    "mothers_delivery_episode": _stage("mothers"),
+    "birth_information": _stage("birth_info"),
+    "ethnicity_geo": _stage("eth_geo"),
+    # pupils
+    "census_harmonised": _stage("census"),
+    "absence_summary": _stage("absence"),
+    "ks1_census_presence": _stage("ks1_census"),
+    "ks1_best": _stage("ks1"),
+    "ks2_best": _stage("ks2"),
+    "ks4_best": _stage("ks4"),
+    "ks5_best": _stage("ks5"),
+    "education_combined": _stage("education", materialise=True),
+    "sen_best_record": _stage("sen"),
+    "sen_absence_long": _stage("sen_long", materialise=True),
+    "sen_absence_wide": _stage("sen_wide", materialise=True),
+    # assembly and outputs
+    "cohort_assembled": _stage("cohort", materialise=True),
+    "age_and_school_year_bands": _stage("cohort", materialise=True, post=lambda d: d.select(*BAND_COLUMNS)),
+    "eligibility_flag": _stage(
+        "cohort", materialise=True,
+        post=lambda d: d.select("nhs_id", "mb_nhs_id_mother", "mi_resgor_england", "echoccs_cohort")),
+    "suppressed_counts": _stage("cohort", materialise=True, post=_suppressed),
+    "export_profile": _stage("cohort", materialise=True, post=_profile),
     "dq_duplicate_keys": q_dq_duplicate_keys,
     "dataset_row_counts": q_dataset_row_counts,
 }

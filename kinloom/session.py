@@ -19,6 +19,10 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # HotSpot does not JIT-compile methods above 8000 bytecodes; a whole-stage
+    # codegen method larger than that runs interpreted and is slower than the
+    # non-fused operators, so fall back for such (wide) stages only.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

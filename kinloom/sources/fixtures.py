@@ -144,8 +144,10 @@ def _episode_columns(d: Dialect) -> list[tuple[str, str]]:
         )
 
     def diag(k: int) -> str:
-        code = _code(d, f"(s + {17 * k}) % 64")
-        return f"CASE WHEN s % 13 = 0 AND {code} <> '' THEN {code} || '1' ELSE {code} END"
+        # pool entries from 32 on are '' (no code); coded values get a fifth
+        # character on s % 13 = 0
+        idx = f"((s + {17 * k}) % 64)"
+        return f"{_code(d, idx)} || CASE WHEN s % 13 = 0 AND {idx} < 32 THEN '1' ELSE '' END"
 
     rg = "((ck + CASE WHEN s % 10 = 0 THEN 5 ELSE 0 END) % 13) + 1"
     cols = [
