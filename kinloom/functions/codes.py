@@ -140,6 +140,11 @@ def congenital_code_rows() -> list[tuple[str | None, str | None, str]]:
     return out
 
 
+def stems(rows) -> set[str]:
+    """3-character stems of a code list's rows (for early filtering)."""
+    return {(c3 or c4)[:3] for c3, c4, _ in rows}
+
+
 def code_list_df(spark: SparkSession, rows, group_col: str) -> DataFrame:
     return spark.createDataFrame(rows, _CODE_SCHEMA).withColumnRenamed("group", group_col)
 

@@ -25,6 +25,7 @@ def code_join(
     code4_col: str = "diagnosis",
     list3_col: str = "diagnosis_3char",
     list4_col: str = "diagnosis_4char",
+    stems: set[str] | None = None,
 ) -> DataFrame:
     """Inner join on ``df.code3 = list.3char OR df.code4 = list.4char``.
 
@@ -35,8 +36,16 @@ def code_join(
     code-list rows yields one row per match, exactly like the OR join.  Each
     code-list row must set exactly one of the two codes; the list is tiny and
     fixed, so broadcasting it is bounded whatever the data volume.
+
+    ``stems`` (the 3-character stems of all list codes, when ``code3`` is the
+    first three characters of ``code4``) enables an early filter.
     """
     extra = [c for c in codes.columns if c not in (list3_col, list4_col)]
+    if stems is not None:
+        # a match on either code implies the record's 3-character stem is one
+        # of the list's stems: drop everything else before the row-doubling
+        # explode (a hashed IN filter, evaluated in the scan stage)
+        df = df.filter(F.col(code3_col).isin(*sorted(stems)))
     key = F.when(F.col(list3_col).isNotNull(), F.concat(F.lit("3:"), F.col(list3_col))).otherwise(
         F.concat(F.lit("4:"), F.col(list4_col))
     )

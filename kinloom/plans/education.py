@@ -338,7 +338,8 @@ def sen_best_record(census: DataFrame) -> DataFrame:
         d, keys,
         [F.col("_sen").desc_nulls_last(), F.col("census_record_status").asc_nulls_first(),
          F.col("_enrol").asc_nulls_last(),
-         *_tie_break(["census_NC_year_actual", "census_SEN_primary_type", "census_SEN_secondary_type"])],
+         *_tie_break(["census_SEN_status", "census_NC_year_actual", "census_SEN_primary_type",
+                      "census_SEN_secondary_type"])],
     )
     return best.join(spi, keys, "left").select(
         "dfe_id", "academic_year_start",

@@ -36,7 +36,7 @@ def _missing_guard(dx: DataFrame, on_missing: str) -> DataFrame:
 def cancer_diagnoses(diagnoses: DataFrame, codes: DataFrame) -> DataFrame:
     """Primary-position diagnoses in the cancer code list, with parsed dates."""
     primary = diagnoses.filter(F.col("diagnostic_position") == 1)
-    joined = code_join(primary, codes)
+    joined = code_join(primary, codes, stems=C.stems(C.cancer_code_rows()))
     return _with_dates(
         joined.select("cancer_group", "token_person_id", "reporting_year_start", "epikey", "diagnostic_position",
                       *DATE_FIELDS)
@@ -83,7 +83,7 @@ def first_cancer_slots(diagnoses: DataFrame, codes: DataFrame, on_missing: str =
 
 def congenital_diagnoses(diagnoses: DataFrame, codes: DataFrame) -> DataFrame:
     """Diagnoses at any position in the congenital inclusion list, with dates."""
-    joined = code_join(diagnoses, codes)
+    joined = code_join(diagnoses, codes, stems=C.stems(C.congenital_code_rows()))
     return _with_dates(joined.select("token_person_id", "ca_group", *DATE_FIELDS)).select(
         "token_person_id", "ca_group", "min_date"
     )

@@ -53,7 +53,8 @@ def cohort_stages(spark: SparkSession, sf: str) -> dict[str, Stage]:
         # hospital side
         "diagnoses": Stage(diagnoses_long, ("episodes",)),
         "infants": Stage(BC.infant_records, ("episodes",)),
-        "flagged": Stage(lambda i: BC.birth_record_flags(BC.clean_infant_records(i)), ("infants",), write=False),
+        # written: the per-person aggregates read it twice (aggregate + join back)
+        "flagged": Stage(lambda i: BC.birth_record_flags(BC.clean_infant_records(i)), ("infants",)),
         "anchored": Stage(BC.timeline_anchor, ("flagged",), write=False),
         "summary": Stage(BC.person_summary, ("anchored",), write=False),
         "registrations": Stage(registrations_summary, ("births", "deaths"), write=False),
