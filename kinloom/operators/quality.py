@@ -27,9 +27,15 @@ def count_where(df: DataFrame, cond) -> DataFrame:
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """Export sidecar: one row per column, observation count on the first row only."""
-    spark = df.sparkSession
-    names = spark.createDataFrame([(i + 1, c) for i, c in enumerate(df.columns)], "col_position int, col_names string")
-    # the single count row is attached to position 1 by an equi-join
-    n = df.agg(F.count(F.lit(1)).alias("observations")).withColumn("col_position", F.lit(1))
-    return names.join(n, "col_position", "left").select("col_position", "col_names", "observations")
+    """Export sidecar: one row per column, observation count on the first row only.
+
+    The count is one aggregate row; the column names (schema metadata) are
+    attached by exploding a literal array on that row, so no join is needed.
+    """
+    names = F.array(*[F.struct(F.lit(i + 1).alias("p"), F.lit(c).alias("n")) for i, c in enumerate(df.columns)])
+    one = df.agg(F.count(F.lit(1)).alias("_n")).select(F.inline(names), "_n")
+    return one.select(
+        F.col("p").alias("col_position"),
+        F.col("n").alias("col_names"),
+        F.when(F.col("p") == 1, F.col("_n")).alias("observations"),
+    )

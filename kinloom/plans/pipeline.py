@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
+from ..sources.io import write_partitioned
 
 
 @dataclass
@@ -28,6 +29,7 @@ class Stage:
     fn: Callable[..., DataFrame]
     deps: tuple[str, ...]
     write: bool = True
+    partition_by: str | None = None  # hive-partition the written output
 
 
 @dataclass
@@ -52,7 +54,10 @@ class Pipeline:
             path = f"{self.workdir.rstrip('/')}/{name}"
             if not (self.resume and self._exists(path)):
                 df = stage.fn(*[self.get(d) for d in stage.deps])
-                df.write.mode("overwrite").parquet(path)
+                if stage.partition_by:
+                    write_partitioned(df, path, stage.partition_by)
+                else:
+                    df.write.mode("overwrite").parquet(path)
             out = self.spark.read.parquet(path)
         else:
             out = stage.fn(*[self.get(d) for d in stage.deps])

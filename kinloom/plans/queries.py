@@ -51,7 +51,7 @@ def cohort_stages(spark: SparkSession, sf: str) -> dict[str, Stage]:
         "bridging": person("fx_bridging"),
         "links": person("fx_mb_links"),
         # hospital side
-        "diagnoses": Stage(diagnoses_long, ("episodes",)),
+        "diagnoses": Stage(diagnoses_long, ("episodes",), partition_by="reporting_year_start"),
         "infants": Stage(BC.infant_records, ("episodes",)),
         # written: the per-person aggregates read it twice (aggregate + join back)
         "flagged": Stage(lambda i: BC.birth_record_flags(BC.clean_infant_records(i)), ("infants",)),

@@ -101,10 +101,16 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: str | Sequence[str], mode: str = "overwrite") -> str:
-    """Hive-partitioned Parquet.  Rows are first clustered on the partition
-    columns so each task writes few files per partition value."""
+    """Hive-partitioned Parquet.
+
+    A ``rebalance`` hint clusters rows on the partition columns so each task
+    writes few files per value, while AQE splits a partition value that is
+    too large for one task (one reporting year can hold a large share of all
+    rows) and coalesces small ones.  A plain ``repartition(col)`` would send a
+    whole year to a single task.
+    """
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    df.repartition(*cols).write.mode(mode).partitionBy(*cols).parquet(path)
+    df.hint("rebalance", *cols).write.mode(mode).partitionBy(*cols).parquet(path)
     return path
 
 
