@@ -72,3 +72,32 @@ def asof_latest(
     j = left.join(right, list(on)).filter(F.col(right_time) <= left_bound)
     order = [F.col(right_time).desc_nulls_last(), *_order(tie_break)]
     return keep_first(j, list(on), order)
+
+
+def rank_skew_safe(df: DataFrame, keys: Sequence[str], order: Sequence[OrderKey], rank_col: str,
+                   num_partitions: int | None = None) -> DataFrame:
+    """``row_number()`` per ``keys`` in ``order`` without putting a whole group
+    in one task.
+
+    A plain window sends every row of a group to one task, so a group holding
+    a large share of the data is sorted by a single executor.  Here rows are
+    range-partitioned on (keys, order): a hot group is cut into consecutive
+    slices by its own order keys.  Each row gets its number within its slice
+    (a bounded group), plus the number of rows of the same group in earlier
+    slices, taken from a small (group, slice) count table.  ``order`` must be
+    a total order (end it with a unique column) for the rank to be unique.
+    The sliced rows are checkpointed (eager job), which also cuts the lineage.
+    """
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sort = [*[F.col(k).asc_nulls_last() for k in keys], *_order(order)]
+    # slice boundaries come from sampling; checkpoint (to the shared checkpoint
+    # folder) so the count branch and the row branch see the same slices
+    x = df.repartitionByRange(n, *sort).withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True)
+    local = F.row_number().over(Window.partitionBy("_slice", *keys).orderBy(*_order(order)))
+    x = x.withColumn("_local", local)
+    counts = x.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(*keys, "_slice", F.coalesce(before, F.lit(0)).alias("_offset"))
+    cond = [x[k].eqNullSafe(offsets[k]) for k in keys] + [x["_slice"] == offsets["_slice"]]
+    j = x.join(offsets, cond).select(x["*"], offsets["_offset"])
+    return j.withColumn(rank_col, (F.col("_offset") + F.col("_local")).cast("int")).drop("_slice", "_local", "_offset")

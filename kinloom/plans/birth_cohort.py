@@ -11,7 +11,7 @@ from ..functions import codes as C
 from ..functions.dates import DATE_SENTINELS, DOB_SENTINELS, clean_date, days_between, months_diff, parse_mmyyyy
 from ..functions.values import any_of, clean_int, flag, nullif_empty
 from ..operators.link import semi_reduce
-from ..operators.select import first_value_by, rank_within
+from ..operators.select import first_value_by, rank_skew_safe
 
 DATE_FIELDS = ["admidate", "epistart", "epiend", "disdate"]
 DIAG_FIELDS = [f"diag_{k:02d}" for k in range(1, 21)]
@@ -126,26 +126,30 @@ def birth_record_flags(clean: DataFrame) -> DataFrame:
 TIMELINE_ORDER = ["episode_min_date", "epistart", "epiorder", "epikey"]
 
 
-def timeline_anchor(flagged: DataFrame) -> DataFrame:
+def timeline_anchor(flagged: DataFrame, with_record_order: bool = True) -> DataFrame:
     """Per episode: ``record_order`` on the person timeline, days since the
     person's first record, months after DOB (calendar-month boundaries), the
     person's first date and whether any of their episodes lacks all dates.
 
     The per-person aggregates are computed with a partial-aggregating
-    ``groupBy`` and joined back (AQE splits a hot person on the join);
-    ``record_order`` is a full ranking and uses a window.
+    ``groupBy`` and joined back (AQE splits a hot person on the join).
+    ``record_order`` is a full ranking of each person's episodes; it uses the
+    skew-safe ranking (a very large person is ranked in slices), and is
+    skipped when the caller does not need it.
     """
     grp = flagged.groupBy("token_person_id").agg(
         F.min("episode_min_date").alias("min_recorded_date"),
         F.max(flag(F.col("episode_min_date").isNull())).alias("any_missing_episode_min_date"),
     )
-    return flagged.join(grp, "token_person_id").withColumns(
+    out = flagged.join(grp, "token_person_id").withColumns(
         {
-            "record_order": rank_within(["token_person_id"], TIMELINE_ORDER),
             "days_since_min_recorded_date": days_between("min_recorded_date", "episode_min_date"),
             "months_after_dob": months_diff("mydob", "episode_min_date"),
         }
     )
+    if with_record_order:
+        out = rank_skew_safe(out, ["token_person_id"], TIMELINE_ORDER, "record_order")
+    return out
 
 
 def _timeline_key() -> list[Column]:

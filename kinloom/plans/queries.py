@@ -55,7 +55,8 @@ def cohort_stages(spark: SparkSession, sf: str) -> dict[str, Stage]:
         "infants": Stage(BC.infant_records, ("episodes",)),
         # written: the per-person aggregates read it twice (aggregate + join back)
         "flagged": Stage(lambda i: BC.birth_record_flags(BC.clean_infant_records(i)), ("infants",)),
-        "anchored": Stage(BC.timeline_anchor, ("flagged",), write=False),
+        "anchored": Stage(lambda f: BC.timeline_anchor(f, with_record_order=False), ("flagged",), write=False),
+        "timeline": Stage(BC.timeline_anchor, ("flagged",), write=False),
         "summary": Stage(BC.person_summary, ("anchored",), write=False),
         "registrations": Stage(registrations_summary, ("births", "deaths"), write=False),
         "ids": Stage(id_lookup, ("bridging",), write=False),
@@ -204,7 +205,7 @@ QUERIES: dict[str, Query] = {
     "id_lookup": _stage("ids"),
     "infant_records": _stage("infants"),
     "birth_record_flags": _stage("flagged", post=_flags),
-    "timeline_anchor": _stage("anchored", post=_timeline),
+    "timeline_anchor": _stage("timeline", post=_timeline),
     "person_summary": _stage("summary"),
     "birth_cohort": _stage("birth_cohort"),
     "mothers_delivery_episode": _stage("mothers"),

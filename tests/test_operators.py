@@ -91,3 +91,17 @@ def test_code_lists():
     assert "Q18" not in cong and "Q180" not in cong and cong["Q183"] == "other"  # expanded, child excluded
     assert cong["Q250"] == "ga_mte_37wks_only" and cong["Q850"] == "neurofibromatosis"
     assert cong["Q90"] == "down_syndrome" and cong["D215"] == "other"
+
+
+def test_rank_skew_safe_matches_row_number_on_hot_group(spark):
+    from kinloom.operators.select import rank_skew_safe, rank_within
+
+    rows = [("hot", i % 37, f"e{i:04d}") for i in range(600)] + [("cold", i, f"c{i}") for i in range(5)]
+    df = spark.createDataFrame(rows, "k string, o int, id string")
+    got = rank_skew_safe(df, ["k"], ["o", "id"], "r", num_partitions=6)
+    want = df.withColumn("r", rank_within(["k"], ["o", "id"]))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    # the hot group really is spread over several slices
+    slices = df.repartitionByRange(6, "k", "o", "id").groupBy().agg(
+        F.countDistinct(F.spark_partition_id()).alias("n")).first().n
+    assert slices > 1
