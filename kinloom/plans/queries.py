@@ -20,82 +20,18 @@ from ..functions.values import suppress_small
 from ..operators import quality as Q
 from ..sources import fixtures as FX
 from ..sources.io import row_counts
-from . import birth_cohort as BC
-from . import cohort as CO
-from . import education as ED
 from . import first_diagnosis as FD
-from .birth_details import birth_information, ethnicity_geo
-from .diagnoses import diagnoses_long
-from .mothers import mothers_delivery_episode
+from . import cohort_pipeline as CP
 from .pipeline import Pipeline, Stage, run_folder
-from .registrations import birth_notifications, id_lookup, registrations_summary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-CENSUS_TABLES = {2002: "fx_census_02", 2006: "fx_census_06", 2011: "fx_census_11", 2013: "fx_census_13",
-                 2015: "fx_census_15"}
-ABSENCE_TABLES = {2006: "fx_absence_06", 2007: "fx_absence_07", 2013: "fx_absence_13"}
-SENABS_FIELDS = [f"{v}_{ED.nominal_label(n)}" for n in ED.NOMINAL_YEARS for v in ED.SENABS_VARIABLES]
+SENABS_FIELDS = CP.SENABS_FIELDS
 
 
 def cohort_stages(spark: SparkSession, sf: str) -> dict[str, Stage]:
-    """The cohort build as named stages (inputs first)."""
-    person = lambda n: Stage(lambda: FX.person_view(spark, sf, n), (), write=False)
-    pupil = lambda n: Stage(lambda: FX.pupil_view(spark, sf, n), (), write=False)
-    s: dict[str, Stage] = {
-        # extracts
-        "episodes": Stage(lambda: FX.fx_episodes(spark, sf), ()),
-        "births": person("fx_civil_births"),
-        "deaths": person("fx_civil_deaths"),
-        "notifications_raw": person("fx_birth_notifications"),
-        "bridging": person("fx_bridging"),
-        "links": person("fx_mb_links"),
-        # hospital side
-        "diagnoses": Stage(diagnoses_long, ("episodes",), partition_by="reporting_year_start"),
-        "infants": Stage(BC.infant_records, ("episodes",)),
-        # written: the per-person aggregates read it twice (aggregate + join back)
-        "flagged": Stage(lambda i: BC.birth_record_flags(BC.clean_infant_records(i)), ("infants",)),
-        "anchored": Stage(lambda f: BC.timeline_anchor(f, with_record_order=False), ("flagged",), write=False),
-        "timeline": Stage(BC.timeline_anchor, ("flagged",), write=False),
-        "summary": Stage(BC.person_summary, ("anchored",), write=False),
-        "registrations": Stage(registrations_summary, ("births", "deaths"), write=False),
-        "ids": Stage(id_lookup, ("bridging",), write=False),
-        "notifications": Stage(birth_notifications, ("notifications_raw",), write=False),
-        "birth_cohort": Stage(BC.birth_cohort, ("summary", "registrations", "notifications", "ids")),
-        # primary position only: unpivot just that column instead of filtering 21
-        "primary_diagnoses": Stage(lambda e: diagnoses_long(e, positions=[1]), ("episodes",), write=False),
-        "cancer": Stage(lambda d: FD.first_cancer_slots(d, C.cancer_codes(spark)), ("primary_diagnoses",)),
-        "congenital": Stage(lambda d: FD.first_congenital(d, C.congenital_codes(spark)), ("diagnoses",)),
-        "mothers": Stage(mothers_delivery_episode, ("links", "episodes")),
-        "birth_info": Stage(birth_information, ("infants", "links")),
-        "eth_geo": Stage(ethnicity_geo, ("infants",)),
-        # pupil side
-        "census": Stage(lambda: ED.census_harmonised(
-            {y: FX.pupil_view(spark, sf, t) for y, t in CENSUS_TABLES.items()}), ()),
-        "absence": Stage(lambda: ED.absence_summary(ED.absence_collated(
-            {y: FX.pupil_view(spark, sf, t) for y, t in ABSENCE_TABLES.items()})), ()),
-        "ks1_raw": pupil("fx_ks1"),
-        "ks2_raw": pupil("fx_ks2"),
-        "ks4_a": pupil("fx_ks4_a"),
-        "ks4_b": pupil("fx_ks4_b"),
-        "ks5_a": pupil("fx_ks5_a"),
-        "ks5_b": pupil("fx_ks5_b"),
-        "ks1_census": Stage(ED.ks1_census_presence, ("census",)),
-        "ks1": Stage(ED.ks1_best, ("ks1_raw",)),
-        "ks2": Stage(ED.ks2_best, ("ks2_raw",)),
-        "ks4": Stage(ED.ks4_best, ("ks4_a", "ks4_b")),
-        "ks5": Stage(ED.ks5_best, ("ks5_a", "ks5_b")),
-        "pupils": Stage(ED.cohort_pupils, ("birth_cohort",), write=False),
-        "education": Stage(ED.education_combined, ("pupils", "ks1_census", "ks1", "ks2", "ks4", "ks5")),
-        "sen": Stage(ED.sen_best_record, ("census",)),
-        "sen_long": Stage(ED.sen_absence_long, ("pupils", "sen", "absence")),
-        "sen_wide": Stage(ED.sen_absence_wide, ("sen_long",)),
-        "cohort": Stage(
-            lambda *dfs: CO.with_eligibility(CO.derive(CO.assemble(*dfs, SENABS_FIELDS))),
-            ("birth_cohort", "birth_info", "mothers", "eth_geo", "cancer", "congenital", "sen_wide", "education"),
-        ),
-    }
-    return s
+    """The cohort stage graph over the fixture sources at ``sf``."""
+    return CP.cohort_stages(spark, FX.fixture_sources(spark, sf))
 
 
 def lazy(spark: SparkSession, sf: str) -> Pipeline:

@@ -659,3 +659,31 @@ def all_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     views.update({n: person_view(spark, sf_dir, n) for n in PERSON_VIEWS})
     views.update({n: pupil_view(spark, sf_dir, n) for n in _pupil_views(SPARK)})
     return views
+
+
+def fixture_sources(spark: SparkSession, sf_dir: str):
+    """The fixture views as pipeline ``Sources`` (loaders, evaluated lazily)."""
+    from ..plans.cohort_pipeline import Sources
+
+    census = {2002: "fx_census_02", 2006: "fx_census_06", 2011: "fx_census_11", 2013: "fx_census_13",
+              2015: "fx_census_15"}
+    absence = {2006: "fx_absence_06", 2007: "fx_absence_07", 2013: "fx_absence_13"}
+
+    def pv(n):
+        return lambda: person_view(spark, sf_dir, n)
+
+    def uv(n):
+        return lambda: pupil_view(spark, sf_dir, n)
+
+    return Sources(
+        episodes=lambda: fx_episodes(spark, sf_dir),
+        civil_births=pv("fx_civil_births"),
+        civil_deaths=pv("fx_civil_deaths"),
+        birth_notifications=pv("fx_birth_notifications"),
+        bridging=pv("fx_bridging"),
+        mother_baby_links=pv("fx_mb_links"),
+        census={y: uv(t) for y, t in census.items()},
+        absence={y: uv(t) for y, t in absence.items()},
+        ks1=uv("fx_ks1"), ks2=uv("fx_ks2"), ks4_a=uv("fx_ks4_a"), ks4_b=uv("fx_ks4_b"),
+        ks5_a=uv("fx_ks5_a"), ks5_b=uv("fx_ks5_b"),
+    )
