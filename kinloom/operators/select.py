@@ -88,6 +88,9 @@ def rank_skew_safe(df: DataFrame, keys: Sequence[str], order: Sequence[OrderKey]
     a total order (end it with a unique column) for the rank to be unique.
     The sliced rows are checkpointed (eager job), which also cuts the lineage.
     """
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sort = [*[F.col(k).asc_nulls_last() for k in keys], *_order(order)]
     # slice boundaries come from sampling; checkpoint (to the shared checkpoint
