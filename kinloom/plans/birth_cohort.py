@@ -122,6 +122,13 @@ def birth_record_flags(clean: DataFrame) -> DataFrame:
     )
 
 
+# columns the timeline and person summary read from the flagged records
+SUMMARY_INPUT_COLUMNS = [
+    "token_person_id", "epikey", "reporting_year_start", "episode_min_date", "epistart", "epiend", "epiorder",
+    "mydob", "startage", "endage", "sex", "sexbaby", "activage", "admiage", "resgor_england", "birth_record",
+    "termination_record", "stillbirth_record", "singleton_diag_birth_record", "multiple_birth_record",
+]
+
 # person timeline order: earliest episode first, missing dates last, unique by epikey
 TIMELINE_ORDER = ["episode_min_date", "epistart", "epiorder", "epikey"]
 

@@ -52,8 +52,9 @@ class Sources:
 
 
 def cohort_stages(spark: SparkSession, src: Sources) -> dict[str, Stage]:
-    """Named stages in dependency order; ``write=False`` stages are cheap
-    projections that are recomputed instead of stored."""
+    """Named stages in dependency order.  Stages read by several later stages
+    (or large) are written; ``write=False`` stages are cheap or read once and
+    are planned into their consumer instead of being stored."""
 
     def raw(loader: Loader) -> Stage:
         return Stage(loader, (), write=False)
@@ -72,7 +73,9 @@ def cohort_stages(spark: SparkSession, src: Sources) -> dict[str, Stage]:
         "primary_diagnoses": Stage(lambda e: diagnoses_long(e, positions=[1]), ("episodes",), write=False),
         "infants": Stage(BC.infant_records, ("episodes",)),
         # written: the per-person aggregates read it twice (aggregate + join back)
-        "flagged": Stage(lambda i: BC.birth_record_flags(BC.clean_infant_records(i)), ("infants",)),
+        "flagged": Stage(
+            lambda i: BC.birth_record_flags(BC.clean_infant_records(i)).select(*BC.SUMMARY_INPUT_COLUMNS),
+            ("infants",)),
         "anchored": Stage(lambda f: BC.timeline_anchor(f, with_record_order=False), ("flagged",), write=False),
         "timeline": Stage(BC.timeline_anchor, ("flagged",), write=False),
         "summary": Stage(BC.person_summary, ("anchored",), write=False),
@@ -87,21 +90,22 @@ def cohort_stages(spark: SparkSession, src: Sources) -> dict[str, Stage]:
         "eth_geo": Stage(ethnicity_geo, ("infants",)),
         # pupil side
         "census": Stage(lambda: ED.census_harmonised({y: f() for y, f in src.census.items()}), ()),
-        "absence": Stage(lambda: ED.absence_summary(ED.absence_collated({y: f() for y, f in src.absence.items()})), ()),
+        "absence": Stage(lambda: ED.absence_summary(ED.absence_collated({y: f() for y, f in src.absence.items()})), (),
+                         write=False),
         "ks1_raw": raw(src.ks1),
         "ks2_raw": raw(src.ks2),
         "ks4_a": raw(src.ks4_a),
         "ks4_b": raw(src.ks4_b),
         "ks5_a": raw(src.ks5_a),
         "ks5_b": raw(src.ks5_b),
-        "ks1_census": Stage(ED.ks1_census_presence, ("census",)),
-        "ks1": Stage(ED.ks1_best, ("ks1_raw",)),
-        "ks2": Stage(ED.ks2_best, ("ks2_raw",)),
-        "ks4": Stage(ED.ks4_best, ("ks4_a", "ks4_b")),
-        "ks5": Stage(ED.ks5_best, ("ks5_a", "ks5_b")),
+        "ks1_census": Stage(ED.ks1_census_presence, ("census",), write=False),
+        "ks1": Stage(ED.ks1_best, ("ks1_raw",), write=False),
+        "ks2": Stage(ED.ks2_best, ("ks2_raw",), write=False),
+        "ks4": Stage(ED.ks4_best, ("ks4_a", "ks4_b"), write=False),
+        "ks5": Stage(ED.ks5_best, ("ks5_a", "ks5_b"), write=False),
         "pupils": Stage(ED.cohort_pupils, ("birth_cohort",), write=False),
         "education": Stage(ED.education_combined, ("pupils", "ks1_census", "ks1", "ks2", "ks4", "ks5")),
-        "sen": Stage(ED.sen_best_record, ("census",)),
+        "sen": Stage(ED.sen_best_record, ("census",), write=False),
         "sen_long": Stage(ED.sen_absence_long, ("pupils", "sen", "absence")),
         "sen_wide": Stage(ED.sen_absence_wide, ("sen_long",)),
         "cohort": Stage(
