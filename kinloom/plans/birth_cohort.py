@@ -195,7 +195,9 @@ def person_summary(anchored: DataFrame) -> DataFrame:
 
     agg = anchored.groupBy("token_person_id").agg(
         F.max("any_missing_episode_min_date").alias("any_missing_episode_min_date"),
-        F.countDistinct(F.when(valid_sex, F.col("sex"))).alias("n_sex"),
+        # distinct counts over a two-value domain as flags: no distinct-aggregate
+        # rewrite (which would replicate every row through the shuffle)
+        (F.max(flag(F.col("sex") == "1")) + F.max(flag(F.col("sex") == "2"))).cast("long").alias("n_sex"),
         any_near("birth_record").alias("any_birth_record"),
         any_near("termination_record").alias("any_termination_record"),
         any_near("stillbirth_record").alias("any_stillbirth_record"),
@@ -213,13 +215,14 @@ def person_summary(anchored: DataFrame) -> DataFrame:
         F.min("episode_min_date").alias("first_admi"),
         F.max("episode_min_date").alias("last_admi"),
         F.min("mydob").alias("min_dob"),
-        F.countDistinct("mydob").alias("n_dob"),
+        F.size(F.collect_set("mydob")).cast("long").alias("n_dob"),
         F.least(*[F.min(c) for c in INT_AGE_FIELDS]).alias("min_age"),
         F.greatest(*[F.max(c) for c in INT_AGE_FIELDS]).alias("max_age"),
         first_value_by(F.col("sex"), _timeline_key(), where=valid_sex).alias("sex_earliest"),
         first_value_by(F.col("sexbaby"), _timeline_key(), where=valid_sexbaby & near).alias("sexbaby_earliest"),
         F.count_if(near).alias("_n_near"),
-        F.countDistinct(F.when(near & valid_sexbaby, F.col("sexbaby"))).alias("_n_sexbaby"),
+        (F.max(flag(near & (F.col("sexbaby") == "1"))) + F.max(flag(near & (F.col("sexbaby") == "2"))))
+        .cast("long").alias("_n_sexbaby"),
         age_pick.alias("_age"),
         res_pick.alias("_res"),
     )

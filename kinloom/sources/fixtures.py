@@ -271,9 +271,9 @@ def person_dob(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fx_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _episode_base(spark, sf_dir)
     dob = base.groupBy("ck").agg(F.expr(_dob_expr(SPARK)).alias("dob"))
-    # dob is one row per person: a shuffle join on the person key keeps the
-    # episode side partitioned by person for the stages that follow.
-    return base.join(dob, "ck").selectExpr(*[f"{e} AS {c}" for c, e in _episode_columns(SPARK)])
+    # dob is one row per person; a left join (every person has one) lets the
+    # optimiser drop the join when no dob-derived column is used.
+    return base.join(dob, "ck", "left").selectExpr(*[f"{e} AS {c}" for c, e in _episode_columns(SPARK)])
 
 
 # ---------------------------------------------------------------------------
@@ -289,7 +289,7 @@ def duckdb_ctes() -> dict[str, str]:
     return {
         "fx_base": f"SELECT {base_sel} FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
         "fx_dob": f"SELECT ck, {_dob_expr(d)} AS dob, {_first_month_expr(d)} AS first_month FROM fx_base GROUP BY ck",
-        "fx_episodes": f"SELECT {ep_sel} FROM fx_base JOIN fx_dob USING (ck)",
+        "fx_episodes": f"SELECT {ep_sel} FROM fx_base LEFT JOIN fx_dob USING (ck)",
     }
 
 
