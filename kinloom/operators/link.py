@@ -10,8 +10,14 @@ from pyspark.sql import functions as F
 
 
 def semi_reduce(big: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Rows of ``big`` whose key occurs in ``keys`` (no fan-out, no dedup pass)."""
-    return big.join(keys, on=on, how="left_semi")
+    """Rows of ``big`` whose key occurs in ``keys`` (a left-semi join: no fan-out).
+
+    The keys are deduplicated first; the distinct is a partial aggregation,
+    so a key repeated on many rows reaches the join as one row per map
+    partition instead of making the build side as skewed as the data.
+    """
+    cols = [on] if isinstance(on, str) else list(on)
+    return big.join(keys.select(*cols).distinct(), on=on, how="left_semi")
 
 
 def anti_reduce(big: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:

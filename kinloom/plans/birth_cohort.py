@@ -30,8 +30,8 @@ def infant_records(episodes: DataFrame) -> DataFrame:
 
     A person qualifies when a completed episode has a neonatal age code at
     start or end, or when the month of birth equals the month of any of the
-    four episode dates.  The qualifying ids are reduced by a left-semi join
-    (no distinct pass and no fan-out).
+    four episode dates.  The qualifying ids (deduplicated) reduce the episodes
+    by a left-semi join, so no episode is duplicated.
     """
     completed = episodes.filter(F.col("epistat") == "3")
     dob = F.col("mydob")

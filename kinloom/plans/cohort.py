@@ -61,7 +61,12 @@ def assemble(
     at most one row per key except the mother-baby links (reproduced fan-out).
     """
     p = "token_person_id"
+    # person-keyed joins first: the left side stays hash-partitioned on the
+    # person across them (one shuffle of the wide side instead of one per join)
     out = birth_cohort.join(birth_info.select(p, *BIRTH_INFO_FIELDS), p, "left")
+    out = out.join(eth_geo.select(p, *ETH_GEO_FIELDS), p, "left")
+    out = out.join(cancer.select(p, *CANCER_FIELDS), p, "left")
+    out = out.join(congenital.select(p, *CONGENITAL_FIELDS), p, "left")
     mi = mothers.select(
         F.col("mi_token_person_id_mother").alias("mb_token_person_id_mother"),
         F.col("mi_mdel_my").alias("mb_mdel_my"),
@@ -69,10 +74,8 @@ def assemble(
     )
     # the NULL-key rows of the links never match (SQL equality), as in a plain join
     out = out.join(mi, ["mb_token_person_id_mother", "mb_mdel_my"], "left")
-    out = out.join(eth_geo.select(p, *ETH_GEO_FIELDS), p, "left")
-    out = out.join(cancer.select(p, *CANCER_FIELDS), p, "left")
-    out = out.join(congenital.select(p, *CONGENITAL_FIELDS), p, "left")
     out = out.withColumnsRenamed({p: "nhs_id", "mb_token_person_id_mother": "mb_nhs_id_mother"})
+    # pupil-keyed joins last, again sharing one partitioning of the left side
     out = out.join(sen_absence_wide.select("dfe_id", *senabs_fields), "dfe_id", "left")
     return out.join(education.select("dfe_id", *KS_FIELDS), "dfe_id", "left")
 
