@@ -29,3 +29,16 @@ def test_fixture_views_identical_in_both_engines(spark, view):
     df = FX.all_views(spark, SMOKE)[view]
     ok, msg = compare(df, O.build(view), duck_connect(SMOKE))
     assert ok, msg
+
+
+_SPARK_T = {"string": "S", "int": "I", "bigint": "L", "double": "D", "date": "DATE", "boolean": "B"}
+_DUCK_T = {"VARCHAR": "S", "INTEGER": "I", "BIGINT": "L", "DOUBLE": "D", "DATE": "DATE", "BOOLEAN": "B"}
+
+
+@pytest.mark.parametrize("key", sorted(set(QM.QUERIES) - STAGED))
+def test_column_types_match_oracle(spark, key):
+    df = E.queries()[key](spark, SMOKE)
+    got = {f.name: _SPARK_T.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    rows = duck_connect(SMOKE).execute(f"DESCRIBE {E.oracle_sql()[key]}").fetchall()
+    want = {r[0]: _DUCK_T.get(r[1], r[1]) for r in rows}
+    assert got == want
