@@ -84,7 +84,10 @@ def cohort_stages(spark: SparkSession, src: Sources) -> dict[str, Stage]:
         "notifications": Stage(birth_notifications, ("notifications_raw",), write=False),
         "birth_cohort": Stage(BC.birth_cohort, ("summary", "registrations", "notifications", "ids")),
         "cancer": Stage(lambda d: FD.first_cancer_slots(d, C.cancer_codes(spark)), ("primary_diagnoses",)),
-        "congenital": Stage(lambda d: FD.first_congenital(d, C.congenital_codes(spark)), ("diagnoses",)),
+        # only codes whose stem can match the congenital list are unpivoted
+        "congenital_candidates": Stage(
+            lambda e: diagnoses_long(e, stems=C.stems(C.congenital_code_rows())), ("episodes",), write=False),
+        "congenital": Stage(lambda d: FD.first_congenital(d, C.congenital_codes(spark)), ("congenital_candidates",)),
         "mothers": Stage(mothers_delivery_episode, ("links", "episodes")),
         "birth_info": Stage(birth_information, ("infants", "links")),
         "eth_geo": Stage(ethnicity_geo, ("infants",)),

@@ -11,7 +11,8 @@ DIAG_FIELDS = [f"diag_{k:02d}" for k in range(1, 21)] + ["cause"]
 EPISODE_ID_FIELDS = ["token_person_id", "epikey", "admidate", "epistart", "epiend", "disdate", "epiorder", "startage"]
 
 
-def diagnoses_long(episodes: DataFrame, positions: list[int] | None = None) -> DataFrame:
+def diagnoses_long(episodes: DataFrame, positions: list[int] | None = None,
+                   stems: set[str] | None = None) -> DataFrame:
     """Completed episodes x 21 diagnosis positions with a non-empty code.
 
     One ``Expand`` over a single scan replaces a union of one query per
@@ -23,11 +24,24 @@ def diagnoses_long(episodes: DataFrame, positions: list[int] | None = None) -> D
     ``positions`` restricts the output to those positions; only their columns
     are unpivoted (a position filter cannot be pushed below the unpivot, so
     it is applied by construction).
+    ``stems`` keeps only codes whose first three characters are in the set;
+    the test runs inside the generator, so codes that cannot match a code list
+    never become rows.
     """
     fields = DIAG_FIELDS if positions is None else [DIAG_FIELDS[p - 1] for p in positions]
     completed = episodes.filter(F.col("epistat") == "3").select(
         *EPISODE_ID_FIELDS, "reporting_year_start", *fields
     )
+    if stems is not None:
+        cells = F.array(*[F.struct(F.lit(DIAG_FIELDS.index(f) + 1).alias("p"), F.col(f).alias("c")) for f in fields])
+        wanted = F.filter(cells, lambda x: F.substring(x["c"], 1, 3).isin(*sorted(stems)))
+        return completed.select(*EPISODE_ID_FIELDS, "reporting_year_start", F.inline(wanted)).select(
+            *EPISODE_ID_FIELDS,
+            "reporting_year_start",
+            F.col("p").alias("diagnostic_position"),
+            F.substring("c", 1, 4).alias("diagnosis"),
+            F.substring("c", 1, 3).alias("diagnosis_3char"),
+        )
     long = unpivot_positions(
         completed, [*EPISODE_ID_FIELDS, "reporting_year_start"], fields, "_pos", "_code"
     )

@@ -74,7 +74,7 @@ def q_cancer_diagnoses(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_congenital_diagnoses(spark: SparkSession, sf: str) -> DataFrame:
-    return FD.congenital_diagnoses(lazy(spark, sf).get("diagnoses"), C.congenital_codes(spark))
+    return FD.congenital_diagnoses(lazy(spark, sf).get("congenital_candidates"), C.congenital_codes(spark))
 
 
 def q_dq_missing_all_dates(spark: SparkSession, sf: str) -> DataFrame:
