@@ -141,4 +141,4 @@ def eligibility(df: DataFrame) -> Column:
 
 
 def with_eligibility(df: DataFrame) -> DataFrame:
-    return df.withColumn("echoccs_cohort", eligibility(df))
+    return df.withColumn("cohort_eligible", eligibility(df))

@@ -92,7 +92,7 @@ BAND_COLUMNS = [
 def _suppressed(cohort: DataFrame) -> DataFrame:
     """Eligible persons by first cancer group and age band at diagnosis, with
     counts under 10 suppressed."""
-    counts = cohort.filter(F.col("echoccs_cohort")).groupBy(
+    counts = cohort.filter(F.col("cohort_eligible")).groupBy(
         "cancer_group_1", "cancer_earliest_diagnosis_1_age_cat"
     ).agg(F.count(F.lit(1)).alias("cnt"))
     return counts.select("cancer_group_1", "cancer_earliest_diagnosis_1_age_cat", suppress_small("cnt").alias("cnt"))
@@ -164,7 +164,7 @@ QUERIES: dict[str, Query] = {
     "age_and_school_year_bands": _stage("cohort", materialise=True, post=lambda d: d.select(*BAND_COLUMNS)),
     "eligibility_flag": _stage(
         "cohort", materialise=True,
-        post=lambda d: d.select("nhs_id", "mb_nhs_id_mother", "mi_resgor_england", "echoccs_cohort")),
+        post=lambda d: d.select("nhs_id", "mb_nhs_id_mother", "mi_resgor_england", "cohort_eligible")),
     "suppressed_counts": _stage("cohort", materialise=True, post=_suppressed),
     "export_profile": _stage("cohort", materialise=True, post=_profile),
     "dq_duplicate_keys": q_dq_duplicate_keys,

@@ -44,7 +44,7 @@ def registrations_summary(births: DataFrame, deaths: DataFrame) -> DataFrame:
 def id_lookup(bridging: DataFrame) -> DataFrame:
     """One pupil id per person: the first in byte order, missing ids first;
     ``dfe_id_problematic`` = 1 when the person has more than one link row."""
-    dfe = F.col("ECHILD_PUPIL_REF_MATCHING_ANONYMOUS")
+    dfe = F.col("PUPIL_REF_MATCHING_ANONYMOUS")
     return bridging.groupBy(F.col("pseudo").alias("nhs_id")).agg(
         F.when(F.count_if(dfe.isNull()) > 0, F.lit(None)).otherwise(F.min(dfe)).alias("dfe_id"),
         flag(F.count(F.lit(1)) > 1).alias("dfe_id_problematic"),

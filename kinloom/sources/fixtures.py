@@ -331,7 +331,7 @@ def _person_views(d: Dialect) -> dict[str, list[tuple[str, list[tuple[str, str]]
         ]
 
     def bridge(dfe: str, person: str) -> list[tuple[str, str]]:
-        return [("ECHILD_PUPIL_REF_MATCHING_ANONYMOUS", dfe), ("pseudo", person)]
+        return [("PUPIL_REF_MATCHING_ANONYMOUS", dfe), ("pseudo", person)]
 
     def link(mother_offset: int) -> list[tuple[str, str]]:
         fm = "m_first_month"

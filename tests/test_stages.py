@@ -35,7 +35,7 @@ def test_registrations_deaths_only_and_year_only(spark):
 
 def test_id_lookup_missing_id_sorts_first(spark):
     br = spark.createDataFrame([("D2", "P1"), ("D1", "P1"), (None, "P2"), ("D3", "P2"), ("D4", "P3")],
-                               "ECHILD_PUPIL_REF_MATCHING_ANONYMOUS string, pseudo string")
+                               "PUPIL_REF_MATCHING_ANONYMOUS string, pseudo string")
     out = {r.nhs_id: (r.dfe_id, r.dfe_id_problematic) for r in id_lookup(br).collect()}
     assert out == {"P1": ("D1", 1), "P2": (None, 1), "P3": ("D4", 0)}
 
