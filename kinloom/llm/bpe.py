@@ -21,11 +21,12 @@ from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package
+from .common import ship_package, slices
 
 #: Unicode White_Space, and the split pattern of the vocabulary.
 WHITE_SPACE = r"\t-\r\x20\x85\xa0  -     　"
@@ -33,7 +34,9 @@ COARSE = rf" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPA
 FINE = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE_SPACE}\p{{L}}\p{{N}}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+"
 
 #: Entries in each of a worker's two generations of cached pretokens.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 700_000
+#: Bits of a queue key that hold the position, in lists of up to 2**13 symbols.
+POSITION_BITS = 13
 #: Longer pretokens are not cached, which bounds the cache's bytes.
 CACHE_LENGTH = 48
 
@@ -56,12 +59,17 @@ class ByteBpe:
         to_byte = {c: b for b, c in alphabet.items()}
         vocab: dict[str, int] = spec["model"]["vocab"]
         self.byte_id = [vocab[alphabet[b]] for b in range(256)]
-        #: left id << 20 | right id -> rank << 32, the queue's key without the position
-        self.rank = {vocab[a] << 20 | vocab[b]: r << 32 for r, (a, b) in enumerate(spec["model"]["merges"])}
+        n_ids = 1 + max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])])
+        #: by left id: right id -> rank << POSITION_BITS, the queue's key without the position
+        by_left: list[dict[int, int]] = [{} for _ in range(n_ids)]
+        for r, (a, b) in enumerate(spec["model"]["merges"]):
+            by_left[vocab[a]][vocab[b]] = r << POSITION_BITS
+        self.rank = [d.get for d in by_left]
         self.joined = [vocab[a + b] for a, b in spec["model"]["merges"]]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.vocab_bytes = {i: bytes(to_byte[c] for c in s) for s, i in vocab.items()} | {i: s.encode() for s, i in self.special.items()}
-        self.id_text = {i: str(i) for i in self.vocab_bytes}
+        spelled = {i: bytes(to_byte[c] for c in s) for s, i in vocab.items()} | {i: s.encode() for s, i in self.special.items()}
+        self.vocab_bytes = [spelled.get(i, b"") for i in range(n_ids)]
+        self.id_text = [str(i) for i in range(n_ids)]
         self.coarse = regex.compile(COARSE)
         self.fine = regex.compile(FINE)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
@@ -71,36 +79,35 @@ class ByteBpe:
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Apply the merges to a list of symbols, lowest rank first, leftmost among equals."""
-        n, rank, joined = len(symbols), self.rank.get, self.joined
-        after = list(range(1, n + 1))
-        before = list(range(-1, n - 1))
+        n, rank, joined = len(symbols), self.rank, self.joined
+        more = max(0, n.bit_length() - POSITION_BITS)  # a long list needs wider positions
+        bits = POSITION_BITS + more
+        mask = (1 << bits) - 1
+        after = [*range(1, n + 1)]
+        before = [*range(-1, n - 1)]
         queue = []
-        left = symbols[0] if n else 0
-        for i in range(n - 1):
-            right = symbols[i + 1]
-            if (r := rank(left << 20 | right)) is not None:
-                queue.append(r | i)
-            left = right
+        for i, right in enumerate(symbols[1:]):
+            if (r := rank[symbols[i]](right)) is not None:
+                queue.append(r << more | i)
         heapify(queue)
         while queue:
             key = heappop(queue)
-            i = key & 0xFFFFFFFF
-            j = after[i]
-            if j >= n or symbols[i] < 0 or rank(symbols[i] << 20 | symbols[j]) != key - i:
+            i = key & mask
+            if (left := symbols[i]) < 0 or (j := after[i]) >= n or (r := rank[left](symbols[j])) is None or r << more != key - i:
                 continue  # stale: one of the two has been merged meanwhile
-            symbols[i] = new = joined[key >> 32]
+            symbols[i] = new = joined[key >> bits]
             symbols[j] = -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (r := rank(new << 20 | symbols[k])) is not None:
-                    heappush(queue, r | i)
-            if i and (r := rank(symbols[h := before[i]] << 20 | new)) is not None:
-                heappush(queue, r | h)
+                if (r := rank[new](symbols[k])) is not None:
+                    heappush(queue, r << more | i)
+            if i and (r := rank[symbols[h := before[i]]](new)) is not None:
+                heappush(queue, r << more | h)
         return [s for s in symbols if s >= 0]
 
     def _ids(self, chunk: str, whole: bool) -> tuple[int, ...]:
-        """Ids of a chunk without white space inside; ``whole``: it is one pretoken."""
+        """Ids of a chunk that no pretoken crosses; ``whole``: it is one pretoken."""
         if (ids := self._new.get(chunk)) is not None:
             return ids
         if (ids := self._old.get(chunk)) is None:
@@ -130,6 +137,32 @@ class ByteBpe:
         return b"".join(map(self.vocab_bytes.__getitem__, ids)).decode("utf-8", errors="replace")
 
 
+    def encode_all(self, texts: pa.Array):
+        """``encode`` of each text in turn; null texts are empty.
+
+        Texts are cut at single spaces, each space left to what follows it, and
+        each distinct chunk is encoded once.  Where a cut could divide white
+        space that belongs together, or a special token's string may occur, the
+        text is encoded on its own.
+        """
+        texts = pc.fill_null(texts, "")
+        plain = pc.invert(pc.or_(pc.match_substring(texts, "  "), pc.ends_with(texts, " ")))
+        for t in self.special:
+            plain = pc.and_not(plain, pc.match_substring(texts, t))
+        lists = pc.split_pattern(pc.if_else(plain, texts, ""), " ")
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        known = [self._ids(" " + w, False) for w in words]
+        at = coded.indices.to_pylist()
+        ends = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
+        for k, cut in enumerate(plain.to_pylist()):
+            if not cut:
+                yield self.encode(texts[k].as_py())
+                continue
+            first, end = ends[k], ends[k + 1]
+            yield [*self.encode(words[at[first]]), *chain.from_iterable(map(known.__getitem__, at[first + 1 : end]))]
+
+
 @lru_cache(maxsize=2)
 def load(path: str) -> ByteBpe:
     return ByteBpe(path)
@@ -142,8 +175,9 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     def run(batches):
         bpe = load(tokenizer)
         for b in batches:
-            ids = [bpe.encode(t or "") for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[id_col, "ids"])
+            for part in slices(b):
+                ids = pa.array(list(bpe.encode_all(part.column(1))), pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column(0), ids], names=[id_col, "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, ids array<int>")
@@ -170,16 +204,16 @@ def digest(docs: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches):
         bpe = load(tokenizer)
         for b in batches:
-            n, ids_sha, text_sha = [], [], []
-            for t in b.column(1):
-                ids = bpe.encode(t.as_py() or "")
-                n.append(len(ids))
-                ids_sha.append(hashlib.sha256(",".join(map(bpe.id_text.__getitem__, ids)).encode()).hexdigest())
-                text_sha.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            for part in slices(b):
+                n, ids_sha, text_sha = [], [], []
+                for ids in bpe.encode_all(part.column(1)):
+                    n.append(len(ids))
+                    ids_sha.append(hashlib.sha256(",".join(map(bpe.id_text.__getitem__, ids)).encode()).hexdigest())
+                    text_sha.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
+                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
 
     out = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, out)

@@ -7,6 +7,9 @@ import tempfile
 import uuid
 import zipfile
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,9 @@ from ..session import ensure_checkpoint_dir
 #: A word, as the contracts state it: a run of characters outside space and TAB..CR.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bytes of text that a Python worker treats at once.
+SLICE_BYTES = 16 << 20
+
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _shipped: set[str] = set()
 
@@ -56,6 +62,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def slices(batch: pa.RecordBatch, column: int = 1):
+    """The batch in runs of rows of about ``SLICE_BYTES`` of text, one row at least."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < batch.num_rows:
+        stop = int(np.searchsorted(size, (size[first - 1] if first else 0) + SLICE_BYTES)) + 1
+        yield batch.slice(first, stop - first)
+        first = stop
+
+
 def word_count(text):
     """Number of words of a text column; null counts 0."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

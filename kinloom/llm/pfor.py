@@ -27,11 +27,12 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import run_dir, ship_package
+from .common import run_dir, ship_package, slices
 
 BLOCK = 128
 #: Ids after which a segment is closed.
@@ -39,7 +40,7 @@ SEGMENT_IDS = 1 << 16
 #: Share of a block's differences that the packed width must hold.
 PERCENTILE = 0.9
 #: Distinct white-space separated chunks whose ids a worker keeps; two generations.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 400_000
 CACHE_LENGTH = 48
 
 SEGMENT_SCHEMA = "part int, seg int, doc_ids array<long>, lengths array<int>, n_ids long, block_starts binary, blocks binary"
@@ -135,31 +136,43 @@ class ChunkEncoder:
         self._new: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
-    def _fill(self, chunks: list[str]) -> None:
-        for c, e in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)):
-            self._new[c] = np.array(e.ids, "<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        """The ids as little-endian u32."""
-        if "<|" not in text:  # A-Z meet a-z in the normalizer; a special token's string must stay as it is
-            text = text.encode().lower().decode()
-        chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        new, old, missing, long = self._new, self._old, set(), {}
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        """Little-endian u32 ids of each of some distinct chunks."""
+        new, old, out = self._new, self._old, []
+        missing = [c for c in chunks if c not in new and c not in old]
+        got = dict(zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)))
         for c in chunks:
-            if c not in new:
-                if (got := old.get(c)) is not None:
-                    new[c] = got
-                elif len(c) > CACHE_LENGTH:
-                    long[c] = np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
-                else:
-                    missing.add(c)
-        if missing:
-            self._fill(list(missing))
-        out = b"".join([long[c] if c in long else new[c] for c in chunks] if long else map(new.__getitem__, chunks))
+            if (ids := new.get(c)) is None:
+                if (ids := old.get(c)) is None:
+                    ids = np.array(got[c].ids, "<u4").tobytes()
+                if len(c) <= CACHE_LENGTH:
+                    new[c] = ids
+            out.append(ids)
         if len(new) >= CACHE_ENTRIES:
             self._new, self._old = {}, new
         return out
 
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, ``end_id`` after each, and the number of each."""
+        texts = pc.fill_null(texts, "")
+        # A-Z meet a-z in the normalizer; a special token's string must stay as it is
+        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        for c in "\t\n\r":
+            texts = pc.replace_substring(texts, c, " ")
+        lists = pc.split_pattern(texts, " ")
+        coded = lists.flatten().dictionary_encode()
+        pieces = [*self._chunks(coded.dictionary.to_pylist()), int(end_id).to_bytes(4, "little")]
+        size = np.array([len(p) // 4 for p in pieces], np.int64)
+        start = np.cumsum(size) - size
+        known = np.frombuffer(b"".join(pieces), "<u4")
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        at = np.insert(coded.indices.to_numpy(), offsets[1:] - offsets[0], len(pieces) - 1)
+        n = size[at]
+        ends = np.cumsum(n)
+        ids = known[np.repeat(start[at] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+        docs = np.cumsum(np.diff(offsets) + 1)
+        return ids, np.diff(ends[docs - 1], prepend=0) if len(docs) else docs
+
 
 @lru_cache(maxsize=2)
 def load(path: str) -> ChunkEncoder:
@@ -169,29 +182,29 @@ def load(path: str) -> ChunkEncoder:
 def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int, percentile: float = PERCENTILE) -> None:
     """Encode every row's text and write the ids, ``end_id`` after each, by ascending ``doc_id``."""
     ship_package(docs.sparkSession)
-    end = int(end_id).to_bytes(4, "little")
 
     def run(batches):
         enc, part, seg = load(tokenizer), TaskContext.get().partitionId(), 0
         ids, held, payload = [], [], 0
 
         def close():
-            run_ids = np.frombuffer(b"".join(held), "<u4").astype(np.int64)
+            run_ids = np.concatenate(held).astype(np.int64)
             starts, blocks = encode_blocks(run_ids, percentile)
-            row = [[part], [seg], [ids], [[len(h) // 4 for h in held]], [len(run_ids)], [starts], [blocks]]
+            row = [[part], [seg], [ids], [[len(h) for h in held]], [len(run_ids)], [starts], [blocks]]
             kinds = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64(), pa.binary(), pa.binary()]
             names = ["part", "seg", "doc_ids", "lengths", "n_ids", "block_starts", "blocks"]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names=names)
 
         for b in batches:
-            for i, t in zip(b.column(0).to_pylist(), b.column(1)):
-                got = enc.encode(t.as_py() or "") + end
-                ids.append(i)
-                held.append(got)
-                payload += len(got) // 4
-                if payload >= SEGMENT_IDS:
-                    yield close()
-                    seg, ids, held, payload = seg + 1, [], [], 0
+            for part_of in slices(b):
+                flat, lengths = enc.encode(part_of.column(1), end_id)
+                for i, got in zip(part_of.column(0).to_pylist(), np.split(flat, np.cumsum(lengths)[:-1])):
+                    ids.append(i)
+                    held.append(got)
+                    payload += len(got)
+                    if payload >= SEGMENT_IDS:
+                        yield close()
+                        seg, ids, held, payload = seg + 1, [], [], 0
         if held:
             yield close()
 

@@ -9,14 +9,30 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, pfor, secret_scan
+from . import bpe, imatch, mixing, pfor, secret_scan, url_filter
 from .common import table
 
 
+#: Fixed rules of the URL query.
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfor.token_file(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -26,7 +42,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_imatch": op2_imatch,
+    "op5_source_mix": op5_source_mix,
     "op7_token_file": op7_token_file,
+    "op8_url_filter": op8_url_filter,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_secret_scan": op10_secret_scan,
 }
