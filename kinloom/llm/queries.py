@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, imatch, mixing, pfor, secret_scan, url_filter
+from . import bpe, imatch, mixing, pfor, secret_scan, token_counts, topk, url_filter
 from .common import table
 
 
@@ -17,6 +18,10 @@ from .common import table
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -25,6 +30,10 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfor.token_file(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
@@ -42,8 +51,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_topk": op1_topk,
     "op2_imatch": op2_imatch,
     "op5_source_mix": op5_source_mix,
+    "op6_token_counts": op6_token_counts,
     "op7_token_file": op7_token_file,
     "op8_url_filter": op8_url_filter,
     "op9_byte_bpe": op9_byte_bpe,

@@ -1,3 +1,157 @@
-"""DuckDB SQL of the queries that SQL can express."""
+"""DuckDB SQL of the queries that SQL can express.
 
-ORACLE_SQL: dict[str, str] = {}
+op3 (a trained model), op6, op7 and op9 (tokenizers) and op10 (offsets of
+pattern matches) are tested against brute force instead.
+"""
+
+TOPK = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+         CAST(list_sum([a.q[i] * b.q[i] FOR i IN range(1, len(a.q) + 1)]) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE a.vec_id % 20 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
+IMATCH = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         coalesce(lead(coalesce(text, '')) OVER w, first_value(coalesce(text, '')) OVER w) AS next_text,
+         row_number() OVER w AS pos, count(*) OVER () AS n
+  FROM documents WINDOW w AS (ORDER BY doc_id DESC NULLS LAST, text ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+), e AS (
+  SELECT *, length(text) - length(text) // 3 AS kept,
+         substr(text, 1, length(text) - length(text) // 3) || substr(next_text, 1, length(text) // 3) AS edited
+  FROM d
+), own AS (
+  SELECT pos, 0 AS which, unnest(list_distinct(string_split_regex(lower(text), '[\x20\x09-\x0D]+'))) AS term FROM e
+), words AS (
+  SELECT * FROM own UNION ALL
+  SELECT pos, 1, unnest(list_distinct(string_split_regex(lower(edited), '[\x20\x09-\x0D]+'))) FROM e
+), lex AS (
+  SELECT term FROM own WHERE term <> '' GROUP BY term
+  HAVING count(*) BETWEEN greatest(2, ceil(0.001 * (SELECT count(*) FROM d))) AND greatest(2, floor(0.05 * (SELECT count(*) FROM d)))
+), lev AS (
+  SELECT term, j, 32 - length(bin(CAST('0x' || substr(md5((j // 4) || ':' || term), 8 * (j % 4) + 1, 8) AS BIGINT))) AS level
+  FROM lex, range(16) t(j)
+), f AS (
+  SELECT pos, which, count(*) AS n, CAST(floor(log2(count(*))) AS INTEGER) AS level FROM words SEMI JOIN lex USING (term) GROUP BY ALL
+), parts AS (
+  SELECT f.pos, f.which, f.level, h.up, l.j,
+         coalesce(substr(md5(string_agg(l.term, ' ' ORDER BY l.term) FILTER (l.level >= f.level + h.up)), 1, 6), '-') AS h
+  FROM f JOIN words w USING (pos, which) JOIN lev l USING (term), range(2) h(up)
+  GROUP BY ALL
+), prints AS (
+  SELECT pos, which, level, list(h ORDER BY j) FILTER (up = 0) AS low, list(h ORDER BY j) FILTER (up = 1) AS high,
+         level || ':' || string_agg(h, '' ORDER BY j) FILTER (up = 0) || ':' || string_agg(h, '' ORDER BY j) FILTER (up = 1) AS print
+  FROM parts GROUP BY pos, which, level
+), pairs AS (
+  SELECT e.pos, k.kind, a.pos IS NULL AS a_none, b.pos IS NULL AS b_none, a.level - b.level AS step,
+         a.low AS al, a.high AS ah, b.low AS bl, b.high AS bh
+  FROM e, (VALUES ('edited'), ('next')) k(kind)
+  LEFT JOIN prints a ON a.pos = e.pos AND a.which = 0
+  LEFT JOIN prints b ON b.pos = CASE WHEN kind = 'edited' THEN e.pos ELSE e.pos % e.n + 1 END AND b.which = CASE WHEN kind = 'edited' THEN 1 ELSE 0 END
+), sides AS (
+  SELECT pos, kind, a_none, b_none, step, u.x, u.y
+  FROM pairs, LATERAL (SELECT unnest([al, ah]) AS x, unnest([bl, bh]) AS y) u WHERE step = 0
+  UNION ALL SELECT pos, kind, a_none, b_none, step, al, bh FROM pairs WHERE step = 1
+  UNION ALL SELECT pos, kind, a_none, b_none, step, ah, bl FROM pairs WHERE step = -1
+), near AS (
+  SELECT pos, kind,
+         avg(coalesce(len([i FOR i IN range(1, 17) IF x[i] = y[i] AND x[i] <> '-']) / nullif(len([i FOR i IN range(1, 17) IF x[i] <> '-' OR y[i] <> '-']), 0), 0.0)) AS v
+  FROM sides GROUP BY pos, kind
+), likeness AS (
+  SELECT p.pos, p.kind, CASE WHEN a_none AND b_none THEN 1.0 ELSE coalesce(v, 0.0) END AS v FROM pairs p LEFT JOIN near USING (pos, kind)
+)
+SELECT e.doc_id, CAST(length(text) AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256,
+       coalesce(a.print, '-') AS fingerprint, coalesce(b.print, '-') AS edited_fingerprint,
+       CAST(x.v AS DOUBLE) AS near_edited, CAST(y.v AS DOUBLE) AS near_next
+FROM e LEFT JOIN prints a ON a.pos = e.pos AND a.which = 0 LEFT JOIN prints b ON b.pos = e.pos AND b.which = 1
+JOIN likeness x ON x.pos = e.pos AND x.kind = 'edited' JOIN likeness y ON y.pos = e.pos AND y.kind = 'next'
+"""
+
+MIX = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         CAST([5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS DOUBLE) AS w
+  FROM d GROUP BY source
+), levels AS (
+  SELECT 3.0 * a.source_size / a.w AS stop,
+         ((SELECT sum(source_size) FROM s) - coalesce(sum(3.0 * b.source_size) FILTER (3.0 * b.source_size / b.w < 3.0 * a.source_size / a.w), 0))
+         / sum(b.w) FILTER (3.0 * b.source_size / b.w >= 3.0 * a.source_size / a.w) AS level
+  FROM s a, s b GROUP BY a.source, a.source_size, a.w
+), t AS (
+  SELECT source, source_size, least(3.0 * source_size, coalesce((SELECT arg_min(level, stop) FROM levels WHERE stop >= level) * w, 3.0 * source_size)) AS target FROM s
+), p AS (
+  SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target, CAST(round(target) AS BIGINT) AS want,
+         sum(size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) - size AS pos
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(CASE WHEN source_size = 0 THEN 0 ELSE (want // source_size) * size + greatest(least(pos + size, want % source_size) - pos, 0) END AS BIGINT) AS taken
+FROM p
+"""
+
+URLS = r"""
+WITH u AS (
+  SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages
+), hp AS (
+  SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path
+  FROM u
+), rules(rule, said) AS (
+  VALUES ('com/', 'allow'), ('example.com/en/', 'block'), ('www.example.com/en/', 'allow'), ('net/es/', 'block'), ('net/fr/', 'block')
+), judged AS (
+  SELECT h.*, r.rule, r.said, host || path AS s
+  FROM hp h LEFT JOIN LATERAL (
+    SELECT arg_max(rule, length(rule)) AS rule, arg_max(said, length(rule)) AS said FROM rules
+    WHERE ('.' || h.host) LIKE '%.' || split_part(rule, '/', 1) AND starts_with(h.path, substr(rule, strpos(rule, '/')))
+  ) r ON true
+), texts AS (
+  SELECT s, said, count(*) AS n FROM judged GROUP BY s, said
+), grams AS (
+  SELECT s, said, n, substr(repeat(chr(2), 4) || s || chr(3), CAST(i AS BIGINT), 5) AS gram FROM texts, LATERAL (SELECT unnest(range(1, length(s) + 2)) AS i) x
+), counts AS (
+  SELECT gram, coalesce(sum(n) FILTER (said = 'allow'), 0) AS a, coalesce(sum(n) FILTER (said = 'block'), 0) AS r FROM grams GROUP BY gram
+), whole AS (
+  SELECT sum(a) AS a, sum(r) AS r FROM counts
+), suffix AS (
+  SELECT k, right(gram, k) AS t, sum(a) AS a, sum(r) AS r FROM counts, range(1, 6) x(k) GROUP BY ALL
+), context AS (
+  SELECT k, substr(gram, 6 - k, k - 1) AS t, sum(a) AS a, sum(r) AS r FROM counts, range(2, 6) x(k) GROUP BY ALL
+), p1 AS (
+  SELECT gram, (t.a + 1.0 / 256) / (w.a + 1.0) AS a, (t.r + 1.0 / 256) / (w.r + 1.0) AS r FROM counts c JOIN suffix t ON t.k = 1 AND t.t = right(gram, 1), whole w
+), p2 AS (
+  SELECT gram, (t.a + p.a) / (c.a + 1.0) AS a, (t.r + p.r) / (c.r + 1.0) AS r FROM p1 p JOIN suffix t ON t.k = 2 AND t.t = right(gram, 2) JOIN context c ON c.k = 2 AND c.t = substr(gram, 4, 1)
+), p3 AS (
+  SELECT gram, (t.a + p.a) / (c.a + 1.0) AS a, (t.r + p.r) / (c.r + 1.0) AS r FROM p2 p JOIN suffix t ON t.k = 3 AND t.t = right(gram, 3) JOIN context c ON c.k = 3 AND c.t = substr(gram, 3, 2)
+), p4 AS (
+  SELECT gram, (t.a + p.a) / (c.a + 1.0) AS a, (t.r + p.r) / (c.r + 1.0) AS r FROM p3 p JOIN suffix t ON t.k = 4 AND t.t = right(gram, 4) JOIN context c ON c.k = 4 AND c.t = substr(gram, 2, 3)
+), p5 AS (
+  SELECT gram, CAST(round((ln((t.a + p.a) / (c.a + 1.0)) - ln((t.r + p.r) / (c.r + 1.0))) * 1e6) AS BIGINT) AS score
+  FROM p4 p JOIN suffix t ON t.k = 5 AND t.t = gram JOIN context c ON c.k = 5 AND c.t = substr(gram, 1, 4)
+), means AS (
+  SELECT s, said, n, floor(sum(score) / count(*)) AS m FROM grams JOIN p5 USING (gram) GROUP BY s, said, n
+), line AS (
+  SELECT (sum(m * n) FILTER (said = 'allow') / sum(n) FILTER (said = 'allow') + sum(m * n) FILTER (said = 'block') / sum(n) FILTER (said = 'block')) / 2 AS x FROM means
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN j.said IS NOT NULL THEN j.said WHEN x IS NULL OR m > x THEN 'allow' ELSE 'block' END AS verdict
+FROM judged j LEFT JOIN means ON means.s = j.s AND means.said IS NULL AND j.said IS NULL, line
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_topk": TOPK,
+    "op2_imatch": IMATCH,
+    "op5_source_mix": MIX,
+    "op8_url_filter": URLS,
+}
