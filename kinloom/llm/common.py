@@ -18,6 +18,8 @@ from ..session import ensure_checkpoint_dir
 #: A word, as the contracts state it: a run of characters outside space and TAB..CR.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Ids of 8 bytes up to which a list of them is broadcast.
+BROADCAST_IDS = 1 << 20
 #: Bytes of text that a Python worker treats at once.
 SLICE_BYTES = 16 << 20
 
@@ -62,12 +64,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def slices(batch: pa.RecordBatch, column: int = 1):
-    """The batch in runs of rows of about ``SLICE_BYTES`` of text, one row at least."""
+def only(df: DataFrame, ids: DataFrame, on: str, how: str) -> DataFrame:
+    """Semi or anti join with a (stored) table of ids, which is broadcast if it is small enough."""
+    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, on, how)
+
+
+def slices(batch: pa.RecordBatch, column: int = 1, at_most: int = SLICE_BYTES):
+    """The batch in runs of rows of about ``at_most`` bytes of text, one row at least."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     first = 0
     while first < batch.num_rows:
-        stop = int(np.searchsorted(size, (size[first - 1] if first else 0) + SLICE_BYTES)) + 1
+        stop = int(np.searchsorted(size, (size[first - 1] if first else 0) + at_most)) + 1
         yield batch.slice(first, stop - first)
         first = stop
 

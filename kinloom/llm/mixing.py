@@ -128,3 +128,19 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, b
     got = pieces.join(blocks, ["sid", "block"], "left").groupBy("sid", "pos", "doc_id", "size", "source_size", "target").agg(F.coalesce(F.sum(words), F.lit(0)).cast("long").alias("taken"))
     out = got.select("doc_id", "size", "source_size", "target", "taken")
     return out.union(placed.filter("size = 0").select("doc_id", "size", "source_size", "target", F.lit(0).cast("long")))
+
+
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them: the share of the words taken, rounded.
+
+    Rows of one id are taken equally often; documents without words, and rows
+    without an id, are not taken.
+    """
+    share = mix(docs, **options).groupBy("doc_id").agg((F.floor((2 * F.sum("taken") + F.sum("size")) / (2 * F.sum("size")))).cast("int").alias("times"))
+    times = stored(share.filter("times > 0"), "times")
+    column = "times"
+    while column in docs.columns:
+        column += "_"
+    again = F.explode(F.sequence(F.lit(1), F.col(column)))
+    out = docs.join(times.withColumnRenamed("times", column), "doc_id")
+    return out.withColumn(column, again).select(*docs.columns)

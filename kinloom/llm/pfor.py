@@ -40,8 +40,10 @@ SEGMENT_IDS = 1 << 16
 #: Share of a block's differences that the packed width must hold.
 PERCENTILE = 0.9
 #: Distinct white-space separated chunks whose ids a worker keeps; two generations.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 CACHE_LENGTH = 48
+#: Bytes of text encoded at once.
+SLICE_BYTES = 4 << 20
 
 SEGMENT_SCHEMA = "part int, seg int, doc_ids array<long>, lengths array<int>, n_ids long, block_starts binary, blocks binary"
 
@@ -196,7 +198,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int, pe
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names=names)
 
         for b in batches:
-            for part_of in slices(b):
+            for part_of in slices(b, 1, SLICE_BYTES):
                 flat, lengths = enc.encode(part_of.column(1), end_id)
                 for i, got in zip(part_of.column(0).to_pylist(), np.split(flat, np.cumsum(lengths)[:-1])):
                     ids.append(i)

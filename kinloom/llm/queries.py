@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, imatch, mixing, pfor, secret_scan, token_counts, topk, url_filter
+from . import bpe, imatch, jaccard_join, kneser_ney, mixing, pfor, secret_scan, token_counts, topk, url_filter
 from .common import table
 
 
@@ -26,6 +26,15 @@ def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, names = kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", *names.values())
+
+
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -53,6 +62,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_topk": op1_topk,
     "op2_imatch": op2_imatch,
+    "op3_quality": op3_quality,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_source_mix": op5_source_mix,
     "op6_token_counts": op6_token_counts,
     "op7_token_file": op7_token_file,
