@@ -12,7 +12,8 @@ document's log-probability is the sum over the shards.
 
 A document is rejected if its mean negative log-probability a character exceeds
 the limit of its language: the 99 % quantile of the held-back trusted documents,
-raised by ``MARGIN`` times its distance from their median.  Short documents are
+raised by ``MARGIN`` times its distance from their median and at least ``FLOOR``
+above it.  Short documents are
 drawn towards the median by ``PRIOR`` characters, so that a few odd characters do
 not reject them.
 
@@ -39,6 +40,8 @@ SHARD_ROWS = 1 << 20
 #: One trusted document in so many is held back for the limits.
 HELD = 5
 QUANTILE, MARGIN, PRIOR = 0.99, 1.0, 200
+#: Least distance of a limit from the median (nats a character), for a language of few or like documents.
+FLOOR = 0.1
 START, END, FOLD, CLASSES = 4095, 4094, 2046, 1 << BITS
 TEXT_BYTES = 2 << 20
 #: Keys: a gram has its order above its 60 bits; a context (48 bits) has this tag there and its order below.
@@ -217,7 +220,7 @@ def limits(held: DataFrame, shards: list[DataFrame]) -> DataFrame:
     both = loss.filter("lang is not null").unionByName(loss.withColumn("lang", F.lit(None).cast("string")))
     mid = stored(both.groupBy("lang").agg(F.percentile_approx(F.col("loss") / F.col("n"), 0.5, 10_000).alias("mid")), "kn-mid")
     drawn = both.join(mid, both["lang"].eqNullSafe(mid["lang"])).select(mid["lang"], "mid", ((F.col("loss") + PRIOR * F.col("mid")) / (F.col("n") + PRIOR)).alias("s"))
-    return drawn.groupBy("lang", "mid").agg(F.percentile_approx("s", QUANTILE, 10_000).alias("q")).select("lang", "mid", (F.col("q") + MARGIN * (F.col("q") - F.col("mid"))).alias("top"))
+    return drawn.groupBy("lang", "mid").agg(F.percentile_approx("s", QUANTILE, 10_000).alias("q")).select("lang", "mid", F.greatest(F.col("q") + MARGIN * (F.col("q") - F.col("mid")), F.col("mid") + FLOOR).alias("top"))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[str, str]]:

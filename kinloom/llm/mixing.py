@@ -136,7 +136,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     Rows of one id are taken equally often; documents without words, and rows
     without an id, are not taken.
     """
-    share = mix(docs, **options).groupBy("doc_id").agg((F.floor((2 * F.sum("taken") + F.sum("size")) / (2 * F.sum("size")))).cast("int").alias("times"))
+    share = mix(docs, **options).filter("size > 0").groupBy("doc_id").agg((F.floor((2 * F.sum("taken") + F.sum("size")) / (2 * F.sum("size")))).cast("int").alias("times"))
     times = stored(share.filter("times > 0"), "times")
     column = "times"
     while column in docs.columns:

@@ -95,6 +95,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     parsed = stored(parsed.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("said"), F.concat("host", "path").alias("s")), "urls")
     texts = stored(parsed.groupBy("s", "said").agg(F.count("*").alias("n")), "url-texts")
+    # few bytes, many grams: the number of partitions is stated so that none are merged
+    texts = texts.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), "s")
     grams = texts.select("said", "n", F.explode(_grams(F.col("s"))).alias("gram"))
     counts = stored(grams.groupBy("gram").agg(*[F.sum(F.when(F.col("said") == v, F.col("n")).otherwise(0)).alias(a) for v, a in (("allow", "n_a"), ("block", "n_r"))]), "url-grams")
     scores = stored(gram_scores(counts), "url-scores")
