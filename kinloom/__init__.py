@@ -10,7 +10,6 @@ functions/  column-level helpers: sentinel dates, month arithmetic, bands, codes
 operators/  DataFrame-level building blocks: keep_first, code_join, unpivot, pivot
 sources/    readers and writers, and the deterministic fixture views
 plans/      the cohort stages (one module per stage) and the pipeline runner
-streaming/  (empty by design: the cohort build is a batch rebuild)
 """
 
 __version__ = "0.1.0"

@@ -37,11 +37,6 @@ def is_in(c: str | Column, values: Iterable) -> Column:
     return F.coalesce(as_col(c).isin(*list(values)), F.lit(False))
 
 
-def prefix_in(c: str | Column, n: int, codes: Iterable[str]) -> Column:
-    """First ``n`` characters are one of ``codes`` (NULL input -> NULL)."""
-    return F.substring(as_col(c), 1, n).isin(*list(codes))
-
-
 def any_of(preds: Sequence[Column]) -> Column:
     """OR over a template of predicates, with NULL treated as false."""
     return F.coalesce(functools.reduce(operator.or_, preds), F.lit(False))

@@ -1,14 +1,18 @@
-"""Record linkage joins: semi-join reduction, code-list joins, crosswalks,
-full-outer merges with coalesced keys, and interval joins."""
+"""Record linkage joins: semi-join reduction, code-list joins and full-outer
+merges with coalesced keys."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Rows up to which a code list is broadcast.
+CODE_ROWS = 50_000
+
+
 def semi_reduce(big: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``big`` whose key occurs in ``keys`` (a left-semi join: no fan-out).
 
@@ -20,10 +24,6 @@ def semi_reduce(big: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> Dat
     return big.join(keys.select(*cols).distinct(), on=on, how="left_semi")
 
 
-def anti_reduce(big: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    return big.join(keys, on=on, how="left_anti")
-
-
 def code_join(
     df: DataFrame,
     codes: DataFrame,
@@ -37,11 +37,11 @@ def code_join(
 
     A disjunctive condition would plan as a nested-loop join.  Instead every
     record carries its two candidate keys ('3:<code3>', '4:<code4>') through a
-    ``explode`` and meets the code list, keyed the same way, in one broadcast
+    ``explode`` and meets the code list, keyed the same way, in one
     equi-join: one pass over the records, and a record matching several
     code-list rows yields one row per match, exactly like the OR join.  Each
-    code-list row must set exactly one of the two codes; the list is tiny and
-    fixed, so broadcasting it is bounded whatever the data volume.
+    code-list row must set exactly one of the two codes.  The list is broadcast
+    if it has at most ``CODE_ROWS`` rows (the shipped ones have a few hundred).
 
     ``stems`` (the 3-character stems of all list codes, when ``code3`` is the
     first three characters of ``code4``) enables an early filter.
@@ -56,36 +56,11 @@ def code_join(
         F.concat(F.lit("4:"), F.col(list4_col))
     )
     keyed = codes.select(key.alias("_code_key"), *extra)
+    few = codes.limit(CODE_ROWS + 1).count() <= CODE_ROWS
     cand = F.array(F.concat(F.lit("3:"), F.col(code3_col)), F.concat(F.lit("4:"), F.col(code4_col)))
-    return df.withColumn("_code_key", F.explode(cand)).join(F.broadcast(keyed), "_code_key").drop("_code_key")
-
-
-def left_lookup(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Left join to a crosswalk whose key column has a different name."""
-    return df.join(lookup, df[left_key] == lookup[right_key], "left").drop(lookup[right_key])
+    return df.withColumn("_code_key", F.explode(cand)).join(F.broadcast(keyed) if few else keyed, "_code_key").drop("_code_key")
 
 
 def full_merge(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """FULL OUTER JOIN on ``keys`` with the keys coalesced (``USING`` semantics)."""
     return a.join(b, on=list(keys), how="full")
-
-
-def interval_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    point: Column,
-    lo: Column,
-    hi: Column,
-) -> DataFrame:
-    """Equi-join on ``keys`` keeping pairs with ``lo <= point <= hi``.
-
-    The equality keys drive a hash/sort-merge join; the range is a residual
-    filter evaluated within each key group.
-    """
-    return left.join(right, list(keys)).filter((point >= lo) & (point <= hi))
-
-
-def prefix_columns(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Rename every column except ``keep`` to ``prefix + name``."""
-    return df.withColumnsRenamed({c: f"{prefix}{c}" for c in df.columns if c not in keep})

@@ -8,6 +8,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .select import keep_first
+
 
 def unpivot_positions(
     df: DataFrame,
@@ -30,14 +32,26 @@ def pivot_slots(
     slots: Sequence,
     values: dict[str, str],
     name: Callable[[str, object], str],
+    on_duplicate: str = "fail",
 ) -> DataFrame:
-    """Long -> wide with explicit slot values (fixed schema, no extra job).
+    """Long -> wide with explicit slot values (fixed schema).
 
-    ``values`` maps output stem -> source column; each (slot, stem) cell takes
-    the value of that slot (``max`` keeps it deterministic should a cell ever
-    hold more than one row).  Missing cells are NULL.  Output column
-    names come from ``name(stem, slot)``.
+    ``values`` maps output stem -> source column.  A cell is one row: with
+    ``on_duplicate="fail"`` two rows for a cell, or a slot outside ``slots``,
+    raise (one aggregate job); with ``"first"`` the cell takes the whole row that
+    comes first in the order of all value columns, never columns of several;
+    ``"unique"`` states that the caller has numbered the rows of a key.
+    Missing cells are NULL.  Output column names come from ``name(stem, slot)``.
     """
+    if on_duplicate == "fail":
+        bad = df.groupBy(*keys, slot_col).agg(F.count(F.lit(1)).alias("_n"))
+        bad = bad.filter((F.col("_n") > 1) | ~F.coalesce(F.col(slot_col).isin(*slots), F.lit(False)))
+        if n := bad.count():
+            raise ValueError(f"{n} cells of {[*keys, slot_col]} are filled twice or lie outside the slots")
+    elif on_duplicate == "first":
+        df = keep_first(df, [*keys, slot_col], list(values.values()))
+    elif on_duplicate != "unique":
+        raise ValueError(f"on_duplicate: {on_duplicate}")
     aggs = [F.max(F.col(src)).alias(stem) for stem, src in values.items()]
     wide = df.groupBy(*keys).pivot(slot_col, list(slots)).agg(*aggs)
     renames = {}
@@ -53,12 +67,12 @@ def union_all(dfs: Sequence[DataFrame], allow_missing: bool = True) -> DataFrame
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), dfs)
 
 
-def harmonise(df: DataFrame, mapping: dict[str, str | None], types: dict[str, str] | None = None) -> DataFrame:
-    """Select ``source AS target`` for each target; ``None`` source -> typed NULL."""
+def harmonise(df: DataFrame, mapping: dict[str, str | int | None], types: dict[str, str] | None = None) -> DataFrame:
+    """Select ``source AS target`` for each target; a number is a literal, ``None`` a typed NULL."""
     types = types or {}
     cols: list[Column] = []
     for target, source in mapping.items():
         t = types.get(target, "string")
-        c = F.lit(None).cast(t) if source is None else F.col(source).cast(t)
+        c = F.col(source).cast(t) if isinstance(source, str) else F.lit(source).cast(t)
         cols.append(c.alias(target))
     return df.select(*cols)

@@ -63,15 +63,17 @@ def asof_latest(
     on: Sequence[str],
     left_bound: Column,
     right_time: str,
+    left_id: Sequence[str],
     tie_break: Sequence[OrderKey] = (),
 ) -> DataFrame:
     """Backward as-of join: for each left row, the right row with the latest
     ``right_time`` not after ``left_bound`` (equi keys ``on``); left rows with
-    no match are dropped (inner semantics).
+    no match are dropped (inner semantics).  ``left_id`` names the columns that
+    tell left rows apart.
     """
     j = left.join(right, list(on)).filter(F.col(right_time) <= left_bound)
     order = [F.col(right_time).desc_nulls_last(), *_order(tie_break)]
-    return keep_first(j, list(on), order)
+    return keep_first(j, list(left_id), order)
 
 
 def rank_skew_safe(df: DataFrame, keys: Sequence[str], order: Sequence[OrderKey], rank_col: str,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import DATE_SENTINELS, clean_date, months_diff, parse_mmyyyy, parse_year_month
 from ..functions.values import count_non_null, decode, flag, in_range_or_null, nullif_empty, nullif_in
 from ..operators.link import full_merge
-from ..operators.select import keep_first
+from ..operators.select import first_value_by, keep_first
 
 DATE_FIELDS = ["admidate", "disdate", "epiend", "epistart"]
 # earliest episode first; unique by epikey
@@ -34,7 +34,7 @@ def birth_information(infant_records: DataFrame, links: DataFrame) -> DataFrame:
     none get their first record (``bi_valid`` = 0).  FULL JOIN with the
     mother-baby links (which are not deduplicated).
 
-    One ``keep_first`` whose first key is "usable and near birth" replaces the
+    One aggregate whose first sort key is "usable and near birth" replaces the
     rank / filtered-rank / fallback-union chain.
     """
     d = _dated(infant_records).withColumns(
@@ -47,11 +47,13 @@ def birth_information(infant_records: DataFrame, links: DataFrame) -> DataFrame:
     d = d.withColumn("num_non_null", count_non_null(["birweit", "matage", "gestat"]))
     usable = F.col("num_non_null") > 0
     d = d.withColumn("_near", F.coalesce(usable & (F.abs(F.col("months_since_dob")) < 2), F.lit(False)))
-    counts = d.groupBy("token_person_id").agg(
-        F.sum(flag((F.col("months_since_dob") <= 95) & usable)).alias("bi_records_before_8yrs")
+    # one aggregate a person: the first record, near ones before others, and the count
+    fields = ["_near", "admidate", "episode_min_date", "gestat", "birweit", "matage", "sexbaby", "imd04_decile"]
+    best = d.groupBy("token_person_id").agg(
+        first_value_by(F.struct(*fields), [~F.col("_near"), *[F.col(c) for c in RECORD_ORDER]]).alias("_r"),
+        F.sum(flag((F.col("months_since_dob") <= 95) & usable)).alias("bi_records_before_8yrs"),
     )
-    best = keep_first(d, ["token_person_id"], [F.col("_near").desc(), *_order(RECORD_ORDER)])
-    bi = best.join(counts, "token_person_id").select(
+    bi = best.select("token_person_id", "bi_records_before_8yrs", "_r.*").select(
         "token_person_id",
         flag(F.col("_near")).alias("bi_valid"),
         F.col("admidate").alias("bi_admidate"),
@@ -123,12 +125,16 @@ def ethnicity_geo(infant_records: DataFrame) -> DataFrame:
     nearest = [F.abs(F.col("months_since_dob")).asc_nulls_last(), *_order(RECORD_ORDER)]
 
     with_eth = d.filter(F.col("ethnicity").isNotNull())
-    n_broad = with_eth.groupBy("token_person_id").agg(F.countDistinct("ethnicity_broad").alias("eth_ethnicity_broad_n"))
-    eth = keep_first(with_eth, ["token_person_id"], nearest).join(n_broad, "token_person_id").select(
+    seen = [F.max(flag(F.col("ethnicity_broad") == g)) for g in ETHNICITY_BROAD]  # one flag for each broad group
+    eth = with_eth.groupBy("token_person_id").agg(
+        first_value_by(F.struct("ethnicity_broad", "ethnicity_coding_system", "months_since_dob"),
+                       [F.abs(F.col("months_since_dob")), *[F.col(c) for c in RECORD_ORDER]]).alias("_r"),
+        sum(seen[1:], seen[0]).cast("long").alias("eth_ethnicity_broad_n"),
+    ).select(
         "token_person_id",
-        F.col("ethnicity_broad").alias("eth_ethnicity_broad"),
-        F.col("ethnicity_coding_system").alias("eth_ethnicity_coding_system"),
-        F.col("months_since_dob").alias("eth_months_since_dob"),
+        F.col("_r.ethnicity_broad").alias("eth_ethnicity_broad"),
+        F.col("_r.ethnicity_coding_system").alias("eth_ethnicity_coding_system"),
+        F.col("_r.months_since_dob").alias("eth_months_since_dob"),
         "eth_ethnicity_broad_n",
     )
     geo = keep_first(d.filter(F.col("msoa01").isNotNull()), ["token_person_id"], nearest).select(

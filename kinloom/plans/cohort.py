@@ -43,6 +43,11 @@ SCHOOL_YEAR_BREAKS = [float("-inf"), 2, 6, 11, float("inf")]
 COHORT_DOB_FROM, COHORT_DOB_TO = "1997-04-01", "2023-04-01"
 
 
+def _spread(key: str, by: str) -> Column:
+    """``key``, or where it is NULL a value that equals no id and differs from row to row."""
+    return F.coalesce(F.col(key), F.concat(F.lit("\u0000"), F.col(by)))
+
+
 def assemble(
     birth_cohort: DataFrame,
     birth_info: DataFrame,
@@ -72,12 +77,19 @@ def assemble(
         F.col("mi_mdel_my").alias("mb_mdel_my"),
         *MOTHER_FIELDS,
     )
-    # the NULL-key rows of the links never match (SQL equality), as in a plain join
-    out = out.join(mi, ["mb_token_person_id_mother", "mb_mdel_my"], "left")
-    out = out.withColumnsRenamed({p: "nhs_id", "mb_token_person_id_mother": "mb_nhs_id_mother"})
+    # rows without a mother or a pupil id match nothing; a key made of their
+    # person id, which no id starts like, spreads them over the tasks that a
+    # NULL key would send to one
+    out = out.withColumn("_mother", _spread("mb_token_person_id_mother", p))
+    mi = mi.withColumnsRenamed({"mb_token_person_id_mother": "_mother", "mb_mdel_my": "_month"})
+    mi = mi.filter(F.col("_mother").isNotNull() & F.col("_month").isNotNull())
+    out = out.join(mi, [out["_mother"] == mi["_mother"], out["mb_mdel_my"] == mi["_month"]], "left")
+    out = out.drop("_mother", "_month").withColumnsRenamed({p: "nhs_id", "mb_token_person_id_mother": "mb_nhs_id_mother"})
     # pupil-keyed joins last, again sharing one partitioning of the left side
-    out = out.join(sen_absence_wide.select("dfe_id", *senabs_fields), "dfe_id", "left")
-    return out.join(education.select("dfe_id", *KS_FIELDS), "dfe_id", "left")
+    out = out.withColumn("_pupil", _spread("dfe_id", "nhs_id"))
+    for features in (sen_absence_wide.select("dfe_id", *senabs_fields), education.select("dfe_id", *KS_FIELDS)):
+        out = out.join(features.withColumnRenamed("dfe_id", "_pupil"), "_pupil", "left")
+    return out.drop("_pupil")
 
 
 def _england(resgor: Column, cr: Column) -> Column:

@@ -51,10 +51,16 @@ class Sources:
     ks5_b: Loader | None = None
 
 
-def cohort_stages(spark: SparkSession, src: Sources) -> dict[str, Stage]:
+def cohort_stages(spark: SparkSession, src: Sources, on_bad: str = "fail") -> dict[str, Stage]:
     """Named stages in dependency order.  Stages read by several later stages
     (or large) are written; ``write=False`` stages are cheap or read once and
-    are planned into their consumer instead of being stored."""
+    are planned into their consumer instead of being stored.
+
+    ``on_bad="fail"`` stops on coded diagnoses without any date and on
+    pupil-years with two rows; ``"report"`` leaves the former out (their count
+    is the stage ``undated``) and keeps one whole row of the latter (their count
+    is the stage ``repeated_pupil_years``)."""
+    on_duplicate = {"fail": "fail", "report": "first"}[on_bad]
 
     def raw(loader: Loader) -> Stage:
         return Stage(loader, (), write=False)
@@ -64,7 +70,7 @@ def cohort_stages(spark: SparkSession, src: Sources) -> dict[str, Stage]:
         "episodes": Stage(src.episodes, ()),
         "births": raw(src.civil_births),
         "deaths": raw(src.civil_deaths),
-        "notifications_raw": raw(src.birth_notifications),
+        "notifications_raw": Stage(src.birth_notifications, (), write=False, unique=("TOKEN_PERSON_ID",)),
         "bridging": raw(src.bridging),
         "links": raw(src.mother_baby_links),
         # hospital side
@@ -78,16 +84,22 @@ def cohort_stages(spark: SparkSession, src: Sources) -> dict[str, Stage]:
             ("infants",)),
         "anchored": Stage(lambda f: BC.timeline_anchor(f, with_record_order=False), ("flagged",), write=False),
         "timeline": Stage(BC.timeline_anchor, ("flagged",), write=False),
-        "summary": Stage(BC.person_summary, ("anchored",), write=False),
+        "summary": Stage(BC.person_summary, ("anchored",), write=False, unique=("token_person_id",)),
         "registrations": Stage(registrations_summary, ("births", "deaths"), write=False),
         "ids": Stage(id_lookup, ("bridging",), write=False),
         "notifications": Stage(birth_notifications, ("notifications_raw",), write=False),
         "birth_cohort": Stage(BC.birth_cohort, ("summary", "registrations", "notifications", "ids")),
-        "cancer": Stage(lambda d: FD.first_cancer_slots(d, C.cancer_codes(spark)), ("primary_diagnoses",)),
+        "cancer": Stage(lambda d: FD.first_cancer_slots(d, C.cancer_codes(spark), on_bad), ("primary_diagnoses",)),
         # only codes whose stem can match the congenital list are unpivoted
         "congenital_candidates": Stage(
             lambda e: diagnoses_long(e, stems=C.stems(C.congenital_code_rows())), ("episodes",), write=False),
-        "congenital": Stage(lambda d: FD.first_congenital(d, C.congenital_codes(spark)), ("congenital_candidates",)),
+        "congenital": Stage(lambda d: FD.first_congenital(d, C.congenital_codes(spark), on_bad), ("congenital_candidates",)),
+        # what the explicit choice to report, not to stop, leaves out
+        "undated": Stage(
+            lambda p, c: FD.missing_all_dates(p, C.cancer_codes(spark), C.congenital_codes(spark), c),
+            ("primary_diagnoses", "congenital_candidates")),
+        "unparseable_dates": Stage(FD.unparseable_dates, ("primary_diagnoses",)),
+        "repeated_pupil_years": Stage(ED.repeated_pupil_years, ("sen_long",)),
         "mothers": Stage(mothers_delivery_episode, ("links", "episodes")),
         "birth_info": Stage(birth_information, ("infants", "links")),
         "eth_geo": Stage(ethnicity_geo, ("infants",)),
@@ -110,7 +122,7 @@ def cohort_stages(spark: SparkSession, src: Sources) -> dict[str, Stage]:
         "education": Stage(ED.education_combined, ("pupils", "ks1_census", "ks1", "ks2", "ks4", "ks5")),
         "sen": Stage(ED.sen_best_record, ("census",), write=False),
         "sen_long": Stage(ED.sen_absence_long, ("pupils", "sen", "absence")),
-        "sen_wide": Stage(ED.sen_absence_wide, ("sen_long",)),
+        "sen_wide": Stage(lambda d: ED.sen_absence_wide(d, on_duplicate), ("sen_long",)),
         "cohort": Stage(
             lambda *dfs: CO.with_eligibility(CO.derive(CO.assemble(*dfs, SENABS_FIELDS))),
             ("birth_cohort", "birth_info", "mothers", "eth_geo", "cancer", "congenital", "sen_wide", "education"),
@@ -118,12 +130,21 @@ def cohort_stages(spark: SparkSession, src: Sources) -> dict[str, Stage]:
     }
 
 
+# Outputs of a run; what they need is built with them.
+OUTPUTS = ["cohort", "diagnoses", "undated", "unparseable_dates", "repeated_pupil_years"]
+
+
 def run_cohort(spark: SparkSession, src: Sources, workdir: str, export_dir: str | None = None,
-               resume: bool = True) -> dict[str, DataFrame]:
-    """Build every stage under ``workdir`` (skipping stages already written
-    when ``resume``), then export the cohort as CSV with a metadata sidecar."""
-    p = Pipeline(spark, cohort_stages(spark, src), workdir=workdir, resume=resume)
-    out = p.run()
+               resume: bool = False, on_bad: str = "fail", targets: list[str] | None = None) -> dict[str, DataFrame]:
+    """Build the outputs under ``workdir``, then export the cohort as CSV with a
+    metadata sidecar.
+
+    ``resume`` reads stages back that were written from the same sources,
+    parameters and code.  ``on_bad="fail"`` (see ``cohort_stages``) also stops
+    on persons with two summary or notification rows."""
+    p = Pipeline(spark, cohort_stages(spark, src, on_bad), workdir=workdir, resume=resume,
+                 check_unique=on_bad == "fail", params=(on_bad,))
+    out = p.run(targets or OUTPUTS)
     if export_dir is not None:
-        write_with_metadata(out["cohort"], export_dir)
+        write_with_metadata(p.get("cohort"), export_dir)
     return out

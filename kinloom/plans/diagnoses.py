@@ -10,6 +10,11 @@ from ..operators.reshape import unpivot_positions
 DIAG_FIELDS = [f"diag_{k:02d}" for k in range(1, 21)] + ["cause"]
 EPISODE_ID_FIELDS = ["token_person_id", "epikey", "admidate", "epistart", "epiend", "disdate", "epiorder", "startage"]
 
+DIAGNOSES_SCHEMA = (
+    ", ".join(f"{c} string" for c in EPISODE_ID_FIELDS)
+    + ", diagnostic_position int, diagnosis string, diagnosis_3char string, reporting_year_start int"
+)
+
 
 def diagnoses_long(episodes: DataFrame, positions: list[int] | None = None,
                    stems: set[str] | None = None) -> DataFrame:

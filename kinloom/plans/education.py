@@ -6,12 +6,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import academic_year_start, school_start_year
 from ..functions.values import decode, flag, is_in, ordinal_label, ordinal_rank, sum_na_rm
 from ..operators.link import full_merge
+from ..operators.quality import duplicate_keys
 from ..operators.reshape import harmonise, pivot_slots, union_all
 from ..operators.select import keep_first
 from ..sources import mappings as M
@@ -25,15 +26,7 @@ def census_harmonised(tables: Mapping[int, DataFrame]) -> DataFrame:
     for year, df in tables.items():
         mapping = M.census_mapping(year)
         types = {t: ("int" if t in M.CENSUS_INT_TARGETS else "string") for t in mapping}
-        cols = []
-        for target, source in mapping.items():
-            if isinstance(source, int):
-                cols.append(F.lit(source).cast(types[target]).alias(target))
-            elif source is None:
-                cols.append(F.lit(None).cast(types[target]).alias(target))
-            else:
-                cols.append(F.col(source).cast(types[target]).alias(target))
-        parts.append(df.select(*cols))
+        parts.append(harmonise(df, mapping, types))
     return union_all(parts)
 
 
@@ -97,6 +90,11 @@ def _tie_break(cols: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in cols]
 
 
+def _missing_first(cols: Sequence[str]) -> list[Column]:
+    """Parts of a struct that sorts ascending with missing values first."""
+    return [p for c in cols for p in (F.col(c).isNotNull(), F.col(c))]
+
+
 def ks1_census_presence(census: DataFrame) -> DataFrame:
     """Pupil-years recorded in school year group 2 (from 2003/2004)."""
     return census.filter(
@@ -106,6 +104,7 @@ def ks1_census_presence(census: DataFrame) -> DataFrame:
     ).distinct()
 
 
+# Exam extract field names and their target names.
 KS1_COLUMNS = {
     "KS1_PupilMatchingRefAnonymous": "dfe_id", "ks1_laestab_anon": "ks1_school_id",
     "KS1_ToE_CODE": "ks1_school_type_edubase", "KS1_NFTYPE": "ks1_school_type_aat", "KS1_GENDER": "ks1_gender",
@@ -137,6 +136,7 @@ def ks1_best(ks1: DataFrame) -> DataFrame:
     return best.unionByName(d.filter(F.col("ks1_academic_year_start") > 2004))
 
 
+# Exam extract field names and their target names.
 KS2_COLUMNS = {
     "KS2_PupilMatchingRefAnonymous": "dfe_id", "ks2_laestab_anon": "ks2_school_id",
     "KS2_ToE_CODE": "ks2_school_type_edubase", "KS2_NFTYPE": "ks2_school_type_aat", "KS2_GENDER": "ks2_gender",
@@ -256,22 +256,19 @@ def ks5_best(ks5_a: DataFrame, ks5_b: DataFrame) -> DataFrame:
     )
     d = a.unionByName(b)
     keys = ["dfe_id", "ks5_academic_year_start"]
-    order = [
-        F.col("ks5_total_points").desc_nulls_first(),
-        F.col("ks5_alevel_maths_grade").asc_nulls_first(),
-        F.col("ks5_aslevel_maths_grade").asc_nulls_first(),
-        *_tie_break(d.columns),
-    ]
-    best = keep_first(d, keys, order).drop("ks5_aslevel_maths_grade", "ks5_alevel_maths_grade")
-    grades = d.groupBy(*keys).agg(
+    # one aggregate a pupil-year: the record with the most points (missing points
+    # and grades first), and the best grades over all of its records
+    kept = [c for c in d.columns if c not in ("ks5_aslevel_maths_grade", "ks5_alevel_maths_grade")]
+    points = F.col("ks5_total_points")
+    order = F.struct(points.isNotNull(), -points, *_missing_first(
+        ["ks5_alevel_maths_grade", "ks5_aslevel_maths_grade", *d.columns]))
+    best = d.groupBy(*keys).agg(
+        F.min_by(F.struct(*[c for c in kept if c not in keys]), order).alias("_r"),
         F.min(ordinal_rank("ks5_aslevel_maths_grade", KS5_GRADES)).alias("_as"),
         F.min(ordinal_rank("ks5_alevel_maths_grade", KS5_GRADES)).alias("_a"),
     )
-    # keys may be NULL (a pupil-year without id); match them NULL-to-NULL
-    b, g = best.alias("b"), grades.alias("g")
-    j = b.join(g, [F.col(f"b.{k}").eqNullSafe(F.col(f"g.{k}")) for k in keys])
-    return j.select(
-        *[F.col(f"b.{c}") for c in best.columns],
+    return best.select(
+        *[c if c in keys else F.col(f"_r.{c}").alias(c) for c in kept],
         ordinal_label("_as", KS5_GRADES).alias("ks5_aslevel_maths_grade"),
         ordinal_label("_a", KS5_GRADES).alias("ks5_alevel_maths_grade"),
     )
@@ -302,10 +299,14 @@ def education_combined(pupils: DataFrame, ks1_census: DataFrame, ks1: DataFrame,
         latest_by_expected_year(pupils, ks4, "ks4_academic_year_start", KS_OFFSETS["ks4"]),
         latest_by_expected_year(pupils, ks5, "ks5_academic_year_start", KS_OFFSETS["ks5"]),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = full_merge(out, p, ["dfe_id"])
-    return out
+    # each part has one row a pupil: one shuffle of their union instead of a
+    # chain of full joins
+    tagged = [p.select("dfe_id", F.struct(*[c for c in p.columns if c != "dfe_id"]).alias(f"_p{i}"))
+              for i, p in enumerate(parts)]
+    merged = union_all(tagged).groupBy("dfe_id").agg(
+        *[F.first(f"_p{i}", ignorenulls=True).alias(f"_p{i}") for i in range(len(parts))])
+    return merged.select("dfe_id", *[F.col(f"_p{i}.{c}").alias(c)
+                                     for i, p in enumerate(parts) for c in p.columns if c != "dfe_id"])
 
 
 # --------------------------------------------------------------------------- SEN and absence
@@ -331,65 +332,75 @@ def sen_best_record(census: DataFrame) -> DataFrame:
         decode("census_enrol_status", ENROL_ORDER).alias("_enrol"),
     )
     keys = ["dfe_id", "academic_year_start"]
-    spi = d.groupBy(*keys).agg(
-        F.max(flag(F.col("census_special_provision_indicator").isin("1"))).alias("sen_any_special_provision")
-    )
-    best = keep_first(
-        d, keys,
-        [F.col("_sen").desc_nulls_last(), F.col("census_record_status").asc_nulls_first(),
-         F.col("_enrol").asc_nulls_last(),
-         *_tie_break(["census_SEN_status", "census_NC_year_actual", "census_SEN_primary_type",
-                      "census_SEN_secondary_type"])],
+    # severity: greatest first, missing last
+    order = F.struct(F.col("_sen").isNull(), -F.col("_sen"), *_missing_first(["census_record_status"]),
+                     F.col("_enrol").isNull(), F.col("_enrol"),
+                     *_missing_first(["census_SEN_status", "census_NC_year_actual", "census_SEN_primary_type",
+                                      "census_SEN_secondary_type"]))
+    best = d.groupBy(*keys).agg(
+        F.min_by(F.struct("census_NC_year_actual", "census_SEN_status", "census_SEN_primary_type",
+                          "census_SEN_secondary_type"), order).alias("_r"),
+        F.max(flag(F.col("census_special_provision_indicator").isin("1"))).alias("_special"),
     )
-    return best.join(spi, keys, "left").select(
-        "dfe_id", "academic_year_start",
-        F.col("census_NC_year_actual").alias("sen_NC_year_actual"),
-        F.col("census_SEN_status").alias("sen_status"),
-        F.col("census_SEN_primary_type").alias("sen_primary_type"),
-        F.col("census_SEN_secondary_type").alias("sen_secondary_type"),
-        "sen_any_special_provision",
+    known = F.col("dfe_id").isNotNull() & F.col("academic_year_start").isNotNull()
+    return best.select(
+        *keys,
+        F.col("_r.census_NC_year_actual").alias("sen_NC_year_actual"),
+        F.col("_r.census_SEN_status").alias("sen_status"),
+        F.col("_r.census_SEN_primary_type").alias("sen_primary_type"),
+        F.col("_r.census_SEN_secondary_type").alias("sen_secondary_type"),
+        F.when(known, F.col("_special")).alias("sen_any_special_provision"),
     )
 
 
 def sen_absence_long(pupils: DataFrame, sen: DataFrame, absence: DataFrame) -> DataFrame:
     """SEN and absence per cohort pupil-year (FULL JOIN, keys coalesced),
     duplicate pupil-years repaired by pairing their SEN-only and absence-only
-    rows, restricted to nominal years Y-2..Y13."""
+    rows, restricted to nominal years Y-2..Y13.
+
+    ``sen`` and ``absence`` have one row a pupil-year, so only a pupil id that
+    occurs several times in ``pupils`` repeats a pupil-year.  ``_k`` counts a
+    pupil id's rows and ``_m`` those of the same start year; with them the
+    repair is a rule on the row of a single join.  Of a repeated pupil-year
+
+    * a row with one side only stays; without a school year it is both the
+      SEN-only and the absence-only row of its start year, and each pairs with
+      each (``_m`` rows instead of one);
+    * a row with both sides stays as absence only if it has no school year, and
+      goes otherwise.
+    """
     keys = ["dfe_id", "academic_year_start"]
-    s = pupils.join(sen, "dfe_id").select(*keys, "school_start_year", *SEN_VALUES)
-    a = pupils.join(absence.withColumnRenamed("abs_academic_year_start", "academic_year_start"), "dfe_id").select(
-        *keys, "school_start_year", *ABS_VALUES
-    )
-    s = s.withColumnRenamed("school_start_year", "_ssy_s")
-    a = a.withColumnRenamed("school_start_year", "_ssy_a")
-    j = full_merge(s, a, keys).select(
+    counts = {"_k": Window.partitionBy("dfe_id"), "_m": Window.partitionBy("dfe_id", "school_start_year")}
+    p = pupils.withColumns({c: F.count(F.lit(1)).over(w) for c, w in counts.items()})
+    p = p.withColumnRenamed("school_start_year", "_ssy").select("dfe_id", F.struct("_ssy", "_k", "_m").alias("_p"))
+    # a pupil-year without a year has no nominal year
+    s = p.join(sen.filter(F.col("academic_year_start").isNotNull()), "dfe_id")
+    s = s.select(*keys, F.col("_p").alias("_ps"), *SEN_VALUES)
+    a = p.join(absence.filter(F.col("abs_academic_year_start").isNotNull()), "dfe_id")
+    a = a.select("dfe_id", F.col("abs_academic_year_start").alias("academic_year_start"), F.col("_p").alias("_pa"),
+                 *ABS_VALUES)
+    j = full_merge(s, a, keys).withColumn("_p", F.coalesce("_ps", "_pa"))
+    ssy = F.coalesce(F.col("_ps._ssy"), F.col("_pa._ssy"))
+    single = F.col("_p._k") == 1
+    no_absence, no_year = F.col("abs_records").isNull(), F.col("sen_NC_year_actual").isNull()
+    j = j.withColumn("_ssy", ssy).filter(single | no_absence | no_year)
+    both = ~single & F.col("_ps").isNotNull() & F.col("_pa").isNotNull()
+    paired = ~single & no_absence & no_year
+    times = F.explode(F.sequence(F.lit(1), F.when(paired, F.col("_p._m")).otherwise(F.lit(1)).cast("int"))).alias("_t")
+    nominal = F.col("academic_year_start") - F.col("_ssy")
+    j = j.withColumn("_nominal", nominal).filter((F.col("_nominal") > -3) & (F.col("_nominal") < 14))
+    return j.select(
         "dfe_id",
+        F.concat(F.lit("Y"), F.format_string("%02d", F.col("_nominal"))).alias("senabs_school_year_nominal"),
         F.col("academic_year_start").alias("senabs_academic_year_start"),
-        F.coalesce("_ssy_s", "_ssy_a").alias("senabs_school_start_year"),
-        *SEN_VALUES, *ABS_VALUES,
-    )
-    k2 = ["dfe_id", "senabs_academic_year_start"]
-    counts = j.groupBy(*k2).agg(F.count(F.lit(1)).alias("_n")).alias("n")
-    jj = j.alias("j")
-    j = jj.join(counts, [F.col(f"j.{k}").eqNullSafe(F.col(f"n.{k}")) for k in k2]).select("j.*", "n._n")
-    single = j.filter(F.col("_n") == 1).drop("_n")
-    dup = j.filter(F.col("_n") > 1)
-    common = ["dfe_id", "senabs_academic_year_start", "senabs_school_start_year"]
-    sen_side = dup.filter(F.col("abs_records").isNull()).select(*common, *SEN_VALUES).alias("s")
-    abs_side = dup.filter(F.col("sen_NC_year_actual").isNull()).select(*common, *ABS_VALUES).alias("a")
-    on = [F.col(f"s.{c}").eqNullSafe(F.col(f"a.{c}")) for c in common]
-    repaired = sen_side.join(abs_side, on, "full").select(
-        *[F.coalesce(F.col(f"s.{c}"), F.col(f"a.{c}")).alias(c) for c in common],
-        *[F.col(f"s.{c}") for c in SEN_VALUES], *[F.col(f"a.{c}") for c in ABS_VALUES],
-    )
-    out = single.unionByName(repaired)
-    nominal = F.col("senabs_academic_year_start") - F.col("senabs_school_start_year")
-    out = out.filter((nominal > -3) & (nominal < 14))
-    return out.select(
-        "dfe_id",
-        F.concat(F.lit("Y"), F.format_string("%02d", nominal)).alias("senabs_school_year_nominal"),
-        "senabs_academic_year_start", *SEN_VALUES, *ABS_VALUES,
-    )
+        *[F.when(~both, F.col(c)).alias(c) for c in SEN_VALUES], *ABS_VALUES, times,
+    ).drop("_t")
+
+
+def repeated_pupil_years(long: DataFrame) -> DataFrame:
+    """How many pupil-years have more than one row."""
+    return duplicate_keys(long, ["dfe_id", "senabs_academic_year_start"]).agg(
+        F.count(F.lit(1)).alias("repeated_pupil_years"))
 
 
 SENABS_VARIABLES = ["senabs_academic_year_start", *SEN_VALUES, *ABS_VALUES]
@@ -399,10 +410,13 @@ def nominal_label(n: int) -> str:
     return f"Y{n:02d}"
 
 
-def sen_absence_wide(long: DataFrame) -> DataFrame:
-    """One row per pupil, ``<variable>_Y<nn>`` for 15 variables x Y-2..Y13."""
+def sen_absence_wide(long: DataFrame, on_duplicate: str = "fail") -> DataFrame:
+    """One row per pupil, ``<variable>_Y<nn>`` for 15 variables x Y-2..Y13.
+
+    A pupil-year with two rows stops the run, or (``"first"``) gives the whole
+    row that is first in the order of its values."""
     labels = [nominal_label(n) for n in NOMINAL_YEARS]
     return pivot_slots(
         long, ["dfe_id"], "senabs_school_year_nominal", labels, {v: v for v in SENABS_VARIABLES},
-        name=lambda stem, lab: f"{stem}_{lab}",
+        name=lambda stem, lab: f"{stem}_{lab}", on_duplicate=on_duplicate,
     )

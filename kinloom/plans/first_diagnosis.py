@@ -24,8 +24,11 @@ def _with_dates(df: DataFrame) -> DataFrame:
 
 
 def _missing_guard(dx: DataFrame, on_missing: str) -> DataFrame:
-    """Rows lacking all four dates: ``fail`` raises, ``report`` leaves them
-    out (``missing_all_dates`` counts them)."""
+    """Rows lacking all four dates: ``fail`` raises; ``report``, an explicit
+    choice, leaves them out and the pipeline writes their count beside the
+    stage (``missing_all_dates``)."""
+    if on_missing not in ("fail", "report"):
+        raise ValueError(f"on_missing: {on_missing}")
     if on_missing == "fail":
         n = dx.filter(F.col("min_date").isNull()).count()
         if n:
@@ -43,7 +46,7 @@ def cancer_diagnoses(diagnoses: DataFrame, codes: DataFrame) -> DataFrame:
     )
 
 
-def first_cancer_slots(diagnoses: DataFrame, codes: DataFrame, on_missing: str = "report") -> DataFrame:
+def first_cancer_slots(diagnoses: DataFrame, codes: DataFrame, on_missing: str = "fail") -> DataFrame:
     """Per person, up to four cancer groups ordered by first diagnosis date.
 
     Per person and group: earliest admission date; it is replaced by the
@@ -78,6 +81,7 @@ def first_cancer_slots(diagnoses: DataFrame, codes: DataFrame, on_missing: str =
             "earliest_diagnosis_problematic": "problematic",
         },
         name=lambda stem, n: f"cancer_{stem}_{n}",
+        on_duplicate="unique",  # diagnosis_order numbers a person's groups, of which the list has as many as slots
     )
 
 
@@ -89,7 +93,7 @@ def congenital_diagnoses(diagnoses: DataFrame, codes: DataFrame) -> DataFrame:
     )
 
 
-def first_congenital(diagnoses: DataFrame, codes: DataFrame, on_missing: str = "report") -> DataFrame:
+def first_congenital(diagnoses: DataFrame, codes: DataFrame, on_missing: str = "fail") -> DataFrame:
     """Per person, first date of each congenital group (``ca_<group>``).
 
     ``other`` becomes the earliest of other / Down syndrome /
@@ -105,10 +109,26 @@ def first_congenital(diagnoses: DataFrame, codes: DataFrame, on_missing: str = "
     return wide.withColumnsRenamed({g: f"ca_{g}" for g in C.CONGENITAL_GROUPS})
 
 
-def missing_all_dates(diagnoses: DataFrame, cancer_codes: DataFrame, congenital_codes: DataFrame) -> DataFrame:
-    """Counts of coded rows that lack all four dates (the stage guards)."""
+def missing_all_dates(diagnoses: DataFrame, cancer_codes: DataFrame, congenital_codes: DataFrame,
+                      congenital_candidates: DataFrame | None = None) -> DataFrame:
+    """Counts of coded rows that lack all four dates (the stage guards).
+
+    ``congenital_candidates`` replaces ``diagnoses`` for the congenital list."""
     ca = count_where(cancer_diagnoses(diagnoses, cancer_codes), F.col("min_date").isNull())
-    co = count_where(congenital_diagnoses(diagnoses, congenital_codes), F.col("min_date").isNull())
+    candidates = diagnoses if congenital_candidates is None else congenital_candidates
+    co = count_where(congenital_diagnoses(candidates, congenital_codes), F.col("min_date").isNull())
     return ca.select(F.lit("cancer").alias("dataset"), F.col("n").alias("missing_all_dates")).unionByName(
         co.select(F.lit("congenital").alias("dataset"), F.col("n").alias("missing_all_dates"))
     )
+
+
+def unparseable_dates(diagnoses: DataFrame) -> DataFrame:
+    """Per date field, how many diagnosis rows hold a text that is neither a
+    date nor one of the stated placeholders (it would become NULL)."""
+    counts = []
+    for c in DATE_FIELDS:
+        text = F.col(c).isNotNull() & ~F.col(c).isin(*STRICT_DATE_SENTINELS)
+        counts.append(F.count_if(text & clean_date(c, sentinels=STRICT_DATE_SENTINELS).isNull()).alias(c))
+    one = diagnoses.agg(*counts)
+    pairs = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("unparseable")) for c in DATE_FIELDS])
+    return one.select(F.inline(pairs))

@@ -6,7 +6,10 @@ Each stage is a DataFrame -> DataFrame function of earlier stages.  With a
 * each stage is planned on its own (small plans instead of one giant tree),
 * lineage is cut at stage boundaries: a lost executor recomputes from the
   last written stage, not from the raw extracts,
-* stages already present in ``workdir`` are skipped (``resume=True``).
+* a stage may name keys that must be unique, and the run stops if they are not,
+* with ``resume=True`` a stage that was written from the same inputs is read
+  back: its fingerprint (code of the stage, parameters, and the fingerprints or
+  files of what it reads) is stored beside it and compared.
 
 ``workdir`` must be a folder every executor can reach: by default a run folder
 under the session's ``spark.checkpoint.dir``.
@@ -14,12 +17,14 @@ under the session's ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.quality import assert_unique
 from ..session import ensure_checkpoint_dir
 from ..sources.io import write_partitioned
 
@@ -30,6 +35,7 @@ class Stage:
     deps: tuple[str, ...]
     write: bool = True
     partition_by: str | None = None  # hive-partition the written output
+    unique: tuple[str, ...] = ()  # keys that no two rows may share
 
 
 @dataclass
@@ -38,13 +44,47 @@ class Pipeline:
     stages: dict[str, Stage]
     workdir: str | None = None
     resume: bool = False
+    check_unique: bool = True
+    params: tuple = ()  # whatever else the stages were built from
     _done: dict[str, DataFrame] = field(default_factory=dict)
+    _marks: dict[str, str] = field(default_factory=dict)
 
-    def _exists(self, path: str) -> bool:
+    def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
         hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
+        return hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+    def _stored_mark(self, path: str) -> str | None:
+        """The fingerprint of a stage that was written to its end."""
+        fs, hpath = self._fs(f"{path}/_SUCCESS")
+        if not fs.exists(hpath):
+            return None
+        marks = self.spark.read.text(f"{path}.mark").collect() if fs.exists(self._fs(f"{path}.mark")[1]) else []
+        return marks[0][0] if marks else None
+
+    def fingerprint(self, name: str) -> str:
+        """Of the stage's code, the parameters, and all that it reads.
+
+        A stage without dependencies reads sources: their plan and their files
+        (name, size and time of change) stand for them.
+        """
+        if name not in self._marks:
+            stage = self.stages[name]
+            code = getattr(stage.fn, "__code__", None)
+            parts = [name, repr(self.params), getattr(stage.fn, "__qualname__", repr(stage.fn)), repr(code and code.co_code), repr(stage.partition_by)]
+            parts += [self.fingerprint(d) for d in stage.deps]
+            if not stage.deps:
+                parts += self._source_marks(stage.fn())
+            self._marks[name] = hashlib.sha256("\n".join(parts).encode()).hexdigest()
+        return self._marks[name]
+
+    def _source_marks(self, df: DataFrame) -> list[str]:
+        out = [",".join(f"{f.name}:{f.dataType.simpleString()}" for f in df.schema.fields)]
+        for path in sorted(df.inputFiles()):
+            fs, hpath = self._fs(path)
+            status = fs.getFileStatus(hpath)
+            out.append(f"{path}:{status.getLen()}:{status.getModificationTime()}")
+        return out
 
     def get(self, name: str) -> DataFrame:
         if name in self._done:
@@ -52,25 +92,36 @@ class Pipeline:
         stage = self.stages[name]
         if self.workdir is not None and stage.write:
             path = f"{self.workdir.rstrip('/')}/{name}"
-            if not (self.resume and self._exists(path)):
+            mark = self.fingerprint(name) if self.resume else None
+            if mark is None or self._stored_mark(path) != mark:
                 df = stage.fn(*[self.get(d) for d in stage.deps])
                 if stage.partition_by:
                     write_partitioned(df, path, stage.partition_by)
                 else:
                     df.write.mode("overwrite").parquet(path)
+                marks = self.spark.createDataFrame([(mark or self.fingerprint(name),)], "value string")
+                marks.coalesce(1).write.mode("overwrite").text(f"{path}.mark")
             out = self.spark.read.parquet(path)
         else:
             out = stage.fn(*[self.get(d) for d in stage.deps])
+        if self.workdir is not None and stage.unique and self.check_unique:
+            assert_unique(out, stage.unique)
         self._done[name] = out
         return out
 
-    def run(self, targets: list[str] | None = None) -> dict[str, DataFrame]:
-        for name in targets or list(self.stages):
-            self.get(name)
-        return dict(self._done)
+    def run(self, targets: list[str]) -> dict[str, DataFrame]:
+        """Build the targets and whatever they need."""
+        return {name: self.get(name) for name in targets}
 
 
 def run_folder(spark: SparkSession, label: str = "run") -> str:
     """A fresh folder for one pipeline run under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
     return f"{root.rstrip('/')}/kinloom-{label}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a run folder that this application made."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)

@@ -10,6 +10,7 @@ checkpoint folder, as a production run would.
 
 from __future__ import annotations
 
+import atexit
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,10 +20,11 @@ from ..functions import codes as C
 from ..functions.values import suppress_small
 from ..operators import quality as Q
 from ..sources import fixtures as FX
-from ..sources.io import row_counts
+from ..sources.io import read_partitioned, row_counts
 from . import first_diagnosis as FD
 from . import cohort_pipeline as CP
-from .pipeline import Pipeline, Stage, run_folder
+from .diagnoses import DIAGNOSES_SCHEMA
+from .pipeline import Pipeline, Stage, remove_folder, run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,16 +32,36 @@ SENABS_FIELDS = CP.SENABS_FIELDS
 
 
 def cohort_stages(spark: SparkSession, sf: str) -> dict[str, Stage]:
-    """The cohort stage graph over the fixture sources at ``sf``."""
-    return CP.cohort_stages(spark, FX.fixture_sources(spark, sf))
+    """The cohort stage graph over the fixture sources at ``sf``.
+
+    The fixtures hold undated diagnoses and repeated pupil-years on purpose, so
+    the queries ask for a report instead of a stop."""
+    return CP.cohort_stages(spark, FX.fixture_sources(spark, sf), on_bad="report")
 
 
 def lazy(spark: SparkSession, sf: str) -> Pipeline:
     return Pipeline(spark, cohort_stages(spark, sf))
 
 
+_runs: dict[tuple[str, str], Pipeline] = {}
+
+
 def staged(spark: SparkSession, sf: str) -> Pipeline:
-    return Pipeline(spark, cohort_stages(spark, sf), workdir=run_folder(spark))
+    """The run that all staged queries of this session over ``sf`` share; its
+    folder is removed when the session's process ends."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _runs:
+        _runs[key] = Pipeline(spark, cohort_stages(spark, sf), workdir=run_folder(spark), check_unique=False)
+        atexit.register(end_run, spark, sf)
+    return _runs[key]
+
+
+def end_run(spark: SparkSession, sf: str) -> None:
+    """Forget a session's run over ``sf`` and remove its folder."""
+    sc = spark.sparkContext
+    run = _runs.pop((sc.applicationId, sf), None) if sc._jsc is not None else None
+    if run is not None:
+        remove_folder(spark, run.workdir)
 
 
 def _stage(name: str, materialise: bool = False, post: Callable[[DataFrame], DataFrame] | None = None) -> Query:
@@ -81,6 +103,18 @@ def q_dq_missing_all_dates(spark: SparkSession, sf: str) -> DataFrame:
     return FD.missing_all_dates(lazy(spark, sf).get("diagnoses"), C.cancer_codes(spark), C.congenital_codes(spark))
 
 
+def q_dq_unparseable_dates(spark: SparkSession, sf: str) -> DataFrame:
+    return FD.unparseable_dates(lazy(spark, sf).get("diagnoses"))
+
+
+def q_diagnoses_read_back(spark: SparkSession, sf: str) -> DataFrame:
+    """Recent years of the written diagnoses: only their folders are read."""
+    run = staged(spark, sf)
+    run.get("diagnoses")
+    back = read_partitioned(spark, f"{run.workdir}/diagnoses", DIAGNOSES_SCHEMA)
+    return back.filter(F.col("reporting_year_start") >= 2010)
+
+
 BAND_COLUMNS = [
     "nhs_id", "min_dob", "school_start_year", "cancer_earliest_diagnosis_1", "cancer_earliest_diagnosis_1_age",
     "cancer_earliest_diagnosis_1_age_cat", "cancer_earliest_diagnosis_1_school_year",
@@ -125,7 +159,7 @@ def q_dq_duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_dataset_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Row count of every source view whose name matches a theme keyword."""
-    return row_counts(FX.all_views(spark, sf), theme=r"census|absence|ks|civil|births|episodes")
+    return row_counts(FX.all_views(spark, sf), theme=r"census|absence|ks[0-9]|civil|births|episodes")
 
 
 QUERIES: dict[str, Query] = {
@@ -136,6 +170,8 @@ QUERIES: dict[str, Query] = {
     "congenital_diagnoses": q_congenital_diagnoses,
     "first_congenital": _stage("congenital"),
     "dq_missing_all_dates": q_dq_missing_all_dates,
+    "dq_unparseable_dates": q_dq_unparseable_dates,
+    "diagnoses_read_back": q_diagnoses_read_back,
     # persons
     "registrations_summary": _stage("registrations"),
     "id_lookup": _stage("ids"),

@@ -7,6 +7,7 @@ cluster did not name one (tests, local runs).
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -49,13 +50,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, setting a scratch one only when unset.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that value is
-    always respected.  A machine-local temporary folder is used only when the
-    session has none (local tests).
+    always respected.  A machine-local temporary folder is used only by a
+    local master that has none (tests); on a cluster the executors would not
+    see each other's files, so an unset folder is an error there.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir must name a folder shared by all executors (master {master})")
     path = tempfile.mkdtemp(prefix="kinloom-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

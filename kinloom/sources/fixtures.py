@@ -16,11 +16,14 @@ emits the same view as CTE text for the oracle.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 # ---------------------------------------------------------------------------
 # dialects
@@ -260,17 +263,27 @@ def _episode_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.selectExpr(*[f"{e} AS {c}" for c, e in _base_columns(SPARK)])
 
 
+_stored_dob: dict[tuple[str, str], str] = {}
+
+
 def person_dob(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(ck, dob, first_month): one row per customer that has any order line."""
-    base = _episode_base(spark, sf_dir)
-    return base.groupBy("ck").agg(
-        F.expr(_dob_expr(SPARK)).alias("dob"), F.expr(_first_month_expr(SPARK)).alias("first_month")
-    )
+    """(ck, dob, first_month): one row per customer that has any order line.
+
+    Every view needs it, so it is stored once for a session and a table folder.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored_dob:
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kinloom-dob-{uuid.uuid4().hex[:12]}"
+        _episode_base(spark, sf_dir).groupBy("ck").agg(
+            F.expr(_dob_expr(SPARK)).alias("dob"), F.expr(_first_month_expr(SPARK)).alias("first_month")
+        ).write.parquet(path)
+        _stored_dob[key] = path
+    return spark.read.schema("ck bigint, dob date, first_month date").parquet(_stored_dob[key])
 
 
 def fx_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _episode_base(spark, sf_dir)
-    dob = base.groupBy("ck").agg(F.expr(_dob_expr(SPARK)).alias("dob"))
+    dob = person_dob(spark, sf_dir).select("ck", "dob")
     # dob is one row per person; a left join (every person has one) lets the
     # optimiser drop the join when no dob-derived column is used.
     return base.join(dob, "ck", "left").selectExpr(*[f"{e} AS {c}" for c, e in _episode_columns(SPARK)])
@@ -436,12 +449,245 @@ def person_view_ctes() -> dict[str, str]:
 # multiplier, so a pupil has several rows per table and some same-year
 # duplicates.
 
-CENSUS_ERAS = {"fx_census_02": (2002, 2002, 2005), "fx_census_06": (2006, 2006, 2010),
-               "fx_census_11": (2011, 2011, 2012), "fx_census_13": (2013, 2013, 2014),
-               "fx_census_15": (2015, 2015, 2022)}
-# table year (names the source columns) and the academic years it holds
+# table -> the collection year that names its columns, and the academic years it holds
+CENSUS_ERAS = {
+    "fx_census_02": (2002, 2002, 2002),
+    "fx_census_03": (2003, 2003, 2003),
+    "fx_census_04": (2004, 2004, 2005),
+    "fx_census_06": (2006, 2006, 2006),
+    "fx_census_07": (2007, 2007, 2010),
+    "fx_census_11": (2011, 2011, 2012),
+    "fx_census_13": (2013, 2013, 2014),
+    "fx_census_15": (2015, 2015, 2022),
+}
 ABSENCE_ERAS = {"fx_absence_06": (2006, 2005, 2005), "fx_absence_07": (2007, 2006, 2011),
                 "fx_absence_13": (2013, 2012, 2021)}
+# The extracts' column names, each with the harmonised column whose values it holds.
+SOURCE_COLUMNS = {
+    "fx_census_02": """
+        PupilMatchingRefAnonymous_02 dfe_id
+        RecordStatus_02 census_record_status
+        AcademicYear_02 census_academic_year
+        Gender_02 census_gender
+        EthnicGroup_02 census_ethnic_group
+        SourceOfEthnicity_02 census_ethnicity_source
+        FreeSchoolMeals_02 census_FSM_eligible
+        MotherTongue_02 census_first_language
+        RegistrationType_02 census_enrol_status
+        PartTimeInd_02 census_part_time
+        ActualNCYearGroup_02 census_NC_year_actual
+        SENstage_02 census_SEN_status
+        overall_imd_2004_rank census_imd_overall_rank
+        income_2004_rank census_imd_income_rank
+        idaci_2004_rank census_imd_idaci_rank
+        MSOA_02 census_msoa01
+    """,
+    "fx_census_03": """
+        PupilMatchingRefAnonymous_03 dfe_id
+        RecordStatus_03 census_record_status
+        AcademicYear_03 census_academic_year
+        Gender_03 census_gender
+        EthnicGroup_03 census_ethnic_group
+        EthnicitySource_03 census_ethnicity_source
+        FSMeligible_03 census_FSM_eligible
+        FirstLanguage_03 census_first_language
+        EnrolStatus_03 census_enrol_status
+        PartTime_03 census_part_time
+        NCyearActual_03 census_NC_year_actual
+        SENstatus_03 census_SEN_status
+        overall_imd_2004_rank census_imd_overall_rank
+        income_2004_rank census_imd_income_rank
+        idaci_2004_rank census_imd_idaci_rank
+        MSOA_03 census_msoa01
+    """,
+    "fx_census_04": """
+        PupilMatchingRefAnonymous_04 dfe_id
+        RecordStatus_04 census_record_status
+        AcademicYear_04 census_academic_year
+        Gender_04 census_gender
+        EthnicGroup_04 census_ethnic_group
+        EthnicitySource_04 census_ethnicity_source
+        FSMeligible_04 census_FSM_eligible
+        FirstLanguage_04 census_first_language
+        EnrolStatus_04 census_enrol_status
+        PartTime_04 census_part_time
+        NCyearActual_04 census_NC_year_actual
+        SENstatus_04 census_SEN_status
+        PrimarySENtype_04 census_SEN_primary_type
+        SecondarySENtype_04 census_SEN_secondary_type
+        overall_imd_2004_rank census_imd_overall_rank
+        income_2004_rank census_imd_income_rank
+        idaci_2004_rank census_imd_idaci_rank
+        MSOA_04 census_msoa01
+    """,
+    "fx_census_06": """
+        PupilMatchingRefAnonymous_SPR06 dfe_id
+        RecordStatus_SPR06 census_record_status
+        AcademicYear_SPR06 census_academic_year
+        Gender_SPR06 census_gender
+        EthnicGroupMajor_SPR06 census_ethnic_group
+        EthnicGroupMinor_SPR06 census_ethnic_group_minor
+        EthnicitySource_SPR06 census_ethnicity_source
+        FSMeligible_SPR06 census_FSM_eligible
+        LanguageGroupMajor_SPR06 census_first_language
+        EnrolStatus_SPR06 census_enrol_status
+        PartTime_SPR06 census_part_time
+        NCyearActual_SPR06 census_NC_year_actual
+        SENprovision_SPR06 census_SEN_status
+        PrimarySENtype_SPR06 census_SEN_primary_type
+        SecondarySENtype_SPR06 census_SEN_secondary_type
+        SpecialProvisionIndicator_SPR06 census_special_provision_indicator
+        overall_imd_2004_rank census_imd_overall_rank
+        income_2004_rank census_imd_income_rank
+        idaci_2004_rank census_imd_idaci_rank
+        MSOA_SPR06 census_msoa01
+    """,
+    "fx_census_07": """
+        PupilMatchingRefAnonymous_SPR07 dfe_id
+        RecordStatus_SPR07 census_record_status
+        AcademicYear_SPR07 census_academic_year
+        Gender_SPR07 census_gender
+        EthnicGroupMajor_SPR07 census_ethnic_group
+        EthnicGroupMinor_SPR07 census_ethnic_group_minor
+        EthnicitySource_SPR07 census_ethnicity_source
+        FSMeligible_SPR07 census_FSM_eligible
+        LanguageGroupMajor_SPR07 census_first_language
+        EnrolStatus_SPR07 census_enrol_status
+        PartTime_SPR07 census_part_time
+        NCyearActual_SPR07 census_NC_year_actual
+        SENprovision_SPR07 census_SEN_status
+        PrimarySENtype_SPR07 census_SEN_primary_type
+        SecondarySENtype_SPR07 census_SEN_secondary_type
+        SENUnitIndicator_SPR07 census_special_provision_indicator
+        overall_imd_2004_rank census_imd_overall_rank
+        income_2004_rank census_imd_income_rank
+        idaci_2004_rank census_imd_idaci_rank
+        MSOA_SPR07 census_msoa01
+    """,
+    "fx_census_11": """
+        PupilMatchingRefAnonymous_SPR11 dfe_id
+        RecordStatus_SPR11 census_record_status
+        AcademicYear_SPR11 census_academic_year
+        Gender_SPR11 census_gender
+        EthnicGroupMajor_SPR11 census_ethnic_group
+        EthnicGroupMinor_SPR11 census_ethnic_group_minor
+        FSMeligible_SPR11 census_FSM_eligible
+        LanguageGroupMajor_SPR11 census_first_language
+        EnrolStatus_SPR11 census_enrol_status
+        PartTime_SPR11 census_part_time
+        NCyearActual_SPR11 census_NC_year_actual
+        SENprovision_SPR11 census_SEN_status
+        PrimarySENtype_SPR11 census_SEN_primary_type
+        SecondarySENtype_SPR11 census_SEN_secondary_type
+        SENUnitIndicator_SPR11 census_special_provision_indicator
+        overall_imd_2010_rank census_imd_overall_rank
+        income_2010_rank census_imd_income_rank
+        idaci_2010_rank census_imd_idaci_rank
+        MSOA_SPR11 census_msoa01
+    """,
+    "fx_census_13": """
+        PupilMatchingRefAnonymous_SPR13 dfe_id
+        RecordStatus_SPR13 census_record_status
+        AcademicYear_SPR13 census_academic_year
+        Gender_SPR13 census_gender
+        EthnicGroupMajor_SPR13 census_ethnic_group
+        EthnicGroupMinor_SPR13 census_ethnic_group_minor
+        FSMeligible_SPR13 census_FSM_eligible
+        LanguageGroupMajor_SPR13 census_first_language
+        EnrolStatus_SPR13 census_enrol_status
+        PartTime_SPR13 census_part_time
+        NCyearActual_SPR13 census_NC_year_actual
+        SENprovision_SPR13 census_SEN_status
+        PrimarySENtype_SPR13 census_SEN_primary_type
+        SecondarySENtype_SPR13 census_SEN_secondary_type
+        SENUnitIndicator_SPR13 census_special_provision_indicator
+        overall_imd_2010_rank census_imd_overall_rank
+        income_2010_rank census_imd_income_rank
+        idaci_2010_rank census_imd_idaci_rank
+        MSOA01_SPR13 census_msoa01
+        MSOA11_SPR13 census_msoa11
+    """,
+    "fx_census_15": """
+        PupilMatchingRefAnonymous_SPR15 dfe_id
+        RecordStatus_SPR15 census_record_status
+        AcademicYear_SPR15 census_academic_year
+        Gender_SPR15 census_gender
+        EthnicGroupMajor_SPR15 census_ethnic_group
+        EthnicGroupMinor_SPR15 census_ethnic_group_minor
+        FSMeligible_SPR15 census_FSM_eligible
+        LanguageGroupMajor_SPR15 census_first_language
+        EnrolStatus_SPR15 census_enrol_status
+        PartTime_SPR15 census_part_time
+        NCyearActual_SPR15 census_NC_year_actual
+        SENprovision_SPR15 census_SEN_status
+        PrimarySENtype_SPR15 census_SEN_primary_type
+        SecondarySENtype_SPR15 census_SEN_secondary_type
+        SENUnitIndicator_SPR15 census_special_provision_indicator
+        overall_imd_2010_rank census_imd_overall_rank
+        income_2010_rank census_imd_income_rank
+        idaci_2010_rank census_imd_idaci_rank
+        MSOA11_SPR15 census_msoa11
+    """,
+    "fx_absence_06": """
+        AcademicYear_ab06 abs_academic_year
+        PupilMatchingRefAnonymous_ab06 dfe_id
+        EnrolStatus_ab06 abs_enrol_status
+        SessionsPossible_Autumn_ab06 abs_autumn_possible
+        OverallAbsence_Autumn_ab06 abs_autumn_absent_total
+        SessionsPossible_Spring_ab06 abs_spring_possible
+        OverallAbsence_Spring_ab06 abs_spring_absent_total
+        SessionsPossible_Summer_ab06 abs_summer_possible
+        OverallAbsence_Summer_ab06 abs_summer_absent_total
+        SessionsPossible_Annual_ab06 abs_annual_possible
+        OverallAbsence_Annual_ab06 abs_annual_absent_total
+    """,
+    "fx_absence_07": """
+        AcademicYear_ab07 abs_academic_year
+        PupilMatchingRefAnonymous_ab07 dfe_id
+        EnrolStatus_ab07 abs_enrol_status
+        TermlyReasonI_Autumn_ab07 abs_autumn_absent_illness
+        TermlyReasonM_Autumn_ab07 abs_autumn_absent_medical
+        SessionsPossible_Autumn_ab07 abs_autumn_possible
+        OverallAbsence_Autumn_ab07 abs_autumn_absent_total
+        TermlyReasonI_Spring_ab07 abs_spring_absent_illness
+        TermlyReasonM_Spring_ab07 abs_spring_absent_medical
+        SessionsPossible_Spring_ab07 abs_spring_possible
+        OverallAbsence_Spring_ab07 abs_spring_absent_total
+        TermlyReasonI_Summer_ab07 abs_summer_absent_illness
+        TermlyReasonM_Summer_ab07 abs_summer_absent_medical
+        SessionsPossible_Summer_ab07 abs_summer_possible
+        OverallAbsence_Summer_ab07 abs_summer_absent_total
+        SessionsPossible_Annual_ab07 abs_annual_possible
+        OverallAbsence_Annual_ab07 abs_annual_absent_total
+    """,
+    "fx_absence_13": """
+        AcademicYear_ab13 abs_academic_year
+        PupilMatchingRefAnonymous_ab13 dfe_id
+        EnrolStatus_ab13 abs_enrol_status
+        TermlyReasonI_Autumn_ab13 abs_autumn_absent_illness
+        TermlyReasonM_Autumn_ab13 abs_autumn_absent_medical
+        SessionsPossible_Autumn_ab13 abs_autumn_possible
+        OverallAbsence_Autumn_ab13 abs_autumn_absent_total
+        TermlyReasonI_Spring_ab13 abs_spring_absent_illness
+        TermlyReasonM_Spring_ab13 abs_spring_absent_medical
+        SessionsPossible_Spring_ab13 abs_spring_possible
+        OverallAbsence_Spring_ab13 abs_spring_absent_total
+        TermlyReasonI_Summer_ab13 abs_summer_absent_illness
+        TermlyReasonM_Summer_ab13 abs_summer_absent_medical
+        SessionsPossible_Summer_ab13 abs_summer_possible
+        OverallAbsence_Summer_ab13 abs_summer_absent_total
+        TermlyReasonI_Summer6th_ab13 abs_summer6th_absent_illness
+        TermlyReasonM_Summer6th_ab13 abs_summer6th_absent_medical
+        SessionsPossible_Summer6th_ab13 abs_summer6th_possible
+        OverallAbsence_Summer6th_ab13 abs_summer6th_absent_total
+        SessionsPossible_5HalfTerms_ab13 abs_annual_possible
+        OverallAbsence_5HalfTerms_ab13 abs_annual_absent_total
+    """,
+}
+
+
+def _source_columns(table: str) -> list[tuple[str, str]]:
+    return [tuple(line.split()) for line in SOURCE_COLUMNS[table].strip().splitlines()]
 
 
 def _acad(y: str) -> str:
@@ -449,8 +695,6 @@ def _acad(y: str) -> str:
 
 
 def _pupil_views(d: Dialect) -> dict[str, list[tuple[str, list[tuple[str, str]]]]]:
-    from .mappings import absence_mapping, census_mapping
-
     dfe = "'D' || lpad(cast(c as string), 8, '0')"
     views: dict[str, list[tuple[str, list[tuple[str, str]]]]] = {}
 
@@ -479,12 +723,8 @@ def _pupil_views(d: Dialect) -> dict[str, list[tuple[str, list[tuple[str, str]]]
         "census_msoa01": "'M01' || lpad(cast(c % 97 as string), 3, '0')",
         "census_msoa11": "'M11' || lpad(cast(c % 89 as string), 3, '0')",
     }
-    for name, (table_year, lo, hi) in CENSUS_ERAS.items():
-        cols = []
-        for target, source in census_mapping(table_year).items():
-            if source is None or target == "census_imd_epoch":
-                continue
-            cols.append((source, census_values[target]))
+    for name, (_, lo, hi) in CENSUS_ERAS.items():
+        cols = [(source, census_values[target]) for source, target in _source_columns(name)]
         views[name] = [(f"{yc} BETWEEN {lo} AND {hi}", cols)]
 
     # absence: year ya
@@ -503,9 +743,8 @@ def _pupil_views(d: Dialect) -> dict[str, list[tuple[str, list[tuple[str, str]]]
         absence_values[f"abs_{term}_absent_total"] = count(11 + i, 30, 19)
         absence_values[f"abs_{term}_absent_illness"] = count(13 + i, 12, 17)
         absence_values[f"abs_{term}_absent_medical"] = count(17 + i, 6, 13)
-    for name, (table_year, lo, hi) in ABSENCE_ERAS.items():
-        cols = [(source, absence_values[target]) for target, source in absence_mapping(table_year).items()
-                if source is not None]
+    for name, (_, lo, hi) in ABSENCE_ERAS.items():
+        cols = [(source, absence_values[target]) for source, target in _source_columns(name)]
         views[name] = [(f"{ya} BETWEEN {lo} AND {hi}", cols)]
 
     # key stages: year = ssy + offset - 2 + spread; a duplicate record on k % 10 = 0
@@ -665,9 +904,8 @@ def fixture_sources(spark: SparkSession, sf_dir: str):
     """The fixture views as pipeline ``Sources`` (loaders, evaluated lazily)."""
     from ..plans.cohort_pipeline import Sources
 
-    census = {2002: "fx_census_02", 2006: "fx_census_06", 2011: "fx_census_11", 2013: "fx_census_13",
-              2015: "fx_census_15"}
-    absence = {2006: "fx_absence_06", 2007: "fx_absence_07", 2013: "fx_absence_13"}
+    census = {year: name for name, (year, _, _) in CENSUS_ERAS.items()}
+    absence = {year: name for name, (year, _, _) in ABSENCE_ERAS.items()}
 
     def pv(n):
         return lambda: person_view(spark, sf_dir, n)

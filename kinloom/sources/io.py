@@ -20,6 +20,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.values import suppress_small
 from ..operators.quality import profile
+from ..operators.reshape import union_all
 
 _BOM = "﻿"
 
@@ -32,10 +33,11 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return reader.parquet(path)
 
 
-def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
-    """Hive-partitioned dataset (``key=value`` folders); the partition column
-    is discovered and filters on it prune folders at planning time."""
-    return spark.read.option("basePath", path).parquet(path)
+def read_partitioned(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    """Hive-partitioned dataset (``key=value`` folders) with its declared schema,
+    if given; filters on the partition column prune folders at planning time."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.option("basePath", path).parquet(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -64,6 +66,22 @@ def read_jdbc(
     return spark.read.jdbc(url, table, properties=props)
 
 
+# Dataset themes, the keyword of their table names, and names left out.
+THEMES = {
+    "hospital": ("episodes", ()),
+    "registrations": ("civil|notifications", ()),
+    "census": ("census", ()),
+    "absence": ("absence", ()),
+    "key_stages": ("ks[0-9]", ()),
+}
+
+
+def theme_tables(names: Iterable[str]) -> dict[str, list[str]]:
+    """Table names by dataset theme."""
+    names = list(names)
+    return {theme: discover_tables(names, key, left_out) for theme, (key, left_out) in THEMES.items()}
+
+
 def discover_tables(names: Iterable[str], theme: str, exclusions: Iterable[str] = ()) -> list[str]:
     """Table names matching a theme keyword (case-insensitive), minus exclusions.
 
@@ -86,10 +104,10 @@ def row_counts(views: Mapping[str, DataFrame], theme: str = ".", exclusions: Ite
     names = discover_tables(views.keys(), theme, exclusions)
     parts = [views[n].agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows")
              for n in names]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    if not parts:
+        spark = SparkSession.getActiveSession()
+        return spark.createDataFrame([], "table_name string, n_rows long")
+    return union_all(parts)
 
 
 # --------------------------------------------------------------------------- sinks
@@ -114,6 +132,12 @@ def write_partitioned(df: DataFrame, path: str, partition_by: str | Sequence[str
     return path
 
 
+def write_code_list(codes: DataFrame, path: str) -> str:
+    """A code list as one CSV file (the lists are small and fixed)."""
+    codes.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    return path
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     df.write.mode(mode).option("header", True).csv(path)
     return path
@@ -136,14 +160,3 @@ def write_suppressed_csv(df: DataFrame, directory: str, name: str, count_col: st
     """Disclosure-safe output, written under a date-prefixed name."""
     stamp = (date or _dt.date.today()).isoformat()
     return write_csv(suppressed(df, count_col, threshold), f"{directory.rstrip('/')}/{stamp}_{name}")
-
-
-def materialise(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back, cutting
-    the lineage (a lost executor then recomputes from this table, not from
-    the raw extracts)."""
-    spark = df.sparkSession
-    root = base or spark.conf.get("spark.checkpoint.dir")
-    path = f"{root.rstrip('/')}/{name}"
-    write_parquet(df, path)
-    return spark.read.parquet(path)

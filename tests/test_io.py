@@ -39,8 +39,15 @@ def test_discover_tables():
         IO.discover_tables(names, "")
 
 
-def test_materialise_cuts_lineage(spark):
-    df = spark.range(10).withColumnRenamed("id", "x")
-    m = IO.materialise(df, "test-materialise")
-    assert m.count() == 10
-    assert "Range" not in m._jdf.queryExecution().optimizedPlan().toString()
+def test_theme_tables_and_empty_counts(spark):
+    themes = IO.theme_tables(["fx_episodes", "fx_mb_links", "fx_ks2", "fx_census_02", "fx_civil_births"])
+    assert themes["key_stages"] == ["fx_ks2"] and themes["hospital"] == ["fx_episodes"]
+    assert IO.row_counts({"a": spark.range(3)}, "b").collect() == []
+    assert [tuple(r) for r in IO.row_counts({"a": spark.range(3)}, "a").collect()] == [("a", 3)]
+
+
+def test_code_list_export(spark, tmp_path):
+    from kinloom.functions import codes as C
+
+    path = IO.write_code_list(C.cancer_codes(spark), str(tmp_path / "codes"))
+    assert spark.read.option("header", True).csv(path).count() == 117

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from kinloom.functions import codes as C
 from kinloom.operators import quality as Q
-from kinloom.operators.link import code_join, full_merge, interval_join
+from kinloom.operators.link import code_join, full_merge
 from kinloom.operators.reshape import pivot_slots, unpivot_positions
 from kinloom.operators.select import asof_latest, first_value_by, keep_first
 
@@ -65,11 +65,33 @@ def test_full_merge_coalesces_keys(spark):
     assert sorted(tuple(r) for r in full_merge(a, b, ["k"]).collect()) == [("x", 1, None), ("y", None, 2)]
 
 
-def test_interval_and_asof(spark):
-    left = spark.createDataFrame([("p", 10)], "k string, bound int")
+def test_pivot_slots_stops_or_keeps_whole_rows(spark):
+    import pytest
+
+    rows = [("p", 1, "N", "ASD", None, 5), ("p", 1, "E", None, "VI", 1), ("p", 2, "A", None, None, 2)]
+    df = spark.createDataFrame(rows, "k string, n int, a string, b string, c string, d int")
+    wide = dict(values={v: v for v in "abcd"}, name=lambda s, n: f"{s}_{n}")
+    with pytest.raises(ValueError):
+        pivot_slots(df, ["k"], "n", [1, 2], **wide)
+    with pytest.raises(ValueError):  # a slot outside the list
+        pivot_slots(df.filter("d <> 1"), ["k"], "n", [1], **wide)
+    out = pivot_slots(df, ["k"], "n", [1, 2], on_duplicate="first", **wide).first()
+    assert tuple(out) == ("p", "E", None, "VI", 1, "A", None, None, 2)
+
+
+def test_asof_gives_a_row_for_each_left_row(spark):
+    left = spark.createDataFrame([("p", 1, 10), ("p", 2, 8), ("p", 3, 5)], "k string, id int, bound int")
     right = spark.createDataFrame([("p", 8, "a"), ("p", 10, "b"), ("p", 11, "c")], "k string, t int, v string")
-    assert interval_join(left, right, ["k"], F.col("t"), F.lit(9), F.col("bound")).count() == 1
-    assert asof_latest(left, right, ["k"], F.col("bound"), "t").first().v == "b"
+    out = asof_latest(left, right, ["k"], F.col("bound"), "t", left_id=["id"])
+    assert sorted((r.id, r.v) for r in out.collect()) == [(1, "b"), (2, "a")]
+
+
+def test_assert_unique_stops(spark):
+    import pytest
+
+    Q.assert_unique(spark.createDataFrame([("a",), ("b",)], "k string"), ["k"])
+    with pytest.raises(AssertionError):
+        Q.assert_unique(spark.createDataFrame([("a",), ("a",)], "k string"), ["k"])
 
 
 def test_quality_helpers(spark):

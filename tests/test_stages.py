@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from kinloom.functions import codes as C
@@ -69,7 +71,10 @@ def test_cancer_slots_missing_admission_quirk(spark):
         {"token_person_id": "P2", "epikey": "e3", "diag_01": "C819", "admidate": "", "epistart": "",
          "epiend": "", "disdate": ""},
     ])
-    out = {r.token_person_id: r for r in FD.first_cancer_slots(diagnoses_long(ep), C.cancer_codes(ep.sparkSession)).collect()}
+    with pytest.raises(ValueError):
+        FD.first_cancer_slots(diagnoses_long(ep), C.cancer_codes(spark))
+    slots = FD.first_cancer_slots(diagnoses_long(ep), C.cancer_codes(spark), on_missing="report")
+    out = {r.token_person_id: r for r in slots.collect()}
     r = out["P1"]
     # admission dates all missing for the group: earliest stays NULL although a date exists; flagged
     assert (r.cancer_group_1, r.cancer_earliest_diagnosis_1, r.cancer_earliest_diagnosis_problematic_1) == (
@@ -126,13 +131,106 @@ def test_pipeline_runs_resumes_and_exports(spark, tmp_path):
 
     src = fixture_sources(spark, "/root/testdata/sf0.001")
     work, export = str(tmp_path / "work"), str(tmp_path / "export")
-    out = run_cohort(spark, src, work, export_dir=export)
+    out = run_cohort(spark, src, work, export_dir=export, on_bad="report")
     n = out["cohort"].count()
     assert n > 0 and len(out["cohort"].columns) == 380
     assert (tmp_path / "work" / "cohort" / "_SUCCESS").exists()
     assert (tmp_path / "work" / "diagnoses" / "reporting_year_start=2000").exists()  # hive-partitioned stage
+    assert not (tmp_path / "work" / "timeline").exists()  # no output needs it
+    assert out["undated"].count() == 2 and out["unparseable_dates"].count() == 4
     meta = spark.read.option("header", True).csv(export + "_metadata")
     assert meta.count() == 380
     # resume: every written stage is read back, nothing is recomputed from sources
-    again = run_cohort(spark, src, work, resume=True)
+    written = (tmp_path / "work" / "birth_cohort" / "_SUCCESS").stat().st_mtime_ns
+    again = run_cohort(spark, src, work, resume=True, on_bad="report")
     assert again["cohort"].count() == n
+    assert (tmp_path / "work" / "birth_cohort" / "_SUCCESS").stat().st_mtime_ns == written
+
+
+def test_resume_rebuilds_what_a_changed_source_feeds(spark, tmp_path):
+    from kinloom.plans.pipeline import Pipeline, Stage
+
+    def build(rows):
+        path = str(tmp_path / "src")
+        spark.range(rows).write.mode("overwrite").parquet(path)
+        stages = {
+            "a": Stage(lambda: spark.read.parquet(path), ()),
+            "other": Stage(lambda: spark.range(3), ()),
+            "b": Stage(lambda a: a.selectExpr("id * 2 AS x"), ("a",), write=True),
+        }
+        return Pipeline(spark, stages, workdir=str(tmp_path / "w"), resume=True).run(["b", "other"])
+
+    def stamp(name):
+        return (tmp_path / "w" / name / "_SUCCESS").stat().st_mtime_ns
+
+    assert build(5)["b"].count() == 5
+    first = stamp("b"), stamp("other")
+    assert build(9)["b"].count() == 9
+    assert stamp("b") != first[0] and stamp("other") == first[1]
+
+
+def test_run_stops_on_bad_data(spark, tmp_path):
+    import pytest
+
+    from kinloom.plans.cohort_pipeline import cohort_stages
+    from kinloom.plans.pipeline import Pipeline, Stage
+    from kinloom.sources.fixtures import fixture_sources
+
+    stages = cohort_stages(spark, fixture_sources(spark, "/root/testdata/sf0.001"))
+    with pytest.raises(ValueError, match="dates missing"):
+        Pipeline(spark, stages).get("congenital")
+    twice = {"s": Stage(lambda: spark.range(2).selectExpr("1 AS k"), (), unique=("k",))}
+    with pytest.raises(AssertionError):
+        Pipeline(spark, twice, workdir=str(tmp_path / "u")).get("s")
+
+
+def test_yearly_census_names(spark):
+    from kinloom.sources import mappings as M
+
+    assert M.census_mapping(2007)["census_special_provision_indicator"] == "SENUnitIndicator_SPR07"
+    assert M.census_mapping(2006)["census_special_provision_indicator"] == "SpecialProvisionIndicator_SPR06"
+    assert [M.census_mapping(y)["census_msoa01"] for y in (2002, 2012, 2014, 2015)] == ["MSOA_02", "MSOA_SPR12", "MSOA01_SPR14", None]
+    assert all(list(M.census_mapping(y)) == M.CENSUS_TARGETS for y in M.CENSUS_YEARS)
+
+
+def test_no_machine_local_checkpoint_folder_on_a_cluster():
+    import pytest
+
+    from kinloom.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Conf:
+        @staticmethod
+        def get(key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(Session())
+
+
+def test_sen_absence_repair(spark):
+    """Repeated pupils: the rule on one join gives what pairing the two sides gives."""
+    from kinloom.plans import education as ED
+
+    pupils = spark.createDataFrame([("a", 2000), ("a", 2001), ("b", 2000), ("c", 2000), ("c", 2000)], "dfe_id string, school_start_year int")
+    sen = spark.createDataFrame(
+        [(p, y, nc, "N", None, None, 0) for p in "abc" for y, nc in ((2001, "1"), (2002, None), (2003, "3"), (2004, None), (None, "9"))],
+        "dfe_id string, academic_year_start int, sen_NC_year_actual string, sen_status string, sen_primary_type string, "
+        "sen_secondary_type string, sen_any_special_provision int")
+    absence = spark.createDataFrame(
+        [(p, y, *range(1, 10)) for p in "abc" for y in (2003, 2004, 2005)],
+        "dfe_id string, abs_academic_year_start int, " + ", ".join(f"{c} int" for c in ED.ABS_VALUES))
+    got = ED.sen_absence_long(pupils, sen, absence)
+    seen = {}
+    for r in got.collect():
+        seen.setdefault((r.dfe_id, r.senabs_academic_year_start), []).append((r.sen_status, r.abs_records))
+    assert {y: v for (p, y), v in seen.items() if p == "b"} == {2001: [("N", None)], 2002: [("N", None)], 2003: [("N", 1)], 2004: [("N", 1)], 2005: [(None, 1)]}
+    assert {y: len(v) for (p, y), v in seen.items() if p == "a"} == {2001: 2, 2002: 2, 2004: 4, 2005: 2}
+    assert {y: len(v) for (p, y), v in seen.items() if p == "c"} == {2001: 2, 2002: 4, 2004: 4, 2005: 2}
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("FullOuter") == 1
