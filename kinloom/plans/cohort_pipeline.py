@@ -17,6 +17,7 @@ from . import education as ED
 from . import first_diagnosis as FD
 from .birth_details import birth_information, ethnicity_geo
 from .diagnoses import diagnoses_long
+from .episodes import episodes_harmonised
 from .mothers import mothers_delivery_episode
 from .pipeline import Pipeline, Stage
 from .registrations import birth_notifications, id_lookup, registrations_summary
@@ -33,9 +34,10 @@ class Sources:
 
     ``census`` is keyed by collection year and ``absence`` by table year; the
     column mappings in ``kinloom.sources.mappings`` select each table.
+    ``episodes`` gives the raw hospital extracts by reporting year.
     """
 
-    episodes: Loader
+    episodes: Callable[[], Mapping[int, DataFrame]]
     civil_births: Loader
     civil_deaths: Loader
     birth_notifications: Loader
@@ -67,7 +69,7 @@ def cohort_stages(spark: SparkSession, src: Sources, on_bad: str = "fail") -> di
 
     return {
         # extracts
-        "episodes": Stage(src.episodes, ()),
+        "episodes": Stage(lambda: episodes_harmonised(src.episodes()), ()),
         "births": raw(src.civil_births),
         "deaths": raw(src.civil_deaths),
         "notifications_raw": Stage(src.birth_notifications, (), write=False, unique=("TOKEN_PERSON_ID",)),

@@ -164,6 +164,7 @@ def q_dataset_row_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     # hospital episodes -> diagnoses -> first diagnoses
+    "episodes_harmonised": _stage("episodes"),
     "diagnoses_long": _stage("diagnoses"),
     "cancer_diagnoses": q_cancer_diagnoses,
     "first_cancer_slots": _stage("cancer"),

@@ -281,6 +281,26 @@ def person_dob(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("ck bigint, dob date, first_month date").parquet(_stored_dob[key])
 
 
+# Raw names of the yearly extracts for the fixture's columns.
+RAW_EPISODE_NAMES = {c: f"{c}_1" for c in ("birordr", "biresus", "birstat", "birweit", "delmeth", "delstat", "gestat", "sexbaby")}
+_stored_extracts: dict[tuple[str, str], tuple[str, list[int]]] = {}
+
+
+def yearly_extracts(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
+    """The episodes as raw yearly extracts, stored once for a session and a table folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored_extracts:
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kinloom-extracts-{uuid.uuid4().hex[:12]}"
+        raw = fx_episodes(spark, sf_dir).withColumnsRenamed(RAW_EPISODE_NAMES)
+        raw.hint("rebalance", "reporting_year_start").write.partitionBy("reporting_year_start").parquet(path)
+        years = spark.read.parquet(path).select("reporting_year_start").distinct().collect()  # a few years
+        _stored_extracts[key] = path, sorted(r[0] for r in years)
+    path, years = _stored_extracts[key]
+    types = dict(fx_episodes(spark, sf_dir).dtypes)
+    schema = ", ".join(f"{RAW_EPISODE_NAMES.get(c, c)} {types[c]}" for c in EPISODE_COLUMNS if c != "reporting_year_start")
+    return {y: spark.read.schema(schema).parquet(f"{path}/reporting_year_start={y}") for y in years}
+
+
 def fx_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _episode_base(spark, sf_dir)
     dob = person_dob(spark, sf_dir).select("ck", "dob")
@@ -914,7 +934,7 @@ def fixture_sources(spark: SparkSession, sf_dir: str):
         return lambda: pupil_view(spark, sf_dir, n)
 
     return Sources(
-        episodes=lambda: fx_episodes(spark, sf_dir),
+        episodes=lambda: yearly_extracts(spark, sf_dir),
         civil_births=pv("fx_civil_births"),
         civil_deaths=pv("fx_civil_deaths"),
         birth_notifications=pv("fx_birth_notifications"),

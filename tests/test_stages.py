@@ -234,3 +234,25 @@ def test_sen_absence_repair(spark):
     assert {y: len(v) for (p, y), v in seen.items() if p == "c"} == {2001: 2, 2002: 4, 2004: 4, 2005: 2}
     text = got._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("FullOuter") == 1
+
+
+def test_yearly_extracts_harmonise(spark):
+    from kinloom.plans import episodes as EP
+
+    a = spark.createDataFrame([("p", "2500")], "token_person_id string, birweit_1 string")
+    b = spark.createDataFrame([("q", "3000", "1")], "token_person_id string, birweit string, birordr_1 string")
+    out = EP.episodes_harmonised({2001: b, 1998: a})
+    assert sorted((r.reporting_year_start, r.token_person_id, r.birweit, r.birordr) for r in out.collect()) == [
+        (1998, "p", "2500", None), (2001, "q", "3000", "1")]
+    assert EP.tables_by_year(["APC_1998", "APC_2001"]) == {1998: "APC_1998", 2001: "APC_2001"}
+    with pytest.raises(ValueError):
+        EP.tables_by_year(["x1998", "y1998"])
+    with pytest.raises(ValueError):
+        EP.year_from_name("apc")
+
+
+def test_diagnoses_read_back_prunes_folders(spark):
+    from kinloom.plans.queries import QUERIES
+
+    text = QUERIES["diagnoses_read_back"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(reporting_year_start" in text
