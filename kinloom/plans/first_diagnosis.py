@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes as C
@@ -18,26 +18,42 @@ STRICT_DATE_SENTINELS = ("", "1800-01-01", "1801-01-01")
 CANCER_SLOTS = [1, 2, 3, 4]
 
 
+def _bad_text(c: str) -> Column:
+    """Text that is neither a date nor a stated placeholder."""
+    text = F.col(c).isNotNull() & ~F.col(c).isin(*STRICT_DATE_SENTINELS)
+    return text & clean_date(c, sentinels=STRICT_DATE_SENTINELS).isNull()
+
+
 def _with_dates(df: DataFrame) -> DataFrame:
+    """Parsed dates, their earliest, and whether any text could not be parsed."""
+    bad = F.lit(False)
+    for c in DATE_FIELDS:
+        bad = bad | _bad_text(c)
     parsed = {c: clean_date(c, sentinels=STRICT_DATE_SENTINELS) for c in DATE_FIELDS}
-    return df.withColumns(parsed).withColumn("min_date", F.least(*[F.col(c) for c in DATE_FIELDS]))
+    out = df.withColumn("_bad_text", bad).withColumns(parsed)
+    return out.withColumn("min_date", F.least(*[F.col(c) for c in DATE_FIELDS]))
 
 
 def _missing_guard(dx: DataFrame, on_missing: str) -> DataFrame:
-    """Rows lacking all four dates: ``fail`` raises; ``report``, an explicit
-    choice, leaves them out and the pipeline writes their count beside the
-    stage (``missing_all_dates``)."""
+    """Rows lacking all four dates or holding unparseable date text: ``fail`` raises; ``report``, an explicit
+    choice, leaves the former out, reads the latter as missing, and the
+    pipeline writes both counts beside the stage (``missing_all_dates``,
+    ``unparseable_dates``)."""
     if on_missing not in ("fail", "report"):
         raise ValueError(f"on_missing: {on_missing}")
     if on_missing == "fail":
-        n = dx.filter(F.col("min_date").isNull()).count()
-        if n:
-            raise ValueError(f"All dates missing on {n} diagnosis rows")
-    return dx.filter(F.col("min_date").isNotNull())
+        n, bad = dx.agg(F.count_if(F.col("min_date").isNull()), F.count_if("_bad_text")).first()
+        if n or bad:
+            raise ValueError(f"All dates missing on {n} diagnosis rows, unparseable date text on {bad}")
+    return dx.filter(F.col("min_date").isNotNull()).drop("_bad_text")
 
 
 def cancer_diagnoses(diagnoses: DataFrame, codes: DataFrame) -> DataFrame:
     """Primary-position diagnoses in the cancer code list, with parsed dates."""
+    return _cancer_dated(diagnoses, codes).drop("_bad_text")
+
+
+def _cancer_dated(diagnoses: DataFrame, codes: DataFrame) -> DataFrame:
     primary = diagnoses.filter(F.col("diagnostic_position") == 1)
     joined = code_join(primary, codes, stems=C.stems(C.cancer_code_rows()))
     return _with_dates(
@@ -56,7 +72,7 @@ def first_cancer_slots(diagnoses: DataFrame, codes: DataFrame, on_missing: str =
     Columns ``cancer_group_<n>``, ``cancer_earliest_diagnosis_<n>``,
     ``cancer_earliest_diagnosis_problematic_<n>`` for n = 1..4.
     """
-    dx = _missing_guard(cancer_diagnoses(diagnoses, codes), on_missing)
+    dx = _missing_guard(_cancer_dated(diagnoses, codes), on_missing)
     per_group = dx.groupBy("token_person_id", "cancer_group").agg(
         F.min("admidate").alias("earliest_admidate"),
         F.max(flag(F.col("admidate").isNull())).alias("admidate_missing"),
@@ -87,9 +103,13 @@ def first_cancer_slots(diagnoses: DataFrame, codes: DataFrame, on_missing: str =
 
 def congenital_diagnoses(diagnoses: DataFrame, codes: DataFrame) -> DataFrame:
     """Diagnoses at any position in the congenital inclusion list, with dates."""
+    return _congenital_dated(diagnoses, codes).drop("_bad_text")
+
+
+def _congenital_dated(diagnoses: DataFrame, codes: DataFrame) -> DataFrame:
     joined = code_join(diagnoses, codes, stems=C.stems(C.congenital_code_rows()))
     return _with_dates(joined.select("token_person_id", "ca_group", *DATE_FIELDS)).select(
-        "token_person_id", "ca_group", "min_date"
+        "token_person_id", "ca_group", "min_date", "_bad_text"
     )
 
 
@@ -100,7 +120,7 @@ def first_congenital(diagnoses: DataFrame, codes: DataFrame, on_missing: str = "
     neurofibromatosis / tuberous sclerosis; the gestation-dependent group is
     blanked when ``other`` is not later than it.
     """
-    dx = _missing_guard(congenital_diagnoses(diagnoses, codes), on_missing)
+    dx = _missing_guard(_congenital_dated(diagnoses, codes), on_missing)
     wide = dx.groupBy("token_person_id").pivot("ca_group", C.CONGENITAL_GROUPS).agg(F.min("min_date"))
     other = F.least(*[F.col(g) for g in ("other", "down_syndrome", "neurofibromatosis", "tuberous_sclerosis")])
     wide = wide.withColumn("other", other)
@@ -125,10 +145,6 @@ def missing_all_dates(diagnoses: DataFrame, cancer_codes: DataFrame, congenital_
 def unparseable_dates(diagnoses: DataFrame) -> DataFrame:
     """Per date field, how many diagnosis rows hold a text that is neither a
     date nor one of the stated placeholders (it would become NULL)."""
-    counts = []
-    for c in DATE_FIELDS:
-        text = F.col(c).isNotNull() & ~F.col(c).isin(*STRICT_DATE_SENTINELS)
-        counts.append(F.count_if(text & clean_date(c, sentinels=STRICT_DATE_SENTINELS).isNull()).alias(c))
-    one = diagnoses.agg(*counts)
+    one = diagnoses.agg(*[F.count_if(_bad_text(c)).alias(c) for c in DATE_FIELDS])
     pairs = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("unparseable")) for c in DATE_FIELDS])
     return one.select(F.inline(pairs))

@@ -85,6 +85,16 @@ def test_cancer_slots_missing_admission_quirk(spark):
     assert {r.dataset: r.missing_all_dates for r in missing.collect()}["cancer"] == 1
 
 
+def test_unparseable_dates_stop_or_are_counted(spark):
+    ep = episodes(spark, [{"token_person_id": "P1", "epikey": "e1", "diag_01": "C910", "admidate": "2010-13-45",
+                           "epistart": "2011-01-05"}])
+    dx = diagnoses_long(ep)
+    with pytest.raises(ValueError, match="unparseable"):
+        FD.first_cancer_slots(dx, C.cancer_codes(spark))
+    assert FD.first_cancer_slots(dx, C.cancer_codes(spark), on_missing="report").count() == 1
+    assert {r.field: r.unparseable for r in FD.unparseable_dates(dx).collect()}["admidate"] == 1
+
+
 def test_congenital_gestation_group_blanked(spark):
     ep = episodes(spark, [
         {"token_person_id": "P1", "epikey": "e1", "diag_03": "Q250", "admidate": "2011-01-05"},
