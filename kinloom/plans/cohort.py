@@ -10,6 +10,7 @@ from ..functions import codes as C
 from ..functions.dates import completed_years, nominal_school_year, school_start_year
 from ..functions.values import cut, is_in
 
+# The output columns taken from each feature table.
 BIRTH_INFO_FIELDS = [
     "bi_valid", "bi_admidate", "bi_episode_min_date", "bi_records_before_8yrs", "bi_gestat", "bi_birweit",
     "bi_matage", "bi_sexbaby", "bi_imd04_decile", "mb_token_person_id_mother", "mb_matage", "mb_gestat",

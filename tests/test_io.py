@@ -51,3 +51,10 @@ def test_code_list_export(spark, tmp_path):
 
     path = IO.write_code_list(C.cancer_codes(spark), str(tmp_path / "codes"))
     assert spark.read.option("header", True).csv(path).count() == 117
+
+
+def test_catalog_tables(spark):
+    spark.range(1).createOrReplaceTempView("apc_1999_view")
+    assert IO.catalog_tables(spark, "apc_") == ["apc_1999_view"]
+    assert IO.catalog_tables(spark, "apc_", exclusions=["APC_1999_VIEW"]) == []
+    spark.catalog.dropTempView("apc_1999_view")
