@@ -54,17 +54,28 @@ def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     return df.filter(F.col("df").between(low, high)).select("term", F.array(*[level(j) for j in range(SUBSETS)]).alias("levels"))
 
 
-def fingerprint(terms: Column) -> Column:
-    """``level, low, high``: the subsets' hashes at the document's level and the next, from ``(term, levels)``."""
-    level = F.floor(F.log2(F.size(terms).cast("double"))).cast("int")
-    ordered = F.array_sort(terms)
-
-    def at(j: int, l: Column) -> Column:
-        kept = F.filter(ordered, lambda t: F.element_at(t["levels"], j + 1) >= l)
+def fingerprints_of(found: DataFrame, names: list[str]) -> DataFrame:
+    """Each named array of ``(term, levels)`` becomes ``level, low, high``: the subsets' hashes at the document's level and the next.
+
+    One projection a step: an array is sorted once, and the sparser subsets are
+    taken from the denser ones.
+    """
+    keep = [c for c in found.columns if c not in names]
+    level = lambda n: F.when(F.size(n) > 0, F.floor(F.log2(F.size(n).cast("double"))).cast("int"))
+    step = found.select(*keep, *[F.sort_array(n).alias(n) for n in names], *[level(n).alias(f"{n}_level") for n in names])
+    within = lambda n, j: F.filter(n, lambda t: F.element_at(t["levels"], j + 1) >= F.col(f"{n}_level"))
+    step = step.select(*keep, *[f"{n}_level" for n in names], *[F.array(*[within(n, j) for j in range(SUBSETS)]).alias(n) for n in names])
+
+    def hashed(kept: Column) -> Column:
         return F.when(F.size(kept) > 0, F.substring(F.md5(F.array_join(F.transform(kept, lambda t: t["term"]), " ")), 1, DIGITS)).otherwise(F.lit("-"))
 
-    hashes = lambda l: F.array(*[at(j, l) for j in range(SUBSETS)])
-    return F.when(F.size(terms) > 0, F.struct(level.alias("level"), hashes(level).alias("low"), hashes(level + 1).alias("high")))
+    def prints(n: str) -> Column:
+        lev = F.col(f"{n}_level")
+        low = F.transform(n, hashed)
+        high = F.transform(n, lambda s, j: hashed(F.filter(s, lambda t: F.element_at(t["levels"], j + 1) > lev)))
+        return F.when(lev.isNotNull(), F.struct(lev.alias("level"), low.alias("low"), high.alias("high"))).alias(n)
+
+    return step.select(*keep, *[prints(n) for n in names])
 
 
 def as_text(print_: Column) -> Column:
@@ -130,11 +141,12 @@ def fingerprints(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame
     edited = F.concat(F.expr("substring(text, 1, length(text) - cut)"), F.expr("substring(next_text, 1, cut)"))
     rows = rows.withColumn("cut", cut).withColumn("edited", edited)
     facts = rows.select("run", "pos", "last", "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    each = rows.select("run", "pos", F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("t"))
-    each = each.select("run", "pos", "t.which", F.explode(_words(F.col("t.text"))).alias("term")).join(terms, "term")
+    # the id goes along so that both branches read the texts by one and the same exchange
+    each = rows.select("run", "pos", "doc_id", F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("t"))
+    each = each.select("run", "pos", "doc_id", "t.which", F.explode(_words(F.col("t.text"))).alias("term")).join(terms, "term")
     of = lambda w: F.collect_list(F.when(F.col("which") == w, F.struct("term", "levels")))
-    found = each.groupBy("run", "pos").agg(of(0).alias("own"), of(1).alias("new"))
-    found = found.select("run", "pos", fingerprint(F.col("own")).alias("own"), fingerprint(F.col("new")).alias("new"))
+    found = each.groupBy("run", "pos", "doc_id").agg(of(0).alias("own"), of(1).alias("new"))
+    found = fingerprints_of(found, ["own", "new"]).drop("doc_id")
     out = facts.join(found, ["run", "pos"], "left").join(F.broadcast(following), "run")
     out = out.select("run", "pos", F.when(F.col("last"), F.col("next_run")).otherwise(F.col("run")).alias("to_run"), F.when(F.col("last"), 1).otherwise(F.col("pos") + 1).alias("to_pos"), "doc_id", "n_chars", "edited_sha256", "own", "new")
     out = stored(out, "prints")
