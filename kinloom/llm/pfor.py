@@ -5,8 +5,9 @@ it packed at the width that a chosen percentile of them fits, and the larger
 differences in an exception list.  A segment is a run of blocks that holds
 whole documents; its index has the byte at which each block starts.  The table
 file is Parquet, one row a segment: ``part`` (write task, ascending with the
-document id), ``seg``, ``doc_ids``, ``lengths``, ``n_ids``, ``block_starts``
-(little-endian u32) and ``blocks``.
+document id), ``seg``, ``first`` (ids of the task before the segment),
+``doc_ids``, ``lengths``, ``n_ids``, ``block_starts`` (little-endian u32) and
+``blocks``.
 
 Block layout, little-endian: u32 minimum, u8 width, u8 ids - 1, u8 exceptions,
 ceil(128 * width / 8) packed bytes (short blocks are padded with zeros), u8
@@ -25,14 +26,13 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import run_dir, ship_package, slices
+from .common import lean, run_dir, ship_package, slices
 
 BLOCK = 128
 #: Ids after which a segment is closed.
@@ -40,12 +40,13 @@ SEGMENT_IDS = 1 << 16
 #: Share of a block's differences that the packed width must hold.
 PERCENTILE = 0.9
 #: Distinct white-space separated chunks whose ids a worker keeps; two generations.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 400_000
 CACHE_LENGTH = 48
-#: Bytes of text encoded at once.
-SLICE_BYTES = 4 << 20
+#: Chunks given to the library at once, and bytes of text encoded at once.
+ENCODED_AT_ONCE = 10_000
+SLICE_BYTES = 10 << 20
 
-SEGMENT_SCHEMA = "part int, seg int, doc_ids array<long>, lengths array<int>, n_ids long, block_starts binary, blocks binary"
+SEGMENT_SCHEMA = "part int, seg int, first long, doc_ids array<long>, lengths array<int>, n_ids long, block_starts binary, blocks binary"
 
 
 def _bits(x: np.ndarray) -> np.ndarray:
@@ -59,7 +60,7 @@ def encode_blocks(ids: np.ndarray, percentile: float = PERCENTILE) -> tuple[byte
     if not n:
         return b"", b""
     n_blocks = -(-n // BLOCK)
-    full = np.full(n_blocks * BLOCK, ids[-1], np.int64)
+    full = np.full(n_blocks * BLOCK, ids[-1], np.uint32)
     full[:n] = ids
     last = n - (n_blocks - 1) * BLOCK
     full = full.reshape(n_blocks, BLOCK)
@@ -70,9 +71,9 @@ def encode_blocks(ids: np.ndarray, percentile: float = PERCENTILE) -> tuple[byte
     counts[-1] = last
     rank = min(BLOCK - 1, int(np.ceil(percentile * BLOCK)) - 1)
     width = _bits(np.partition(diff, rank, axis=1)[:, rank])
-    over = diff >= (np.int64(1) << width)[:, None]
+    over = diff > ((np.int64(1) << width) - 1).astype(np.uint32)[:, None]
     n_over = over.sum(axis=1)
-    inside = np.where(over, 0, diff).astype("<u4")
+    inside = np.where(over, np.uint32(0), diff)
     packed: list[bytes] = [b""] * n_blocks
     for w in np.unique(width):
         at = np.flatnonzero(width == w)
@@ -89,7 +90,7 @@ def encode_blocks(ids: np.ndarray, percentile: float = PERCENTILE) -> tuple[byte
     for k, (m, w, c, e) in enumerate(zip(low.tolist(), width.tolist(), counts.tolist(), n_over.tolist())):
         piece = m.to_bytes(4, "little") + bytes((w, c - 1, e)) + packed[k]
         if e:
-            piece += lists[k].astype(np.uint8).tobytes() + diff[k, lists[k]].astype("<u4").tobytes()
+            piece += lists[k].astype(np.uint8).tobytes() + diff[k, lists[k]].tobytes()
         starts.append(pos)
         pos += len(piece)
         out.append(piece)
@@ -140,16 +141,23 @@ class ChunkEncoder:
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
         """Little-endian u32 ids of each of some distinct chunks."""
-        new, old, out = self._new, self._old, []
-        missing = [c for c in chunks if c not in new and c not in old]
-        got = dict(zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)))
-        for c in chunks:
-            if (ids := new.get(c)) is None:
+        new, old = self._new, self._old
+        out = list(map(new.get, chunks))
+        missing = []
+        for k, ids in enumerate(out):
+            if ids is None:
+                c = chunks[k]
                 if (ids := old.get(c)) is None:
-                    ids = np.array(got[c].ids, "<u4").tobytes()
+                    missing.append(k)
+                else:
+                    new[c] = out[k] = ids
+        for i in range(0, len(missing), ENCODED_AT_ONCE):
+            some = missing[i : i + ENCODED_AT_ONCE]
+            for k, e in zip(some, self.tokenizer.encode_batch_fast([chunks[k] for k in some], add_special_tokens=False)):
+                c = chunks[k]
+                out[k] = ids = np.array(e.ids, "<u4").tobytes()
                 if len(c) <= CACHE_LENGTH:
                     new[c] = ids
-            out.append(ids)
         if len(new) >= CACHE_ENTRIES:
             self._new, self._old = {}, new
         return out
@@ -161,19 +169,21 @@ class ChunkEncoder:
         texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
         for c in "\t\n\r":
             texts = pc.replace_substring(texts, c, " ")
+        # a comma or full stop after a Latin letter and before white space is split off by the vocabulary too: fewer chunks
+        texts = pc.replace_substring_regex(texts, r"([a-z\x{df}-\x{f6}\x{f8}-\x{24f}])([.,]) ", r"\1 \2 ")
         lists = pc.split_pattern(texts, " ")
         coded = lists.flatten().dictionary_encode()
         pieces = [*self._chunks(coded.dictionary.to_pylist()), int(end_id).to_bytes(4, "little")]
-        size = np.array([len(p) // 4 for p in pieces], np.int64)
-        start = np.cumsum(size) - size
+        size = np.array([len(p) // 4 for p in pieces], np.int32)
+        start = np.cumsum(size, dtype=np.int32) - size
         known = np.frombuffer(b"".join(pieces), "<u4")
         offsets = lists.offsets.to_numpy().astype(np.int64)
         at = np.insert(coded.indices.to_numpy(), offsets[1:] - offsets[0], len(pieces) - 1)
         n = size[at]
-        ends = np.cumsum(n)
-        ids = known[np.repeat(start[at] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+        ends = np.cumsum(n, dtype=np.int32)
+        ids = known[np.repeat(start[at] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)]
         docs = np.cumsum(np.diff(offsets) + 1)
-        return ids, np.diff(ends[docs - 1], prepend=0) if len(docs) else docs
+        return ids, np.diff(ends[docs - 1].astype(np.int64), prepend=0) if len(docs) else docs
 
 
 @lru_cache(maxsize=2)
@@ -187,14 +197,14 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int, pe
 
     def run(batches):
         enc, part, seg = load(tokenizer), TaskContext.get().partitionId(), 0
-        ids, held, payload = [], [], 0
+        ids, held, payload, first = [], [], 0, 0
 
         def close():
-            run_ids = np.concatenate(held).astype(np.int64)
+            run_ids = np.concatenate(held)
             starts, blocks = encode_blocks(run_ids, percentile)
-            row = [[part], [seg], [ids], [[len(h) for h in held]], [len(run_ids)], [starts], [blocks]]
-            kinds = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64(), pa.binary(), pa.binary()]
-            names = ["part", "seg", "doc_ids", "lengths", "n_ids", "block_starts", "blocks"]
+            row = [[part], [seg], [first], [ids], [[len(h) for h in held]], [len(run_ids)], [starts], [blocks]]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64(), pa.binary(), pa.binary()]
+            names = ["part", "seg", "first", "doc_ids", "lengths", "n_ids", "block_starts", "blocks"]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names=names)
 
         for b in batches:
@@ -206,7 +216,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int, pe
                     payload += len(got)
                     if payload >= SEGMENT_IDS:
                         yield close()
-                        seg, ids, held, payload = seg + 1, [], [], 0
+                        seg, first, ids, held, payload = seg + 1, first + payload, [], [], 0
         if held:
             yield close()
 
@@ -214,7 +224,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int, pe
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "text")
-        .mapInArrow(run, SEGMENT_SCHEMA)
+        .mapInArrow(lean(run), SEGMENT_SCHEMA)
         .write.parquet(path)
     )
 
@@ -229,22 +239,26 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
     ship_package(spark)
     segments = spark.read.schema(SEGMENT_SCHEMA).parquet(path)
     parts = segments.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("part_start"))
-    seg_start = F.sum("n_ids").over(Window.partitionBy("part").orderBy("seg")) - F.col("n_ids")
-    index = segments.select("part", "seg", "n_ids").select("part", "seg", seg_start.alias("seg_start"))
-    # one row of three numbers a write task and segment: bounded by the number of segments
-    starts = index.join(before, "part").select("part", "seg", (F.col("part_start") + F.col("seg_start")).alias("first"))
-
-    def run(frames):
-        for f in frames:
-            for r in f.itertuples(index=False):
-                n = np.asarray(r.lengths, np.int64)
-                ends = np.cumsum(n)
-                raw = decode_blocks(r.block_starts, r.blocks).astype("<u4").tobytes()
-                crc = [zlib.crc32(raw[4 * (e - k) : 4 * e]) for e, k in zip(ends.tolist(), n.tolist())]
-                yield pd.DataFrame({"doc_id": pd.array([None if i is None or i != i else int(i) for i in r.doc_ids], "Int64"), "start": ends - n + int(r.first), "n_tokens": n, "ids_crc32": crc})
-
-    return segments.join(starts, ["part", "seg"]).select("doc_ids", "lengths", "block_starts", "blocks", "first").mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+
+    def run(batches):
+        for b in batches:
+            docs, starts, counts, crcs = [], [], [], []
+            for ids, lengths, block_starts, blocks, first, before in zip(*(c.to_pylist() for c in b.columns)):
+                raw = memoryview(decode_blocks(block_starts, blocks).astype("<u4").tobytes())
+                at, place = 0, first + before
+                for n in lengths:
+                    starts.append(place)
+                    crcs.append(zlib.crc32(raw[at : at + 4 * n]))
+                    at += 4 * n
+                    place += n
+                docs += ids
+                counts += lengths
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (docs, starts, counts, crcs)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    # one number a write task is broadcast: no more than the write had partitions
+    located = segments.join(F.broadcast(before), "part")
+    return located.select("doc_ids", "lengths", "block_starts", "blocks", "first", "before").mapInArrow(lean(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_file(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
