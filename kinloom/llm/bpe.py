@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package, slices
+from .common import lean, ship_package, slices
 
 #: Unicode White_Space, and the split pattern of the vocabulary.
 WHITE_SPACE = r"\t-\r\x20\x85\xa0  -     　"
@@ -34,9 +34,11 @@ COARSE = rf" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPA
 FINE = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE_SPACE}\p{{L}}\p{{N}}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+"
 
 #: Entries in each of a worker's two generations of cached pretokens.
-CACHE_ENTRIES = 700_000
+CACHE_ENTRIES = 250_000
 #: Bits of a queue key that hold the position, in lists of up to 2**13 symbols.
 POSITION_BITS = 13
+#: Bytes of text encoded at once.
+TEXT_BYTES = 6 << 20
 #: Longer pretokens are not cached, which bounds the cache's bytes.
 CACHE_LENGTH = 48
 
@@ -153,14 +155,14 @@ class ByteBpe:
         coded = lists.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
         known = [self._ids(" " + w, False) for w in words]
-        at = coded.indices.to_pylist()
+        at = coded.indices.to_numpy()
         ends = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
         for k, cut in enumerate(plain.to_pylist()):
             if not cut:
                 yield self.encode(texts[k].as_py())
                 continue
             first, end = ends[k], ends[k + 1]
-            yield [*self.encode(words[at[first]]), *chain.from_iterable(map(known.__getitem__, at[first + 1 : end]))]
+            yield [*self.encode(words[at[first]]), *chain.from_iterable(map(known.__getitem__, at[first + 1 : end].tolist()))]
 
 
 @lru_cache(maxsize=2)
@@ -175,12 +177,12 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     def run(batches):
         bpe = load(tokenizer)
         for b in batches:
-            for part in slices(b):
+            for part in slices(b, 1, TEXT_BYTES):
                 ids = pa.array(list(bpe.encode_all(part.column(1))), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], names=[id_col, "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, ids array<int>")
+    return docs.select(id_col, text_col).mapInArrow(lean(run), f"{id_col} {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -194,7 +196,7 @@ def decode(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=[id_col, "text"])
 
     kind = encoded.schema[id_col].dataType.simpleString()
-    return encoded.select(id_col, ids_col).mapInArrow(run, f"{id_col} {kind}, text string")
+    return encoded.select(id_col, ids_col).mapInArrow(lean(run), f"{id_col} {kind}, text string")
 
 
 def digest(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -204,7 +206,7 @@ def digest(docs: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches):
         bpe = load(tokenizer)
         for b in batches:
-            for part in slices(b):
+            for part in slices(b, 1, TEXT_BYTES):
                 n, ids_sha, text_sha = [], [], []
                 for ids in bpe.encode_all(part.column(1)):
                     n.append(len(ids))
@@ -216,4 +218,4 @@ def digest(docs: DataFrame, tokenizer: str) -> DataFrame:
                 )
 
     out = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, out)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lean(run), out)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -52,6 +54,25 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: Python workers live on between tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def lean(run):
+    """The same batch function; when a task has read its last batch, its memory is released."""
+
+    def batches_of(batches):
+        yield from run(batches)
+        release_memory()
+
+    return batches_of
+
+
 def run_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared folder named in ``spark.checkpoint.dir``."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/kinloom-{label}-{uuid.uuid4().hex[:12]}"

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import only, ship_package, slices, stored
+from .common import lean, only, ship_package, slices, stored
 
 ORDER, BITS = 5, 12
 #: Rows of the model a worker holds at a time (16 bytes each, at half load).
@@ -43,7 +43,7 @@ QUANTILE, MARGIN, PRIOR = 0.99, 1.0, 200
 #: Least distance of a limit from the median (nats a character), for a language of few or like documents.
 FLOOR = 0.1
 START, END, FOLD, CLASSES = 4095, 4094, 2046, 1 << BITS
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 1 << 20
 #: Keys: a gram has its order above its 60 bits; a context (48 bits) has this tag there and its order below.
 GRAM_SHIFT, CONTEXT_SHIFT, CONTEXT_TAG = 60, 56, 6
 
@@ -77,12 +77,12 @@ def _counts(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for part in slices(b, 0, TEXT_BYTES * 4):
+            for part in slices(b, 0, 2 * TEXT_BYTES):
                 g, _ = grams(part.column(0).to_pylist())
                 g, c = np.unique(g, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(c.astype(np.int64))], names=["g", "c"])
 
-    return docs.select("text").mapInArrow(run, "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
+    return docs.select("text").mapInArrow(lean(run), "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
 
 
 def _tables(docs: DataFrame) -> list[DataFrame]:
@@ -203,7 +203,7 @@ def score(docs: DataFrame, shards: list[DataFrame], lp: str, n: str) -> DataFram
                     yield pa.RecordBatch.from_arrays([*part.columns[:-2], pa.array(sums, pa.float64()), pa.array(seen, pa.int64())], schema=part.schema)
 
         out = stored(out, "kn-scored") if i else out
-        out = out.mapInArrow(run, out.schema)
+        out = out.mapInArrow(lean(run), out.schema)
     return out
 
 

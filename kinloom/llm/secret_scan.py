@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package
+from .common import lean, ship_package
 
 #: The base kinds in their order, then those with a checksum.
 KINDS = ("assign", "access", "hex", "checked")
@@ -105,7 +105,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(shas, pa.string()), pa.array(spans, pa.string())], names=names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, f"{id_col} {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(lean(run), f"{id_col} {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "<secret>") -> DataFrame:
@@ -131,4 +131,4 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "<secret>") -> D
             texts = pa.array([clean(t.as_py()) for t in b.column(at)], b.schema.field(at).type)
             yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(b.columns)], schema=b.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

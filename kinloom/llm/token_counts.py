@@ -26,7 +26,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package, slices
+from .common import lean, ship_package, slices
 
 
 class Counter:
@@ -108,4 +108,4 @@ def count_tokens(docs: DataFrame, ranks: str, sections_col: str | None = None) -
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=names)
 
     cols = [F.col("doc_id").cast("long"), F.col("text").cast("string")] + ([F.col(sections_col).cast("array<long>")] if sections_col else [])
-    return docs.select(*cols).mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return docs.select(*cols).mapInArrow(lean(run), ", ".join(f"{n} long" for n in names))

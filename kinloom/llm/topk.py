@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship_package, stored
+from .common import lean, ship_package, stored
 
 #: Segments of the two resolutions.
 RESOLUTIONS = (4, 16)
@@ -141,7 +141,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
                         block.offer(some.column(0).to_numpy()[kept], c)
             yield pa.RecordBatch.from_arrays([pa.array(block.ids[block.q]), pa.array(block.v), pa.array(block.s)], names=["query_id", "vec_id", "score"])
 
-        kept = rows.mapInArrow(run, "query_id long, vec_id long, score long")
+        kept = rows.mapInArrow(lean(run), "query_id long, vec_id long, score long")
         kept = stored(kept, "topk") if n_blocks > 1 else kept
         found = kept if found is None else found.union(kept)
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")

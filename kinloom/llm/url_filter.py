@@ -53,10 +53,16 @@ def rule_columns(host: Column, path: Column, rules: list[tuple[str, str]]) -> tu
     return (rule, verdict) if rules else (F.lit(None).cast("string"), F.lit(None).cast("string"))
 
 
-def _grams(text: Column) -> Column:
-    """For each character and the end: the characters before it (four, padded) and itself."""
-    chars = F.concat(F.array(*[F.lit(START)] * CONTEXT), F.filter(F.split(text, ""), lambda c: c != ""), F.array(F.lit(END)))
-    return F.transform(F.sequence(F.lit(1), F.size(chars) - CONTEXT), lambda i: F.array_join(F.slice(chars, i, CONTEXT + 1), ""))
+def _grams(texts: DataFrame) -> DataFrame:
+    """A row for each character of ``s`` and its end: ``gram`` has the (padded) four before it and itself.
+
+    The characters are a column of their own, so that they are found once a text
+    and each gram takes five of them by position: linear in the text.
+    """
+    chars = F.concat(F.array(*[F.lit(START)] * CONTEXT), F.filter(F.split("s", ""), lambda c: c != ""), F.array(F.lit(END)))
+    gram = lambda i: F.concat(*[F.get("chars", i + k) for k in range(CONTEXT + 1)])
+    cut = F.transform(F.sequence(F.lit(0), F.size("chars") - CONTEXT - 1), gram)
+    return texts.withColumn("chars", chars).select("id", "said", "n", F.explode(cut).alias("gram"))
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -94,14 +100,16 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     parsed = pages.select("page_id", F.col("url").cast("string")).select("page_id", host.alias("host"), path.alias("path"))
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     parsed = stored(parsed.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("said"), F.concat("host", "path").alias("s")), "urls")
-    texts = stored(parsed.groupBy("s", "said").agg(F.count("*").alias("n")), "url-texts")
+    texts = parsed.groupBy("s", "said").agg(F.count("*").alias("n"))
+    # a row of a gram carries this number, not the text
+    texts = stored(texts.withColumn("id", F.monotonically_increasing_id()), "url-texts")
     # few bytes, many grams: the number of partitions is stated so that none are merged
-    texts = texts.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), "s")
-    grams = texts.select("said", "n", F.explode(_grams(F.col("s"))).alias("gram"))
+    grams = _grams(texts.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id"))
     counts = stored(grams.groupBy("gram").agg(*[F.sum(F.when(F.col("said") == v, F.col("n")).otherwise(0)).alias(a) for v, a in (("allow", "n_a"), ("block", "n_r"))]), "url-grams")
     scores = stored(gram_scores(counts), "url-scores")
-    each = texts.select("s", "said", "n", F.explode(_grams(F.col("s"))).alias("gram")).join(_small(scores, scores.count()), "gram")
-    scored = stored(each.groupBy("s", "said", "n").agg(F.floor(F.sum("score") / F.count("*")).alias("mean")), "url-means")
+    each = grams.join(_small(scores, scores.count()), "gram")
+    means = each.groupBy("id").agg(F.floor(F.sum("score") / F.count("*")).alias("mean"))
+    scored = stored(texts.join(means, "id").select("s", "said", "n", "mean"), "url-means")
     mean = lambda v: F.sum(F.when(F.col("said") == v, F.col("mean") * F.col("n"))) / F.sum(F.when(F.col("said") == v, F.col("n")))
     mean_a, mean_r = scored.agg(mean("allow"), mean("block")).first()
     open_ = scored.filter("said is null").select("s", "mean")

@@ -9,7 +9,7 @@ from kinloom.llm.queries import URL_RULES
 from kinloom.llm.sql import ORACLE_SQL
 
 SCHEMA = "page_id long, url string, html string, host string, verdict string"
-URLS = ["http://A.Example.COM/en/1?x#y", "https://www.example.com/en/2", "http://com/", "ftp://x.net/es/3", "http://net/fr/", "http://x.org/de/1#top", "nothing", None, "", "://", "http://a.com?q", "http://www.x.net/en/9?p=1", "http://é.org/ü/日", "http://xcom/", "http://a.example.com/en", "http://a.b.net/es/" + "z" * 20000]
+URLS = ["http://A.Example.COM/en/1?x#y", "https://www.example.com/en/2", "http://com/", "ftp://x.net/es/3", "http://net/fr/", "http://x.org/de/1#top", "nothing", None, "", "://", "http://a.com?q", "http://www.x.net/en/9?p=1", "http://é.org/ü/日", "http://xcom/", "http://a.example.com/en", "http://a.b.net/es/" + "z" * 5000]
 
 
 def frame(spark, urls, ids=None):
@@ -79,6 +79,11 @@ def test_without_training(spark, urls, want):
     assert [r.verdict for r in judged(frame(spark, urls, [None] * len(urls))).collect()] == want
 
 
+def test_very_long_url(spark):
+    out = judged(frame(spark, ["http://a.com/x", "http://b.net/es/1", "http://x.org/" + "long/" * 60000])).collect()
+    assert {r.page_id: len(r.path) for r in out}[2] == 300001 and len(out) == 3
+
+
 def test_repeated_rows_stay(spark):
     df = frame(spark, ["http://a.com/x"] * 3, [1, 1, None])
     assert len(rows(judged(df))) == 3
