@@ -40,7 +40,11 @@ def cohort_stages(spark: SparkSession, sf: str) -> dict[str, Stage]:
 
 
 def lazy(spark: SparkSession, sf: str) -> Pipeline:
-    return Pipeline(spark, cohort_stages(spark, sf))
+    """Stages planned as one query over the session's stored episodes, which
+    every hospital stage reads."""
+    stages = cohort_stages(spark, sf)
+    stages["episodes"] = Stage(lambda: staged(spark, sf).get("episodes"), (), write=False)
+    return Pipeline(spark, stages)
 
 
 _runs: dict[tuple[str, str], Pipeline] = {}
@@ -91,6 +95,10 @@ def _timeline(df: DataFrame) -> DataFrame:
     )
 
 
+def q_episodes_harmonised(spark: SparkSession, sf: str) -> DataFrame:
+    return Pipeline(spark, cohort_stages(spark, sf)).get("episodes")
+
+
 def q_cancer_diagnoses(spark: SparkSession, sf: str) -> DataFrame:
     return FD.cancer_diagnoses(lazy(spark, sf).get("primary_diagnoses"), C.cancer_codes(spark))
 
@@ -164,7 +172,7 @@ def q_dataset_row_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     # hospital episodes -> diagnoses -> first diagnoses
-    "episodes_harmonised": _stage("episodes"),
+    "episodes_harmonised": q_episodes_harmonised,
     "diagnoses_long": _stage("diagnoses"),
     "cancer_diagnoses": q_cancer_diagnoses,
     "first_cancer_slots": _stage("cancer"),
