@@ -26,7 +26,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, word_count
+from .common import BROADCAST_IDS, stored, word_count
 
 #: Words of a block.
 BLOCK_WORDS = 256
@@ -138,9 +138,11 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     """
     share = mix(docs, **options).filter("size > 0").groupBy("doc_id").agg((F.floor((2 * F.sum("taken") + F.sum("size")) / (2 * F.sum("size")))).cast("int").alias("times"))
     times = stored(share.filter("times > 0"), "times")
+    few = times.count() <= BROADCAST_IDS  # else the texts are shuffled to their numbers
     column = "times"
     while column in docs.columns:
         column += "_"
     again = F.explode(F.sequence(F.lit(1), F.col(column)))
-    out = docs.join(times.withColumnRenamed("times", column), "doc_id")
+    times = times.withColumnRenamed("times", column)
+    out = docs.join(F.broadcast(times) if few else times, "doc_id")
     return out.withColumn(column, again).select(*docs.columns)
