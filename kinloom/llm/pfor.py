@@ -22,6 +22,7 @@ Other columns of the input are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 from functools import lru_cache
 
@@ -131,6 +132,7 @@ class ChunkEncoder:
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
