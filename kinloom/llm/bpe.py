@@ -34,11 +34,11 @@ COARSE = rf" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPA
 FINE = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE_SPACE}\p{{L}}\p{{N}}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+"
 
 #: Entries in each of a worker's two generations of cached pretokens.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 230_000
 #: Bits of a queue key that hold the position, in lists of up to 2**13 symbols.
 POSITION_BITS = 13
 #: Bytes of text encoded at once.
-TEXT_BYTES = 6 << 20
+TEXT_BYTES = 5 << 20
 #: Longer pretokens are not cached, which bounds the cache's bytes.
 CACHE_LENGTH = 48
 
