@@ -32,6 +32,8 @@ from .common import lean, ship_package, slices
 WHITE_SPACE = r"\t-\r\x20\x85\xa0  -     　"
 COARSE = rf" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+"
 FINE = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE_SPACE}\p{{L}}\p{{N}}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+"
+#: A space inside a run of white space, which is one pretoken up to the run's last character.
+INSIDE_RUN = rf"[{WHITE_SPACE}]\x20[{WHITE_SPACE}]"
 
 #: Entries in each of a worker's two generations of cached pretokens.
 CACHE_ENTRIES = 230_000
@@ -144,11 +146,13 @@ class ByteBpe:
 
         Texts are cut at single spaces, each space left to what follows it, and
         each distinct chunk is encoded once.  Where a cut could divide white
-        space that belongs together, or a special token's string may occur, the
+        space that belongs together (a space of any run has white space on both
+        sides, or ends the text), or a special token's string may occur, the
         text is encoded on its own.
         """
         texts = pc.fill_null(texts, "")
         plain = pc.invert(pc.or_(pc.match_substring(texts, "  "), pc.ends_with(texts, " ")))
+        plain = pc.and_not(plain, pc.match_substring_regex(texts, INSIDE_RUN))
         for t in self.special:
             plain = pc.and_not(plain, pc.match_substring(texts, t))
         lists = pc.split_pattern(pc.if_else(plain, texts, ""), " ")

@@ -45,6 +45,18 @@ def test_random_texts(text):
     assert a.decode(a.encode(text)) == text
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*"ab'.é \n\t\x85\xa0\u2003", " \xa0", " \xa0 \xa0 "]), max_size=20).map("".join), min_size=1, max_size=5))
+def test_random_batches_match_the_library(ours, theirs, texts):
+    assert list(ours.encode_all(pa.array(texts))) == [theirs.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("run", [" \xa0 \xa0 ", " \xa0" * 4 + " ", "\n \n", "\xa0 \t"])
+def test_spaces_among_other_white_space_stay_together(ours, theirs, run):
+    texts = ["plain text", "a" + run + "b", run + "b", "a" + run]
+    assert list(ours.encode_all(pa.array(texts))) == [theirs.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_partial_characters_decode_like_the_library(ours, theirs):
     ids = theirs.encode("日本🙂", add_special_tokens=False).ids
     for cut in range(len(ids)):
