@@ -172,7 +172,8 @@ class ChunkEncoder:
         for c in "\t\n\r":
             texts = pc.replace_substring(texts, c, " ")
         # a comma or full stop after a Latin letter and before white space is split off by the vocabulary too: fewer chunks
-        texts = pc.replace_substring_regex(texts, r"([a-z\x{df}-\x{f6}\x{f8}-\x{24f}])([.,]) ", r"\1 \2 ")
+        # (not after U+0130: in lower case it ends in a combining mark, which joins the comma)
+        texts = pc.replace_substring_regex(texts, r"([a-z\x{df}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}])([.,]) ", r"\1 \2 ")
         lists = pc.split_pattern(texts, " ")
         coded = lists.flatten().dictionary_encode()
         pieces = [*self._chunks(coded.dictionary.to_pylist()), int(end_id).to_bytes(4, "little")]

@@ -43,6 +43,29 @@ def test_chunks_match_whole_texts():
     assert ids.tolist() == sum(want, [])
 
 
+@pytest.fixture(scope="module")
+def both():
+    return pfor.ChunkEncoder(PATH), Tokenizer.from_file(PATH)
+
+
+def test_commas_after_every_letter_of_the_class(both):
+    enc, whole = both
+    texts = [f"B{chr(c)}{mark} x" for c in [*range(0x41, 0x7B), *range(0xC0, 0x250)] for mark in (",", ".", "\u0307,", "\u0301.")]
+    ids, n = enc.encode(pa.array(texts), 2)
+    got = [x[:-1].tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
+    assert [t for t, g, w in zip(texts, got, whole.encode_batch(texts, add_special_tokens=False)) if g != w.ids] == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("abI\u0130ıſßéΣς日'.., \n\t\xa0\u0301\u0307\u0327"), max_size=30), min_size=1, max_size=5))
+def test_random_chunks_match_whole_texts(both, texts):
+    enc, whole = both
+    ids, n = enc.encode(pa.array(texts), 2)
+    want = [[*whole.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert n.tolist() == [len(w) for w in want]
+    assert ids.tolist() == sum(want, [])
+
+
 def test_file_in_order_of_ids(spark, tmp_path):
     whole = Tokenizer.from_file(PATH)
     ids = [7, 3, None, 9, 3, 1, 12, 11, 10, 8]
