@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_IDS, stored, word_count
@@ -103,46 +103,53 @@ def schedule(plan: DataFrame, n_slots: int, block_words: int = BLOCK_WORDS) -> D
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` for every row."""
-    sized = stored(docs.select("doc_id", "source", word_count(F.col("text").cast("string")).alias("size")), "sizes")
+    return _mix(docs, F.lit(0), weights, cap, block_words).drop("row")
+
+
+def _mix(docs: DataFrame, row: Column, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``mix`` with a ``row`` key in front."""
+    sized = stored(docs.select(row.cast("long").alias("row"), "doc_id", "source", word_count(F.col("text").cast("string")).alias("size")), "sizes")
     shares = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap), "shares")
     plan = _plan(shares, block_words)
     n_slots, n_docs = plan.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0], sized.count()
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     n_buckets = max(1, math.isqrt(n_docs))
     bucket = F.floor(F.conv(F.substring("h", 1, 8), 16, 10).cast("double") / (1 << 32) * n_buckets).cast("int")
-    rows = sized.join(shares, sized["source"].eqNullSafe(shares["source"])).select("doc_id", "size", "sid", "source_size", "target", key.alias("h")).withColumn("bucket", bucket)
+    rows = sized.join(shares, sized["source"].eqNullSafe(shares["source"])).select("row", "doc_id", "size", "sid", "source_size", "target", key.alias("h")).withColumn("bucket", bucket)
     sums = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("n"))
     before = sums.select("sid", "bucket", (F.sum("n").over(Window.partitionBy("sid").orderBy("bucket")) - F.col("n")).alias("before"))
-    order = Window.partitionBy("sid", "bucket").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("sid", "bucket").orderBy("h", "doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, 0)
     placed = rows.withColumn("inside", F.sum("size").over(order) - F.col("size")).join(before, ["sid", "bucket"]).withColumn("pos", F.col("before") + F.col("inside"))
-    placed = placed.select("doc_id", "size", "sid", "source_size", "target", "pos")
+    placed = placed.select("row", "doc_id", "size", "sid", "source_size", "target", "pos")
     whole = placed.filter("size > 0")
     pieces = whole.withColumn("block", F.explode(F.expr(f"sequence(pos div {block_words}, (pos + size - 1) div {block_words})")))
     blocks = schedule(plan, n_slots, block_words) if n_slots else None
     if blocks is None:
-        return placed.select("doc_id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
+        return placed.select("row", "doc_id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
     at = F.col("block") * block_words
     first = F.greatest(F.col("pos"), at)
     last = F.least(F.col("pos") + F.col("size"), at + block_words)
     words = F.col("full") * (last - first) + F.greatest(F.least(last, at + F.col("part_words")) - first, F.lit(0))
-    got = pieces.join(blocks, ["sid", "block"], "left").groupBy("sid", "pos", "doc_id", "size", "source_size", "target").agg(F.coalesce(F.sum(words), F.lit(0)).cast("long").alias("taken"))
-    out = got.select("doc_id", "size", "source_size", "target", "taken")
-    return out.union(placed.filter("size = 0").select("doc_id", "size", "source_size", "target", F.lit(0).cast("long")))
+    got = pieces.join(blocks, ["sid", "block"], "left").groupBy("sid", "pos", "row", "doc_id", "size", "source_size", "target").agg(F.coalesce(F.sum(words), F.lit(0)).cast("long").alias("taken"))
+    out = got.select("row", "doc_id", "size", "source_size", "target", "taken")
+    return out.union(placed.filter("size = 0").select("row", "doc_id", "size", "source_size", "target", F.lit(0).cast("long")))
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them: the share of the words taken, rounded.
 
-    Rows of one id are taken equally often; documents without words, and rows
-    without an id, are not taken.
+    Every row counts on its own, also without an id or with that of another;
+    rows without words are not taken.
     """
-    share = mix(docs, **options).filter("size > 0").groupBy("doc_id").agg((F.floor((2 * F.sum("taken") + F.sum("size")) / (2 * F.sum("size")))).cast("int").alias("times"))
-    times = stored(share.filter("times > 0"), "times")
-    few = times.count() <= BROADCAST_IDS  # else the texts are shuffled to their numbers
-    column = "times"
+    key, column = "row", "times"
+    while key in docs.columns:
+        key += "_"
     while column in docs.columns:
         column += "_"
+    rows = stored(docs.withColumn(key, F.monotonically_increasing_id()), "rows")
+    share = _mix(rows, F.col(key), **options).filter("size > 0").select(F.col("row").alias(key), F.expr("(2 * taken + size) div (2 * size)").cast("int").alias(column))
+    times = stored(share.filter(F.col(column) > 0), "times")
+    few = times.count() <= BROADCAST_IDS  # else the texts are shuffled to their numbers
     again = F.explode(F.sequence(F.lit(1), F.col(column)))
-    times = times.withColumnRenamed("times", column)
-    out = docs.join(F.broadcast(times) if few else times, "doc_id")
+    out = rows.join(F.broadcast(times) if few else times, key)
     return out.withColumn(column, again).select(*docs.columns)

@@ -70,3 +70,17 @@ def test_mixed_repeats_and_leaves_out(spark):
     assert out.columns == df.columns
     counts = {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()}
     assert counts == {i: (2 * t + s) // (2 * s) for i, (t, s) in share.items() if s and (2 * t + s) // (2 * s)}
+
+
+def test_mixed_takes_rows_without_an_id(spark):
+    texts = ["a b", "c d e", "c d e", "f", None, "g h", "i"]
+    df = with_clashes(docs(spark, texts, ids=[None, None, None, 1, None, 2, 2]), "row", "times")
+    assert sorted(r.text for r in mixing.mixed(df).collect()) == sorted(t for t in texts if t)
+
+
+def test_mixed_counts_rows_of_one_id_on_their_own(spark):
+    texts, sources = corpus(7)
+    df = docs(spark, texts, ids=[None if i % 3 else 5 for i in range(250)], sources=sources)
+    each = [((2 * r.taken + r.size) // (2 * r.size), r.size) for r in mixing.mix(df).collect() if r.size]
+    got = sorted(len(r.text.split()) for r in mixing.mixed(df).collect())
+    assert got == sorted(s for n, s in each for _ in range(n))
