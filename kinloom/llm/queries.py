@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, imatch, jaccard_join, kneser_ney, mixing, pfor, secret_scan, token_counts, topk, url_filter
+from . import bpe, imatch, jaccard_join, kneser_ney, language_mixture, lexical_nra, mixing, pfor, secret_scan, simplex_clusters, token_counts, topk, url_filter
 from .common import table
 
 
@@ -59,6 +59,18 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_mixture.identify(table(spark, sf_dir, "documents"))
+
+
+def op12_simplex_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simplex_clusters.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3, length=64)
+
+
+def op13_lexical_nra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_nra.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {
     "op1_topk": op1_topk,
     "op2_imatch": op2_imatch,
@@ -70,4 +82,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_secret_scan": op10_secret_scan,
+    "op11_language_mixture": op11_language_mixture,
+    "op12_simplex_clusters": op12_simplex_clusters,
+    "op13_lexical_nra": op13_lexical_nra,
 }

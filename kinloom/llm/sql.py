@@ -1,7 +1,7 @@
 """DuckDB SQL of the queries that SQL can express.
 
-op3 (a trained model), op6, op7 and op9 (tokenizers) and op10 (offsets of
-pattern matches) are tested against brute force instead.
+op3 and op11 (trained models), op6, op7 and op9 (tokenizers) and op10 (offsets
+of pattern matches) are tested against brute force instead.
 """
 
 TOPK = """
@@ -149,9 +149,69 @@ SELECT page_id, host, path, rule,
 FROM judged j LEFT JOIN means ON means.s = j.s AND means.said IS NULL AND j.said IS NULL, line
 """
 
+CLUSTERS_ROUND = """
+, a{i} AS (
+  SELECT v.pos, arg_min(c.cluster, (list_sum([(v.q[j] - c.q[j]) * (v.q[j] - c.q[j]) FOR j IN range(1, 65)]), c.cluster)) AS cluster
+  FROM v, c{i} c GROUP BY v.pos
+), s{i} AS (
+  SELECT a.cluster, j, sum(v.q[j]) AS s, count(*) AS n
+  FROM a{i} a JOIN v USING (pos), range(1, 65) r(j) GROUP BY a.cluster, j
+), c{k} AS (
+  SELECT c.cluster, coalesce((SELECT list(CAST((s.s - ((s.s % s.n) + s.n) % s.n) // s.n AS BIGINT) ORDER BY s.j) FROM s{i} s WHERE s.cluster = c.cluster), c.q) AS q
+  FROM c{i} c
+)"""
+
+CLUSTERS = (
+    """
+WITH v AS (
+  SELECT vec_id, row_number() OVER () AS pos, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), c0 AS (
+  SELECT row_number() OVER w - 1 AS cluster, q FROM v WINDOW w AS (ORDER BY sha256('1:' || vec_id) NULLS LAST, q) QUALIFY row_number() OVER w <= 16
+)"""
+    + "".join(CLUSTERS_ROUND.format(i=i, k=i + 1) for i in range(3))
+    + """
+, d AS (
+  SELECT v.pos, v.vec_id, c.cluster, c.q, list_sum([(v.q[j] - c.q[j]) * (v.q[j] - c.q[j]) FOR j IN range(1, 65)]) AS distance
+  FROM v, c3 c QUALIFY row_number() OVER (PARTITION BY v.pos ORDER BY distance, c.cluster) = 1
+)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(q, ',')) AS centroid_sha256
+FROM d
+"""
+)
+
+LEXICAL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS pos, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), size AS (
+  SELECT count(*) AS nn, sum(len(terms)) AS ll FROM d WHERE len(terms) > 0
+), tf AS (
+  SELECT pos, term, count(*) AS tf FROM (SELECT pos, unnest(terms) AS term FROM d) GROUP BY pos, term
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * CAST(nn AS DOUBLE) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, size GROUP BY term, nn
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), scored AS (
+  SELECT a.item_id, d.pos, d.doc_id,
+         CAST(sum(w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (100 - 90 + CAST((90 * len(d.terms) * nn) // ll AS BIGINT))))) AS BIGINT) AS score
+  FROM asked a JOIN w USING (term) JOIN tf USING (term) JOIN d USING (pos), size
+  GROUP BY a.item_id, d.pos, d.doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_topk": TOPK,
     "op2_imatch": IMATCH,
     "op5_source_mix": MIX,
     "op8_url_filter": URLS,
+    "op12_simplex_clusters": CLUSTERS,
+    "op13_lexical_nra": LEXICAL,
 }

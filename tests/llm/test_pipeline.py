@@ -46,7 +46,7 @@ def test_stages_one_by_one(spark):
 def test_run_and_registration(spark):
     assert C.run(spark, SF).count() > 0
     assert len(C.STAGES) == 5
-    assert {int(q[2:].split("_")[0]) for q in QUERIES} == set(range(1, 11))
+    assert {int(q[2:].split("_")[0]) for q in QUERIES} == set(range(1, 14))
 
 
 def test_null_columns(spark):
