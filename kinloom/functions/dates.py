@@ -53,13 +53,13 @@ def parse_year_month(c: str | Column) -> Column:
 
 
 def parse_yyyymmdd_int(c: str | Column) -> Column:
-    """Integer YYYYMMDD; a year-only value (MMDD = 0000) becomes 1 January."""
+    """Integer YYYYMMDD; a year-only value (MMDD = 0000) becomes 1 January; no date -> NULL."""
     c = as_col(c)
     year_only = (c % 10000) == 0
     text = F.when(year_only, F.concat((c / 10000).cast("int").cast("string"), F.lit("0101"))).otherwise(
         c.cast("string")
     )
-    return F.to_date(text, "yyyyMMdd")
+    return F.try_to_date(text, "yyyyMMdd")
 
 
 def months_diff(start: str | Column, end: str | Column) -> Column:

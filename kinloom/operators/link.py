@@ -3,9 +3,11 @@ merges with coalesced keys."""
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,6 +26,14 @@ def semi_reduce(big: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> Dat
     return big.join(keys.select(*cols).distinct(), on=on, how="left_semi")
 
 
+def stem_ranges(c: str, stems: set[str]) -> Column:
+    """The smallest range of each first letter that holds all stems of that letter."""
+    by_letter: dict[str, list[str]] = {}
+    for stem in sorted(stems):
+        by_letter.setdefault(stem[:1], []).append(stem)
+    return functools.reduce(operator.or_, [F.col(c).between(v[0], v[-1]) for v in by_letter.values()])
+
+
 def code_join(
     df: DataFrame,
     codes: DataFrame,
@@ -50,8 +60,10 @@ def code_join(
     if stems is not None:
         # a match on either code implies the record's 3-character stem is one
         # of the list's stems: drop everything else before the row-doubling
-        # explode (a hashed IN filter, evaluated in the scan stage)
-        df = df.filter(F.col(code3_col).isin(*sorted(stems)))
+        # explode (a hashed IN filter, evaluated in the scan stage).  A long IN
+        # list is not pushed into a Parquet scan, ranges by first letter are: they
+        # skip the row groups of files that are clustered on the stem
+        df = df.filter(stem_ranges(code3_col, stems)).filter(F.col(code3_col).isin(*sorted(stems)))
     key = F.when(F.col(list3_col).isNotNull(), F.concat(F.lit("3:"), F.col(list3_col))).otherwise(
         F.concat(F.lit("4:"), F.col(list4_col))
     )

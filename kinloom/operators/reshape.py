@@ -68,11 +68,13 @@ def union_all(dfs: Sequence[DataFrame], allow_missing: bool = True) -> DataFrame
 
 
 def harmonise(df: DataFrame, mapping: dict[str, str | int | None], types: dict[str, str] | None = None) -> DataFrame:
-    """Select ``source AS target`` for each target; a number is a literal, ``None`` a typed NULL."""
+    """Select ``source AS target`` for each target; a number is a literal, ``None`` a typed NULL.
+
+    Text that cannot be cast is NULL (``sources.casts`` counts it)."""
     types = types or {}
     cols: list[Column] = []
     for target, source in mapping.items():
         t = types.get(target, "string")
-        c = F.col(source).cast(t) if isinstance(source, str) else F.lit(source).cast(t)
+        c = F.col(source).try_cast(t) if isinstance(source, str) else F.lit(source).cast(t)
         cols.append(c.alias(target))
     return df.select(*cols)

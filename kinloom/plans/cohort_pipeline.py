@@ -10,6 +10,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import codes as C
+from ..operators.observe import Watch
+from ..sources import casts
 from ..sources.io import write_with_metadata
 from . import birth_cohort as BC
 from . import cohort as CO
@@ -58,27 +60,46 @@ def cohort_stages(spark: SparkSession, src: Sources, on_bad: str = "fail") -> di
     (or large) are written; ``write=False`` stages are cheap or read once and
     are planned into their consumer instead of being stored.
 
-    ``on_bad="fail"`` stops on coded diagnoses without any date and on
-    pupil-years with two rows; ``"report"`` leaves the former out (their count
-    is the stage ``undated``) and keeps one whole row of the latter (their count
-    is the stage ``repeated_pupil_years``)."""
-    on_duplicate = {"fail": "fail", "report": "first"}[on_bad]
+    Extracts with dates or numbers as text are stored as loaded and counted on the
+    way (``CAST_STAGES``); so are the diagnoses in the code lists (``cancer_coded``,
+    ``congenital_coded``), whose guards are counted in the one run of their join.
+
+    With ``on_bad="fail"`` a pipeline stops on text that cannot be cast, on coded
+    diagnoses without any date, and on repeated persons or pupil-years.  With
+    ``"report"`` it goes on: undated rows are left out (stage ``undated``) and one
+    whole row of a repeated pupil-year is kept (stage ``repeated_pupil_years``)."""
+    if on_bad not in ("fail", "report"):
+        raise ValueError(f"on_bad: {on_bad}")
 
     def raw(loader: Loader) -> Stage:
         return Stage(loader, (), write=False)
 
+    def counted(loader: Loader, source: str, rules: Callable, unique: tuple[str, ...] = ()) -> Stage:
+        return Stage(lambda watch: watch(loader(), source, rules()), (), watched=True, unique=unique,
+                     sources=lambda: [loader])
+
+    def yearly(tables: Mapping[int, Loader], source: str, rules: Callable, collate: Callable) -> Stage:
+        def load(watch: Watch) -> DataFrame:
+            return collate({y: watch(f(), source, rules(y)) for y, f in tables.items()})
+
+        return Stage(load, (), watched=True, sources=lambda: list(tables.values()))
+
+    def key_stage(loader: Loader, name: str) -> Stage:
+        return counted(loader, name.lower(), lambda: casts.key_stage(name))
+
     return {
         # extracts
-        "episodes": Stage(lambda: episodes_harmonised(src.episodes()), ()),
-        "births": raw(src.civil_births),
-        "deaths": raw(src.civil_deaths),
-        "notifications_raw": Stage(src.birth_notifications, (), write=False, unique=("TOKEN_PERSON_ID",)),
+        "episodes": Stage(lambda watch: watch(episodes_harmonised(src.episodes()), "episodes", casts.episodes()), (),
+                          watched=True, sources=lambda: list(src.episodes().values())),
+        "births": counted(src.civil_births, "civil_births", casts.civil_births),
+        "deaths": counted(src.civil_deaths, "civil_deaths", casts.civil_deaths),
+        "notifications_raw": counted(src.birth_notifications, "birth_notifications", casts.birth_notifications,
+                                     unique=("TOKEN_PERSON_ID",)),
         "bridging": raw(src.bridging),
-        "links": raw(src.mother_baby_links),
-        # hospital side
-        "diagnoses": Stage(diagnoses_long, ("episodes",), partition_by="reporting_year_start"),
-        # primary position only: unpivot just that column instead of filtering 21
-        "primary_diagnoses": Stage(lambda e: diagnoses_long(e, positions=[1]), ("episodes",), write=False),
+        "links": counted(src.mother_baby_links, "mother_baby_links", casts.mother_baby_links),
+        # hospital side; the files of a year are ordered by code, so a reader of some codes skips most of them
+        "diagnoses": Stage(diagnoses_long, ("episodes",), partition_by="reporting_year_start",
+                           sort_by=("diagnosis_3char", "diagnostic_position")),
         "infants": Stage(BC.infant_records, ("episodes",)),
         # written: the per-person aggregates read it twice (aggregate + join back)
         "flagged": Stage(
@@ -86,35 +107,36 @@ def cohort_stages(spark: SparkSession, src: Sources, on_bad: str = "fail") -> di
             ("infants",)),
         "anchored": Stage(lambda f: BC.timeline_anchor(f, with_record_order=False), ("flagged",), write=False),
         "timeline": Stage(BC.timeline_anchor, ("flagged",), write=False),
-        "summary": Stage(BC.person_summary, ("anchored",), write=False, unique=("token_person_id",)),
+        "summary": Stage(BC.person_summary, ("anchored",), unique=("token_person_id",)),
         "registrations": Stage(registrations_summary, ("births", "deaths"), write=False),
         "ids": Stage(id_lookup, ("bridging",), write=False),
         "notifications": Stage(birth_notifications, ("notifications_raw",), write=False),
         "birth_cohort": Stage(BC.birth_cohort, ("summary", "registrations", "notifications", "ids")),
-        "cancer": Stage(lambda d: FD.first_cancer_slots(d, C.cancer_codes(spark), on_bad), ("primary_diagnoses",)),
-        # only codes whose stem can match the congenital list are unpivoted
-        "congenital_candidates": Stage(
-            lambda e: diagnoses_long(e, stems=C.stems(C.congenital_code_rows())), ("episodes",), write=False),
-        "congenital": Stage(lambda d: FD.first_congenital(d, C.congenital_codes(spark), on_bad), ("congenital_candidates",)),
+        "cancer_coded": Stage(
+            lambda d, watch: watch(FD.cancer_coded(d, C.cancer_codes(spark)), "cancer", FD.guards()),
+            ("diagnoses",), watched=True),
+        "cancer": Stage(FD.cancer_slots, ("cancer_coded",)),
+        "congenital_coded": Stage(
+            lambda d, watch: watch(FD.congenital_coded(d, C.congenital_codes(spark)), "congenital", FD.guards()),
+            ("diagnoses",), watched=True),
+        "congenital": Stage(FD.congenital_groups, ("congenital_coded",)),
         # what the explicit choice to report, not to stop, leaves out
-        "undated": Stage(
-            lambda p, c: FD.missing_all_dates(p, C.cancer_codes(spark), C.congenital_codes(spark), c),
-            ("primary_diagnoses", "congenital_candidates")),
-        "unparseable_dates": Stage(FD.unparseable_dates, ("primary_diagnoses",)),
+        "undated": Stage(FD.undated, ("cancer_coded", "congenital_coded")),
+        "unparseable_dates": Stage(FD.unparseable_dates, ("diagnoses",)),
         "repeated_pupil_years": Stage(ED.repeated_pupil_years, ("sen_long",)),
         "mothers": Stage(mothers_delivery_episode, ("links", "episodes")),
         "birth_info": Stage(birth_information, ("infants", "links")),
         "eth_geo": Stage(ethnicity_geo, ("infants",)),
         # pupil side
-        "census": Stage(lambda: ED.census_harmonised({y: f() for y, f in src.census.items()}), ()),
-        "absence": Stage(lambda: ED.absence_summary(ED.absence_collated({y: f() for y, f in src.absence.items()})), (),
-                         write=False),
-        "ks1_raw": raw(src.ks1),
-        "ks2_raw": raw(src.ks2),
-        "ks4_a": raw(src.ks4_a),
-        "ks4_b": raw(src.ks4_b),
-        "ks5_a": raw(src.ks5_a),
-        "ks5_b": raw(src.ks5_b),
+        "census": yearly(src.census, "census", casts.census, ED.census_harmonised),
+        "absence_collated": yearly(src.absence, "absence", casts.absence, ED.absence_collated),
+        "absence": Stage(ED.absence_summary, ("absence_collated",), write=False),
+        "ks1_raw": key_stage(src.ks1, "KS1"),
+        "ks2_raw": key_stage(src.ks2, "KS2"),
+        "ks4_a": key_stage(src.ks4_a, "KS4"),
+        "ks4_b": key_stage(src.ks4_b, "KS4"),
+        "ks5_a": key_stage(src.ks5_a, "KS5"),
+        "ks5_b": key_stage(src.ks5_b, "KS5"),
         "ks1_census": Stage(ED.ks1_census_presence, ("census",), write=False),
         "ks1": Stage(ED.ks1_best, ("ks1_raw",), write=False),
         "ks2": Stage(ED.ks2_best, ("ks2_raw",), write=False),
@@ -123,8 +145,9 @@ def cohort_stages(spark: SparkSession, src: Sources, on_bad: str = "fail") -> di
         "pupils": Stage(ED.cohort_pupils, ("birth_cohort",), write=False),
         "education": Stage(ED.education_combined, ("pupils", "ks1_census", "ks1", "ks2", "ks4", "ks5")),
         "sen": Stage(ED.sen_best_record, ("census",), write=False),
-        "sen_long": Stage(ED.sen_absence_long, ("pupils", "sen", "absence")),
-        "sen_wide": Stage(lambda d: ED.sen_absence_wide(d, on_duplicate), ("sen_long",)),
+        "sen_long": Stage(ED.sen_absence_long, ("pupils", "sen", "absence"),
+                          unique=("dfe_id", "senabs_academic_year_start")),
+        "sen_wide": Stage(lambda d: ED.sen_absence_wide(d, "first"), ("sen_long",)),
         "cohort": Stage(
             lambda *dfs: CO.with_eligibility(CO.derive(CO.assemble(*dfs, SENABS_FIELDS))),
             ("birth_cohort", "birth_info", "mothers", "eth_geo", "cancer", "congenital", "sen_wide", "education"),
@@ -132,6 +155,9 @@ def cohort_stages(spark: SparkSession, src: Sources, on_bad: str = "fail") -> di
     }
 
 
+# Stages that count text of their source that cannot be cast.
+CAST_STAGES = ["episodes", "births", "deaths", "notifications_raw", "links", "census", "absence_collated",
+               "ks1_raw", "ks2_raw", "ks4_a", "ks4_b", "ks5_a", "ks5_b"]
 # Outputs of a run; what they need is built with them.
 OUTPUTS = ["cohort", "diagnoses", "undated", "unparseable_dates", "repeated_pupil_years"]
 
@@ -139,14 +165,13 @@ OUTPUTS = ["cohort", "diagnoses", "undated", "unparseable_dates", "repeated_pupi
 def run_cohort(spark: SparkSession, src: Sources, workdir: str, export_dir: str | None = None,
                resume: bool = False, on_bad: str = "fail", targets: list[str] | None = None) -> dict[str, DataFrame]:
     """Build the outputs under ``workdir``, then export the cohort as CSV with a
-    metadata sidecar.
+    metadata sidecar.  ``counts`` in the result holds what the stages counted.
 
     ``resume`` reads stages back that were written from the same sources,
-    parameters and code.  ``on_bad="fail"`` (see ``cohort_stages``) also stops
-    on persons with two summary or notification rows."""
-    p = Pipeline(spark, cohort_stages(spark, src, on_bad), workdir=workdir, resume=resume,
-                 check_unique=on_bad == "fail", params=(on_bad,))
+    parameters and code.  ``on_bad``: see ``cohort_stages``."""
+    p = Pipeline(spark, cohort_stages(spark, src, on_bad), workdir=workdir, resume=resume, on_bad=on_bad)
     out = p.run(targets or OUTPUTS)
+    out["counts"] = p.all_counts()
     if export_dir is not None:
         write_with_metadata(p.get("cohort"), export_dir)
     return out

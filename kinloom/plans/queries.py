@@ -16,15 +16,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import codes as C
 from ..functions.values import suppress_small
 from ..operators import quality as Q
 from ..sources import fixtures as FX
 from ..sources.io import read_partitioned, row_counts
-from . import first_diagnosis as FD
 from . import cohort_pipeline as CP
-from .diagnoses import DIAGNOSES_SCHEMA
+from . import first_diagnosis as FD
+from .diagnoses import DIAGNOSES_SCHEMA, diagnoses_long
+from .episodes import episodes_harmonised
 from .pipeline import Pipeline, Stage, remove_folder, run_folder
+from .store import YearStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,33 +45,42 @@ def lazy(spark: SparkSession, sf: str) -> Pipeline:
     every hospital stage reads."""
     stages = cohort_stages(spark, sf)
     stages["episodes"] = Stage(lambda: staged(spark, sf).get("episodes"), (), write=False)
-    return Pipeline(spark, stages)
+    return Pipeline(spark, stages, on_bad="report")
+
+
+def over_store(spark: SparkSession, sf: str) -> Pipeline:
+    """Like ``lazy``, but stages that read diagnoses read the stored ones."""
+    run = lazy(spark, sf)
+    run.stages["diagnoses"] = Stage(lambda: staged(spark, sf).get("diagnoses"), (), write=False)
+    return run
 
 
-_runs: dict[tuple[str, str], Pipeline] = {}
+_runs: dict[tuple[str, str, str], Pipeline] = {}
 
 
 def staged(spark: SparkSession, sf: str) -> Pipeline:
-    """The run that all staged queries of this session over ``sf`` share; its
-    folder is removed when the session's process ends."""
-    key = (spark.sparkContext.applicationId, sf)
+    """The run that all staged queries of this session over the present files of
+    ``sf`` share; its folder is removed when the session's process ends."""
+    key = (spark.sparkContext.applicationId, sf, FX.table_marks(spark, sf))
     if key not in _runs:
-        _runs[key] = Pipeline(spark, cohort_stages(spark, sf), workdir=run_folder(spark), check_unique=False)
+        _runs[key] = Pipeline(spark, cohort_stages(spark, sf), workdir=run_folder(spark), on_bad="report")
         atexit.register(end_run, spark, sf)
     return _runs[key]
 
 
 def end_run(spark: SparkSession, sf: str) -> None:
-    """Forget a session's run over ``sf`` and remove its folder."""
+    """Forget a session's runs over ``sf`` and remove their folders."""
     sc = spark.sparkContext
-    run = _runs.pop((sc.applicationId, sf), None) if sc._jsc is not None else None
-    if run is not None:
-        remove_folder(spark, run.workdir)
+    if sc._jsc is None:
+        return
+    for key in [k for k in _runs if k[:2] == (sc.applicationId, sf)]:
+        remove_folder(spark, _runs.pop(key).workdir)
 
 
-def _stage(name: str, materialise: bool = False, post: Callable[[DataFrame], DataFrame] | None = None) -> Query:
+def _stage(name: str, materialise: bool = False, post: Callable[[DataFrame], DataFrame] | None = None,
+           run: Callable[[SparkSession, str], Pipeline] = lazy) -> Query:
     def q(spark: SparkSession, sf: str) -> DataFrame:
-        p = staged(spark, sf) if materialise else lazy(spark, sf)
+        p = staged(spark, sf) if materialise else run(spark, sf)
         df = p.get(name)
         return post(df) if post else df
 
@@ -96,19 +106,15 @@ def _timeline(df: DataFrame) -> DataFrame:
 
 
 def q_episodes_harmonised(spark: SparkSession, sf: str) -> DataFrame:
-    return Pipeline(spark, cohort_stages(spark, sf)).get("episodes")
-
-
-def q_cancer_diagnoses(spark: SparkSession, sf: str) -> DataFrame:
-    return FD.cancer_diagnoses(lazy(spark, sf).get("primary_diagnoses"), C.cancer_codes(spark))
-
+    return Pipeline(spark, cohort_stages(spark, sf), on_bad="report").get("episodes")
 
-def q_congenital_diagnoses(spark: SparkSession, sf: str) -> DataFrame:
-    return FD.congenital_diagnoses(lazy(spark, sf).get("congenital_candidates"), C.congenital_codes(spark))
 
-
-def q_dq_missing_all_dates(spark: SparkSession, sf: str) -> DataFrame:
-    return FD.missing_all_dates(lazy(spark, sf).get("diagnoses"), C.cancer_codes(spark), C.congenital_codes(spark))
+def q_dq_cast_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Per source and field, the rows whose text cannot be cast, as counted while the sources were stored."""
+    p = staged(spark, sf)
+    p.run(CP.CAST_STAGES)
+    per_stage = p.all_counts().filter(F.col("stage").isin(*CP.CAST_STAGES))
+    return per_stage.groupBy("source", "field").agg(F.sum("rows").alias("n_rows"), F.sum("n").alias("unparseable"))
 
 
 def q_dq_unparseable_dates(spark: SparkSession, sf: str) -> DataFrame:
@@ -116,11 +122,29 @@ def q_dq_unparseable_dates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_diagnoses_read_back(spark: SparkSession, sf: str) -> DataFrame:
-    """Recent years of the written diagnoses: only their folders are read."""
+    """The written diagnoses, all years, by their declared schema."""
     run = staged(spark, sf)
     run.get("diagnoses")
-    back = read_partitioned(spark, f"{run.workdir}/diagnoses", DIAGNOSES_SCHEMA)
-    return back.filter(F.col("reporting_year_start") >= 2010)
+    return read_partitioned(spark, f"{run.workdir}/diagnoses", DIAGNOSES_SCHEMA)
+
+
+def q_diagnoses_refreshed(spark: SparkSession, sf: str) -> DataFrame:
+    """A store built in two steps: first with half of the last year's rows (a
+    provisional extract), then that year replaced by its full extract."""
+    tables = FX.yearly_extracts(spark, sf)
+    path = run_folder(spark, "diagnoses")
+    atexit.register(_forget, spark, path)
+    store = YearStore(spark, path, "reporting_year_start", lambda t: diagnoses_long(episodes_harmonised(t)), DIAGNOSES_SCHEMA,
+                      sort_by=("diagnosis_3char", "diagnostic_position"))
+    last = max(tables, default=None)
+    store.refresh({y: t.filter(F.pmod(F.xxhash64("epikey"), F.lit(2)) == 0) if y == last else t for y, t in tables.items()})
+    store.refresh(tables)
+    return store.read()
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is not None:
+        remove_folder(spark, path)
 
 
 BAND_COLUMNS = [
@@ -174,13 +198,15 @@ QUERIES: dict[str, Query] = {
     # hospital episodes -> diagnoses -> first diagnoses
     "episodes_harmonised": q_episodes_harmonised,
     "diagnoses_long": _stage("diagnoses"),
-    "cancer_diagnoses": q_cancer_diagnoses,
-    "first_cancer_slots": _stage("cancer"),
-    "congenital_diagnoses": q_congenital_diagnoses,
-    "first_congenital": _stage("congenital"),
-    "dq_missing_all_dates": q_dq_missing_all_dates,
+    "cancer_diagnoses": _stage("cancer_coded", run=over_store, post=lambda d: d.drop("_bad_text")),
+    "first_cancer_slots": _stage("cancer", run=over_store),
+    "congenital_diagnoses": _stage("congenital_coded", run=over_store, post=lambda d: d.drop("_bad_text")),
+    "first_congenital": _stage("congenital", run=over_store),
+    "dq_missing_all_dates": _stage("undated", run=over_store),
     "dq_unparseable_dates": q_dq_unparseable_dates,
+    "dq_cast_audit": q_dq_cast_audit,
     "diagnoses_read_back": q_diagnoses_read_back,
+    "diagnoses_refreshed": q_diagnoses_refreshed,
     # persons
     "registrations_summary": _stage("registrations"),
     "id_lookup": _stage("ids"),

@@ -142,7 +142,7 @@ def _episode_columns(d: Dialect) -> list[tuple[str, str]]:
 
     def int_age(off: int) -> str:
         return (
-            f"CASE WHEN s % 29 = {off} THEN '999' WHEN s % 31 = {off} THEN ''"
+            f"CASE WHEN s % 331 = {off} THEN 'u/k' WHEN s % 29 = {off} THEN '999' WHEN s % 31 = {off} THEN ''"
             f" ELSE cast((s + {7 * off}) % 20 as string) END"
         )
 
@@ -164,7 +164,7 @@ def _episode_columns(d: Dialect) -> list[tuple[str, str]]:
         ("epistat", "CASE WHEN s % 11 = 0 THEN '1' ELSE '3' END"),
         (
             "admidate",
-            f"CASE WHEN {no_dates} THEN '' WHEN s % 41 = 0 THEN '1800-01-01' WHEN s % 43 = 0 THEN '1801-01-01'"
+            f"CASE WHEN {no_dates} THEN '' WHEN s % 1009 = 0 THEN '2001-02-30' WHEN s % 41 = 0 THEN '1800-01-01' WHEN s % 43 = 0 THEN '1801-01-01'"
             f" WHEN s % 47 = 0 THEN '' WHEN s % 53 = 0 THEN NULL ELSE {txt('od')} END",
         ),
         ("epistart", f"CASE WHEN {no_dates} THEN '' WHEN s % 59 = 0 THEN '' ELSE {txt('sd')} END"),
@@ -179,10 +179,10 @@ def _episode_columns(d: Dialect) -> list[tuple[str, str]]:
         ),
         (
             "epiorder",
-            "CASE WHEN s % 37 = 0 THEN '98' WHEN s % 71 = 0 THEN '99' WHEN s % 73 = 0 THEN ''"
+            "CASE WHEN s % 307 = 0 THEN 'x' WHEN s % 37 = 0 THEN '98' WHEN s % 71 = 0 THEN '99' WHEN s % 73 = 0 THEN ''"
             " ELSE cast(ln as string) END",
         ),
-        ("mydob", f"CASE WHEN s % 401 = 0 THEN '011800' ELSE {_mmyyyy(mydob_src)} END"),
+        ("mydob", f"CASE WHEN s % 401 = 0 THEN '011800' WHEN s % 809 = 0 THEN '132001' ELSE {_mmyyyy(mydob_src)} END"),
         ("startage", coded_age(83, 0, "od", 0)),
         ("endage", coded_age(89, 1, "sd", 1)),
         ("admiage", int_age(0)),
@@ -210,16 +210,16 @@ def _episode_columns(d: Dialect) -> list[tuple[str, str]]:
         ("suscorehrg", "CASE WHEN s % 101 = 0 THEN 'N03B' WHEN s % 101 = 1 THEN NULL ELSE 'WA14Z' END"),
         (
             "birweit",
-            "CASE WHEN s % 7 = 0 THEN NULL WHEN s % 19 = 0 THEN '9999' ELSE cast(500 + s % 4500 as string) END",
+            "CASE WHEN s % 7 = 0 THEN NULL WHEN s % 311 = 0 THEN '3kg' WHEN s % 19 = 0 THEN '9999' ELSE cast(500 + s % 4500 as string) END",
         ),
         (
             "gestat",
-            "CASE WHEN (s + 1) % 7 = 0 THEN NULL WHEN (s + 1) % 19 = 0 THEN '99'"
+            "CASE WHEN (s + 1) % 7 = 0 THEN NULL WHEN s % 313 = 0 THEN 'term' WHEN (s + 1) % 19 = 0 THEN '99'"
             " ELSE cast(22 + s % 22 as string) END",
         ),
         (
             "matage",
-            "CASE WHEN (s + 2) % 7 = 0 THEN NULL WHEN (s + 2) % 19 = 0 THEN '999' ELSE cast(s % 70 as string) END",
+            "CASE WHEN (s + 2) % 7 = 0 THEN NULL WHEN s % 317 = 0 THEN 'n/k' WHEN (s + 2) % 19 = 0 THEN '999' ELSE cast(s % 70 as string) END",
         ),
         (
             "ethnos",
@@ -263,7 +263,19 @@ def _episode_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.selectExpr(*[f"{e} AS {c}" for c, e in _base_columns(SPARK)])
 
 
-_stored_dob: dict[tuple[str, str], str] = {}
+def table_marks(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of change of the tables that the fixtures read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    marks = []
+    for name in ("customer", "lineitem", "orders"):
+        for file in sorted(_read(spark, sf_dir, name).inputFiles()):
+            path = jvm.org.apache.hadoop.fs.Path(file)
+            status = path.getFileSystem(conf).getFileStatus(path)
+            marks.append(f"{file}:{status.getLen()}:{status.getModificationTime()}")
+    return "|".join(marks)
+
+
+_stored_dob: dict[tuple[str, str, str], str] = {}
 
 
 def person_dob(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,7 +283,7 @@ def person_dob(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every view needs it, so it is stored once for a session and a table folder.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, table_marks(spark, sf_dir))
     if key not in _stored_dob:
         path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kinloom-dob-{uuid.uuid4().hex[:12]}"
         _episode_base(spark, sf_dir).groupBy("ck").agg(
@@ -283,12 +295,12 @@ def person_dob(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Raw names of the yearly extracts for the fixture's columns.
 RAW_EPISODE_NAMES = {c: f"{c}_1" for c in ("birordr", "biresus", "birstat", "birweit", "delmeth", "delstat", "gestat", "sexbaby")}
-_stored_extracts: dict[tuple[str, str], tuple[str, list[int]]] = {}
+_stored_extracts: dict[tuple[str, str, str], tuple[str, list[int]]] = {}
 
 
 def yearly_extracts(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
     """The episodes as raw yearly extracts, stored once for a session and a table folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, table_marks(spark, sf_dir))
     if key not in _stored_extracts:
         path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kinloom-extracts-{uuid.uuid4().hex[:12]}"
         raw = fx_episodes(spark, sf_dir).withColumnsRenamed(RAW_EPISODE_NAMES)
@@ -345,7 +357,7 @@ def _person_views(d: Dialect) -> dict[str, list[tuple[str, list[tuple[str, str]]
             ("TOKEN_PERSON_ID", f"CASE WHEN {c} % 200 = 1 THEN NULL ELSE {pid} END"),
             (
                 "DOREG",
-                f"CASE WHEN {c} % 23 = 0 THEN '' ELSE cast("
+                f"CASE WHEN {c} % 23 = 0 THEN '' WHEN {c} % 61 = 0 THEN '2009-02-31' ELSE cast("
                 + d.add_days("dob", f"CASE WHEN {c} % 37 = 0 THEN -10 ELSE {c} % 40 END + {extra_days}")
                 + " as string) END",
             ),
@@ -359,7 +371,8 @@ def _person_views(d: Dialect) -> dict[str, list[tuple[str, list[tuple[str, str]]
             ("TOKEN_PERSON_ID", pid),
             (
                 "REG_DATE_OF_DEATH",
-                f"CASE WHEN {c} % 11 = 0 THEN cast(year({x}) * 10000 as int) ELSE {ymd_int(x)} END",
+                f"CASE WHEN {c} % 11 = 0 THEN cast(year({x}) * 10000 as int)"
+                f" WHEN {c} % 17 = 0 THEN cast(year({x}) * 10000 + 1340 as int) ELSE {ymd_int(x)} END",
             ),
         ]
 
@@ -374,7 +387,7 @@ def _person_views(d: Dialect) -> dict[str, list[tuple[str, list[tuple[str, str]]
             ("link", f"cast({c} % 3 + 1 as string)"),
             ("matage_clean", f"CASE WHEN {c} % 19 = 0 THEN '' ELSE cast(15 + {c} % 30 as string) END"),
             ("gestat_clean", f"cast(24 + {c} % 18 as string)"),
-            ("birweit_clean", f"cast(1000 + ({c} * 37) % 3500 as string)"),
+            ("birweit_clean", f"CASE WHEN {c} % 43 = 0 THEN 'n/k' ELSE cast(1000 + ({c} * 37) % 3500 as string) END"),
             ("sexbaby_clean", f"CASE WHEN {c} % 2 = 0 THEN '1' ELSE '2' END"),
             ("delmeth_clean", f"cast({c} % 4 as string)"),
             ("birstat_clean", f"cast({c} % 3 + 1 as string)"),
@@ -382,7 +395,8 @@ def _person_views(d: Dialect) -> dict[str, list[tuple[str, list[tuple[str, str]]
             ("imd04_decile_cat_clean", f"cast({c} % 10 + 1 as string)"),
             (
                 "mdel_my",
-                f"CASE WHEN {c} % 2 = 0 THEN cast(year({fm}) as string) || '-' || cast(month({fm}) as string)"
+                f"CASE WHEN {c} % 47 = 0 THEN cast(year({fm}) as string) || '-13'"
+                f" WHEN {c} % 2 = 0 THEN cast(year({fm}) as string) || '-' || cast(month({fm}) as string)"
                 f" ELSE cast(year({fm}) as string) || '-' || lpad(cast(month({fm}) as string), 2, '0') END",
             ),
         ]
@@ -403,7 +417,7 @@ def _person_views(d: Dialect) -> dict[str, list[tuple[str, list[tuple[str, str]]
                 f"{c} % 4 = 0",
                 [
                     ("TOKEN_PERSON_ID", pid),
-                    ("BABY_BIRTH_DATE", _mmyyyy(notif_dob)),
+                    ("BABY_BIRTH_DATE", f"CASE WHEN {c} % 52 = 0 THEN '13' || cast(year({notif_dob}) as string) ELSE {_mmyyyy(notif_dob)} END"),
                     ("BABY_ETHNICITY", _cycle(d, ["A", "B", "J", "M", "S", "Z"], 1, 0, c)),
                     ("BABY_SEX", f"CASE WHEN {c} % 8 = 0 THEN '1' ELSE '2' END"),
                     ("LIVE_STILL", _cycle(d, ["1", "1", "1", "2", "5", ""], 5, 1, c)),

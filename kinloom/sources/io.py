@@ -118,17 +118,25 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by: str | Sequence[str], mode: str = "overwrite") -> str:
+def write_partitioned(df: DataFrame, path: str, partition_by: str | Sequence[str], mode: str = "overwrite",
+                      sort_by: Sequence[str] = (), only_partitions: bool = False) -> str:
     """Hive-partitioned Parquet.
 
     A ``rebalance`` hint clusters rows on the partition columns so each task
     writes few files per value, while AQE splits a partition value that is
     too large for one task (one reporting year can hold a large share of all
     rows) and coalesces small ones.  A plain ``repartition(col)`` would send a
-    whole year to a single task.
+    whole year to a single task.  ``sort_by`` orders the rows of each file, so
+    that row-group statistics let a filter on it skip most of a file.
+    ``only_partitions`` replaces the partitions that ``df`` has rows of and leaves
+    the files of all others alone.
     """
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    df.hint("rebalance", *cols).write.mode(mode).partitionBy(*cols).parquet(path)
+    out = df.hint("rebalance", *cols)
+    if sort_by:
+        out = out.sortWithinPartitions(*cols, *sort_by)
+    writer = out.write.mode(mode).partitionBy(*cols)
+    writer.option("partitionOverwriteMode", "dynamic" if only_partitions else "static").parquet(path)
     return path
 
 
