@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .select import keep_first
+from .union import union_all  # noqa: F401
 
 
 def unpivot_positions(
@@ -25,6 +25,20 @@ def unpivot_positions(
     return long.withColumn(position_col, pos).drop("_src")
 
 
+def _one_row_a_cell(df: DataFrame, keys: Sequence[str], slot_col: str, slots: Sequence, values: Sequence[str],
+                    on_duplicate: str) -> DataFrame:
+    if on_duplicate == "fail":
+        bad = df.groupBy(*keys, slot_col).agg(F.count(F.lit(1)).alias("_n"))
+        bad = bad.filter((F.col("_n") > 1) | ~F.coalesce(F.col(slot_col).isin(*slots), F.lit(False)))
+        if n := bad.count():
+            raise ValueError(f"{n} cells of {[*keys, slot_col]} are filled twice or lie outside the slots")
+    elif on_duplicate == "first":
+        df = keep_first(df, [*keys, slot_col], list(values))
+    elif on_duplicate != "unique":
+        raise ValueError(f"on_duplicate: {on_duplicate}")
+    return df
+
+
 def pivot_slots(
     df: DataFrame,
     keys: Sequence[str],
@@ -43,15 +57,7 @@ def pivot_slots(
     ``"unique"`` states that the caller has numbered the rows of a key.
     Missing cells are NULL.  Output column names come from ``name(stem, slot)``.
     """
-    if on_duplicate == "fail":
-        bad = df.groupBy(*keys, slot_col).agg(F.count(F.lit(1)).alias("_n"))
-        bad = bad.filter((F.col("_n") > 1) | ~F.coalesce(F.col(slot_col).isin(*slots), F.lit(False)))
-        if n := bad.count():
-            raise ValueError(f"{n} cells of {[*keys, slot_col]} are filled twice or lie outside the slots")
-    elif on_duplicate == "first":
-        df = keep_first(df, [*keys, slot_col], list(values.values()))
-    elif on_duplicate != "unique":
-        raise ValueError(f"on_duplicate: {on_duplicate}")
+    df = _one_row_a_cell(df, keys, slot_col, slots, list(values.values()), on_duplicate)
     aggs = [F.max(F.col(src)).alias(stem) for stem, src in values.items()]
     wide = df.groupBy(*keys).pivot(slot_col, list(slots)).agg(*aggs)
     renames = {}
@@ -62,9 +68,27 @@ def pivot_slots(
     return wide.withColumnsRenamed(renames)
 
 
-def union_all(dfs: Sequence[DataFrame], allow_missing: bool = True) -> DataFrame:
-    """UNION ALL by column name; columns absent in a part become NULL."""
-    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), dfs)
+def pivot_arrays(
+    df: DataFrame,
+    keys: Sequence[str],
+    slot_col: str,
+    slots: Sequence,
+    values: Sequence[str],
+    name: Callable[[str, object], str],
+    on_duplicate: str = "fail",
+) -> DataFrame:
+    """``pivot_slots`` for many value columns: one aggregate gathers a key's cells,
+    at most one for each slot, and each output column reads its cell by slot.
+
+    ``pivot_slots`` keeps a buffer for each slot and value; with hundreds of them
+    Spark sorts the rows instead of hashing the keys.  ``on_duplicate`` as there,
+    which bounds the gathered cells by the number of slots."""
+    cells = _one_row_a_cell(df, keys, slot_col, slots, values, on_duplicate).filter(F.col(slot_col).isin(*slots))
+    number = F.array_position(F.array(*[F.lit(s) for s in slots]), F.col(slot_col)).cast("int")
+    wide = cells.groupBy(*keys).agg(F.collect_list(F.struct(number.alias("slot"), F.struct(*values).alias("cell"))).alias("_cells"))
+    at = F.map_from_entries("_cells")
+    row = wide.select(*keys, F.transform(F.sequence(F.lit(1), F.lit(len(slots))), lambda i: F.element_at(at, i)).alias("_row"))
+    return row.selectExpr(*[f"`{k}`" for k in keys], *[f"_row[{i}].`{v}` AS `{name(v, s)}`" for i, s in enumerate(slots) for v in values])
 
 
 def harmonise(df: DataFrame, mapping: dict[str, str | int | None], types: dict[str, str] | None = None) -> DataFrame:
@@ -72,9 +96,9 @@ def harmonise(df: DataFrame, mapping: dict[str, str | int | None], types: dict[s
 
     Text that cannot be cast is NULL (``sources.casts`` counts it)."""
     types = types or {}
-    cols: list[Column] = []
+    # SQL text: one call to the JVM a table instead of several a column
+    cols = []
     for target, source in mapping.items():
-        t = types.get(target, "string")
-        c = F.col(source).try_cast(t) if isinstance(source, str) else F.lit(source).cast(t)
-        cols.append(c.alias(target))
-    return df.select(*cols)
+        value = f"`{source}`" if isinstance(source, str) else "NULL" if source is None else str(source)
+        cols.append(f"try_cast({value} AS {types.get(target, 'string')}) AS `{target}`")
+    return df.selectExpr(*cols)

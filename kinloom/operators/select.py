@@ -10,12 +10,15 @@ deterministic.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+import operator
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions._util import as_col
+from .union import union_all
 
 OrderKey = Column | str
 
@@ -59,50 +62,77 @@ def first_value_by(value: Column | str, order: Sequence[Column], where: Column |
 
 def asof_latest(
     left: DataFrame,
-    right: DataFrame,
+    rights: Sequence[tuple[DataFrame, Column]],
     on: Sequence[str],
-    left_bound: Column,
-    right_time: str,
-    left_id: Sequence[str],
-    tie_break: Sequence[OrderKey] = (),
+    left_time: str,
+    tie_break: Sequence[Callable[[str], Column]] = (),
 ) -> DataFrame:
-    """Backward as-of join: for each left row, the right row with the latest
-    ``right_time`` not after ``left_bound`` (equi keys ``on``); left rows with
-    no match are dropped (inner semantics).  ``left_id`` names the columns that
-    tell left rows apart.
+    """Backward as-of pick from several sides at once: for each left row, of each
+    right side the row with the latest time not after ``left_time``, as struct
+    ``_r<i>`` (NULL if none).  ``on`` and ``left_time`` tell left rows apart.
+
+    No join meets keys alone, so nothing fans out: every right side is first cut
+    to one row a key and time (its first by ``tie_break``, applied to all of its
+    columns in order), then all sides and the left rows are sorted together by
+    time, and the last record of each side is carried forward.  What meets in one
+    task are a key's distinct times.  Rows without a key or a time match nothing.
     """
-    j = left.join(right, list(on)).filter(F.col(right_time) <= left_bound)
-    order = [F.col(right_time).desc_nulls_last(), *_order(tie_break)]
-    return keep_first(j, list(left_id), order)
-
-
-def rank_skew_safe(df: DataFrame, keys: Sequence[str], order: Sequence[OrderKey], rank_col: str,
-                   num_partitions: int | None = None) -> DataFrame:
-    """``row_number()`` per ``keys`` in ``order`` without putting a whole group
-    in one task.
-
-    A plain window sends every row of a group to one task, so a group holding
-    a large share of the data is sorted by a single executor.  Here rows are
-    range-partitioned on (keys, order): a hot group is cut into consecutive
-    slices by its own order keys.  Each row gets its number within its slice
-    (a bounded group), plus the number of rows of the same group in earlier
-    slices, taken from a small (group, slice) count table.  ``order`` must be
-    a total order (end it with a unique column) for the rank to be unique.
-    The sliced rows are checkpointed (eager job), which also cuts the lineage.
+    keyed = [F.col(k).isNotNull() for k in on]
+    parts = []
+    for i, (df, time) in enumerate(rights):
+        own = df.withColumn("_t", time).filter(functools.reduce(operator.and_, [*keyed, F.col("_t").isNotNull()]))
+        order = [f(c) for f in tie_break for c in df.columns]
+        one = keep_first(own, [*on, "_t"], order) if order else own.dropDuplicates([*on, "_t"])
+        parts.append(one.select(*on, "_t", F.struct(*[c for c in df.columns if c not in on]).alias(f"_r{i}")))
+    # at equal times the left row comes last
+    parts.append(left.select(*on, F.col(left_time).alias("_t"), F.lit(True).alias("_left")).filter(
+        functools.reduce(operator.and_, [*keyed, F.col("_t").isNotNull()])).distinct())
+    rows = union_all(parts)
+    so_far = Window.partitionBy(*on).orderBy(F.col("_t"), F.col("_left").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    carried = rows.select(*on, "_t", "_left", *[F.last(f"_r{i}", ignorenulls=True).over(so_far).alias(f"_r{i}")
+                                                for i in range(len(rights))])
+    return carried.filter("_left").drop("_left").withColumnRenamed("_t", left_time)
+
+
+def rank_skew_safe(df: DataFrame, keys: Sequence[str], order: Sequence[str], rank_col: str) -> DataFrame:
+    """``row_number()`` per ``keys`` in ``order`` (columns, ascending, NULLs last)
+    without putting a whole group in one task.
+
+    A plain window sends every row of a group to one task, so a group holding a
+    large share of the data is sorted by a single executor.  Here a group is cut
+    into slices of equal values of its first two order columns (of two columns, of
+    the first one).  A row is numbered
+    within its slice, after the rows of earlier slices; these are prefix sums, at
+    two levels, over the counts of the slices, which are aggregated map-side.  The
+    slices are values and not sampled, so the plan needs no stored copy of the rows
+    and a repeated task sees the same ones.  What meets in one task is a slice, the
+    distinct first values of a group, or the second ones of a first value.
+    ``order`` must be a total order (end it with a unique column) for the rank to be
+    unique.
     """
-    from ..session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sort = [*[F.col(k).asc_nulls_last() for k in keys], *_order(order)]
-    # slice boundaries come from sampling; checkpoint (to the shared checkpoint
-    # folder) so the count branch and the row branch see the same slices
-    x = df.repartitionByRange(n, *sort).withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True)
-    local = F.row_number().over(Window.partitionBy("_slice", *keys).orderBy(*_order(order)))
-    x = x.withColumn("_local", local)
-    counts = x.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(*keys, "_slice", F.coalesce(before, F.lit(0)).alias("_offset"))
-    cond = [x[k].eqNullSafe(offsets[k]) for k in keys] + [x["_slice"] == offsets["_slice"]]
-    j = x.join(offsets, cond).select(x["*"], offsets["_offset"])
-    return j.withColumn(rank_col, (F.col("_offset") + F.col("_local")).cast("int")).drop("_slice", "_local", "_offset")
+    slices, rest = list(order[:-1][:2]), order[len(order[:-1][:2]):]
+    if not slices:
+        raise ValueError("rank_skew_safe needs two order columns or more")
+    by_slice = [*keys, *slices]
+    n = df.groupBy(*by_slice).agg(F.count(F.lit(1)).alias("_n"))
+
+    def before(rows: DataFrame, within: Sequence[str], by: str) -> Column:
+        window = Window.partitionBy(*within).orderBy(F.col(by).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_n").over(window), F.lit(0))
+
+    first = slices[0]
+    outer = n.groupBy(*keys, first).agg(F.sum("_n").alias("_n"))
+    outer = outer.select(*keys, first, before(outer, keys, first).alias("_outer"))
+    inner = n.withColumn("_inner", before(n, [*keys, first], slices[1]) if len(slices) > 1 else F.lit(0))
+    offsets = _join_null_safe(inner, outer, [*keys, first]).select(*by_slice, (F.col("_inner") + F.col("_outer")).alias("_offset"))
+    out = _join_null_safe(df, offsets, by_slice)
+    number = F.row_number().over(Window.partitionBy(*by_slice).orderBy(*_order(rest)))
+    return out.withColumn(rank_col, (F.col("_offset") + number).cast("int")).drop("_offset")
+
+
+def _join_null_safe(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The rows of ``a`` with the other columns of ``b``; NULL keys match."""
+    renamed = b.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    cond = functools.reduce(operator.and_, [a[c].eqNullSafe(renamed[f"_on_{c}"]) for c in on])
+    return a.join(renamed, cond).drop(*[f"_on_{c}" for c in on])

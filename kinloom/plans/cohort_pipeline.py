@@ -13,6 +13,7 @@ from ..functions import codes as C
 from ..operators.observe import Watch
 from ..sources import casts
 from ..sources.io import write_with_metadata
+from ..sources.schemas import STAGES
 from . import birth_cohort as BC
 from . import cohort as CO
 from . import education as ED
@@ -87,7 +88,7 @@ def cohort_stages(spark: SparkSession, src: Sources, on_bad: str = "fail") -> di
     def key_stage(loader: Loader, name: str) -> Stage:
         return counted(loader, name.lower(), lambda: casts.key_stage(name))
 
-    return {
+    stages = {
         # extracts
         "episodes": Stage(lambda watch: watch(episodes_harmonised(src.episodes()), "episodes", casts.episodes()), (),
                           watched=True, sources=lambda: list(src.episodes().values())),
@@ -153,6 +154,9 @@ def cohort_stages(spark: SparkSession, src: Sources, on_bad: str = "fail") -> di
             ("birth_cohort", "birth_info", "mothers", "eth_geo", "cancer", "congenital", "sen_wide", "education"),
         ),
     }
+    for name, declared in STAGES.items():
+        stages[name].schema = declared
+    return stages
 
 
 # Stages that count text of their source that cannot be cast.

@@ -13,8 +13,8 @@ from ..functions.dates import academic_year_start, school_start_year
 from ..functions.values import decode, flag, is_in, ordinal_label, ordinal_rank, sum_na_rm
 from ..operators.link import full_merge
 from ..operators.quality import duplicate_keys
-from ..operators.reshape import harmonise, pivot_slots, union_all
-from ..operators.select import keep_first
+from ..operators.reshape import harmonise, pivot_arrays, union_all
+from ..operators.select import asof_latest, keep_first
 from ..sources import mappings as M
 
 # --------------------------------------------------------------------------- census / absence
@@ -281,32 +281,27 @@ def cohort_pupils(cohort: DataFrame) -> DataFrame:
     )
 
 
-def latest_by_expected_year(pupils: DataFrame, ks: DataFrame, year_col: str, offset: int) -> DataFrame:
-    """Per pupil the record of the latest year not after school start +
-    ``offset`` (a bounded backward as-of join).  Pupils are first reduced to
-    their latest start year, so the join does not fan out."""
-    bound = pupils.groupBy("dfe_id").agg(F.max("school_start_year").alias("_ssy"))
-    j = ks.join(bound, "dfe_id").filter(F.col("_ssy") + offset >= F.col(year_col)).drop("_ssy")
-    return keep_first(j, ["dfe_id"], [F.col(year_col).desc(), *_tie_break(ks.columns)])
-
-
 def education_combined(pupils: DataFrame, ks1_census: DataFrame, ks1: DataFrame, ks2: DataFrame,
                        ks4: DataFrame, ks5: DataFrame) -> DataFrame:
+    """Per pupil, of each key stage the record of the latest year not after school
+    start + its offset (a bounded backward as-of pick); pupils without any are left
+    out.  A pupil id with several start years takes the latest one.
+
+    A record's time is its year less the offset, so that one pick over all key
+    stages is bounded by the start year."""
+    bound = pupils.groupBy("dfe_id").agg(F.max("school_start_year").alias("_ssy"))
     parts = [
-        latest_by_expected_year(pupils, ks1_census, "census_academic_year_start", KS_OFFSETS["ks1_census"]),
-        latest_by_expected_year(pupils, ks1, "ks1_academic_year_start", KS_OFFSETS["ks1"]),
-        latest_by_expected_year(pupils, ks2, "ks2_academic_year_start", KS_OFFSETS["ks2"]),
-        latest_by_expected_year(pupils, ks4, "ks4_academic_year_start", KS_OFFSETS["ks4"]),
-        latest_by_expected_year(pupils, ks5, "ks5_academic_year_start", KS_OFFSETS["ks5"]),
+        (ks1_census, "census_academic_year_start", "ks1_census"),
+        (ks1, "ks1_academic_year_start", "ks1"),
+        (ks2, "ks2_academic_year_start", "ks2"),
+        (ks4, "ks4_academic_year_start", "ks4"),
+        (ks5, "ks5_academic_year_start", "ks5"),
     ]
-    # each part has one row a pupil: one shuffle of their union instead of a
-    # chain of full joins
-    tagged = [p.select("dfe_id", F.struct(*[c for c in p.columns if c != "dfe_id"]).alias(f"_p{i}"))
-              for i, p in enumerate(parts)]
-    merged = union_all(tagged).groupBy("dfe_id").agg(
-        *[F.first(f"_p{i}", ignorenulls=True).alias(f"_p{i}") for i in range(len(parts))])
-    return merged.select("dfe_id", *[F.col(f"_p{i}.{c}").alias(c)
-                                     for i, p in enumerate(parts) for c in p.columns if c != "dfe_id"])
+    picked = asof_latest(bound, [(df, F.col(year) - KS_OFFSETS[name]) for df, year, name in parts], ["dfe_id"], "_ssy",
+                         tie_break=[lambda c: F.col(c).asc_nulls_first()])
+    picked = picked.filter(F.coalesce(*[F.col(f"_r{i}").isNotNull() | F.lit(None) for i in range(len(parts))], F.lit(False)))
+    return picked.select("dfe_id", *[F.col(f"_r{i}.{c}").alias(c)
+                                     for i, (df, _, _) in enumerate(parts) for c in df.columns if c != "dfe_id"])
 
 
 # --------------------------------------------------------------------------- SEN and absence
@@ -416,7 +411,7 @@ def sen_absence_wide(long: DataFrame, on_duplicate: str = "fail") -> DataFrame:
     A pupil-year with two rows stops the run, or (``"first"``) gives the whole
     row that is first in the order of its values."""
     labels = [nominal_label(n) for n in NOMINAL_YEARS]
-    return pivot_slots(
-        long, ["dfe_id"], "senabs_school_year_nominal", labels, {v: v for v in SENABS_VARIABLES},
+    return pivot_arrays(
+        long, ["dfe_id"], "senabs_school_year_nominal", labels, SENABS_VARIABLES,
         name=lambda stem, lab: f"{stem}_{lab}", on_duplicate=on_duplicate,
     )

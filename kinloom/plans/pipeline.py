@@ -33,6 +33,7 @@ from ..operators.observe import Count, Counted, Unwatched, Watch, stop_on
 from ..operators.quality import assert_unique
 from ..session import ensure_checkpoint_dir
 from ..sources.io import write_partitioned
+from ..sources.schemas import missing
 from . import manifest as M
 
 
@@ -133,10 +134,7 @@ class Pipeline:
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """The declared columns of a frame; a missing one, or one of another type, is an error."""
-    have = {f.name: f.dataType for f in df.schema.fields}
-    wrong = [f"{f.name} {f.dataType.simpleString()} (is {have[f.name].simpleString() if f.name in have else 'missing'})"
-             for f in schema.fields if have.get(f.name) != f.dataType]
-    if wrong:
+    if wrong := missing(df.schema, schema):
         raise ValueError(f"not as declared: {', '.join(wrong)}")
     return df.select(*schema.names)
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.values import suppress_small
 from ..operators import quality as Q
 from ..sources import fixtures as FX
+from ..sources.catalog import drift
 from ..sources.io import read_partitioned, row_counts
 from . import cohort_pipeline as CP
 from . import first_diagnosis as FD
@@ -189,6 +190,11 @@ def q_dq_duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+def q_source_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns of all yearly tables against the declared ones."""
+    return drift(FX.fixture_catalog(spark, sf))
+
+
 def q_dataset_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Row count of every source view whose name matches a theme keyword."""
     return row_counts(FX.all_views(spark, sf), theme=r"census|absence|ks[0-9]|civil|births|episodes")
@@ -240,4 +246,5 @@ QUERIES: dict[str, Query] = {
     "export_profile": _stage("cohort", materialise=True, post=_profile),
     "dq_duplicate_keys": q_dq_duplicate_keys,
     "dataset_row_counts": q_dataset_row_counts,
+    "source_drift": q_source_drift,
 }

@@ -16,6 +16,9 @@ emits the same view as CTE text for the oracle.
 
 from __future__ import annotations
 
+import atexit
+import functools
+import re
 import uuid
 from dataclasses import dataclass
 
@@ -23,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .catalog import Catalog, catalog_sources
 
 
 # ---------------------------------------------------------------------------
@@ -268,11 +272,23 @@ def table_marks(spark: SparkSession, sf_dir: str) -> str:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     marks = []
     for name in ("customer", "lineitem", "orders"):
-        for file in sorted(_read(spark, sf_dir, name).inputFiles()):
-            path = jvm.org.apache.hadoop.fs.Path(file)
-            status = path.getFileSystem(conf).getFileStatus(path)
-            marks.append(f"{file}:{status.getLen()}:{status.getModificationTime()}")
-    return "|".join(marks)
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        for status in path.getFileSystem(conf).listStatus(path):  # a file, or the files of a folder
+            marks.append(f"{status.getPath()}:{status.getLen()}:{status.getModificationTime()}")
+    return "|".join(sorted(marks))
+
+
+def _scratch(spark: SparkSession, label: str) -> str:
+    """A fresh folder for a stored fixture, removed when the session's process ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kinloom-{label}-{uuid.uuid4().hex[:12]}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is not None:
+        hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
 _stored_dob: dict[tuple[str, str, str], str] = {}
@@ -285,7 +301,7 @@ def person_dob(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     key = (spark.sparkContext.applicationId, sf_dir, table_marks(spark, sf_dir))
     if key not in _stored_dob:
-        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kinloom-dob-{uuid.uuid4().hex[:12]}"
+        path = _scratch(spark, "dob")
         _episode_base(spark, sf_dir).groupBy("ck").agg(
             F.expr(_dob_expr(SPARK)).alias("dob"), F.expr(_first_month_expr(SPARK)).alias("first_month")
         ).write.parquet(path)
@@ -302,14 +318,13 @@ def yearly_extracts(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
     """The episodes as raw yearly extracts, stored once for a session and a table folder."""
     key = (spark.sparkContext.applicationId, sf_dir, table_marks(spark, sf_dir))
     if key not in _stored_extracts:
-        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kinloom-extracts-{uuid.uuid4().hex[:12]}"
+        path = _scratch(spark, "extracts")
         raw = fx_episodes(spark, sf_dir).withColumnsRenamed(RAW_EPISODE_NAMES)
         raw.hint("rebalance", "reporting_year_start").write.partitionBy("reporting_year_start").parquet(path)
         years = spark.read.parquet(path).select("reporting_year_start").distinct().collect()  # a few years
         _stored_extracts[key] = path, sorted(r[0] for r in years)
     path, years = _stored_extracts[key]
-    types = dict(fx_episodes(spark, sf_dir).dtypes)
-    schema = ", ".join(f"{RAW_EPISODE_NAMES.get(c, c)} {types[c]}" for c in EPISODE_COLUMNS if c != "reporting_year_start")
+    schema = ", ".join(f"{RAW_EPISODE_NAMES.get(c, c)} string" for c in EPISODE_COLUMNS if c != "reporting_year_start")
     return {y: spark.read.schema(schema).parquet(f"{path}/reporting_year_start={y}") for y in years}
 
 
@@ -483,20 +498,10 @@ def person_view_ctes() -> dict[str, str]:
 # multiplier, so a pupil has several rows per table and some same-year
 # duplicates.
 
-# table -> the collection year that names its columns, and the academic years it holds
-CENSUS_ERAS = {
-    "fx_census_02": (2002, 2002, 2002),
-    "fx_census_03": (2003, 2003, 2003),
-    "fx_census_04": (2004, 2004, 2005),
-    "fx_census_06": (2006, 2006, 2006),
-    "fx_census_07": (2007, 2007, 2010),
-    "fx_census_11": (2011, 2011, 2012),
-    "fx_census_13": (2013, 2013, 2014),
-    "fx_census_15": (2015, 2015, 2022),
-}
-ABSENCE_ERAS = {"fx_absence_06": (2006, 2005, 2005), "fx_absence_07": (2007, 2006, 2011),
-                "fx_absence_13": (2013, 2012, 2021)}
-# The extracts' column names, each with the harmonised column whose values it holds.
+# One table a collection year; its columns are named like those of the last table of SOURCE_COLUMNS before it.
+CENSUS_YEARS = range(2002, 2023)
+ABSENCE_YEARS = [2006, *range(2007, 2013), *range(2013, 2020), 2022]
+# The extracts' column names by their first year, each with the harmonised column whose values it holds.
 SOURCE_COLUMNS = {
     "fx_census_02": """
         PupilMatchingRefAnonymous_02 dfe_id
@@ -720,8 +725,14 @@ SOURCE_COLUMNS = {
 }
 
 
-def _source_columns(table: str) -> list[tuple[str, str]]:
-    return [tuple(line.split()) for line in SOURCE_COLUMNS[table].strip().splitlines()]
+def _source_columns(theme: str, year: int) -> list[tuple[str, str]]:
+    """A yearly table's columns: those of its era, with its own year and index epoch in their names."""
+    tables = {2000 + int(t[-2:]): t for t in SOURCE_COLUMNS if t.startswith(f"fx_{theme}_")}
+    era = max(y for y in tables if y <= year)
+    text, epoch = SOURCE_COLUMNS[tables[era]], 2004 if year <= 2007 else 2007 if year <= 2010 else 2010
+    text = re.sub(rf"(_|_SPR|_ab){era % 100:02d} ", rf"\g<1>{year % 100:02d} ", text)
+    text = re.sub(r"_(2004|2010)_rank ", f"_{epoch}_rank ", text)
+    return [tuple(line.split()) for line in text.strip().splitlines()]
 
 
 def _acad(y: str) -> str:
@@ -757,9 +768,11 @@ def _pupil_views(d: Dialect) -> dict[str, list[tuple[str, list[tuple[str, str]]]
         "census_msoa01": "'M01' || lpad(cast(c % 97 as string), 3, '0')",
         "census_msoa11": "'M11' || lpad(cast(c % 89 as string), 3, '0')",
     }
-    for name, (_, lo, hi) in CENSUS_ERAS.items():
-        cols = [(source, census_values[target]) for source, target in _source_columns(name)]
-        views[name] = [(f"{yc} BETWEEN {lo} AND {hi}", cols)]
+    for year in CENSUS_YEARS:
+        cols = [(source, census_values[target]) for source, target in _source_columns("census", year)]
+        if year >= 2011:  # a column that the declared ones do not name
+            cols.append((f"CensusTerm_SPR{year % 100:02d}", "CASE WHEN k % 3 = 0 THEN NULL ELSE 'Spring' END"))
+        views[f"fx_census_{year}"] = [(f"{yc} = {year}", cols)]
 
     # absence: year ya
     ya = "(ssy - 3 + (k * 5 + 3) % 18)"
@@ -777,9 +790,9 @@ def _pupil_views(d: Dialect) -> dict[str, list[tuple[str, list[tuple[str, str]]]
         absence_values[f"abs_{term}_absent_total"] = count(11 + i, 30, 19)
         absence_values[f"abs_{term}_absent_illness"] = count(13 + i, 12, 17)
         absence_values[f"abs_{term}_absent_medical"] = count(17 + i, 6, 13)
-    for name, (_, lo, hi) in ABSENCE_ERAS.items():
-        cols = [(source, absence_values[target]) for source, target in _source_columns(name)]
-        views[name] = [(f"{ya} BETWEEN {lo} AND {hi}", cols)]
+    for year in ABSENCE_YEARS:  # named by the year in which the academic year ends
+        cols = [(source, absence_values[target]) for source, target in _source_columns("absence", year)]
+        views[f"fx_absence_{year}"] = [(f"{ya} = {year - 1}", cols)]
 
     # key stages: year = ssy + offset - 2 + spread; a duplicate record on k % 10 = 0
     def ks_common(p: str, y: str) -> list[tuple[str, str]]:
@@ -895,17 +908,30 @@ def _pupil_views(d: Dialect) -> dict[str, list[tuple[str, list[tuple[str, str]]]
     return views
 
 
+_stored_pupils: dict[tuple[str, str, str], str] = {}
+
+
+@functools.lru_cache(maxsize=1)
+def _spark_pupil_views() -> dict[str, list[tuple[str, list[tuple[str, str]]]]]:
+    return _pupil_views(SPARK)
+
+
 def _fx_pupil(spark: SparkSession, sf_dir: str) -> DataFrame:
-    od = _read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"))
-    dob = person_dob(spark, sf_dir).select(F.col("ck").alias("c"), "dob")
-    ssy = F.year("dob") + F.when(F.month("dob") < 9, 4).otherwise(5)
-    return od.join(dob, "c").select("k", "c", "dob", ssy.alias("ssy"))
+    """Order, customer, date of birth and school start year, stored once for a session and a table folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, table_marks(spark, sf_dir))
+    if key not in _stored_pupils:
+        od = _read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"))
+        dob = person_dob(spark, sf_dir).select(F.col("ck").alias("c"), "dob")
+        ssy = F.year("dob") + F.when(F.month("dob") < 9, 4).otherwise(5)
+        _stored_pupils[key] = _scratch(spark, "pupils")
+        od.join(dob, "c").select("k", "c", "dob", ssy.alias("ssy")).write.parquet(_stored_pupils[key])
+    return spark.read.schema("k bigint, c bigint, dob date, ssy int").parquet(_stored_pupils[key])
 
 
 def pupil_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     base = _fx_pupil(spark, sf_dir)
     parts = [base.filter(F.expr(where)).selectExpr(*[f"{e} AS {col}" for col, e in cols])
-             for where, cols in _pupil_views(SPARK)[name]]
+             for where, cols in _spark_pupil_views()[name]]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -934,28 +960,19 @@ def all_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return views
 
 
+def fixture_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
+    """The fixture tables by name, the yearly extracts one by one."""
+    extracts = {f"fx_episodes_{y}": df for y, df in yearly_extracts(spark, sf_dir).items()}
+    pupil = list(_pupil_views(SPARK))
+
+    def read(name: str) -> DataFrame:
+        if name in extracts:
+            return extracts[name]
+        return person_view(spark, sf_dir, name) if name in PERSON_VIEWS else pupil_view(spark, sf_dir, name)
+
+    return Catalog((*extracts, *PERSON_VIEWS, *pupil), read)
+
+
 def fixture_sources(spark: SparkSession, sf_dir: str):
-    """The fixture views as pipeline ``Sources`` (loaders, evaluated lazily)."""
-    from ..plans.cohort_pipeline import Sources
-
-    census = {year: name for name, (year, _, _) in CENSUS_ERAS.items()}
-    absence = {year: name for name, (year, _, _) in ABSENCE_ERAS.items()}
-
-    def pv(n):
-        return lambda: person_view(spark, sf_dir, n)
-
-    def uv(n):
-        return lambda: pupil_view(spark, sf_dir, n)
-
-    return Sources(
-        episodes=lambda: yearly_extracts(spark, sf_dir),
-        civil_births=pv("fx_civil_births"),
-        civil_deaths=pv("fx_civil_deaths"),
-        birth_notifications=pv("fx_birth_notifications"),
-        bridging=pv("fx_bridging"),
-        mother_baby_links=pv("fx_mb_links"),
-        census={y: uv(t) for y, t in census.items()},
-        absence={y: uv(t) for y, t in absence.items()},
-        ks1=uv("fx_ks1"), ks2=uv("fx_ks2"), ks4_a=uv("fx_ks4_a"), ks4_b=uv("fx_ks4_b"),
-        ks5_a=uv("fx_ks5_a"), ks5_b=uv("fx_ks5_b"),
-    )
+    """The fixture tables as pipeline ``Sources``, found by name (loaded lazily)."""
+    return catalog_sources(fixture_catalog(spark, sf_dir))

@@ -94,6 +94,24 @@ def discover_tables(names: Iterable[str], theme: str, exclusions: Iterable[str]
     return sorted(n for n in names if pattern.search(n) and n.lower() not in excluded)
 
 
+def year_from_name(name: str) -> int:
+    """The one year (1900 to 2099) in a yearly table's name."""
+    years = set(re.findall(r"(?<!\d)(?:19|20)\d{2}(?!\d)", name))
+    if len(years) != 1:
+        raise ValueError(f"not one year in {name}")
+    return int(years.pop())
+
+
+def tables_by_year(names: Iterable[str]) -> dict[int, str]:
+    """Table names by year; two tables of one year are an error."""
+    out: dict[int, str] = {}
+    for name in names:
+        year = year_from_name(name)
+        if out.setdefault(year, name) != name:
+            raise ValueError(f"two tables of {year}: {out[year]}, {name}")
+    return out
+
+
 def catalog_tables(spark: SparkSession, theme: str, exclusions: Iterable[str] = ()) -> list[str]:
     return discover_tables([t.name for t in spark.catalog.listTables()], theme, exclusions)
 

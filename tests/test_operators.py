@@ -1,11 +1,14 @@
 """DataFrame operators: semantics and the physical plans they produce."""
 
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
 from kinloom.functions import codes as C
 from kinloom.operators import quality as Q
 from kinloom.operators.link import code_join, full_merge
-from kinloom.operators.reshape import pivot_slots, unpivot_positions
+from kinloom.operators.reshape import pivot_arrays, pivot_slots, union_all, unpivot_positions
 from kinloom.operators.select import asof_latest, first_value_by, keep_first
 
 
@@ -66,7 +69,6 @@ def test_full_merge_coalesces_keys(spark):
 
 
 def test_pivot_slots_stops_or_keeps_whole_rows(spark):
-    import pytest
 
     rows = [("p", 1, "N", "ASD", None, 5), ("p", 1, "E", None, "VI", 1), ("p", 2, "A", None, None, 2)]
     df = spark.createDataFrame(rows, "k string, n int, a string, b string, c string, d int")
@@ -80,14 +82,54 @@ def test_pivot_slots_stops_or_keeps_whole_rows(spark):
 
 
 def test_asof_gives_a_row_for_each_left_row(spark):
-    left = spark.createDataFrame([("p", 1, 10), ("p", 2, 8), ("p", 3, 5)], "k string, id int, bound int")
-    right = spark.createDataFrame([("p", 8, "a"), ("p", 10, "b"), ("p", 11, "c")], "k string, t int, v string")
-    out = asof_latest(left, right, ["k"], F.col("bound"), "t", left_id=["id"])
-    assert sorted((r.id, r.v) for r in out.collect()) == [(1, "b"), (2, "a")]
+    left = spark.createDataFrame([("p", 10), ("p", 8), ("p", 5), ("p", None), (None, 9), ("q", 9)], "k string, bound int")
+    right = spark.createDataFrame([("p", 8, "b"), ("p", 8, "a"), ("p", 10, "b"), ("p", 11, "c"), (None, 1, "z"), ("p", None, "y")],
+                                  "k string, t int, v string")
+    other = spark.createDataFrame([("p", 3, 1.5), ("q", 10, 2.5)], "k string, u int, w double")
+    out = asof_latest(left, [(right, F.col("t")), (other, F.col("u") + 3)], ["k"], "bound", tie_break=[lambda c: F.col(c).asc()])
+    got = {(r.k, r.bound): (r._r0 and r._r0.v, r._r1 and r._r1.w) for r in out.collect()}
+    assert got == {("p", 10): ("b", 1.5), ("p", 8): ("a", 1.5), ("p", 5): (None, None), ("q", 9): (None, None)}
+    text = plan(out)
+    assert "Join" not in text
+
+
+def test_asof_cuts_a_hot_key_before_the_shuffle(spark):
+    """A key with a million records of a few times brings one row a time to its task."""
+    left = spark.createDataFrame([("hot", 5)], "k string, bound int")
+    right = spark.range(0, 20000, 1, 4).selectExpr("'hot' AS k", "cast(id % 7 AS int) AS t", "id AS v")
+    out = asof_latest(left, [(right, F.col("t"))], ["k"], "bound", tie_break=[lambda c: F.col(c).asc()])
+    assert [tuple(r._r0) for r in out.collect()] == [(5, 5)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(out)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert text.count("WindowGroupLimit") >= 2  # once before the rows are shuffled
+
+
+def test_pivot_arrays_like_pivot_slots(spark):
+
+    rows = [("p", 1, "N", "ASD", None, 5), ("p", 1, "E", None, "VI", 1), ("p", 2, "A", None, None, 2), ("q", 2, None, None, None, None),
+            (None, 1, "N", None, None, 7)]
+    df = spark.createDataFrame(rows, "k string, n int, a string, b string, c string, d int")
+    args = dict(slot_col="n", slots=[1, 2, 3], name=lambda s, n: f"{s}_Y-{n}")
+    want = pivot_slots(df, ["k"], values={v: v for v in "abcd"}, on_duplicate="first", **args)
+    got = pivot_arrays(df, ["k"], values=list("abcd"), on_duplicate="first", **args)
+    assert got.dtypes == want.dtypes
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    with pytest.raises(ValueError):
+        pivot_arrays(df, ["k"], values=list("abcd"), **args)
+    wide = pivot_arrays(df, ["k"], values=list("abcd"), on_duplicate="unique", **args)
+    assert "ObjectHashAggregate" in plan(wide) and "SortAggregate" not in plan(wide)
+
+
+def test_union_of_many_parts(spark):
+    parts = [spark.range(1).selectExpr(f"{i} AS a", *(["1 AS b"] if i % 2 else [])) for i in range(7)]
+    assert sorted((r.a, r.b) for r in union_all(parts).collect()) == [(i, 1 if i % 2 else None) for i in range(7)]
+    assert union_all(parts[:1]).count() == 1
 
 
 def test_assert_unique_stops(spark):
-    import pytest
 
     Q.assert_unique(spark.createDataFrame([("a",), ("b",)], "k string"), ["k"])
     with pytest.raises(AssertionError):
@@ -118,12 +160,25 @@ def test_code_lists():
 def test_rank_skew_safe_matches_row_number_on_hot_group(spark):
     from kinloom.operators.select import rank_skew_safe, rank_within
 
-    rows = [("hot", i % 37, f"e{i:04d}") for i in range(600)] + [("cold", i, f"c{i}") for i in range(5)]
-    df = spark.createDataFrame(rows, "k string, o int, id string")
-    got = rank_skew_safe(df, ["k"], ["o", "id"], "r", num_partitions=6)
-    want = df.withColumn("r", rank_within(["k"], ["o", "id"]))
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
-    # the hot group really is spread over several slices
-    sliced = df.repartitionByRange(6, "k", "o", "id").select("k", F.spark_partition_id().alias("p"))
-    slices = sliced.filter(F.col("k") == "hot").select("p").distinct().count()
-    assert slices > 1
+    rows = [("hot", i % 37, i % 5, f"e{i:04d}") for i in range(600)] + [("cold", i, 0, f"c{i}") for i in range(5)]
+    rows += [("hot", None, i % 2 or None, f"n{i}") for i in range(20)] + [(None, 1, None, "x"), (None, None, 2, "y")]
+    df = spark.createDataFrame(rows, "k string, o int, p int, id string")
+    for order in (["o", "id"], ["o", "p", "id"], ["o", "p", "p", "id"]):
+        got = rank_skew_safe(df, ["k"], order, "r")
+        want = df.withColumn("r", rank_within(["k"], order))
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    with pytest.raises(ValueError):
+        rank_skew_safe(df, ["k"], ["id"], "r")
+
+
+def test_rank_skew_safe_spreads_a_hot_group(spark):
+    """The rows of one person are shuffled by (person, first, second value) and nothing is stored."""
+    from kinloom.operators.select import rank_skew_safe
+
+    df = spark.range(20000).selectExpr("concat('h', id DIV 100000) AS k", "cast(id % 50 AS int) AS o", "cast(id % 20 AS int) AS p", "id")
+    out = rank_skew_safe(df, ["k"], ["o", "p", "id"], "r")
+    sizes = [r[0] for r in out.repartition(8, "k", "o", "p").groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert max(sizes) < 20000 / 3
+    text = plan(out)
+    assert re.search(r"row_number\(\) windowspecdefinition\(k#\d+, o#\d+, p#\d+, id#", text) and "ExistingRDD" not in text
+    assert out.agg(F.count_distinct("r"), F.max("r")).first()[:] == (20000, 20000)

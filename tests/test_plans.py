@@ -23,7 +23,7 @@ def test_no_nested_loop_or_cartesian(spark, key):
     assert "NestedLoopJoin" not in p and "CartesianProduct" not in p, key
 
 
-@pytest.mark.parametrize("view", ["fx_episodes", *FX.PERSON_VIEWS, "fx_census_13", "fx_absence_07", "fx_ks2",
+@pytest.mark.parametrize("view", ["fx_episodes", *FX.PERSON_VIEWS, "fx_census_2008", "fx_census_2013", "fx_absence_2009", "fx_ks2",
                                   "fx_ks4_a", "fx_ks5_b"])
 def test_fixture_views_identical_in_both_engines(spark, view):
     df = FX.all_views(spark, SMOKE)[view]

@@ -187,7 +187,13 @@ def test_run_stops_on_bad_data(spark, tmp_path):
     from kinloom.plans.pipeline import Pipeline, Stage
     from kinloom.sources.fixtures import fixture_sources
 
-    stages = cohort_stages(spark, fixture_sources(spark, "/root/testdata/sf0.001"))
+    from kinloom.plans.episodes import episodes_harmonised
+
+    src = fixture_sources(spark, "/root/testdata/sf0.001")
+    stages = cohort_stages(spark, src)
+    with pytest.raises(ValueError, match="admidate on"):  # text that is no date, in the extracts
+        Pipeline(spark, stages).get("congenital")
+    stages["episodes"] = Stage(lambda: episodes_harmonised(src.episodes()), (), write=False)
     with pytest.raises(ValueError, match="dates missing"):
         Pipeline(spark, stages).get("congenital")
     twice = {"s": Stage(lambda: spark.range(2).selectExpr("1 AS k"), (), unique=("k",))}
@@ -255,11 +261,14 @@ def test_yearly_extracts_harmonise(spark):
     out = EP.episodes_harmonised({2001: b, 1998: a})
     assert sorted((r.reporting_year_start, r.token_person_id, r.birweit, r.birordr) for r in out.collect()) == [
         (1998, "p", "2500", None), (2001, "q", "3000", "1")]
-    assert EP.tables_by_year(["APC_1998", "APC_2001"]) == {1998: "APC_1998", 2001: "APC_2001"}
-    with pytest.raises(ValueError):
-        EP.tables_by_year(["x1998", "y1998"])
+    from kinloom.sources import io as IO
+
+    assert IO.tables_by_year(["APC_1998", "Absence_2001_3Term"]) == {1998: "APC_1998", 2001: "Absence_2001_3Term"}
     with pytest.raises(ValueError):
-        EP.year_from_name("apc")
+        IO.tables_by_year(["x1998", "y1998"])
+    for name in ("apc", "apc_1998_2001", "apc_19981"):
+        with pytest.raises(ValueError):
+            IO.year_from_name(name)
 
 
 def test_diagnoses_read_back_prunes_folders(spark):
