@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
@@ -26,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, ship_package, slices
+from .common import kept, lean, ship_package, slices
 
 #: Unicode White_Space, and the split pattern of the vocabulary.
 WHITE_SPACE = r"\t-\r\x20\x85\xa0  -     　"
@@ -169,9 +168,8 @@ class ByteBpe:
             yield [*self.encode(words[at[first]]), *chain.from_iterable(map(known.__getitem__, at[first + 1 : end].tolist()))]
 
 
-@lru_cache(maxsize=2)
 def load(path: str) -> ByteBpe:
-    return ByteBpe(path)
+    return kept(f"bpe {path}", lambda: ByteBpe(path))
 
 
 def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -186,7 +184,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], names=[id_col, "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(lean(run), f"{id_col} {kind}, ids array<int>")
+    return docs.select(id_col, text_col).mapInArrow(lean(run, f"bpe {tokenizer}"), f"{id_col} {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -200,7 +198,7 @@ def decode(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=[id_col, "text"])
 
     kind = encoded.schema[id_col].dataType.simpleString()
-    return encoded.select(id_col, ids_col).mapInArrow(lean(run), f"{id_col} {kind}, text string")
+    return encoded.select(id_col, ids_col).mapInArrow(lean(run, f"bpe {tokenizer}"), f"{id_col} {kind}, text string")
 
 
 def digest(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -222,4 +220,4 @@ def digest(docs: DataFrame, tokenizer: str) -> DataFrame:
                 )
 
     out = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lean(run), out)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lean(run, f"bpe {tokenizer}"), out)

@@ -63,10 +63,28 @@ def release_memory() -> None:
         trim(0)
 
 
-def lean(run):
-    """The same batch function; when a task has read its last batch, its memory is released."""
+_kept: dict[str, object] = {}
+
+
+def kept(name: str, make):
+    """What ``make`` returns, kept by the worker for its next tasks of that name."""
+    if name not in _kept:
+        _kept.clear()
+        release_memory()
+        _kept[name] = make()
+    return _kept[name]
+
+
+def lean(run, name: str | None = None):
+    """The same batch function; when a task has read its last batch, its memory is released.
+
+    What the worker keeps under another ``name`` goes first: workers outlive an
+    operator, and its encoders and caches would add to the next one's memory."""
 
     def batches_of(batches):
+        if _kept and name not in _kept:
+            _kept.clear()
+            release_memory()
         yield from run(batches)
         release_memory()
 

@@ -43,7 +43,7 @@ QUANTILE, MARGIN, PRIOR = 0.99, 1.0, 200
 #: Least distance of a limit from the median (nats a character), for a language of few or like documents.
 FLOOR = 0.1
 START, END, FOLD, CLASSES = 4095, 4094, 2046, 1 << BITS
-TEXT_BYTES = 1 << 20
+TEXT_BYTES = 1 << 18
 #: Keys: a gram has its order above its 60 bits; a context (48 bits) has this tag there and its order below.
 GRAM_SHIFT, CONTEXT_SHIFT, CONTEXT_TAG = 60, 56, 6
 

@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import os
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import lean, run_dir, ship_package, slices
+from .common import kept, lean, run_dir, ship_package, slices
 
 BLOCK = 128
 #: Ids after which a segment is closed.
@@ -43,8 +42,8 @@ PERCENTILE = 0.9
 #: Distinct white-space separated chunks whose ids a worker keeps; two generations.
 CACHE_ENTRIES = 400_000
 CACHE_LENGTH = 48
-#: Chunks given to the library at once, and bytes of text encoded at once.
-ENCODED_AT_ONCE = 10_000
+#: Chunks given to the library at once, those of letters in texts of so many, and bytes of text encoded at once.
+ENCODED_AT_ONCE, WORDS_A_TEXT = 10_000, 500
 SLICE_BYTES = 10 << 20
 
 SEGMENT_SCHEMA = "part int, seg int, first long, doc_ids array<long>, lengths array<int>, n_ids long, block_starts binary, blocks binary"
@@ -85,17 +84,21 @@ def encode_blocks(ids: np.ndarray, percentile: float = PERCENTILE) -> tuple[byte
             size = BLOCK * int(w) // 8
             for i, k in enumerate(at.tolist()):
                 packed[k] = rows[i * size : (i + 1) * size]
-    out, starts, pos = [], [], 0
-    exceptions = np.flatnonzero(n_over)
-    lists = {k: np.flatnonzero(over[k]) for k in exceptions.tolist()}
-    for k, (m, w, c, e) in enumerate(zip(low.tolist(), width.tolist(), counts.tolist(), n_over.tolist())):
-        piece = m.to_bytes(4, "little") + bytes((w, c - 1, e)) + packed[k]
+    head = np.empty((n_blocks, 7), np.uint8)
+    head[:, :4] = low.astype("<u4")[:, None].view(np.uint8)
+    head[:, 4], head[:, 5], head[:, 6] = width, counts - 1, n_over
+    heads, at = head.tobytes(), np.nonzero(over)
+    positions, rests = at[1].astype(np.uint8).tobytes(), diff[at].astype("<u4").tobytes()
+    out, done = [], 0
+    for k, e in enumerate(n_over.tolist()):
+        out.append(heads[7 * k : 7 * k + 7])
+        out.append(packed[k])
         if e:
-            piece += lists[k].astype(np.uint8).tobytes() + diff[k, lists[k]].tobytes()
-        starts.append(pos)
-        pos += len(piece)
-        out.append(piece)
-    return np.array(starts, "<u4").tobytes(), b"".join(out)
+            out.append(positions[done : done + e])
+            out.append(rests[4 * done : 4 * (done + e)])
+            done += e
+    size = 7 + BLOCK * width // 8 + 5 * n_over
+    return (np.cumsum(size) - size).astype("<u4").tobytes(), b"".join(out)
 
 
 def decode_blocks(block_starts: bytes, blocks: bytes, first: int = 0, stop: int | None = None) -> np.ndarray:
@@ -115,10 +118,12 @@ def decode_blocks(block_starts: bytes, blocks: bytes, first: int = 0, stop: int
             cells = np.zeros((len(at), BLOCK, 16 if w <= 16 else 32), np.uint8)
             cells[:, :, :w] = bits.reshape(len(at), BLOCK, w)
             diff[at] = np.packbits(cells.reshape(len(at), -1), axis=1, bitorder="little").view("<u2" if w <= 16 else "<u4")
-    for k in np.flatnonzero(n_over).tolist():
-        at = int(starts[k] + 7 + BLOCK * width[k] // 8)
-        e = int(n_over[k])
-        diff[k, raw[at : at + e]] = np.frombuffer(blocks, "<u4", e, at + e)
+    if n_over.any():
+        block = np.repeat(np.arange(len(starts)), n_over)
+        nth = np.arange(len(block)) - np.repeat(np.cumsum(n_over) - n_over, n_over)
+        lists = (starts + 7 + BLOCK * width // 8)[block]
+        rest = raw[(lists + n_over[block] + 4 * nth)[:, None] + np.arange(4)]
+        diff[block, raw[lists + nth]] = rest.view("<u4")[:, 0]
     ids = (diff + low[:, None]).reshape(-1)
     short = BLOCK - int(counts[-1])
     return ids[: len(ids) - short] if short else ids
@@ -138,6 +143,10 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        vocabulary = self.tokenizer.get_vocab()
+        #: Which ids end a word of the vocabulary's split.
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self._new: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
@@ -153,17 +162,39 @@ class ChunkEncoder:
                     missing.append(k)
                 else:
                     new[c] = out[k] = ids
-        for i in range(0, len(missing), ENCODED_AT_ONCE):
-            some = missing[i : i + ENCODED_AT_ONCE]
-            for k, e in zip(some, self.tokenizer.encode_batch_fast([chunks[k] for k in some], add_special_tokens=False)):
-                c = chunks[k]
-                out[k] = ids = np.array(e.ids, "<u4").tobytes()
-                if len(c) <= CACHE_LENGTH:
-                    new[c] = ids
+        for k, ids in zip(missing, self._encoded([chunks[k] for k in missing])):
+            out[k] = ids
+            if len(chunks[k]) <= CACHE_LENGTH:
+                new[chunks[k]] = ids
         if len(new) >= CACHE_ENTRIES:
             self._new, self._old = {}, new
         return out
 
+    def _encoded(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks by the library.  Chunks of letters are words of the vocabulary's
+        split, so many of them are given to it as one text and cut where words end."""
+        out: list[bytes] = [b""] * len(chunks)
+        words = [k for k, c in enumerate(chunks) if c.isalpha() and "\u0130" not in c]
+        single = [k for k, c in enumerate(chunks) if not c.isalpha() or "\u0130" in c]
+        runs = [words[i : i + WORDS_A_TEXT] for i in range(0, len(words), WORDS_A_TEXT)]
+        for i in range(0, len(runs), ENCODED_AT_ONCE // WORDS_A_TEXT):
+            some = runs[i : i + ENCODED_AT_ONCE // WORDS_A_TEXT]
+            for run, e in zip(some, self.tokenizer.encode_batch_fast([" ".join([chunks[k] for k in run]) for run in some], add_special_tokens=False)):
+                ids = np.array(e.ids, "<u4")
+                stops = 4 * (np.flatnonzero(self._ends[ids]) + 1)
+                if len(stops) != len(run):  # a vocabulary of another split
+                    single += run
+                    continue
+                raw, first = ids.tobytes(), 0
+                for k, stop in zip(run, stops.tolist()):
+                    out[k] = raw[first:stop]
+                    first = stop
+        for i in range(0, len(single), ENCODED_AT_ONCE):
+            some = single[i : i + ENCODED_AT_ONCE]
+            for k, e in zip(some, self.tokenizer.encode_batch_fast([chunks[k] for k in some], add_special_tokens=False)):
+                out[k] = np.array(e.ids, "<u4").tobytes()
+        return out
+
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, ``end_id`` after each, and the number of each."""
         texts = pc.fill_null(texts, "")
@@ -171,9 +202,9 @@ class ChunkEncoder:
         texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
         for c in "\t\n\r":
             texts = pc.replace_substring(texts, c, " ")
-        # a comma or full stop after a Latin letter and before white space is split off by the vocabulary too: fewer chunks
-        # (not after U+0130: in lower case it ends in a combining mark, which joins the comma)
-        texts = pc.replace_substring_regex(texts, r"([a-z\x{df}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}])([.,]) ", r"\1 \2 ")
+        # a run of these after a Latin letter and before white space is split off by the vocabulary too: fewer chunks
+        # (not after U+0130: in lower case it ends in a combining mark, which joins the run)
+        texts = pc.replace_substring_regex(texts, r"([a-z\x{df}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}])([.,!?;:$&%#*]+) ", r"\1 \2 ")
         lists = pc.split_pattern(texts, " ")
         coded = lists.flatten().dictionary_encode()
         pieces = [*self._chunks(coded.dictionary.to_pylist()), int(end_id).to_bytes(4, "little")]
@@ -189,9 +220,8 @@ class ChunkEncoder:
         return ids, np.diff(ends[docs - 1].astype(np.int64), prepend=0) if len(docs) else docs
 
 
-@lru_cache(maxsize=2)
 def load(path: str) -> ChunkEncoder:
-    return ChunkEncoder(path)
+    return kept(f"pfor {path}", lambda: ChunkEncoder(path))
 
 
 def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int, percentile: float = PERCENTILE) -> None:
@@ -227,7 +257,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int, pe
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "text")
-        .mapInArrow(lean(run), SEGMENT_SCHEMA)
+        .mapInArrow(lean(run, f"pfor {tokenizer}"), SEGMENT_SCHEMA)
         .write.parquet(path)
     )
 
