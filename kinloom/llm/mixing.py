@@ -4,19 +4,25 @@ The mix is a sequence of slots.  Slot ``k`` maps the golden-ratio point
 ``frac((k + 1/2) * phi)`` through the sources' cumulative shares to a source;
 the slots are ranked per source, and the slot of rank ``r`` takes block
 ``r mod n`` of the source's ``n`` blocks.  Blocks hold equally many words of
-the source's documents in a shuffled (hashed) order, so a document is taken by
-the slots that take its blocks.  A source whose slots have met its target lets
-further slots pass, one that is short after the last slot gets the rest at the
-end, and a source's last slot takes only the words that are still missing; so
-every source meets its target to the word.
+the source's documents in a shuffled (hashed) order.  A source whose slots have
+met its target lets further slots pass, one that is short after the last point
+gets the rest at the end, and a source's last slot takes only the words that are
+still missing; so every source meets its target to the word.
+
+``slots`` gives the sequence itself, ``pieces`` the words of each document that a
+slot takes, ``mix`` sums them up by document, and ``mixed`` emits whole documents:
+those whose words are all taken, in whole rounds of their source and in its last,
+partial round, and for the words that are then missing the document of the
+nearest size, if that brings the source nearer to its target or it had none.
 
 Ranks and word positions are prefix sums in two levels (square-root sized
-chunks, then rows of a chunk), so that no task holds a whole source.
+chunks, then rows of a chunk), so that no task holds a whole source.  The order
+key is the hash of id and size, so rows without an id are spread like others.
 
 Defined results: a null text has size 0; a document of size 0 is taken 0 times;
 null sources are one source, ordered last; every input row yields one output
 row and rows of equal ids count on their own; an empty table gives an empty
-table.  Other columns of the input are ignored.
+table; long texts are only counted.  Other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -26,15 +32,13 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, stored, word_count
+from .common import stored, word_count
 
 #: Words of a block.
 BLOCK_WORDS = 256
 #: Cells of the unit interval by which slots and sources meet.
 CELLS = 4096
 PHI = (math.sqrt(5) - 1) / 2
-#: frac(2**20 * phi): with it the point of a large slot number keeps its digits.
-PHI_HIGH = (PHI * (1 << 20)) % 1.0
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3) -> DataFrame:
@@ -72,84 +76,112 @@ def _plan(shares: DataFrame, block_words: int) -> DataFrame:
     )
 
 
-def schedule(plan: DataFrame, n_slots: int, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``sid, block, full, part_words``: how often each block is taken whole, and the words of a cut slot."""
-    spark = plan.sparkSession
+def _points(first: int, n: int, spark, phi: float) -> DataFrame:
+    """``k, x``: slot numbers and their points."""
+    high = (phi * (1 << 20)) % 1.0  # with it the point of a large slot number keeps its digits
+    x = ((F.col("k") % (1 << 20) + 0.5) * phi + F.expr(f"k div {1 << 20}") * high) % 1.0
+    return spark.range(first, first + n).withColumnRenamed("id", "k").withColumn("x", x)
+
+
+def schedule(plan: DataFrame, n_slots: int, block_words: int = BLOCK_WORDS, phi: float = PHI) -> DataFrame:
+    """``slot, sid, block, words``: which block each slot takes, and how many of its first words at most."""
     share = F.sum("slots").over(Window.orderBy("sid"))
-    ranges = plan.select("sid", "n_blocks", "slots", "rest", ((share - F.col("slots")) / n_slots).alias("lo"), (share / n_slots).alias("hi"))
+    ranges = plan.select("sid", "slots", ((share - F.col("slots")) / n_slots).alias("lo"), (share / n_slots).alias("hi"))
     cells = ranges.filter("slots > 0").withColumn("cell", F.explode(F.sequence(F.floor(F.col("lo") * CELLS).cast("int"), F.least(F.floor(F.col("hi") * CELLS).cast("int"), F.lit(CELLS - 1)))))
-    low = F.col("k") % (1 << 20)
-    high = F.expr(f"k div {1 << 20}")
-    x = ((low + 0.5) * PHI + high * PHI_HIGH) % 1.0
     chunk = max(1, math.isqrt(n_slots))
-    slots = spark.range(n_slots).withColumnRenamed("id", "k").withColumn("x", x).withColumn("cell", F.least(F.floor(F.col("x") * CELLS), F.lit(CELLS - 1)).cast("int"))
+    slots = _points(0, n_slots, plan.sparkSession, phi).withColumn("cell", F.least(F.floor(F.col("x") * CELLS), F.lit(CELLS - 1)).cast("int"))
     slots = slots.join(cells.select("sid", "cell", "lo", "hi"), "cell").filter("x >= lo and x < hi").select("k", "sid", F.expr(f"k div {chunk}").alias("chunk"))
     counts = slots.groupBy("sid", "chunk").agg(F.count("*").alias("n"))
     before = counts.select("sid", "chunk", (F.sum("n").over(Window.partitionBy("sid").orderBy("chunk")) - F.col("n")).alias("before"))
     inside = F.row_number().over(Window.partitionBy("sid", "chunk").orderBy("k")) - 1
-    ranked = slots.withColumn("inside", inside).join(before, ["sid", "chunk"]).select("sid", (F.col("before") + F.col("inside")).alias("r"))
+    ranked = slots.withColumn("inside", inside).join(before, ["sid", "chunk"]).select("sid", "k", (F.col("before") + F.col("inside")).alias("r"))
     held = counts.groupBy("sid").agg(F.sum("n").alias("held"))
     short = plan.join(held, "sid", "left").select("sid", "slots", F.coalesce("held", F.lit(0)).alias("held")).filter("held < slots")
-    ranked = ranked.union(short.select("sid", F.explode(F.expr("sequence(held, slots - 1)")).alias("r")))
+    lacking = F.sum(F.col("slots") - F.col("held")).over(Window.orderBy("sid"))
+    late = short.withColumn("from", lacking - (F.col("slots") - F.col("held")) - F.col("held") + n_slots)
+    late = late.select("sid", "from", F.explode(F.expr("sequence(held, slots - 1)")).alias("r"))
+    ranked = ranked.unionByName(late.select("sid", (F.col("from") + F.col("r")).alias("k"), "r"))
     taken = ranked.join(plan.select("sid", "n_blocks", "slots", "rest"), "sid").filter("r < slots")
     cut = (F.col("r") == F.col("slots") - 1) & (F.col("rest") % block_words > 0)
-    words = F.col("rest") % block_words
-    return (
-        taken.select("sid", (F.col("r") % F.col("n_blocks")).alias("block"), cut.alias("cut"), words.alias("words"))
-        .groupBy("sid", "block")
-        .agg(F.sum(F.when(F.col("cut"), 0).otherwise(1)).alias("full"), F.max(F.when(F.col("cut"), F.col("words")).otherwise(0)).alias("part_words"))
-    )
-
-
-def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` for every row."""
-    return _mix(docs, F.lit(0), weights, cap, block_words).drop("row")
-
-
-def _mix(docs: DataFrame, row: Column, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``mix`` with a ``row`` key in front."""
-    sized = stored(docs.select(row.cast("long").alias("row"), "doc_id", "source", word_count(F.col("text").cast("string")).alias("size")), "sizes")
-    shares = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap), "shares")
-    plan = _plan(shares, block_words)
-    n_slots, n_docs = plan.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0], sized.count()
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    n_buckets = max(1, math.isqrt(n_docs))
-    bucket = F.floor(F.conv(F.substring("h", 1, 8), 16, 10).cast("double") / (1 << 32) * n_buckets).cast("int")
-    rows = sized.join(shares, sized["source"].eqNullSafe(shares["source"])).select("row", "doc_id", "size", "sid", "source_size", "target", key.alias("h")).withColumn("bucket", bucket)
-    sums = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("n"))
-    before = sums.select("sid", "bucket", (F.sum("n").over(Window.partitionBy("sid").orderBy("bucket")) - F.col("n")).alias("before"))
-    order = Window.partitionBy("sid", "bucket").orderBy("h", "doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, 0)
-    placed = rows.withColumn("inside", F.sum("size").over(order) - F.col("size")).join(before, ["sid", "bucket"]).withColumn("pos", F.col("before") + F.col("inside"))
-    placed = placed.select("row", "doc_id", "size", "sid", "source_size", "target", "pos")
-    whole = placed.filter("size > 0")
-    pieces = whole.withColumn("block", F.explode(F.expr(f"sequence(pos div {block_words}, (pos + size - 1) div {block_words})")))
-    blocks = schedule(plan, n_slots, block_words) if n_slots else None
-    if blocks is None:
-        return placed.select("row", "doc_id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
-    at = F.col("block") * block_words
-    first = F.greatest(F.col("pos"), at)
-    last = F.least(F.col("pos") + F.col("size"), at + block_words)
-    words = F.col("full") * (last - first) + F.greatest(F.least(last, at + F.col("part_words")) - first, F.lit(0))
-    got = pieces.join(blocks, ["sid", "block"], "left").groupBy("sid", "pos", "row", "doc_id", "size", "source_size", "target").agg(F.coalesce(F.sum(words), F.lit(0)).cast("long").alias("taken"))
-    out = got.select("row", "doc_id", "size", "source_size", "target", "taken")
-    return out.union(placed.filter("size = 0").select("row", "doc_id", "size", "source_size", "target", F.lit(0).cast("long")))
-
-
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them: the share of the words taken, rounded.
+    return taken.select(F.col("k").alias("slot"), "sid", (F.col("r") % F.col("n_blocks")).alias("block"), F.when(cut, F.col("rest") % block_words).otherwise(block_words).alias("words"))
+
+
+class Mix:
+    """The mix of some documents: ``shares`` by source, ``slots``, ``pieces`` and sums ``by_row``."""
+
+    def __init__(self, docs: DataFrame, row: Column, weights: tuple[float, ...], cap: int, block_words: int, phi: float):
+        sized = stored(docs.select(row.cast("long").alias("row"), "doc_id", "source", word_count(F.col("text").cast("string")).alias("size")), "sizes")
+        self.shares = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap), "shares")
+        plan = _plan(self.shares, block_words)
+        n_slots, n_docs = plan.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0], sized.count()
+        key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string")))
+        bucket = F.floor(F.conv(F.substring("h", 1, 8), 16, 10).cast("double") / (1 << 32) * max(1, math.isqrt(n_docs))).cast("int")
+        shares = self.shares.withColumnRenamed("source", "of")
+        rows = sized.join(shares, F.col("source").eqNullSafe(F.col("of"))).select("row", "doc_id", "size", "sid", "source_size", "target", key.alias("h")).withColumn("bucket", bucket)
+        sums = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("n"))
+        before = sums.select("sid", "bucket", (F.sum("n").over(Window.partitionBy("sid").orderBy("bucket")) - F.col("n")).alias("before"))
+        order = Window.partitionBy("sid", "bucket").orderBy("h", "doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, 0)
+        placed = rows.withColumn("inside", F.sum("size").over(order) - F.col("size")).join(before, ["sid", "bucket"]).withColumn("pos", F.col("before") + F.col("inside"))
+        #: Each row's place in its source's sequence of words.
+        self.placed = stored(placed.select("row", "doc_id", "size", "sid", "source_size", "target", "pos"), "placed")
+        whole = self.placed.filter("size > 0")
+        cuts = whole.withColumn("block", F.explode(F.expr(f"sequence(pos div {block_words}, (pos + size - 1) div {block_words})")))
+        self.slots = stored(schedule(plan, n_slots, block_words, phi), "slots") if n_slots else None
+        if n_slots:
+            at = F.col("block") * block_words
+            first, last = F.greatest(F.col("pos"), at), F.least(F.col("pos") + F.col("size"), at + F.col("words"))
+            pieces = cuts.join(self.slots, ["sid", "block"]).withColumn("n", last - first).filter("n > 0")
+            #: Which words of a row a slot takes: ``n`` words from ``first`` on.
+            self.pieces = pieces.select("slot", "row", "doc_id", (first - F.col("pos")).alias("first"), "n")
+
+    def by_row(self) -> DataFrame:
+        keep = ["row", "doc_id", "size", "source_size", "target"]
+        if self.slots is None:
+            return self.placed.select(*keep, F.lit(0).cast("long").alias("taken"), F.lit(None).cast("long").alias("first_slot"))
+        sums = self.pieces.groupBy(F.col("row").alias("of")).agg(F.sum("n").alias("taken"), F.min("slot").alias("first_slot"))
+        joined = self.placed.join(sums, F.col("row") == F.col("of"), "left")
+        return joined.select(*keep, F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot")
+
+    def whole(self) -> DataFrame:
+        """``row, times, slot``: how often each row is emitted, if at all, and its first slot."""
+        want = F.round("target").cast("long")
+        rest = F.expr("want % source_size")
+        rows = self.placed.filter("size > 0").withColumn("want", want).withColumn("rest", rest).withColumn("rounds", F.expr("want div source_size"))
+        rows = rows.withColumn("inside", F.col("pos") + F.col("size") <= F.col("rest"))
+        covered = rows.groupBy("sid").agg(F.max(F.when(F.col("inside"), F.col("pos") + F.col("size"))).alias("covered"))
+        missing = F.col("rest") - F.coalesce("covered", F.lit(0))
+        outside = rows.filter(~F.col("inside")).join(covered, "sid").withColumn("missing", missing).filter("missing > 0")
+        gap = F.abs(F.col("size") - F.col("missing"))
+        nearest = outside.groupBy("sid").agg(F.min(F.struct(gap.alias("gap"), "pos", "row", "missing", "rounds", "covered")).alias("best"))
+        useful = (F.col("best.gap") < F.col("best.missing")) | (F.col("best.rounds") == 0) & F.col("best.covered").isNull()
+        extra = nearest.filter(useful).select(F.col("best.row").alias("row"), F.lit(1).alias("more"))
+        times = rows.join(extra, "row", "left").select("row", (F.col("rounds") + F.col("inside").cast("int") + F.coalesce("more", F.lit(0))).cast("int").alias("times"))
+        first = self.by_row().select("row", "first_slot")
+        return times.filter("times > 0").join(first, "row").select("row", "times", F.col("first_slot").alias("slot"))
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, block_words: int = BLOCK_WORDS, phi: float = PHI) -> DataFrame:
+    """``doc_id, size, source_size, target, taken, first_slot`` for every row; ``first_slot``: of those that take it, null if none does."""
+    return Mix(docs, F.monotonically_increasing_id(), weights, cap, block_words, phi).by_row().drop("row")
+
+
+def mixed(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, block_words: int = BLOCK_WORDS, phi: float = PHI, in_order: bool = False) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, whole and as often as it does, each source to within one document.
 
     Every row counts on its own, also without an id or with that of another;
-    rows without words are not taken.
+    rows without words are not taken.  ``in_order`` sorts them by their first slot,
+    so that sources interleave by the schedule; it shuffles the texts once more.
     """
-    key, column = "row", "times"
-    while key in docs.columns:
-        key += "_"
-    while column in docs.columns:
-        column += "_"
+    key, times, slot = (_fresh(docs, c) for c in ("row", "times", "slot"))
     rows = stored(docs.withColumn(key, F.monotonically_increasing_id()), "rows")
-    share = _mix(rows, F.col(key), **options).filter("size > 0").select(F.col("row").alias(key), F.expr("(2 * taken + size) div (2 * size)").cast("int").alias(column))
-    times = stored(share.filter(F.col(column) > 0), "times")
-    few = times.count() <= BROADCAST_IDS  # else the texts are shuffled to their numbers
-    again = F.explode(F.sequence(F.lit(1), F.col(column)))
-    out = rows.join(F.broadcast(times) if few else times, key)
-    return out.withColumn(column, again).select(*docs.columns)
+    found = Mix(rows, F.col(key), weights, cap, block_words, phi).whole().withColumnsRenamed({"row": key, "times": times, "slot": slot})
+    # the texts are hashed to their numbers and not sorted: these are the small side of each task
+    out = rows.join(stored(found, "times").hint("shuffle_hash"), key)
+    out = out.orderBy(slot, key) if in_order else out
+    return out.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
+
+
+def _fresh(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name

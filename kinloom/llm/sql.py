@@ -92,13 +92,36 @@ WITH d AS (
 ), t AS (
   SELECT source, source_size, least(3.0 * source_size, coalesce((SELECT arg_min(level, stop) FROM levels WHERE stop >= level) * w, 3.0 * source_size)) AS target FROM s
 ), p AS (
-  SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target, CAST(round(target) AS BIGINT) AS want,
-         sum(size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) - size AS pos
+  SELECT row_number() OVER () AS pid, doc_id, size, d.source, source_size, CAST(target AS DOUBLE) AS target, CAST(round(target) AS BIGINT) AS want,
+         CAST(sum(size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || size), doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS pos
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), plan AS (
+  SELECT source, row_number() OVER (ORDER BY source NULLS LAST) AS sid, source_size, any_value(want) % source_size AS rest,
+         CAST(ceil(source_size / 256) AS BIGINT) AS n_blocks,
+         (any_value(want) // source_size) * CAST(ceil(source_size / 256) AS BIGINT) + CAST(ceil((any_value(want) % source_size) / 256) AS BIGINT) AS slots
+  FROM p WHERE source_size > 0 GROUP BY source, source_size
+), range_ AS (
+  SELECT *, sum(slots) OVER () AS n, (sum(slots) OVER (ORDER BY sid) - slots) / sum(slots) OVER () AS lo, sum(slots) OVER (ORDER BY sid) / sum(slots) OVER () AS hi FROM plan
+), point AS (
+  SELECT k, ((k % 1048576 + 0.5::DOUBLE) * phi + (k // 1048576) * ((phi * 1048576) % 1.0)) % 1.0 AS x
+  FROM (SELECT unnest(range(CAST((SELECT coalesce(max(n), 0) FROM range_) AS BIGINT))) AS k, (sqrt(5.0::DOUBLE) - 1) / 2 AS phi)
+), drawn AS (
+  SELECT r.sid, k, row_number() OVER (PARTITION BY r.sid ORDER BY k) - 1 AS r FROM point JOIN range_ r ON x >= lo AND x < hi
+), late AS (
+  SELECT sid, n + sum(slots - held) OVER (ORDER BY sid) - (slots - held) AS k, held, slots
+  FROM (SELECT r.sid, r.n, r.slots, (SELECT count(*) FROM drawn d WHERE d.sid = r.sid) AS held FROM range_ r) WHERE held < slots
+), ranked AS (
+  SELECT sid, k, r FROM drawn UNION ALL SELECT sid, k + i, held + i FROM (SELECT *, unnest(range(CAST(slots - held AS BIGINT))) AS i FROM late)
+), slot AS (
+  SELECT l.source, k, r % n_blocks AS block, CASE WHEN r = slots - 1 AND rest % 256 > 0 THEN rest % 256 ELSE 256 END AS words
+  FROM ranked JOIN plan l USING (sid) WHERE r < slots
+), piece AS (
+  SELECT pid, s.k, least(pos + size, block * 256 + words) - greatest(pos, block * 256) AS n
+  FROM (SELECT *, unnest(range(pos // 256, (pos + size - 1) // 256 + 1)) AS b FROM p WHERE size > 0) q
+  JOIN slot s ON s.source IS NOT DISTINCT FROM q.source AND s.block = q.b
 )
-SELECT doc_id, size, source_size, target,
-       CAST(CASE WHEN source_size = 0 THEN 0 ELSE (want // source_size) * size + greatest(least(pos + size, want % source_size) - pos, 0) END AS BIGINT) AS taken
-FROM p
+SELECT doc_id, size, source_size, target, CAST(coalesce(sum(n) FILTER (n > 0), 0) AS BIGINT) AS taken, CAST(min(k) FILTER (n > 0) AS BIGINT) AS first_slot
+FROM p LEFT JOIN piece USING (pid) GROUP BY pid, doc_id, size, source_size, target
 """
 
 URLS = r"""

@@ -2,6 +2,7 @@ import random
 
 import pytest
 from helpers import docs, rows, same_as_sql, with_clashes
+from pyspark.sql import functions as F
 
 from kinloom.llm import mixing
 from kinloom.llm.sql import ORACLE_SQL
@@ -62,14 +63,83 @@ def test_small_tables(spark, texts):
     assert [r.taken for r in out] == [len((t or "").split()) for t in texts]
 
 
-def test_mixed_repeats_and_leaves_out(spark):
+def emitted(df, **options):
+    """Words emitted by source, and the source's size, target and longest document."""
+    sizes, longest = {}, {}
+    for r in df.collect():
+        n = len((r.text or "").split())
+        sizes[r.source] = sizes.get(r.source, 0) + n
+        longest[r.source] = max(longest.get(r.source, 0), n)
+    order = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
+    want = shared_out({s: sizes[s] for s in order}, [(5, 2, 1)[i % 3] for i in range(len(order))])
+    got = dict.fromkeys(order, 0)
+    for r in mixing.mixed(df, **options).collect():
+        got[r.source] += len(r.text.split())
+    return {s: (got[s], want[s], sizes[s], longest[s]) for s in order}
+
+
+def test_mixed_meets_each_target_to_within_one_document(spark):
     texts, sources = corpus(6)
-    df = with_clashes(docs(spark, texts, sources=sources), "times")
-    share = {r.doc_id: (r.taken, r.size) for r in mixing.mix(df).collect()}
-    out = mixing.mixed(df)
-    assert out.columns == df.columns
-    counts = {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()}
-    assert counts == {i: (2 * t + s) // (2 * s) for i, (t, s) in share.items() if s and (2 * t + s) // (2 * s)}
+    df = with_clashes(docs(spark, texts, sources=sources), "times", "row", "slot")
+    assert mixing.mixed(df).columns == df.columns
+    for got, want, size, longest in emitted(df).values():
+        assert abs(got - want) <= longest and got <= 3 * size and (got > 0 or not size)
+    whole = {r.doc_id: r.text for r in df.collect()}
+    assert all(r.text == whole[r.doc_id] for r in mixing.mixed(df).collect())
+
+
+def test_one_long_document_a_source(spark):
+    texts = ["w " * 9000, "w " * 700, "v " * 20000, *["x " * 30] * 40]
+    sources = ["a", "b", "c", *["d"] * 40]
+    for s, (got, want, size, longest) in emitted(docs(spark, texts, sources=sources)).items():
+        assert got > 0 and abs(got - want) <= longest, s
+
+
+def test_the_points_choose_the_slots(spark):
+    texts, sources = corpus(8)
+    df = docs(spark, texts, sources=sources)
+    first = {r.doc_id: (r.taken, r.first_slot) for r in mixing.mix(df).collect()}
+    other = {r.doc_id: (r.taken, r.first_slot) for r in mixing.mix(df, phi=0.123456).collect()}
+    assert {i: t for i, (t, _) in first.items()} == {i: t for i, (t, _) in other.items()}
+    assert sum(first[i][1] != other[i][1] for i in first if first[i][0]) > 50
+
+
+def test_slots_are_spread_like_the_shares(spark):
+    """Any run of the schedule holds each source nearly as often as its share."""
+    texts, sources = ["w " * 2000] * 60, ["a", "b", "c"] * 20
+    m = mixing.Mix(docs(spark, texts, sources=sources), F.monotonically_increasing_id(), (5, 2, 1), 3, 16, mixing.PHI)
+    order = [r.sid for r in m.slots.orderBy("slot").collect()]
+    assert [r.slot for r in m.slots.orderBy("slot").collect()] == sorted({r.slot for r in m.slots.collect()})
+    share = {s: order.count(s) / len(order) for s in set(order)}
+    for at in range(0, len(order) - 200, 200):
+        for s, x in share.items():
+            assert abs(order[at : at + 200].count(s) - 200 * x) <= 6
+
+
+def test_pieces_are_the_words_taken(spark):
+    texts, sources = corpus(9)
+    m = mixing.Mix(docs(spark, texts, sources=sources), F.monotonically_increasing_id(), (5, 2, 1), 3, 64, mixing.PHI)
+    per = {}
+    for r in m.pieces.collect():
+        assert 0 <= r["first"] and r["first"] + r.n <= len(texts[r.doc_id].split())
+        per.setdefault(r.doc_id, []).append((r["first"], r.n))
+    for r in m.by_row().collect():
+        assert sum(n for _, n in per.get(r.doc_id, [])) == r.taken
+    blocks = {}
+    for r in m.slots.collect():
+        blocks.setdefault(r.sid, []).append((r.slot, r.block))
+    for got in blocks.values():  # a source's slots take its blocks in turn
+        order = [b for _, b in sorted(got)]
+        n = max(order) + 1
+        assert order == [i % n for i in range(len(order))] or len(order) < n
+
+
+def test_mixed_in_order(spark):
+    texts, sources = corpus(10)
+    df = docs(spark, texts, sources=sources)
+    first = {r.doc_id: r.first_slot for r in mixing.mix(df).collect()}
+    got = [first[r.doc_id] for r in mixing.mixed(df, in_order=True).collect()]
+    assert [x for x in got if x is not None] == sorted(x for x in got if x is not None)
 
 
 def test_mixed_takes_rows_without_an_id(spark):
@@ -78,9 +148,16 @@ def test_mixed_takes_rows_without_an_id(spark):
     assert sorted(r.text for r in mixing.mixed(df).collect()) == sorted(t for t in texts if t)
 
 
-def test_mixed_counts_rows_of_one_id_on_their_own(spark):
-    texts, sources = corpus(7)
-    df = docs(spark, texts, ids=[None if i % 3 else 5 for i in range(250)], sources=sources)
-    each = [((2 * r.taken + r.size) // (2 * r.size), r.size) for r in mixing.mix(df).collect() if r.size]
-    got = sorted(len(r.text.split()) for r in mixing.mixed(df).collect())
-    assert got == sorted(s for n, s in each for _ in range(n))
+def test_rows_without_an_id_are_spread(spark):
+    """A third of the rows share the missing id: their order keys differ by size."""
+    df = docs(spark, ["w " * (i % 50 + 1) for i in range(900)], ids=[None if i % 3 else i for i in range(900)])
+    m = mixing.Mix(df, F.monotonically_increasing_id(), (5, 2, 1), 3, 256, mixing.PHI)
+    assert m.placed.filter("doc_id IS NULL").count() == 600
+    out = m.by_row().collect()
+    assert sum(r.taken for r in out) == sum(r.size for r in out)
+
+
+def test_very_long_text(spark):
+    df = docs(spark, ["long " * 400_000, "a b c", "d " * 3000], sources=["x", "x", "y"])
+    for got, want, _, longest in emitted(df).values():
+        assert abs(got - want) <= longest
