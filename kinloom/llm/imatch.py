@@ -1,7 +1,10 @@
 """I-Match document fingerprints over randomised lexicon subsets.
 
 The lexicon holds the terms whose document frequency lies in a band of the
-inverse document frequency.  Each of 16 randomised subsets of the lexicon is
+inverse document frequency.  A text of more than one row in ``1 / HEAVY`` counts
+once there, by the row of its smallest id: at most ``1 / HEAVY`` texts are that
+frequent, so their hashes are broadcast, and however many copies a text has they
+do not lift its terms above the band.  Each of 16 randomised subsets of the lexicon is
 nested by level: a term is in subset ``j`` at level ``l`` if the ``j``-th hash
 of the term has ``l`` leading zero bits, so a level halves the subset.  A
 document with ``n`` lexicon terms uses levels ``floor(log2 n)`` and the next
@@ -14,8 +17,9 @@ Everything runs on built-in functions.  The lexicon is broadcast: with band
 limit ``f`` it has at most (mean distinct terms of a document) / ``f`` terms,
 and beyond ``LEXICON_ROWS`` an ordinary join is used.
 
-Defined results: a null text is empty; without lexicon terms a fingerprint is
-``-`` and alike (1) only to another such; rows follow each other by descending
+Defined results: a null text is empty; without lexicon terms a fingerprint is the
+hash of all distinct terms, after ``=``, alike (1) only to an equal one, and ``-``
+for a text without terms; rows follow each other by descending
 id, null ids last, rows of equal ids by their texts; a single row is its own
 next; an empty table gives an empty table.  Other columns of the input are
 ignored.
@@ -33,6 +37,8 @@ from .common import stored
 #: Band of document frequency, as shares of all documents, and the least count.
 BAND, LEAST = (0.001, 0.05), 2
 SUBSETS, DIGITS = 16, 6
+#: Share of all rows above which the rows of one text count once.
+HEAVY = 1e-4
 #: Terms up to which the lexicon is broadcast (about 200 bytes each).
 LEXICON_ROWS = 400_000
 #: Runs of documents by id for each shuffle partition.
@@ -47,8 +53,13 @@ def _words(text: Column) -> Column:
 def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     """``term, levels``: the terms in the band and the level up to which each is in each subset."""
     n = docs.count()
-    low, high = max(LEAST, math.ceil(band[0] * n)), max(LEAST, math.floor(band[1] * n))
-    df = docs.select(F.explode(_words(F.coalesce("text", F.lit("")))).alias("term")).filter("term <> ''").groupBy("term").agg(F.count("*").alias("df"))
+    hashed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    heavy = hashed.groupBy("h").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first"))
+    heavy = stored(heavy.filter(F.col("copies") > max(1, n * HEAVY)), "heavy")  # at most 1 / HEAVY rows
+    once = hashed.join(F.broadcast(heavy), "h", "left").filter(F.col("copies").isNull() | F.col("doc_id").eqNullSafe(F.col("first")))
+    rows = stored(once.groupBy().agg(F.count("*").alias("n")), "counted").first()["n"]
+    low, high = max(LEAST, math.ceil(band[0] * rows)), max(LEAST, math.floor(band[1] * rows))
+    df = once.select(F.explode(_words(F.col("text"))).alias("term")).filter("term <> ''").groupBy("term").agg(F.count("*").alias("df"))
     hashes = [F.md5(F.concat(F.lit(f"{i}:"), "term")) for i in range(SUBSETS // 4)]
     level = lambda j: (32 - F.length(F.bin(F.conv(F.substring(hashes[j // 4], 8 * (j % 4) + 1, 8), 16, 10).cast("long")))).cast("tinyint")
     return df.filter(F.col("df").between(low, high)).select("term", F.array(*[level(j) for j in range(SUBSETS)]).alias("levels"))
@@ -78,13 +89,19 @@ def fingerprints_of(found: DataFrame, names: list[str]) -> DataFrame:
     return step.select(*keep, *[prints(n) for n in names])
 
 
-def as_text(print_: Column) -> Column:
+def all_terms(text: Column) -> Column:
+    """Hash of all distinct terms of a text; null without any."""
+    terms = F.array_remove(_words(text), "")
+    return F.when(F.size(terms) > 0, F.substring(F.md5(F.array_join(F.array_sort(terms), " ")), 1, 12))
+
+
+def as_text(print_: Column, all_: Column) -> Column:
     joined = F.concat_ws(":", print_["level"].cast("string"), F.concat_ws("", print_["low"]), F.concat_ws("", print_["high"]))
-    return F.when(print_.isNull(), F.lit("-")).otherwise(joined)
+    return F.coalesce(F.when(print_.isNotNull(), joined), F.concat(F.lit("="), all_), F.lit("-"))
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Share of equal hashes at the levels two fingerprints share."""
+def likeness(a: Column, b: Column, all_a: Column, all_b: Column) -> Column:
+    """Share of equal hashes at the levels two fingerprints share; without lexicon terms, whether all terms are equal."""
 
     def share(x: Column, y: Column) -> Column:
         pairs = F.arrays_zip(x.alias("x"), y.alias("y"))
@@ -99,7 +116,7 @@ def likeness(a: Column, b: Column) -> Column:
         .when(lev == -1, share(a["high"], b["low"]))
         .otherwise(F.lit(0.0))
     )
-    return F.when(a.isNull() & b.isNull(), F.lit(1.0)).when(a.isNull() | b.isNull(), F.lit(0.0)).otherwise(value)
+    return F.when(a.isNull() & b.isNull(), all_a.eqNullSafe(all_b).cast("double")).when(a.isNull() | b.isNull(), F.lit(0.0)).otherwise(value)
 
 
 def _search(values: list[int], x: Column) -> Column:
@@ -140,7 +157,7 @@ def fingerprints(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame
     cut = F.floor(F.length("text") / 3).cast("int")
     edited = F.concat(F.expr("substring(text, 1, length(text) - cut)"), F.expr("substring(next_text, 1, cut)"))
     rows = rows.withColumn("cut", cut).withColumn("edited", edited)
-    facts = rows.select("run", "pos", "last", "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
+    facts = rows.select("run", "pos", "last", "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), all_terms(F.col("text")).alias("own_all"), all_terms(F.col("edited")).alias("new_all"))
     # the id goes along so that both branches read the texts by one and the same exchange
     each = rows.select("run", "pos", "doc_id", F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("t"))
     each = each.select("run", "pos", "doc_id", "t.which", F.explode(_words(F.col("t.text"))).alias("term")).join(terms, "term")
@@ -148,11 +165,12 @@ def fingerprints(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame
     found = each.groupBy("run", "pos", "doc_id").agg(of(0).alias("own"), of(1).alias("new"))
     found = fingerprints_of(found, ["own", "new"]).drop("doc_id")
     out = facts.join(found, ["run", "pos"], "left").join(F.broadcast(following), "run")
-    out = out.select("run", "pos", F.when(F.col("last"), F.col("next_run")).otherwise(F.col("run")).alias("to_run"), F.when(F.col("last"), 1).otherwise(F.col("pos") + 1).alias("to_pos"), "doc_id", "n_chars", "edited_sha256", "own", "new")
+    out = out.select("run", "pos", F.when(F.col("last"), F.col("next_run")).otherwise(F.col("run")).alias("to_run"), F.when(F.col("last"), 1).otherwise(F.col("pos") + 1).alias("to_pos"), "doc_id", "n_chars", "edited_sha256", "own", "new", "own_all", "new_all")
     out = stored(out, "prints")
-    after = out.select(F.col("run").alias("to_run"), F.col("pos").alias("to_pos"), F.col("own").alias("then"))
+    after = out.select(F.col("run").alias("to_run"), F.col("pos").alias("to_pos"), F.col("own").alias("then"), F.col("own_all").alias("then_all"))
     return out.join(after, ["to_run", "to_pos"], "left").select(
         "doc_id", "n_chars", "edited_sha256",
-        as_text(F.col("own")).alias("fingerprint"), as_text(F.col("new")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("new")).alias("near_edited"), likeness(F.col("own"), F.col("then")).alias("near_next"),
+        as_text(F.col("own"), F.col("own_all")).alias("fingerprint"), as_text(F.col("new"), F.col("new_all")).alias("edited_fingerprint"),
+        likeness(F.col("own"), F.col("new"), F.col("own_all"), F.col("new_all")).alias("near_edited"),
+        likeness(F.col("own"), F.col("then"), F.col("own_all"), F.col("then_all")).alias("near_next"),
     )

@@ -35,9 +35,16 @@ WITH d AS (
 ), words AS (
   SELECT * FROM own UNION ALL
   SELECT pos, 1, unnest(list_distinct(string_split_regex(lower(edited), '[\x20\x09-\x0D]+'))) FROM e
+), copies AS (
+  SELECT text, count(*) AS copies, min(doc_id) AS first FROM d GROUP BY text
+), once AS (
+  SELECT d.pos FROM d JOIN copies c USING (text)
+  WHERE copies <= greatest(1, n * 1e-4::DOUBLE) OR d.doc_id IS NOT DISTINCT FROM first
 ), lex AS (
-  SELECT term FROM own WHERE term <> '' GROUP BY term
-  HAVING count(*) BETWEEN greatest(2, ceil(0.001 * (SELECT count(*) FROM d))) AND greatest(2, floor(0.05 * (SELECT count(*) FROM d)))
+  SELECT term FROM own SEMI JOIN once USING (pos) WHERE term <> '' GROUP BY term
+  HAVING count(*) BETWEEN greatest(2, ceil(0.001 * (SELECT count(*) FROM once))) AND greatest(2, floor(0.05 * (SELECT count(*) FROM once)))
+), plain AS (
+  SELECT pos, which, substr(md5(string_agg(term, ' ' ORDER BY term)), 1, 12) AS h FROM words WHERE term <> '' GROUP BY pos, which
 ), lev AS (
   SELECT term, j, 32 - length(bin(CAST('0x' || substr(md5((j // 4) || ':' || term), 8 * (j % 4) + 1, 8) AS BIGINT))) AS level
   FROM lex, range(16) t(j)
@@ -54,10 +61,13 @@ WITH d AS (
   FROM parts GROUP BY pos, which, level
 ), pairs AS (
   SELECT e.pos, k.kind, a.pos IS NULL AS a_none, b.pos IS NULL AS b_none, a.level - b.level AS step,
+         p.h IS NOT DISTINCT FROM q.h AS same_terms,
          a.low AS al, a.high AS ah, b.low AS bl, b.high AS bh
   FROM e, (VALUES ('edited'), ('next')) k(kind)
   LEFT JOIN prints a ON a.pos = e.pos AND a.which = 0
   LEFT JOIN prints b ON b.pos = CASE WHEN kind = 'edited' THEN e.pos ELSE e.pos % e.n + 1 END AND b.which = CASE WHEN kind = 'edited' THEN 1 ELSE 0 END
+  LEFT JOIN plain p ON p.pos = e.pos AND p.which = 0
+  LEFT JOIN plain q ON q.pos = CASE WHEN kind = 'edited' THEN e.pos ELSE e.pos % e.n + 1 END AND q.which = CASE WHEN kind = 'edited' THEN 1 ELSE 0 END
 ), sides AS (
   SELECT pos, kind, a_none, b_none, step, u.x, u.y
   FROM pairs, LATERAL (SELECT unnest([al, ah]) AS x, unnest([bl, bh]) AS y) u WHERE step = 0
@@ -68,12 +78,13 @@ WITH d AS (
          avg(coalesce(len([i FOR i IN range(1, 17) IF x[i] = y[i] AND x[i] <> '-']) / nullif(len([i FOR i IN range(1, 17) IF x[i] <> '-' OR y[i] <> '-']), 0), 0.0)) AS v
   FROM sides GROUP BY pos, kind
 ), likeness AS (
-  SELECT p.pos, p.kind, CASE WHEN a_none AND b_none THEN 1.0 ELSE coalesce(v, 0.0) END AS v FROM pairs p LEFT JOIN near USING (pos, kind)
+  SELECT p.pos, p.kind, CASE WHEN a_none AND b_none THEN CAST(same_terms AS INTEGER) ELSE coalesce(v, 0.0) END AS v FROM pairs p LEFT JOIN near USING (pos, kind)
 )
 SELECT e.doc_id, CAST(length(text) AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256,
-       coalesce(a.print, '-') AS fingerprint, coalesce(b.print, '-') AS edited_fingerprint,
+       coalesce(a.print, '=' || p.h, '-') AS fingerprint, coalesce(b.print, '=' || q.h, '-') AS edited_fingerprint,
        CAST(x.v AS DOUBLE) AS near_edited, CAST(y.v AS DOUBLE) AS near_next
 FROM e LEFT JOIN prints a ON a.pos = e.pos AND a.which = 0 LEFT JOIN prints b ON b.pos = e.pos AND b.which = 1
+LEFT JOIN plain p ON p.pos = e.pos AND p.which = 0 LEFT JOIN plain q ON q.pos = e.pos AND q.which = 1
 JOIN likeness x ON x.pos = e.pos AND x.kind = 'edited' JOIN likeness y ON y.pos = e.pos AND y.kind = 'next'
 """
 
