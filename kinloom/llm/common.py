@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import gc
 import os
@@ -27,6 +28,8 @@ SLICE_BYTES = 16 << 20
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _shipped: set[str] = set()
+#: Folders made by this process and not removed yet.
+_made: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,7 +96,33 @@ def lean(run, name: str | None = None):
 
 def run_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared folder named in ``spark.checkpoint.dir``."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/kinloom-{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kinloom-{label}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    atexit.register(_remove_at_end, spark, path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``run_dir`` named."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(hpath, True)
+    _made.remove(path)
+
+
+def _remove_at_end(spark: SparkSession, path: str) -> None:
+    """Results are lazy and read their tables until the application ends."""
+    if path in _made and spark.sparkContext._jsc is not None:
+        remove(spark, path)
+
+
+def written(df: DataFrame, label: str, make) -> DataFrame:
+    """``make(df)`` stored as a table, the tables that were made on the way removed."""
+    spark, before = df.sparkSession, set(_made)
+    out = stored(make(df), label)
+    for path in [p for p in _made if p not in before][:-1]:
+        remove(spark, path)
+    return out
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -59,3 +59,38 @@ def test_null_columns(spark):
     for name, stage in C.STAGES[1:4]:
         docs = common.stored(stage(spark, docs, SF), "nulls")
     assert docs.filter(F.col("doc_id") == 1).count() == 1
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in C.STAGES:
+        docs = common.stored(stage(spark, docs, SF), "empty")
+        assert docs.count() == 0, name
+
+
+def test_odd_rows_through_all_stages(spark):
+    words = "the cat sat on the mat and the dog was with it in the house of the old man"
+    long = " ".join(f"{words} {i}" for i in range(9000))
+    rows = [(1, words, "en", "a", len(words)), (1, words, "en", "a", len(words)), (None, words + " too", None, None, None),
+            (3, None, "en", "a", None), (4, "", "en", "b", 0), (5, long, "en", "b", len(long)), (6, "token = abcdef0123456789abcdef", "fr", None, 30)]
+    docs = spark.createDataFrame([(*r, "x", "y", 7) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, keep string, times string, row int")
+    seen = {}
+    for name, stage in C.STAGES:
+        docs = common.stored(stage(spark, docs, SF), "odd")
+        seen[name] = docs.collect()
+        if name != C.STAGES[-1][0]:
+            assert docs.columns == [*COLUMNS, "keep", "times", "row"]
+    # equal rows and the one that differs by a word are one group; texts without words stay until the mix
+    left = seen["n-gram Jaccard join"]
+    assert sum((r.text or "").startswith(words) and len(r.text) < 100 for r in left) == 1
+    assert sum(not r.text for r in left) == sum(not r.text for r in seen["quality classifier"]) == 2
+    mixed = seen["mixing sources"]
+    assert all(r.text for r in mixed) and {r.text for r in mixed} <= {r.text for r in seen["secret scans"]}
+    assert len(seen["BPE encoding and decoding"]) == len(mixed)
+
+
+def test_run_removes_its_tables(spark):
+    before = set(common._made)
+    C.run(spark, SF).count()
+    made = [p for p in common._made if p not in before]
+    assert len(made) == len(C.STAGES) - 1 and all("-stage" in p for p in made)
