@@ -23,6 +23,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 #: Ids of 8 bytes up to which a list of them is broadcast.
 BROADCAST_IDS = 1 << 20
+#: A key that holds more than one row in so many is met by broadcast: there are fewer than this of them.
+HOT = 1024
 #: Bytes of text that a Python worker treats at once.
 SLICE_BYTES = 16 << 20
 
@@ -137,6 +139,19 @@ def only(df: DataFrame, ids: DataFrame, on: str, how: str) -> DataFrame:
     return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, on, how)
 
 
+def meet(rows: DataFrame, facts: DataFrame, key: str, hot, how: str = "inner") -> DataFrame:
+    """``rows.join(facts, key, how)`` in which no hot key's rows gather in one task.
+
+    ``facts`` has one row a key.  Those for which ``hot`` holds are broadcast: the
+    caller states it as more than one row in ``HOT``, so they are fewer than that.
+    """
+    more = [c for c in facts.columns if c != key]
+    known = rows.join(F.broadcast(facts.filter(hot).select(key, F.struct(*more).alias("hot_facts"))), key, "left")
+    few = known.filter("hot_facts is null").drop("hot_facts").join(facts, key, how)
+    many = known.filter("hot_facts is not null").select(*rows.columns, *[F.col(f"hot_facts.{c}").alias(c) for c in more])
+    return few.unionByName(many)
+
+
 def slices(batch: pa.RecordBatch, column: int = 1, at_most: int = SLICE_BYTES):
     """The batch in runs of rows of about ``at_most`` bytes of text, one row at least."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
