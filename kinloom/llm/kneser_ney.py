@@ -5,10 +5,15 @@ in five that is held back for the thresholds.  Characters are folded to 12-bit
 classes, so that a 5-gram is one long and its shorter grams are bit fields of
 it.  Map tasks count their own 5-grams; counts, continuation counts, discounts,
 probabilities and back-off weights are then joins and aggregations sharded by
-gram and context.  The finished table is cut into shards by the two characters
-before the last, of a bounded number of rows; a pass over the documents scores
-the characters whose two predecessors belong to the shard it holds, so a
-document's log-probability is the sum over the shards.
+gram and context.
+
+Scoring is joins too.  Documents are dealt to blocks of about ``BLOCK_BYTES`` of
+text, their texts compressed.  A block hands on each of its 5-grams once; the
+different 5-grams of all blocks get their ln p by joins with the tables of the
+orders, longest first, and go back to the blocks that hold them.  There a
+document's characters are looked up and summed.  The texts are shuffled once,
+however large the model; no part of it passes through the driver, and a worker
+holds the 5-grams of one block.
 
 A document is rejected if its mean negative log-probability a character exceeds
 the limit of its language: the 99 % quantile of the held-back trusted documents,
@@ -27,16 +32,20 @@ untouched, whatever their names.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import lean, only, ship_package, slices, stored
+from .common import lean, only, release_memory, ship_package, slices, stored
 
 ORDER, BITS = 5, 12
-#: Rows of the model a worker holds at a time (16 bytes each, at half load).
-SHARD_ROWS = 1 << 20
+#: UTF-8 bytes of text whose 5-grams a worker holds at a time (each once, 12 bytes at half load).
+BLOCK_BYTES = 1 << 26
 #: One trusted document in so many is held back for the limits.
 HELD = 5
 QUANTILE, MARGIN, PRIOR = 0.99, 1.0, 200
@@ -44,8 +53,6 @@ QUANTILE, MARGIN, PRIOR = 0.99, 1.0, 200
 FLOOR = 0.1
 START, END, FOLD, CLASSES = 4095, 4094, 2046, 1 << BITS
 TEXT_BYTES = 1 << 18
-#: Keys: a gram has its order above its 60 bits; a context (48 bits) has this tag there and its order below.
-GRAM_SHIFT, CONTEXT_SHIFT, CONTEXT_TAG = 60, 56, 6
 
 
 def classes(text: str) -> np.ndarray:
@@ -85,13 +92,13 @@ def _counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(lean(run), "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
 
 
-def _tables(docs: DataFrame) -> list[DataFrame]:
-    """``key, w, k, by`` for each order: ln p of the grams seen and ln weight of the contexts seen."""
+def train(docs: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """The model of the documents ``text``: for each order, from 1, ``g, w`` (a seen gram's ln p) and ``ctx, v`` (a seen context's ln weight)."""
+    ship_package(docs.sparkSession)
     seen = {ORDER: stored(_counts(docs), "kn-counts")}
     for k in range(ORDER - 1, 0, -1):  # how many different characters stand before
         seen[k] = stored(seen[k + 1].groupBy(F.col("g").bitwiseAND(F.lit((1 << BITS * k) - 1)).alias("g")).agg(F.count("*").alias("c")), "kn-counts")
     tables, lower = [], None
-    two = F.lit((1 << 2 * BITS) - 1)
     for k in range(1, ORDER + 1):
         n = [x or 0 for x in seen[k].agg(*[F.sum((F.col("c") == i).cast("long")) for i in range(1, 5)]).first()]
         y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.5
@@ -108,28 +115,10 @@ def _tables(docs: DataFrame) -> list[DataFrame]:
         else:
             rows = rows.withColumn("low", F.col("g").bitwiseAND(F.lit((1 << BITS * (k - 1)) - 1))).join(lower, "low").withColumn("p", F.col("own") + F.col("gamma") * F.col("lower_p"))
         lower = stored(rows.select(F.col("g").alias("low"), F.col("p").alias("lower_p")), "kn-grams")
-        by = F.shiftright("low", BITS).bitwiseAND(two)
-        tables.append(lower.select((F.col("low") + (k << GRAM_SHIFT)).alias("key"), F.log("lower_p").cast("float").alias("w"), F.lit(k).alias("k"), by.alias("by")))
-        tables.append(ctx.select((F.col("ctx") + (CONTEXT_TAG << GRAM_SHIFT | k << CONTEXT_SHIFT)).alias("key"), F.log("gamma").cast("float").alias("w"), F.lit(k).alias("k"), F.col("ctx").bitwiseAND(two).alias("by")))
+        tables.append((lower.select(F.col("low").alias("g"), F.log("lower_p").alias("w")), ctx.select("ctx", F.log("gamma").alias("v"))))
     return tables
 
 
-def _shard(by, n: int):
-    """The shard of a context's last two characters; the same in Spark and numpy."""
-    return (by * 2654435761) % 4294967296 % n
-
-
-def train(docs: DataFrame) -> list[DataFrame]:
-    """The model of the documents ``text``, as shards ``key, w`` of bounded size."""
-    ship_package(docs.sparkSession)
-    model = None
-    for t in _tables(docs):
-        model = t if model is None else model.union(t)
-    model = stored(model, "kn-model")
-    n = max(1, -(-model.count() // SHARD_ROWS))
-    return [model.filter((F.col("k") < 3) | (_shard(F.col("by"), n) == i)).select("key", "w") for i in range(n)]
-
-
 class Table:
     """Open addressing over sorted-out keys; a missing key gives NaN."""
 
@@ -165,46 +154,94 @@ class Table:
             left, slot = left[on], slot[on]
         return out
 
-    def log_p(self, g: np.ndarray) -> np.ndarray:
-        """ln p of the last character of each 5-gram."""
-        out = np.zeros(len(g))
-        left = np.arange(len(g))
-        for k in range(ORDER, 0, -1):
-            own = g[left] & ((1 << BITS * k) - 1)
-            w = self.find(own + (k << GRAM_SHIFT))
-            hit = ~np.isnan(w)
-            out[left[hit]] += w[hit]
-            left, own = left[~hit], own[~hit]
-            out[left] += np.nan_to_num(self.find((own >> BITS) + (CONTEXT_TAG << GRAM_SHIFT | k << CONTEXT_SHIFT)))
-        out[left] -= np.log(CLASSES)
-        return out
 
+def _log_p(found: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """``g, w`` of the different 5-grams ``g``: ln p of the longest end of it that was seen, and the weights of the contexts before.
 
-def score(docs: DataFrame, shards: list[DataFrame], lp: str, n: str) -> DataFrame:
+    A gram that has its ln p meets the further tables under a key of its own that
+    is in none of them, so that no key gathers the grams that are done.
+    """
+    rows = found.select(F.col("g").alias("gram"), F.lit(None).cast("double").alias("got"), F.lit(0.0).alias("weight"))
+    for k in range(ORDER, 0, -1):
+        seen, ctx = model[k - 1]
+        if k == 1:
+            seen = F.broadcast(seen)  # a row a class
+        if k <= 2:
+            ctx = F.broadcast(ctx)  # a row a class, or one
+        end = F.col("gram").bitwiseAND(F.lit((1 << BITS * k) - 1))
+        done, own = F.col("got").isNotNull(), -1 - F.col("gram")
+        rows = rows.withColumn("g", F.when(done, own).otherwise(end)).join(seen, "g", "left").select("gram", F.coalesce("got", "w").alias("got"), "weight")
+        rows = rows.withColumn("ctx", F.when(done, own).otherwise(F.shiftright(end, BITS))).join(ctx, "ctx", "left")
+        rows = rows.select("gram", "got", (F.col("weight") + F.coalesce("v", F.lit(0.0))).alias("weight"))
+    return rows.select(F.col("gram").alias("g"), (F.coalesce("got", F.lit(-math.log(CLASSES))) + F.col("weight")).cast("float").alias("w"))
+
+
+def _pack(at: int):
+    """Batches with the text column compressed (null stays null)."""
+
+    def run(batches):
+        zip_ = zstandard.ZstdCompressor(level=1)
+        for b in batches:
+            texts = [None if t is None else zip_.compress(t.encode()) for t in b.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:at], pa.array(texts, pa.binary()), *b.columns[at + 1 :]], names=b.schema.names)
+
+    return run
+
+
+def _unpack(column) -> list[str | None]:
+    unzip = zstandard.ZstdDecompressor()
+    return [None if t is None else unzip.decompress(t).decode() for t in column.to_pylist()]
+
+
+def score(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]], lp: str, n: str) -> DataFrame:
     """The rows of ``docs`` with two more columns: ln p of the text, and the characters scored."""
-    spark = docs.sparkSession
-    at, n_shards = docs.columns.index("text"), len(shards)
-    out = docs.withColumn(lp, F.lit(0.0)).withColumn(n, F.lit(0).cast("long"))
-    for i, shard in enumerate(shards):
-        rows = shard.toArrow()  # at most SHARD_ROWS and the short grams
-        sent = spark.sparkContext.broadcast((rows.column(0).to_numpy(), rows.column(1).to_numpy()))
-
-        def run(batches, i=i, sent=sent):
-            table = Table(*sent.value)
-            for b in batches:
-                for part in slices(b, at, TEXT_BYTES):
-                    g, of = grams(part.column(at).to_pylist())
-                    if n_shards > 1:
-                        mine = _shard((g >> BITS) & ((1 << 2 * BITS) - 1), n_shards) == i
-                        g, of = g[mine], of[mine]
-                    rows = part.num_rows
-                    sums = np.bincount(of, table.log_p(g), rows) + part.column(part.num_columns - 2).to_numpy()
-                    seen = np.bincount(of, minlength=rows) + part.column(part.num_columns - 1).to_numpy()
-                    yield pa.RecordBatch.from_arrays([*part.columns[:-2], pa.array(sums, pa.float64()), pa.array(seen, pa.int64())], schema=part.schema)
-
-        out = stored(out, "kn-scored") if i else out
-        out = out.mapInArrow(lean(run), out.schema)
-    return out
+    spark, at = docs.sparkSession, docs.columns.index("text")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(-(-size // BLOCK_BYTES), spark.sparkContext.defaultParallelism)
+    block = _fresh(docs, "block")
+    packed_schema = T.StructType([T.StructField(f.name, T.BinaryType() if i == at else f.dataType, True) for i, f in enumerate(docs.schema)])
+    packed = docs.mapInArrow(lean(_pack(at)), packed_schema)
+    # the task's number spreads rows that are equal in all
+    dealt = F.pmod(F.xxhash64(*[c for c in ("doc_id", "text") if c in docs.columns], F.spark_partition_id()), F.lit(blocks))
+    packed = packed.withColumn(block, dealt).repartition(blocks, block)
+
+    def grams_of(batches):
+        have = {}
+        for b in batches:
+            ids = b.column(b.num_columns - 1).to_numpy()
+            for i in np.unique(ids).tolist():
+                part = b.filter(pa.array(ids == i))
+                new = [np.unique(grams(_unpack(s.column(at)))[0]) for s in slices(part, at, TEXT_BYTES)]
+                have[i] = np.unique(np.concatenate([have.get(i, np.zeros(0, np.int64)), *new]))
+        for number, g in have.items():
+            for i in range(0, len(g), 1 << 16):
+                part = g[i : i + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), number)), pa.array(part)], names=["of_block", "g"])
+
+    # the blocks' grams are shuffled once: the aggregate needs both columns, so it reads the same exchange as the join
+    found = packed.mapInArrow(lean(grams_of), "of_block long, g long").repartition("g")
+    different = found.groupBy("g").agg(F.max("of_block").alias("some")).filter("some >= 0").select("g")
+    known = found.join(_log_p(different, model), "g").select("of_block", "g", "w")
+    out_schema = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in docs.schema], T.StructField(lp, T.DoubleType()), T.StructField(n, T.LongType())])
+
+    def scored(rows, words):
+        table = Table(words.column("g").to_numpy(), words.column("w").to_numpy())
+        kinds = [pa.field(f.name, pa.string()) if i == at else f for i, f in enumerate(rows.schema)][:-1]
+        schema, out = pa.schema([*kinds, pa.field(lp, pa.float64()), pa.field(n, pa.int64())]), []
+        for b in rows.to_batches():
+            for part in slices(b, at, TEXT_BYTES):
+                texts = _unpack(part.column(at))
+                g, of = grams(texts)
+                w = table.find(g)
+                if np.isnan(w).any():
+                    raise ValueError("a gram of this block has no probability: the block was dealt differently on a second reading")
+                sums, seen = np.bincount(of, w, part.num_rows), np.bincount(of, minlength=part.num_rows)
+                cols = [*part.columns[:at], pa.array(texts, pa.string()), *part.columns[at + 1 : -1], pa.array(sums, pa.float64()), pa.array(seen, pa.int64())]
+                out.append(pa.RecordBatch.from_arrays(cols, schema=schema))
+        release_memory()
+        return pa.Table.from_batches(out, schema)
+
+    return packed.groupBy(block).cogroup(known.groupBy("of_block")).applyInArrow(scored, out_schema)
 
 
 def _fresh(docs: DataFrame, name: str) -> str:
@@ -213,9 +250,9 @@ def _fresh(docs: DataFrame, name: str) -> str:
     return name
 
 
-def limits(held: DataFrame, shards: list[DataFrame]) -> DataFrame:
+def limits(held: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
     """``lang, mid, top``: the median and the limit of each language; language null: over all."""
-    loss = score(held.select("lang", "text"), shards, "lp", "n").filter("n > 0").select("lang", (-F.col("lp")).alias("loss"), "n")
+    loss = score(held, model, "lp", "n").filter("n > 0").select("lang", (-F.col("lp")).alias("loss"), "n")
     loss = stored(loss, "kn-held")
     both = loss.filter("lang is not null").unionByName(loss.withColumn("lang", F.lit(None).cast("string")))
     mid = stored(both.groupBy("lang").agg(F.percentile_approx(F.col("loss") / F.col("n"), 0.5, 10_000).alias("mid")), "kn-mid")
@@ -235,11 +272,11 @@ def classify(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[str, s
     good = stored(good, "trusted")
     held = F.pmod(F.xxhash64("doc_id"), F.lit(HELD)) == 0
     text = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    shards = train(only(text, good.filter(~held), "doc_id", "left_semi").select("text"))
-    of = stored(limits(only(text, good.filter(held), "doc_id", "left_semi"), shards), "kn-limits")
+    model = train(only(text, good.filter(~held), "doc_id", "left_semi").select("text"))
+    of = stored(limits(only(text, good.filter(held), "doc_id", "left_semi"), model), "kn-limits")
     lp, n, key, mid, top = (_fresh(docs, c) for c in ("lp", "n", "language", "mid", "top"))
     whole = of.filter("lang is null").first()
-    scored = score(docs, shards, lp, n)
+    scored = score(docs, model, lp, n)
     by_lang = of.filter("lang is not null").select(F.col("lang").alias(key), F.col("mid").alias(mid), F.col("top").alias(top))
     out = scored.join(by_lang, scored["lang"].cast("string") == F.col(key), "left")
     default = (F.lit(whole["mid"]), F.lit(whole["top"])) if whole else (F.lit(0.0), F.lit(float("inf")))

@@ -46,16 +46,24 @@ class Brute:
         return sum(math.log(self.p(s[i - K.ORDER + 1 : i + 1])) for i in range(K.ORDER - 1, len(s)))
 
 
-@pytest.mark.parametrize("shard_rows", [1 << 20, 40])
-def test_scores_against_brute_force(spark, monkeypatch, shard_rows):
-    monkeypatch.setattr(K, "SHARD_ROWS", shard_rows)
-    shards = K.train(docs(spark, TEXTS))
-    assert (len(shards) > 1) == (shard_rows == 40)
-    model, new = Brute(TEXTS), [*TEXTS, "the cat is a dog", "zzz 日", "qq"]
-    got = {r.doc_id: (r.lp, r.n) for r in K.score(docs(spark, new), shards, "lp", "n").collect()}
-    for i, t in enumerate(new):
-        assert got[i][1] == len(t) + 1
-        assert got[i][0] == pytest.approx(model.ln(t), rel=1e-4)
+@pytest.mark.parametrize("block_bytes", [1 << 26, 20])
+def test_scores_against_brute_force(spark, monkeypatch, block_bytes):
+    monkeypatch.setattr(K, "BLOCK_BYTES", block_bytes)
+    trained = K.train(docs(spark, TEXTS))
+    model, new = Brute(TEXTS), [*TEXTS, "the cat is a dog", "zzz 日", "qq", None, "", *["the cat sat"] * 5]
+    got = [(r.doc_id, r.text, r.lp, r.n) for r in K.score(docs(spark, new), trained, "lp", "n").collect()]
+    assert sorted(g[0] for g in got) == list(range(len(new)))
+    for i, t, lp, n in got:
+        assert t == new[i] and n == (len(t) + 1 if t else 0)
+        assert lp == pytest.approx(model.ln(t) if t else 0.0, rel=1e-4)
+
+
+def test_texts_are_shuffled_once(spark):
+    scored = K.score(docs(spark, TEXTS), K.train(docs(spark, TEXTS)), "lp", "n")
+    scored.collect()
+    plan = scored._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "BroadcastNestedLoop" not in plan and "CartesianProduct" not in plan
+    assert "ReusedExchange [doc_id" in plan
 
 
 def test_probabilities_add_up():
