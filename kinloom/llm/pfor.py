@@ -198,8 +198,10 @@ class ChunkEncoder:
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, ``end_id`` after each, and the number of each."""
         texts = pc.fill_null(texts, "")
-        # A-Z meet a-z in the normalizer; a special token's string must stay as it is
-        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        # A-Z meet a-z in the normalizer; a special token's string must stay as it is, and so must a capital before
+        # a mark: the normalizer composes first, and h, i, j, t, w, y have other composites than their capitals
+        as_is = pc.or_(pc.match_substring(texts, "<|"), pc.match_substring_regex(texts, r"[A-Z]\p{M}"))
+        texts = pc.if_else(as_is, texts, pc.ascii_lower(texts))
         for c in "\t\n\r":
             texts = pc.replace_substring(texts, c, " ")
         # a run of these after a Latin letter and before white space is split off by the vocabulary too: fewer chunks

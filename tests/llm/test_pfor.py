@@ -56,6 +56,14 @@ def test_commas_after_every_letter_of_the_class(both):
     assert [t for t, g, w in zip(texts, got, whole.encode_batch(texts, add_special_tokens=False)) if g != w.ids] == []
 
 
+def test_capitals_before_marks(both):
+    enc, whole = both
+    texts = [f"a{chr(c)}{chr(m)}{more} b" for c in range(0x41, 0x5B) for m in range(0x300, 0x370) for more in ("", "\u0327", "\u0331", ",")]
+    ids, n = enc.encode(pa.array(texts), 2)
+    got = [x[:-1].tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
+    assert [ascii(t) for t, g, w in zip(texts, got, whole.encode_batch(texts, add_special_tokens=False)) if g != w.ids] == []
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from("abI\u0130ıſßéΣς日'.., \n\t\xa0\u0301\u0307\u0327"), max_size=30), min_size=1, max_size=5))
 def test_random_chunks_match_whole_texts(both, texts):
