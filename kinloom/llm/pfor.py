@@ -13,10 +13,12 @@ Block layout, little-endian: u32 minimum, u8 width, u8 ids - 1, u8 exceptions,
 ceil(128 * width / 8) packed bytes (short blocks are padded with zeros), u8
 position and u32 difference of each exception.
 
-Documents are dealt by ranges of their id, so no task holds a group that grows:
+Documents are dealt by ranges of their id, rows of one id by the start of their
+text, its hash and the task that read them, so no task holds a group that grows:
 texts are encoded where they are written.  Defined results: a null text encodes
 as the empty text (the end id alone); rows with a null id come first; repeated
-ids are kept in the order of their texts; an empty table gives an empty file.
+ids are kept in the order of the first ``HEAD`` characters of their texts, then
+of a hash of the text; an empty table gives an empty file.
 Other columns of the input are ignored.
 """
 
@@ -35,6 +37,8 @@ from pyspark.sql import functions as F
 from .common import kept, lean, run_dir, ship_package, slices
 
 BLOCK = 128
+#: Characters of a text that order the rows of one id.
+HEAD = 64
 #: Ids after which a segment is closed.
 SEGMENT_IDS = 1 << 16
 #: Share of a block's differences that the packed width must hold.
@@ -255,10 +259,12 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int, pe
         if held:
             yield close()
 
+    order = ["doc_id", F.substring("text", 1, HEAD), F.xxhash64("text")]
     (
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.spark_partition_id().alias("task"))
+        .repartitionByRange(*order, "task")  # rows equal up to the task are alike, so any of them may come first
+        .sortWithinPartitions(*order)
+        .select("doc_id", "text")
         .mapInArrow(lean(run, f"pfor {tokenizer}"), SEGMENT_SCHEMA)
         .write.parquet(path)
     )

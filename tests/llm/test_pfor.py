@@ -90,6 +90,24 @@ def test_file_in_order_of_ids(spark, tmp_path):
     assert sorted(got, key=lambda r: r[1]) == want
 
 
+def test_rows_without_id_are_spread(spark, tmp_path):
+    whole, path = Tokenizer.from_file(PATH), f"file://{tmp_path}/t"
+    texts = [f"row {i} of the text" for i in range(300)] + ["the same text"] * 300 + [f"with id {i}" for i in range(300)]
+    df = docs(spark, texts, ids=[None] * 600 + list(range(300))).repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pfor.write_token_file(df, path, PATH, 2)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    held = [r.n for r in spark.read.parquet(path).select("part", pfor.F.size("lengths").alias("n")).groupBy("part").agg(pfor.F.sum("n").alias("n")).collect()]
+    assert sum(held) == 900 and len(held) == 4 and max(held) <= 300
+    got = sorted(rows(pfor.read_token_file(spark, path)), key=lambda r: r[1])
+    coded = [[*whole.encode(t, add_special_tokens=False).ids, 2] for t in [*sorted(texts[:600]), *texts[600:]]]
+    assert [r[0] for r in got] == [None] * 600 + list(range(300))
+    assert [r[3] for r in got] == [zlib.crc32(np.array(x, "<u4").tobytes()) for x in coded]
+    assert [r[1] for r in got] == [0, *np.cumsum([len(x) for x in coded])[:-1].tolist()]
+
+
 def test_empty_table(spark):
     assert rows(pfor.token_file(docs(spark, []), PATH, 2)) == []
 
