@@ -144,20 +144,22 @@ class Mix:
 
     def whole(self) -> DataFrame:
         """``row, times, slot``: how often each row is emitted, if at all, and its first slot."""
+        taken = self.by_row().filter("size > 0").select(F.col("row").alias("of"), "taken", "first_slot")
         want = F.round("target").cast("long")
-        rest = F.expr("want % source_size")
-        rows = self.placed.filter("size > 0").withColumn("want", want).withColumn("rest", rest).withColumn("rounds", F.expr("want div source_size"))
-        rows = rows.withColumn("inside", F.col("pos") + F.col("size") <= F.col("rest"))
+        rows = self.placed.filter("size > 0").join(taken, F.col("row") == F.col("of"))
+        # how often the slots take the row's words to the last one
+        rows = rows.withColumn("want", want).withColumn("whole", F.expr("taken div size")).withColumn("rounds", F.expr("want div source_size"))
+        rows = rows.withColumn("inside", F.col("whole") > F.col("rounds"))
+        rows = stored(rows.select("row", "size", "sid", "source_size", "pos", "want", "whole", "rounds", "inside", "first_slot"), "whole")
         covered = rows.groupBy("sid").agg(F.max(F.when(F.col("inside"), F.col("pos") + F.col("size"))).alias("covered"))
-        missing = F.col("rest") - F.coalesce("covered", F.lit(0))
+        missing = F.expr("want % source_size") - F.coalesce("covered", F.lit(0))
         outside = rows.filter(~F.col("inside")).join(covered, "sid").withColumn("missing", missing).filter("missing > 0")
         gap = F.abs(F.col("size") - F.col("missing"))
         nearest = outside.groupBy("sid").agg(F.min(F.struct(gap.alias("gap"), "pos", "row", "missing", "rounds", "covered")).alias("best"))
         useful = (F.col("best.gap") < F.col("best.missing")) | (F.col("best.rounds") == 0) & F.col("best.covered").isNull()
         extra = nearest.filter(useful).select(F.col("best.row").alias("row"), F.lit(1).alias("more"))
-        times = rows.join(extra, "row", "left").select("row", (F.col("rounds") + F.col("inside").cast("int") + F.coalesce("more", F.lit(0))).cast("int").alias("times"))
-        first = self.by_row().select("row", "first_slot")
-        return times.filter("times > 0").join(first, "row").select("row", "times", F.col("first_slot").alias("slot"))
+        times = (F.col("whole") + F.coalesce("more", F.lit(0))).cast("int").alias("times")
+        return rows.join(extra, "row", "left").select("row", times, F.col("first_slot").alias("slot")).filter("times > 0")
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, block_words: int = BLOCK_WORDS, phi: float = PHI) -> DataFrame:

@@ -161,3 +161,15 @@ def test_very_long_text(spark):
     df = docs(spark, ["long " * 400_000, "a b c", "d " * 3000], sources=["x", "x", "y"])
     for got, want, _, longest in emitted(df).values():
         assert abs(got - want) <= longest
+
+
+def test_whole_documents_follow_the_slots(spark, monkeypatch):
+    """Slots that are not scheduled take no documents, and those of one source only take that one's."""
+    rows = [(i, " ".join(f"w{i}" for _ in range(40)), "abc"[i % 3]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plain = mixing.schedule
+    both = {s: sum(r.source == s for r in mixing.mixed(docs).collect()) for s in "abc"}
+    monkeypatch.setattr(mixing, "schedule", lambda plan, *rest: plain(plan, *rest).filter("sid != 0"))
+    without = {s: sum(r.source == s for r in mixing.mixed(docs).collect()) for s in "abc"}
+    assert both["a"] > 1 and without["a"] <= 1
+    assert without["b"] == both["b"] and without["c"] == both["c"]
