@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from kinloom.plans import birth_cohort as BC
+from kinloom.plans import birth_details as BD
+from kinloom.plans.mothers import mothers_delivery_episode
 from kinloom.plans.queries import cohort_stages
 from kinloom.sources import fixtures as FX
 from kinloom.sources import io as IO
@@ -40,3 +42,53 @@ def test_rows_are_written_by_their_tasks(spark, tmp_path):
 def test_first_diagnoses_do_not_need_the_whole_store(spark):
     stages = cohort_stages(spark, SF)
     assert stages["cancer_coded"].deps == stages["congenital_coded"].deps == ("episodes",)
+
+
+def test_the_method_limit_is_set_unless_the_user_chose_one(spark):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    try:
+        for given, want in (("65535", "8000"), ("12000", "12000")):
+            spark.conf.set(name, given)
+            cohort_stages(spark, SF)
+            assert spark.conf.get(name) == want
+    finally:
+        spark.conf.set(name, before)
+
+
+def harmonised(spark):
+    return FX.extracts_by_year(spark, SF).withColumnsRenamed({v: k for k, v in FX.RAW_EPISODE_NAMES.items()})
+
+
+def rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_the_timeline_takes_the_first_dates_that_come_with_the_persons(spark):
+    episodes = harmonised(spark)
+    persons = BC.infant_persons(episodes)
+    assert rows(persons.select("token_person_id")) == rows(BC.infant_ids(episodes))
+    flagged = BC.flagged_records(episodes, persons)
+    got, want = BC.timeline_anchor(flagged), BC.timeline_anchor(BC.flagged_records(episodes, BC.infant_ids(episodes)))
+    assert rows(got.select(*want.columns)) == rows(want)
+    assert "Join" not in plan(BC.timeline_anchor(spark.createDataFrame([], flagged.schema), with_record_order=False))
+
+
+def test_persons_details_are_aggregated_before_they_meet_the_ids(spark):
+    episodes = harmonised(spark)
+    links = FX.person_view(spark, SF, "fx_mb_links")
+    ids, infants = BC.infant_ids(episodes), BC.infant_records(episodes)
+    got = BD.birth_information(BC.completed(episodes), links, ids)
+    assert rows(got) == rows(BD.birth_information(infants, links))
+    got = BD.ethnicity_geo(BC.completed(episodes), ids)
+    assert rows(got) == rows(BD.ethnicity_geo(infants))
+
+
+def test_ethnicity_and_area_are_picked_in_one_pass(spark):
+    text = plan(BD.ethnicity_geo(harmonised(spark)))
+    assert text.count("FileScan") == 1 and "Window" not in text
+
+
+def test_deliveries_meet_the_episodes_in_one_join(spark):
+    df = mothers_delivery_episode(FX.person_view(spark, SF, "fx_mb_links"), harmonised(spark))
+    assert "LeftSemi" not in df._jdf.queryExecution().optimizedPlan().toString()
