@@ -92,3 +92,51 @@ def test_ethnicity_and_area_are_picked_in_one_pass(spark):
 def test_deliveries_meet_the_episodes_in_one_join(spark):
     df = mothers_delivery_episode(FX.person_view(spark, SF, "fx_mb_links"), harmonised(spark))
     assert "LeftSemi" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def small_tables(spark, path):
+    """Seven orders of four persons and one of none, nine lines; an order without lines, a line without order, missing dates."""
+    day = lambda d: f"timestamp'{d} 10:00:00'" if d else "cast(null as timestamp)"
+    orders = [(1, 4, "2000-01-31"), (2, 4, "1999-05-02"), (3, 7, "2001-02-28"), (4, 10, "2000-02-29"), (5, None, "1997-03-31"),
+              (6, 11, "2005-01-01"), (7, 10, "1998-04-01")]
+    lines = [(1, 1, "2000-02-01"), (1, 2, "1999-12-31"), (1, 2, "1999-12-31"), (2, 1, None), (3, 1, "2001-01-15"), (4, 1, "2000-03-01"),
+             (5, 1, "1997-04-01"), (7, 1, "1998-03-01"), (99, 1, "1990-01-01")]
+    null = lambda v: "null" if v is None else v
+    spark.sql("SELECT * FROM VALUES " + ", ".join(f"({k}L, cast({null(c)} as bigint), {day(d)})" for k, c, d in orders)
+              + " AS t(o_orderkey, o_custkey, o_orderdate)").write.parquet(f"{path}/orders.parquet")
+    spark.sql("SELECT * FROM VALUES " + ", ".join(f"({k}L, {n}, 3L, 5L, 10.25D, {day(d)})" for k, n, d in lines)
+              + " AS t(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate)").write.parquet(f"{path}/lineitem.parquet")
+    spark.range(1, 15).selectExpr("id AS c_custkey").write.parquet(f"{path}/customer.parquet")
+    return str(path)
+
+
+def test_pupil_queries_store_no_hospital_extracts(spark, tmp_path):
+    from kinloom.plans.queries import QUERIES
+
+    sf = small_tables(spark, tmp_path)
+    for name in ("ks1_best", "ks5_best", "absence_summary", "registrations_summary"):
+        QUERIES[name](spark, sf).collect()
+    assert all(key[1] != sf for key in FX._stored_extracts)
+    listed = FX.fixture_catalog(spark, sf).yearly("hospital")
+    assert list(listed) == sorted(FX.yearly_extracts(spark, sf))
+
+
+def test_dates_of_birth_come_from_all_lines_of_a_person(spark, tmp_path):
+    sf = small_tables(spark, tmp_path)
+    got = {r.ck: (str(r.dob), str(r.first_month)) for r in FX.person_dob(spark, sf).collect()}
+    assert got == {4: ("2019-05-01", "2019-05-01"), 7: ("1996-01-01", "2001-01-01"), 10: ("2018-06-01", "2018-03-01"), None: ("1997-03-01", "1997-03-01")}
+    rows = FX.fx_episodes(spark, sf).select("token_person_id", "epikey", "mydob").collect()
+    assert len(rows) == 8 and sum(r.token_person_id is None for r in rows) == 1
+
+
+def test_lines_are_shuffled_once_to_their_orders(spark, tmp_path):
+    sf, name = small_tables(spark, tmp_path), "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    FX.person_dob(spark, sf)
+    try:
+        spark.conf.set(name, "-1")
+        text = plan(FX._episode_base(spark, sf))
+    finally:
+        spark.conf.set(name, before)
+    joins = [x for x in text.splitlines() if "Join" in x]
+    assert len(joins) == 2 and "l_orderkey" in joins[0] and "o_custkey" in joins[1] and "l_extendedprice" not in text.split("Exchange")[1].splitlines()[0]
