@@ -53,6 +53,8 @@ QUANTILE, MARGIN, PRIOR = 0.99, 1.0, 200
 FLOOR = 0.1
 START, END, FOLD, CLASSES = 4095, 4094, 2046, 1 << BITS
 TEXT_BYTES = 1 << 18
+#: Grams of slices of text that wait to be merged with those met before.
+MERGE = 1 << 19
 
 
 def classes(text: str) -> np.ndarray:
@@ -79,6 +81,27 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return value[inside], of[:n][inside]
 
 
+class Grams:
+    """The different ones of all grams added.
+
+    They are merged whenever ``MERGE`` more wait, or as many as there are already: a
+    batch of long texts repeats its grams in every slice, and would hold them all."""
+
+    def __init__(self):
+        self.have, self.waiting, self.n = np.zeros(0, np.int64), [], 0
+
+    def add(self, new: np.ndarray) -> None:
+        self.waiting.append(new)
+        self.n += len(new)
+        if self.n >= max(MERGE, len(self.have)):
+            self.all()
+
+    def all(self) -> np.ndarray:
+        if self.waiting:
+            self.have, self.waiting, self.n = np.unique(np.concatenate([self.have, *self.waiting])), [], 0
+        return self.have
+
+
 def _counts(docs: DataFrame) -> DataFrame:
     """``g, c`` over all documents ``text``, counted in each task before the shuffle."""
 
@@ -210,10 +233,11 @@ def score(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]], lp: str, n:
         for b in batches:
             ids = b.column(b.num_columns - 1).to_numpy()
             for i in np.unique(ids).tolist():
-                part = b.filter(pa.array(ids == i))
-                new = [np.unique(grams(_unpack(s.column(at)))[0]) for s in slices(part, at, TEXT_BYTES)]
-                have[i] = np.unique(np.concatenate([have.get(i, np.zeros(0, np.int64)), *new]))
-        for number, g in have.items():
+                part, met = b.filter(pa.array(ids == i)), have.setdefault(i, Grams())
+                for s in slices(part, at, TEXT_BYTES):
+                    met.add(np.unique(grams(_unpack(s.column(at)))[0]))
+        for number, met in have.items():
+            g = met.all()
             for i in range(0, len(g), 1 << 16):
                 part = g[i : i + (1 << 16)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), number)), pa.array(part)], names=["of_block", "g"])

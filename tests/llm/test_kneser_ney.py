@@ -109,3 +109,13 @@ def test_without_trusted_text_everything_stays(spark):
     assert [r[names["keep"]] for r in out.collect()] == [True] * 3
     out, names = K.classify(docs(spark, []), labels(spark, [(1, 1, 0)]))
     assert rows(out) == []
+
+
+def test_a_block_holds_its_grams_once():
+    rng = np.random.default_rng(3)
+    met, slices = K.Grams(), [np.unique(rng.integers(0, 150_000, 120_000)) for _ in range(60)]
+    for g in slices:
+        met.add(g)
+        assert len(met.have) + sum(map(len, met.waiting)) < K.MERGE + 300_000  # 4 million with repeats
+    assert np.array_equal(met.all(), np.unique(np.concatenate(slices)))
+    assert len(K.Grams().all()) == 0
