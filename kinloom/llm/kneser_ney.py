@@ -13,7 +13,7 @@ different 5-grams of all blocks get their ln p by joins with the tables of the
 orders, longest first, and go back to the blocks that hold them.  There a
 document's characters are looked up and summed.  The texts are shuffled once,
 however large the model; no part of it passes through the driver, and a worker
-holds the 5-grams of one block.
+holds the text and the 5-grams of one block.
 
 A document is rejected if its mean negative log-probability a character exceeds
 the limit of its language: the 99 % quantile of the held-back trusted documents,
@@ -44,8 +44,9 @@ from pyspark.sql import types as T
 from .common import lean, only, release_memory, ship_package, slices, stored
 
 ORDER, BITS = 5, 12
-#: UTF-8 bytes of text whose 5-grams a worker holds at a time (each once, 12 bytes at half load).
-BLOCK_BYTES = 1 << 26
+#: UTF-8 bytes of text that a worker holds at a time, packed and unpacked, with their 5-grams (each once, 12 bytes
+#: at half load).  A task gets several blocks, one after the other; smaller ones hand on more 5-grams in all.
+BLOCK_BYTES = 1 << 24
 #: One trusted document in so many is held back for the limits.
 HELD = 5
 QUANTILE, MARGIN, PRIOR = 0.99, 1.0, 200
@@ -216,11 +217,16 @@ def _unpack(column) -> list[str | None]:
     return [None if t is None else unzip.decompress(t).decode() for t in column.to_pylist()]
 
 
+def block_count(size: int, at_least: int) -> int:
+    """Blocks that ``size`` bytes of text are dealt to."""
+    return max(-(-size // BLOCK_BYTES), at_least)
+
+
 def score(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]], lp: str, n: str) -> DataFrame:
     """The rows of ``docs`` with two more columns: ln p of the text, and the characters scored."""
     spark, at = docs.sparkSession, docs.columns.index("text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(-(-size // BLOCK_BYTES), spark.sparkContext.defaultParallelism)
+    blocks = block_count(size, spark.sparkContext.defaultParallelism)
     block = _fresh(docs, "block")
     packed_schema = T.StructType([T.StructField(f.name, T.BinaryType() if i == at else f.dataType, True) for i, f in enumerate(docs.schema)])
     packed = docs.mapInArrow(lean(_pack(at)), packed_schema)

@@ -119,3 +119,8 @@ def test_a_block_holds_its_grams_once():
         assert len(met.have) + sum(map(len, met.waiting)) < K.MERGE + 300_000  # 4 million with repeats
     assert np.array_equal(met.all(), np.unique(np.concatenate(slices)))
     assert len(K.Grams().all()) == 0
+
+
+def test_a_worker_holds_little_text():
+    assert 860_000_000 / K.block_count(860_000_000, 6) <= 1 << 24  # packed and unpacked, beside a JVM that has grown
+    assert K.block_count(0, 6) == 6
