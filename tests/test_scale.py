@@ -140,3 +140,39 @@ def test_lines_are_shuffled_once_to_their_orders(spark, tmp_path):
         spark.conf.set(name, before)
     joins = [x for x in text.splitlines() if "Join" in x]
     assert len(joins) == 2 and "l_orderkey" in joins[0] and "o_custkey" in joins[1] and "l_extendedprice" not in text.split("Exchange")[1].splitlines()[0]
+
+
+def test_infant_records_are_not_moved(spark, tmp_path):
+    """The wide rows meet lists of the persons' ids where they are read."""
+    from kinloom.plans.queries import QUERIES, end_run
+
+    sf = small_tables(spark, tmp_path)
+    df = QUERIES["infant_records"](spark, sf)
+    text = plan(df)
+    assert "LeftSemi" in text and "Exchange" not in text.split("BroadcastExchange")[0]
+    episodes = harmonised_of(spark, sf)
+    want = BC.completed(episodes).join(BC.infant_ids(episodes), "token_person_id", "left_semi")
+    assert rows(df) == rows(want.select(*df.columns))
+    end_run(spark, sf)
+
+
+def harmonised_of(spark, sf):
+    return FX.extracts_by_year(spark, sf).withColumnsRenamed({v: k for k, v in FX.RAW_EPISODE_NAMES.items()})
+
+
+def test_rows_meet_lists_of_keys(spark, monkeypatch):
+    """Null, repeated and composite keys, keys of another type, and more keys than lists hold, as a semi-join has them."""
+    from kinloom.operators import link
+
+    big = spark.createDataFrame([(None if i % 7 == 0 else f"P{i % 50}", i % 3 or None, i) for i in range(400)], "a string, b int, n int")
+    keys = spark.createDataFrame([(f"P{i % 60}", i % 5, i % 60) for i in range(0, 120, 3)] + [(None, 1, 0), ("P1", None, 0)], "a string, b int, c long")
+    for limit in (link.KEY_BYTES, 0):
+        monkeypatch.setattr(link, "KEY_BYTES", limit)
+        for on in ("a", ["a"], ["a", "b"]):
+            got = link.semi_reduce(big, keys, on)
+            want = big.join(keys, on, "left_semi")
+            assert rows(got) == rows(want) and got.columns == want.columns
+            assert ("array_contains" in plan(got)) == bool(limit)
+    longs = big.withColumnRenamed("n", "c")
+    assert sorted(r.c for r in link.semi_reduce(longs, keys, "c").collect()) == sorted({i % 60 for i in range(0, 120, 3)})
+    assert link.semi_reduce(big, keys.limit(0), "a").count() == 0
