@@ -176,3 +176,28 @@ def test_rows_meet_lists_of_keys(spark, monkeypatch):
     longs = big.withColumnRenamed("n", "c")
     assert sorted(r.c for r in link.semi_reduce(longs, keys, "c").collect()) == sorted({i % 60 for i in range(0, 120, 3)})
     assert link.semi_reduce(big, keys.limit(0), "a").count() == 0
+
+
+def test_stages_free_their_shuffles(spark, tmp_path):
+    from kinloom.plans.pipeline import Pipeline, Stage
+
+    disk = spark._jsparkSession.sparkContext().env().blockManager().diskBlockManager()
+    files = lambda: {b.toString() for b in (disk.getAllBlocks().apply(i) for i in range(disk.getAllBlocks().size()))}
+    old = files()
+    stage = Stage(lambda: spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("n")), ())
+    out = Pipeline(spark, {"s": stage}, workdir=str(tmp_path / "w")).get("s")
+    assert not any(b.startswith("shuffle") for b in files() - old) and out.count() == 7
+
+
+def test_cut_diagnoses_are_those_of_the_whole_list(spark):
+    from kinloom.plans.diagnoses import diagnoses_long
+
+    episodes = harmonised(spark)
+    stems = {"C91", "Q21", "Q25"}
+    whole = diagnoses_long(episodes).filter(F.col("diagnosis_3char").isin(*stems))
+    got = diagnoses_long(episodes, None, stems)
+    assert rows(got) == rows(whole.select(*got.columns))
+    first = diagnoses_long(episodes, [1], stems)
+    assert rows(first) == rows(whole.filter("diagnostic_position = 1").select(*first.columns))
+    assert "Generate" not in plan(first)
+    assert first.schema["diagnostic_position"].dataType == whole.schema["diagnostic_position"].dataType
